@@ -1,0 +1,51 @@
+"""Reproducible draws: the same key, name and seed give the same value.
+
+A draw is a hash of its inputs, not ``rand``: a task that runs again after an
+executor is lost, or a different partitioning, gives the same rows.
+"""
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def _digest(key: Column, name: str, seed: int) -> Column:
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(name), key.cast("string")))
+
+
+def draw(key: Column, name: str, seed: int) -> Column:
+    """A double in [0, 1)."""
+    bits = F.conv(F.substring(_digest(key, name, seed), 1, 8), 16, 10)
+    return bits.cast("bigint").cast("double") / F.lit(float(2**32))
+
+
+def uniform_int(u: Column, low: int, high: int) -> Column:
+    """A whole number from ``low`` to ``high``, both included."""
+    return (F.lit(low) + F.floor(u * F.lit(float(high - low + 1)))).cast("int")
+
+
+def uniform_tenths(u: Column, low: int, high: int) -> Column:
+    """A number with one digit from ``low / 10`` to ``high / 10``, both included."""
+    return uniform_int(u, low, high).cast("double") / F.lit(10.0)
+
+
+def choice(u: Column, pool: Sequence[str]) -> Column:
+    """One element of the pool."""
+    return F.element_at(_array(pool), uniform_int(u, 1, len(pool)))
+
+
+def sample(key: Column, name: str, seed: int, pool: Sequence[str], size: Column) -> Column:
+    """``size`` different elements of the pool, in drawn order."""
+    ranked = F.transform(
+        _array(pool),
+        lambda item: F.struct(
+            F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(name), item, key.cast("string"))),
+            item.alias("item"),
+        ),
+    )
+    return F.transform(F.slice(F.array_sort(ranked), F.lit(1), size), lambda r: r["item"])
+
+
+def _array(pool: Sequence[str]) -> Column:
+    return F.array(*[F.lit(item) for item in pool])

@@ -1,0 +1,93 @@
+"""Synthetic visits, one per row of a key column, for trials at any size."""
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.functions.draws import choice, draw, sample, uniform_int, uniform_tenths
+
+# Vocabulary and ranges of the synthetic records.
+DISEASES = ["J06.9", "I10", "E11.9", "I25.1", "J45.0", "K29.7", "M17.9", "N39.0"]
+BLOOD_TYPES = ["A+", "A-", "B+", "B-", "AB+", "AB-", "O+", "O-"]
+SYMPTOMS = ["R50", "R05", "R51", "R53", "R07.4", "R10.4", "R06.0", "R21"]
+CHRONIC = ["E11", "J45", "I10", "I25", "K29", "M17"]
+FEVER_SYMPTOM = "R50"
+FEVER_SHARE = 0.15
+FIRST_DAY = "2026-01-01"
+LAST_DAY_OFFSET = 130
+
+
+def synthetic_visits(keys: DataFrame, key: str, seed: int = 0) -> DataFrame:
+    """One raw visit per row of ``keys``, drawn from the key alone."""
+    k = F.col(key)
+
+    def u(name: str):
+        return draw(k, name, seed)
+
+    def code(name: str):
+        return uniform_int(u(name), 100, 999).cast("string")
+
+    drawn = keys.select(
+        k.cast("bigint").alias("id"),
+        F.date_add(F.lit(FIRST_DAY).cast("date"), uniform_int(u("day"), 0, LAST_DAY_OFFSET))
+        .cast("string")
+        .alias("visit_date"),
+        uniform_int(u("age"), 18, 90).alias("age"),
+        uniform_int(u("gender"), 1, 2).alias("gender_id"),
+        uniform_int(u("profession"), 100, 150).alias("profession_id"),
+        uniform_int(u("doctor"), 1, 200).alias("doctor_id"),
+        uniform_int(u("department"), 1, 10).alias("department_id"),
+        F.concat(
+            F.concat_ws("-", code("person1"), code("person2"), code("person3")),
+            F.lit(" "),
+            F.lpad(uniform_int(u("person4"), 0, 99).cast("string"), 2, "0"),
+        ).alias("snils"),
+        u("height").alias("u_height"),
+        u("weight").alias("u_weight"),
+        (u("fever") < F.lit(FEVER_SHARE)).alias("fever"),
+        u("temperature").alias("u_temperature"),
+        uniform_int(u("systolic"), 110, 150).alias("bp_systolic"),
+        uniform_int(u("diastolic"), 70, 95).alias("bp_diastolic"),
+        choice(u("disease"), DISEASES).alias("disease_code"),
+        choice(u("blood"), BLOOD_TYPES).alias("blood_type"),
+        sample(k, "symptoms", seed, SYMPTOMS, uniform_int(u("n_symptoms"), 1, 3)).alias("symptoms"),
+        sample(k, "chronic", seed, CHRONIC, uniform_int(u("n_chronic"), 0, 2)).alias(
+            "chronic_diseases"
+        ),
+        uniform_tenths(u("hemoglobin"), 1100, 1700).alias("lab_hemoglobin"),
+        uniform_tenths(u("leukocytes"), 40, 150).alias("lab_leukocytes"),
+        uniform_tenths(u("glucose"), 35, 85).alias("lab_glucose"),
+        uniform_tenths(u("cholesterol"), 30, 70).alias("lab_cholesterol"),
+    )
+    first = F.col("gender_id") == 1
+    fever = F.col("fever")
+    add_fever = fever & ~F.array_contains("symptoms", FEVER_SYMPTOM)
+
+    def pick(condition, column, yes, no, draw_range):
+        value = F.col(column)
+        return F.when(condition, draw_range(value, *yes)).otherwise(draw_range(value, *no))
+
+    return drawn.select(
+        "id",
+        "visit_date",
+        "age",
+        "gender_id",
+        "profession_id",
+        "doctor_id",
+        "department_id",
+        "snils",
+        pick(first, "u_height", (155, 195), (145, 180), uniform_int).alias("height"),
+        pick(first, "u_weight", (600, 1100), (450, 900), uniform_tenths).alias("weight"),
+        pick(fever, "u_temperature", (380, 405), (362, 372), uniform_tenths).alias("temperature"),
+        "bp_systolic",
+        "bp_diastolic",
+        "disease_code",
+        "blood_type",
+        F.when(add_fever, F.array_append("symptoms", F.lit(FEVER_SYMPTOM)))
+        .otherwise(F.col("symptoms"))
+        .alias("symptoms_code"),
+        "chronic_diseases",
+        "lab_hemoglobin",
+        "lab_leukocytes",
+        "lab_glucose",
+        "lab_cholesterol",
+    )
