@@ -48,8 +48,9 @@ def corrupt(code: str, column: str = CORRUPT_COLUMN) -> Rule:
     return Rule(code, lambda df: F.col(column).isNotNull() if column in df.columns else F.lit(False))
 
 
-def predicate(violated: Column, code: str) -> Rule:
-    return Rule(code, lambda df: violated)
+def predicate(violated: str | Column, code: str) -> Rule:
+    """Any condition, as a column or as SQL text."""
+    return Rule(code, lambda df: F.expr(violated) if isinstance(violated, str) else violated)
 
 
 def tag(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:

@@ -1,6 +1,7 @@
 """Declared Parquet tables with a derived date partition."""
 
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,12 +51,18 @@ class Table:
         The bounds are one collected row and prune at planning time; the semi
         join then leaves out the untouched partitions between them.
         """
+        part, no_date = F.col(PARTITION_COLUMN), F.lit(NO_DATE).cast("date")
         parts = batch.select(self.partition().alias(PARTITION_COLUMN)).distinct()
-        low, high = parts.agg(F.min(PARTITION_COLUMN), F.max(PARTITION_COLUMN)).first()
-        between = F.col(PARTITION_COLUMN).between(F.lit(low), F.lit(high))
+        dated = F.nullif(part, no_date)
+        low, high, undated = parts.agg(
+            F.min(dated), F.max(dated), F.bool_or(part == no_date)
+        ).first()
+        pruned = part == no_date if undated else F.lit(False)
+        if low is not None:
+            pruned = pruned | part.between(_date(low), _date(high))
         return (
             self._scan(spark)
-            .filter(between)
+            .filter(pruned)
             .join(parts, PARTITION_COLUMN, "left_semi")
             .drop(PARTITION_COLUMN)
         )
@@ -69,3 +76,7 @@ class Table:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return spark.createDataFrame([], schema)
+
+
+def _date(day: date) -> Column:
+    return F.lit(day.isoformat()).cast("date")
