@@ -72,17 +72,19 @@ def lookup(
     df: DataFrame,
     dimension: DataFrame,
     on: str,
-    key: str = "id",
-    name: str = "name",
-    alias: str | None = None,
+    key: str,
+    columns: Mapping[str, str],
     max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Left join of one dimension column; an unknown id keeps the row with null.
+    """Left join of dimension columns; an unknown id keeps the row with nulls.
 
-    The dimension is measured and broadcast if it fits; a larger one is shuffled
-    and adaptive execution splits hot ids.
+    ``columns`` maps columns of the dimension to their names in the result. The
+    dimension is measured and broadcast if it fits; a larger one is shuffled and
+    adaptive execution splits hot ids.
     """
-    narrow = dimension.select(F.col(key).alias(on), F.col(name).alias(alias or name))
+    narrow = dimension.select(
+        F.col(key).alias(on), *[F.col(c).alias(name) for c, name in columns.items()]
+    )
     return df.join(broadcast_if_small(narrow, max_bytes), on, "left")
 
 

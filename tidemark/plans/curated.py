@@ -30,11 +30,12 @@ class ChildLists:
 
 @dataclass(frozen=True)
 class Dimension:
+    """A directory to look up; ``columns`` maps its columns to the curated ones."""
+
     rows: DataFrame
     on: str
     key: str
-    name: str
-    alias: str
+    columns: Mapping[str, str]
 
 
 def build_curated(
@@ -56,9 +57,7 @@ def build_curated(
         )
         rows = attach(rows, lists, child.keys)
     for dim in dimensions:
-        rows = lookup(
-            rows, dim.rows, dim.on, dim.key, dim.name, dim.alias, max_broadcast_bytes
-        )
+        rows = lookup(rows, dim.rows, dim.on, dim.key, dim.columns, max_broadcast_bytes)
     return rows
 
 
@@ -67,8 +66,8 @@ class CuratedJob:
     parents: Table
     children: Sequence[tuple[Table, Mapping[str, str], str, str]]
     """Child table, its keys mapped to the parent's, code column, list column."""
-    dimensions: Sequence[tuple[Table, str, str, str, str]]
-    """Dimension table, joining parent column, key, name, output column."""
+    dimensions: Sequence[tuple[Table, str, str, Mapping[str, str]]]
+    """Directory, joining parent column, key, its columns mapped to the curated ones."""
     curated: Table
     mark: str = "created_at"
     """Parent column the increment is cut by. Upserts never change ``created_at``, so
@@ -97,7 +96,7 @@ def run_curated(spark: SparkSession, job: CuratedJob, run_ts: datetime | None =
     built = build_curated(
         parents,
         [ChildLists(touched(t, keys), keys, code, alias) for t, keys, code, alias in job.children],
-        [Dimension(t.read(spark), on, key, name, alias) for t, on, key, name, alias in job.dimensions],
+        [Dimension(t.read(spark), on, key, columns) for t, on, key, columns in job.dimensions],
         small_parents=fits_broadcast(narrow),
     )
     batch = staged(align(built, job.curated.schema), "curated")

@@ -68,11 +68,11 @@ def j3_broadcast_dims(spark, sf_dir):
     orders = load(spark, sf_dir, "orders").select(
         "o_orderkey", F.nullif(F.col("o_custkey"), F.lit(0)).alias("cust")
     )
-    named = lookup(orders, customer, "cust", "c_custkey", "c_name", "customer_name")
-    placed = lookup(named, customer, "cust", "c_custkey", "c_nationkey", "nation")
-    rows = lookup(
-        placed, load(spark, sf_dir, "nation"), "nation", "n_nationkey", "n_name", "nation_name"
+    placed = lookup(
+        orders, customer, "cust", "c_custkey", {"c_name": "customer_name", "c_nationkey": "nation"}
     )
+    nation = load(spark, sf_dir, "nation")
+    rows = lookup(placed, nation, "nation", "n_nationkey", {"n_name": "nation_name"})
     return rows.select("o_orderkey", "customer_name", "nation_name")
 
 

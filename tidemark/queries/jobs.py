@@ -8,6 +8,7 @@ from tidemark.operators import (
     align,
     child_lists,
     conform,
+    fits_broadcast,
     in_range,
     mark_value,
     since,
@@ -27,7 +28,7 @@ from tidemark.plans import (
 from tidemark.queries.columns import rendered_date
 from tidemark.queries.registry import LOADED_UNTIL, RUN_TS, load, query
 from tidemark.sources import Table, read_raw_json
-from tidemark.staging import work_dir
+from tidemark.staging import staged, work_dir
 
 _NOW = "TIMESTAMP '2026-01-01 00:00:00'"
 
@@ -90,11 +91,23 @@ def g1_curated(spark, sf_dir):
             ChildLists(lines, {"l_orderkey": "id"}, "l_linestatus", "status_list"),
         ],
         [
-            Dimension(customer, "cust", "c_custkey", "c_name", "customer_name"),
-            Dimension(customer, "cust", "c_custkey", "c_mktsegment", "segment"),
+            Dimension(
+                customer,
+                "cust",
+                "c_custkey",
+                {"c_name": "customer_name", "c_mktsegment": "segment"},
+            ),
         ],
+        small_parents=fits_broadcast(increment.select("id")),
+    )
+    batch = staged(align(built, schema), "curated")
+    merged = upsert(
+        curated,
+        batch,
+        ["id", "order_date"],
+        run_ts=RUN_TS,
+        small_source=fits_broadcast(batch),
     )
-    merged = upsert(curated, align(built, schema), ["id", "order_date"], run_ts=RUN_TS)
     return merged.withColumns({c: F.array_join(c, ",") for c in ("flag_list", "status_list")})
 
 

@@ -81,10 +81,10 @@ def overwrite_touched(rows: DataFrame, table: Table, batch: DataFrame) -> None:
     several partitions is not atomic.
     """
     part = table.partition().alias(PARTITION_COLUMN)
-    laid_out = rows.select("*", part).hint("rebalance", PARTITION_COLUMN)
-    ready = staged(laid_out, "partitions", (PARTITION_COLUMN,))
+    ready = staged(rows.select("*", part), "partitions")
     (
-        ready.write.mode("overwrite")
+        ready.hint("rebalance", PARTITION_COLUMN)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION_COLUMN)
         .parquet(table.path)
