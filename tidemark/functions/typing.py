@@ -6,6 +6,11 @@ from pyspark.sql import types as T
 
 _WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
+# A failing cast costs an exception per value, so text is tested before it is cast.
+_DIGITS = r"\A\s*[+-]?\d+\s*\z"
+_NUMBER = r"\A\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*\z"
+_JSON_ARRAY = r"\A\s*\["
+
 
 def typed_column(column: Column, current: T.DataType, declared: T.DataType) -> Column:
     """``column`` as ``declared``; a value that does not fit becomes null.
@@ -16,10 +21,10 @@ def typed_column(column: Column, current: T.DataType, declared: T.DataType) -> C
     if isinstance(declared, T.ArrayType):
         if isinstance(current, T.ArrayType):
             return column.try_cast(declared)
-        return F.from_json(column.cast("string"), declared)
+        text = column.cast("string")
+        return F.when(text.rlike(_JSON_ARRAY), F.from_json(text, declared))
     if isinstance(declared, _WHOLE) and isinstance(current, T.StringType):
-        whole = F.coalesce(
-            column.try_cast("bigint"), column.try_cast("double").try_cast("bigint")
+        return F.when(column.rlike(_DIGITS), column.try_cast(declared)).when(
+            column.rlike(_NUMBER), column.try_cast("double").try_cast(declared)
         )
-        return whole.try_cast(declared)
     return column.try_cast(declared)

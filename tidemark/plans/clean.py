@@ -23,10 +23,11 @@ from tidemark.operators.sizes import fits_broadcast
 from tidemark.sinks.writers import (
     QualityRecord,
     append_quarantine,
+    blank_partitions,
     metrics_scope,
     overwrite_touched,
 )
-from tidemark.sources.tables import Table
+from tidemark.sources.tables import PARTITION_COLUMN, Table
 from tidemark.staging import staged
 
 
@@ -90,14 +91,18 @@ def _merge(batch: DataFrame, table: Table, run_ts: datetime | None) -> None:
     rows = upsert(
         target, batch, table.keys, run_ts=run_ts, small_source=fits_broadcast(batch)
     )
-    overwrite_touched(rows, table, batch)
+    overwrite_touched(rows, table)
 
 
 def _replace(batch: DataFrame, child: ChildTable, run_ts: datetime | None) -> None:
     table = child.table
     dated = batch.filter(F.col(child.keys[table.date]).isNotNull())
-    keys_only = dated.select(*[F.col(b).alias(c) for c, b in child.keys.items()])
-    current = table.read_touched(batch.sparkSession, keys_only)
+
+    def key_rows(rows: DataFrame) -> DataFrame:
+        return rows.select(*[F.col(b).alias(c) for c, b in child.keys.items()])
+
+    parents = key_rows(dated)
+    current = table.read_touched(batch.sparkSession, parents)
     rows = replace_children(
         current,
         dated,
@@ -106,6 +111,17 @@ def _replace(batch: DataFrame, child: ChildTable, run_ts: datetime | None) -> No
         child.code,
         date=table.date,
         run_ts=run_ts,
-        small_batch=fits_broadcast(keys_only),
+        small_batch=fits_broadcast(parents),
+    )
+    # A partition whose parents all come without children may lose its last row.
+    filled = key_rows(dated.filter(F.size(child.array) > 0))
+    bare = table.partitions_of(parents).join(
+        table.partitions_of(filled), PARTITION_COLUMN, "left_anti"
     )
-    overwrite_touched(rows, table, keys_only)
+    emptied = None
+    if not bare.isEmpty():
+        left = table.partitions_of(rows)
+        emptied = staged(bare.join(left, PARTITION_COLUMN, "left_anti"), "emptied")
+    overwrite_touched(rows, table)
+    if emptied is not None:
+        blank_partitions(table, emptied)

@@ -107,5 +107,5 @@ def run_curated(spark: SparkSession, job: CuratedJob, run_ts: datetime | None =
         run_ts=run_ts,
         small_source=fits_broadcast(batch),
     )
-    overwrite_touched(rows, job.curated, batch)
+    overwrite_touched(rows, job.curated)
     return count

@@ -34,4 +34,4 @@ def load_reference(
         frozen=(),
         small_source=fits_broadcast(incoming),
     )
-    overwrite_touched(merged, table, incoming)
+    overwrite_touched(merged, table)

@@ -2,6 +2,7 @@ from tidemark.sinks.writers import (
     QualityRecord,
     append_mart,
     append_quarantine,
+    blank_partitions,
     metrics_scope,
     overwrite_touched,
     write_metrics,
@@ -11,6 +12,7 @@ __all__ = [
     "QualityRecord",
     "append_mart",
     "append_quarantine",
+    "blank_partitions",
     "metrics_scope",
     "overwrite_touched",
     "write_metrics",

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from tidemark.errors import QuarantineError
 from tidemark.sources.readers import METRICS_SCHEMA
 from tidemark.sources.tables import PARTITION_COLUMN, Table
-from tidemark.staging import staged
 
 log = logging.getLogger(__name__)
 
@@ -72,28 +71,29 @@ def metrics_scope(spark: SparkSession, path: str, ds: str) -> Iterator[QualityRe
             log.exception("quality metrics of %s could not be stored", ds)
 
 
-def overwrite_touched(rows: DataFrame, table: Table, batch: DataFrame) -> None:
-    """Replace the partitions of ``table`` that ``batch`` touches by ``rows``.
+def overwrite_touched(rows: DataFrame, table: Table) -> None:
+    """Replace the partitions of ``table`` that ``rows`` falls into.
 
-    The rows are staged first, because their plan reads the same partitions. After
-    a failure the job can run again: until the partitions are replaced nothing has
-    changed, and merging the same batch twice gives the same table. Replacing
-    several partitions is not atomic.
+    ``rows`` may be computed from those same partitions: Spark writes the new files
+    beside them and swaps the folders when all tasks have succeeded, so a failed
+    writer leaves the table as it was. The swap goes partition by partition and is
+    not atomic over several.
     """
-    part = table.partition().alias(PARTITION_COLUMN)
-    ready = staged(rows.select("*", part), "partitions")
     (
-        ready.hint("rebalance", PARTITION_COLUMN)
+        rows.withColumn(PARTITION_COLUMN, table.partition())
+        .hint("rebalance", PARTITION_COLUMN)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PARTITION_COLUMN)
         .parquet(table.path)
     )
-    # A partition that lost its last row has nothing to replace it; blank it.
-    touched = batch.select(part).distinct()
-    emptied = touched.join(ready.select(PARTITION_COLUMN), PARTITION_COLUMN, "left_anti")
-    nothing = rows.limit(0)
-    for row in emptied.toLocalIterator():
+
+
+def blank_partitions(table: Table, parts: DataFrame) -> None:
+    """Empty the given partitions, which have no row left to replace them by."""
+    spark = parts.sparkSession
+    nothing = spark.createDataFrame([], table.file_schema())
+    for row in parts.toLocalIterator():
         folder = f"{table.path}/{PARTITION_COLUMN}={row[0].isoformat()}"
         nothing.write.mode("overwrite").parquet(folder)
 

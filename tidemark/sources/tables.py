@@ -45,14 +45,18 @@ class Table:
         """
         return self._scan(spark).drop(PARTITION_COLUMN)
 
+    def partitions_of(self, rows: DataFrame) -> DataFrame:
+        """The partitions that ``rows`` falls into, one row each."""
+        return rows.select(self.partition().alias(PARTITION_COLUMN)).distinct()
+
     def read_touched(self, spark: SparkSession, batch: DataFrame) -> DataFrame:
-        """Rows in the partitions that the batch writes to, and no others.
+        """Rows in the partitions that the batch falls into, and no others.
 
         The bounds are one collected row and prune at planning time; the semi
         join then leaves out the untouched partitions between them.
         """
         part, no_date = F.col(PARTITION_COLUMN), F.lit(NO_DATE).cast("date")
-        parts = batch.select(self.partition().alias(PARTITION_COLUMN)).distinct()
+        parts = self.partitions_of(batch)
         dated = F.nullif(part, no_date)
         low, high, undated = parts.agg(
             F.min(dated), F.max(dated), F.bool_or(part == no_date)
@@ -67,9 +71,13 @@ class Table:
             .drop(PARTITION_COLUMN)
         )
 
+    def file_schema(self) -> T.StructType:
+        """The declared columns; files do not enforce not-null."""
+        return T.StructType([T.StructField(f.name, f.dataType) for f in self.schema.fields])
+
     def _scan(self, spark: SparkSession) -> DataFrame:
-        fields = [T.StructField(f.name, f.dataType) for f in self.schema.fields]
-        schema = T.StructType([*fields, T.StructField(PARTITION_COLUMN, T.DateType())])
+        part = T.StructField(PARTITION_COLUMN, T.DateType())
+        schema = T.StructType([*self.file_schema().fields, part])
         try:
             return spark.read.schema(schema).parquet(self.path)
         except AnalysisException as error:
