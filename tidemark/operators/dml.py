@@ -80,9 +80,13 @@ def upsert(
 
     present = target.select(*[F.col(k).alias(f"__key_{k}") for k in keys])
     if small_source:
+        # What is left of the target's keys is no larger than the source.
         source_keys = per_key.select(*[F.col(f"__key_{k}").alias(k) for k in keys])
         present = present.join(F.broadcast(source_keys), same_key, "left_semi")
-    new_rows = incoming.join(present.distinct(), same_key, "left_anti")
+        present = F.broadcast(present.distinct())
+    else:
+        present = present.distinct()
+    new_rows = incoming.join(present, same_key, "left_anti")
 
     label = [F.when(matched, "updated").otherwise("kept").alias(action)] if action else []
     rest = joined.select(*[merged(c) for c in columns], *label)

@@ -55,6 +55,8 @@ class Table:
         The bounds are one collected row and prune at planning time; the semi
         join then leaves out the untouched partitions between them.
         """
+        if self.date is None:
+            return self.read(spark)
         part, no_date = F.col(PARTITION_COLUMN), F.lit(NO_DATE).cast("date")
         parts = self.partitions_of(batch)
         dated = F.nullif(part, no_date)
