@@ -6,8 +6,17 @@ the last two years of it again, corrected, together with everything newer.
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import delete_children, keep_latest, replace_children, upsert
+from tidemark.operators import (
+    delete_children,
+    fits_broadcast,
+    keep_latest,
+    replace_children,
+    upsert,
+)
 from tidemark.queries.registry import LOADED_UNTIL, REDELIVERED_FROM, RUN_TS, load, query
+from tidemark.sinks import overwrite_touched
+from tidemark.sources import Table
+from tidemark.staging import work_dir
 
 
 def _loaded(orders):
@@ -18,9 +27,7 @@ def _redelivered(orders):
     return orders.filter(F.col("o_orderdate") >= F.lit(REDELIVERED_FROM).cast("timestamp_ntz"))
 
 
-@query(
-    "m1_upsert",
-    f"""
+_MERGED = f"""
     WITH t AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '{LOADED_UNTIL}'),
          s AS (SELECT o_orderkey, o_custkey, o_orderdate, o_totalprice + 1 AS o_totalprice,
                       nullif(o_orderstatus, 'P') AS o_orderstatus
@@ -38,9 +45,10 @@ def _redelivered(orders):
            CASE WHEN t.o_orderkey IS NULL THEN 'inserted' WHEN s.o_orderkey IS NULL THEN 'kept'
                 ELSE 'updated' END AS action
     FROM t FULL JOIN s ON t.o_orderkey = s.o_orderkey AND t.o_orderdate = s.o_orderdate
-    """,
-)
-def m1_upsert(spark, sf_dir):
+"""
+
+
+def _merge(spark, sf_dir, measure):
     orders = load(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderdate", "o_custkey", "o_totalprice", "o_orderstatus"
     )
@@ -54,10 +62,26 @@ def m1_upsert(spark, sf_dir):
         }
     )
     return upsert(
-        target, source, ["o_orderkey", "o_orderdate"], run_ts=RUN_TS, action="action"
+        target,
+        source,
+        ["o_orderkey", "o_orderdate"],
+        run_ts=RUN_TS,
+        small_source=measure and fits_broadcast(source),
+        action="action",
     )
 
 
+@query("m1_upsert", _MERGED)
+def m1_upsert(spark, sf_dir):
+    return _merge(spark, sf_dir, measure=False)
+
+
+@query("m1_upsert_measured", _MERGED)
+def m1_upsert_measured(spark, sf_dir):
+    """The same merge, broadcasting the batch when its measured size allows it."""
+    return _merge(spark, sf_dir, measure=True)
+
+
 _CHILDREN = """
     SELECT l_orderkey AS parent_id, o_orderdate AS parent_date, l_returnflag AS code,
            o_orderdate AS created_at, o_orderdate AS updated_at
@@ -139,3 +163,25 @@ def m2a_child_delete(spark, sf_dir):
 def w1_keep_latest(spark, sf_dir):
     events = load(spark, sf_dir, "events")
     return keep_latest(events, ["user_id", "event_type"], "ts", ["event_id"])
+
+
+@query(
+    "e5_day_partitions",
+    """
+    SELECT event_id, ts, CASE WHEN ts >= TIMESTAMP '2024-01-20 00:00:00' THEN value + 1
+                              ELSE value END AS value
+    FROM events
+    """,
+)
+def e5_day_partitions(spark, sf_dir):
+    """A table partitioned by day; a batch of corrections rewrites only its own days."""
+    events = load(spark, sf_dir, "events").select("event_id", "ts", "value")
+    table = Table(
+        f"{work_dir(spark, 'days')}/events", events.schema, keys=("event_id",), date="ts", grain="day"
+    )
+    overwrite_touched(events, table)
+    late = events.filter(F.col("ts") >= F.lit("2024-01-20").cast("timestamp_ntz"))
+    batch = late.withColumn("value", F.col("value") + 1)
+    merged = upsert(table.read_touched(spark, batch), batch, table.keys)
+    overwrite_touched(merged, table)
+    return table.read(spark)
