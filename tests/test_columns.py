@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import (
     choice,
+    digest,
     draw,
     guarded_ratio,
     hash_key,
@@ -105,7 +106,7 @@ def test_run_clock_is_the_given_time(frame):
 
 def test_draws_repeat_and_stay_in_range(spark):
     keys = spark.range(500)
-    u = draw(F.col("id"), "n", 3)
+    u = draw(digest(F.col("id"), "n", 3), part=2)
     drawn = keys.select(
         "id", uniform_int(u, 5, 9).alias("n"), choice(u, ["a", "b", "c"]).alias("c")
     )

@@ -10,13 +10,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _digest(key: Column, name: str, seed: int) -> Column:
+# An md5 is 32 hexadecimal digits: four draws of eight, or eight ranks of four.
+DRAWS_PER_DIGEST = 4
+RANKS_PER_DIGEST = 8
+
+
+def digest(key: Column, name: str, seed: int) -> Column:
+    """Text that the draws of a key are cut from."""
     return F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(name), key.cast("string")))
 
 
-def draw(key: Column, name: str, seed: int) -> Column:
-    """A double in [0, 1)."""
-    bits = F.conv(F.substring(_digest(key, name, seed), 1, 8), 16, 10)
+def draw(digest: Column, part: int = 0) -> Column:
+    """A double in [0, 1) from one of the four parts of a digest."""
+    bits = F.conv(F.substring(digest, 8 * part + 1, 8), 16, 10)
     return bits.cast("bigint").cast("double") / F.lit(float(2**32))
 
 
@@ -35,16 +41,19 @@ def choice(u: Column, pool: Sequence[str]) -> Column:
     return F.element_at(_array(pool), uniform_int(u, 1, len(pool)))
 
 
-def sample(key: Column, name: str, seed: int, pool: Sequence[str], size: Column) -> Column:
-    """``size`` different elements of the pool, in drawn order."""
-    ranked = F.transform(
-        _array(pool),
-        lambda item: F.struct(
-            F.md5(F.concat_ws("|", F.lit(str(seed)), F.lit(name), item, key.cast("string"))),
-            item.alias("item"),
-        ),
+def sample(digest: Column, pool: Sequence[str], size: Column) -> Column:
+    """``size`` different elements of a pool of up to eight, in drawn order."""
+    if len(pool) > RANKS_PER_DIGEST:
+        raise ValueError(f"a digest ranks up to {RANKS_PER_DIGEST} elements")
+    ranked = F.sort_array(
+        F.array(
+            *[
+                F.struct(F.substring(digest, 4 * n + 1, 4).alias("rank"), F.lit(item).alias("item"))
+                for n, item in enumerate(pool)
+            ]
+        )
     )
-    return F.transform(F.slice(F.array_sort(ranked), F.lit(1), size), lambda r: r["item"])
+    return F.slice(ranked, F.lit(1), size).getField("item")
 
 
 def _array(pool: Sequence[str]) -> Column:

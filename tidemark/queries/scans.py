@@ -25,6 +25,7 @@ from tidemark.sources import (
     read_quarantine,
     read_raw_json,
     read_table,
+    synthetic,
     synthetic_visits,
 )
 from tidemark.staging import work_dir
@@ -86,9 +87,9 @@ def s6_metrics_history(spark, sf_dir):
 
 
 def _draw(name: str) -> str:
-    return (
-        f"(('0x' || substr(md5('7|{name}|' || o_orderkey), 1, 8))::BIGINT::DOUBLE / 4294967296.0)"
-    )
+    block, part = divmod(synthetic.DRAWS.index(name), 4)
+    digest = f"md5('7|d{block * 4}|' || o_orderkey)"
+    return f"(('0x' || substr({digest}, {part * 8 + 1}, 8))::BIGINT::DOUBLE / 4294967296.0)"
 
 
 def _int(name: str, low: int, high: int) -> str:
@@ -100,13 +101,15 @@ def _pick(name: str, pool: list[str]) -> str:
 
 
 def _some(name: str, pool: list[str], size: str) -> str:
-    ranked = f"list_sort(list_transform({pool}, lambda c: md5('7|{name}|' || c || '|' || o_orderkey) || c))"
-    return f"list_transform(({ranked})[1:{size}], lambda c: substr(c, 33))"
+    digest = f"md5('7|{name}|' || o_orderkey)"
+    ranked = ", ".join(
+        f"substr({digest}, {4 * n + 1}, 4) || '{item}'" for n, item in enumerate(pool)
+    )
+    return f"list_transform((list_sort([{ranked}]))[1:{size}], lambda c: substr(c, 5))"
 
 
 def _synthetic_sql() -> str:
-    from tidemark.sources import synthetic as s
-
+    s = synthetic
     first = f"{_int('gender', 1, 2)} = 1"
     fever = f"{_draw('fever')} < {s.FEVER_SHARE}"
     symptoms = _some("symptoms", s.SYMPTOMS, _int("n_symptoms", 1, 3))

@@ -3,7 +3,15 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.draws import choice, draw, sample, uniform_int, uniform_tenths
+from tidemark.functions.draws import (
+    DRAWS_PER_DIGEST,
+    choice,
+    digest,
+    draw,
+    sample,
+    uniform_int,
+    uniform_tenths,
+)
 
 # Vocabulary and ranges of the synthetic records.
 DISEASES = ["J06.9", "I10", "E11.9", "I25.1", "J45.0", "K29.7", "M17.9", "N39.0"]
@@ -15,13 +23,26 @@ FEVER_SHARE = 0.15
 FIRST_DAY = "2026-01-01"
 LAST_DAY_OFFSET = 130
 
+DRAWS = [
+    "day", "age", "gender", "profession", "doctor", "department",
+    "person1", "person2", "person3", "person4",
+    "height", "weight", "fever", "temperature", "systolic", "diastolic",
+    "disease", "blood", "n_symptoms", "n_chronic",
+    "hemoglobin", "leukocytes", "glucose", "cholesterol",
+]
+
 
 def synthetic_visits(keys: DataFrame, key: str, seed: int = 0) -> DataFrame:
     """One raw visit per row of ``keys``, drawn from the key alone."""
     k = F.col(key)
+    digests = [f"d{n}" for n in range(0, len(DRAWS), DRAWS_PER_DIGEST)]
+    # A column per digest, so that what is cut from it shares one hash.
+    hashed = [*digests, "symptoms", "chronic"]
+    keys = keys.select(k, *[digest(k, d, seed).alias(d) for d in hashed])
 
     def u(name: str):
-        return draw(k, name, seed)
+        block, part = divmod(DRAWS.index(name), DRAWS_PER_DIGEST)
+        return draw(F.col(digests[block]), part)
 
     def code(name: str):
         return uniform_int(u(name), 100, 999).cast("string")
@@ -49,8 +70,8 @@ def synthetic_visits(keys: DataFrame, key: str, seed: int = 0) -> DataFrame:
         uniform_int(u("diastolic"), 70, 95).alias("bp_diastolic"),
         choice(u("disease"), DISEASES).alias("disease_code"),
         choice(u("blood"), BLOOD_TYPES).alias("blood_type"),
-        sample(k, "symptoms", seed, SYMPTOMS, uniform_int(u("n_symptoms"), 1, 3)).alias("symptoms"),
-        sample(k, "chronic", seed, CHRONIC, uniform_int(u("n_chronic"), 0, 2)).alias(
+        sample(F.col("symptoms"), SYMPTOMS, uniform_int(u("n_symptoms"), 1, 3)).alias("symptoms"),
+        sample(F.col("chronic"), CHRONIC, uniform_int(u("n_chronic"), 0, 2)).alias(
             "chronic_diseases"
         ),
         uniform_tenths(u("hemoglobin"), 1100, 1700).alias("lab_hemoglobin"),
