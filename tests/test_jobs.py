@@ -1,47 +1,19 @@
 """The jobs end to end on small visit tables."""
 
 import json
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
 from conftest import values
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import NothingToDo, NotNullError, QualityGateError
-from tidemark.functions import guarded_ratio, hash_key, parse_timestamp
-from tidemark.operators import corrupt, in_range
-from tidemark.plans import (
-    ChildTable,
-    CleanJob,
-    CuratedJob,
-    load_reference,
-    read_mart,
-    run_clean,
-    run_curated,
-    run_mart,
-)
-from tidemark.sources import (
-    Table,
-    read_metrics,
-    read_quarantine,
-    read_raw_json,
-    synthetic_visits,
-)
+from tidemark.plans import Visits, load_reference, read_mart, run_curated, run_mart
+from tidemark.sources import Table, read_metrics, read_quarantine, synthetic_visits
 from tidemark.streaming import clean_arrivals
 
-RAW = (
-    "id int, visit_date string, age int, temperature float, snils string, disease_code string, "
-    "height int, weight float, symptoms_code array<string>, chronic_diseases array<string>, "
-    "_corrupt_record string"
-)
-CLEAN = (
-    "id string, visit_date timestamp_ntz, age int, temperature float, snils string, "
-    "disease_code string, height int, weight float, bmi float, "
-    "created_at timestamp_ntz, updated_at timestamp_ntz"
-)
-
 
 def visit(n, date, age=30, temperature=36.6, symptoms=(), chronic=()):
     return {
@@ -67,69 +39,35 @@ FIVE_ROWS = [
 ]
 
 
-def shape(df):
-    dated = df.withColumn("visit_date", parse_timestamp(F.col("visit_date")))
-    keys = [F.col(c) for c in ("visit_date", "snils", "disease_code")]
-    return dated.withColumns(
-        {"id": hash_key(*keys), "bmi": guarded_ratio(F.col("weight"), F.col("height"))}
-    )
-
-
-def clean_job(root, limit=50.0):
-    def child(name, array):
-        schema = T.StructType.fromDDL(
-            f"visit_id string, {array} string, visit_date timestamp_ntz, "
-            "created_at timestamp_ntz, updated_at timestamp_ntz"
-        )
-        table = Table(f"{root}/{name}", schema, date="visit_date", grain="day")
-        return ChildTable(table, {"visit_id": "id", "visit_date": "visit_date"}, array, array)
-
-    return CleanJob(
-        raw_schema=T.StructType.fromDDL(RAW),
-        rules=[corrupt("CORRUPT"), in_range("age", 0, 120, "AGE"), in_range("temperature", 34, 43, "TEMP")],
-        limit_percent=limit,
-        shape=shape,
-        clean=Table(
-            f"{root}/visits",
-            T.StructType.fromDDL(CLEAN),
-            keys=("visit_date", "snils", "disease_code"),
-            date="visit_date",
-        ),
-        children=[child("symptoms", "symptoms_code"), child("chronic", "chronic_diseases")],
-        quarantine=f"{root}/quarantine",
-        metrics=f"{root}/metrics",
-    )
-
-
-def load(spark, root, job, records, ds, run_ts):
+def load(spark, root, visits, records, ds, run_ts):
     folder = root / "raw" / ds
     folder.mkdir(parents=True, exist_ok=True)
     (folder / "batch.json").write_text(json.dumps(records, indent=1))
-    return run_clean(read_raw_json(spark, f"{folder}/*", job.raw_schema), job, ds, run_ts)
+    return visits.load_raw(spark, f"{root}/raw", ds, run_ts)
 
 
 def test_clean_job_on_five_rows(spark, at, tmp_path):
-    job = clean_job(tmp_path)
-    record = load(spark, tmp_path, job, FIVE_ROWS, "2026-01-20", at(20))
+    visits = Visits(str(tmp_path), limit_percent=50.0)
+    record = load(spark, tmp_path, visits, FIVE_ROWS, "2026-01-20", at(20))
     assert (record.total_rows, record.valid_rows, record.invalid_rows, record.error_percent) == (
         5,
         3,
         2,
         40.0,
     )
-    assert read_metrics(spark, job.metrics, "2026-01-20").first().error_percent == 40.0
-    rejected = read_quarantine(spark, job.quarantine)
+    assert read_metrics(spark, visits.clean_job.metrics, "2026-01-20").first().error_percent == 40.0
+    rejected = read_quarantine(spark, visits.clean_job.quarantine)
     assert values(rejected, "id", "errors", "rejected_at") == [
-        (2, ["AGE"], at(20)),
-        (3, ["TEMP"], at(20)),
+        (2, ["INVALID_AGE"], at(20)),
+        (3, ["INVALID_TEMPERATURE"], at(20)),
     ]
-    rows = job.clean.read(spark)
+    rows = visits.clean.read(spark)
     assert values(rows, "snils", "visit_date", "bmi", "created_at") == [
         ("person 1", datetime(2026, 1, 15, 10, 30), 24.5, at(20)),
         ("person 4", None, 24.5, at(20)),
         ("person 5", datetime(2026, 1, 16, 8), 24.5, at(20)),
     ]
-    symptoms, chronic = (c.table.read(spark) for c in job.children)
+    symptoms, chronic = (c.table.read(spark) for c in visits.clean_job.children)
     assert values(symptoms, "symptoms_code") == [("R05",), ("R21",), ("R50",)]
     assert values(chronic, "chronic_diseases") == [("E11",)]
     ids = {r.snils: r.id for r in rows.collect()}
@@ -137,165 +75,144 @@ def test_clean_job_on_five_rows(spark, at, tmp_path):
 
 
 def test_clean_job_again_changes_stamps_only(spark, at, tmp_path):
-    job = clean_job(tmp_path)
+    visits = Visits(str(tmp_path), limit_percent=50.0)
     dated = [r for r in FIVE_ROWS if r["id"] != 4]
-    load(spark, tmp_path, job, dated, "2026-01-20", at(20))
-    before = values(job.clean.read(spark).drop("updated_at"))
-    children = [values(c.table.read(spark).drop("created_at", "updated_at")) for c in job.children]
-    load(spark, tmp_path, job, dated, "2026-01-21", at(21))
-    assert values(job.clean.read(spark).drop("updated_at")) == before
-    assert {r.updated_at for r in job.clean.read(spark).collect()} == {at(21)}
-    again = [values(c.table.read(spark).drop("created_at", "updated_at")) for c in job.children]
+    load(spark, tmp_path, visits, dated, "2026-01-20", at(20))
+    before = values(visits.clean.read(spark).drop("updated_at"))
+    children = [values(c.table.read(spark).drop("created_at", "updated_at")) for c in visits.clean_job.children]
+    load(spark, tmp_path, visits, dated, "2026-01-21", at(21))
+    assert values(visits.clean.read(spark).drop("updated_at")) == before
+    assert {r.updated_at for r in visits.clean.read(spark).collect()} == {at(21)}
+    again = [values(c.table.read(spark).drop("created_at", "updated_at")) for c in visits.clean_job.children]
     assert again == children
 
 
 def test_clean_job_replaces_children_and_empties_a_day(spark, at, tmp_path):
-    job = clean_job(tmp_path)
-    load(spark, tmp_path, job, FIVE_ROWS, "2026-01-20", at(20))
+    visits = Visits(str(tmp_path), limit_percent=50.0)
+    load(spark, tmp_path, visits, FIVE_ROWS, "2026-01-20", at(20))
     corrected = [visit(5, "2026-01-16 08:00:00"), visit(6, "2026-01-17", symptoms=["R05"])]
-    load(spark, tmp_path, job, corrected, "2026-01-21", at(21))
-    symptoms = job.children[0].table.read(spark)
+    load(spark, tmp_path, visits, corrected, "2026-01-21", at(21))
+    symptoms = visits.clean_job.children[0].table.read(spark)
     assert values(symptoms, "symptoms_code", "created_at") == [
         ("R05", at(20)),
         ("R05", at(21)),
         ("R50", at(20)),
     ]
-    assert values(job.clean.read(spark).groupBy("created_at").count()) == [(at(20), 3), (at(21), 1)]
+    assert values(visits.clean.read(spark).groupBy("created_at").count()) == [(at(20), 3), (at(21), 1)]
 
 
 def test_gate_stops_before_any_table_but_after_quarantine_and_metrics(spark, at, tmp_path):
-    job = clean_job(tmp_path, limit=5.0)
+    visits = Visits(str(tmp_path))
     with pytest.raises(QualityGateError, match="40.00%"):
-        load(spark, tmp_path, job, FIVE_ROWS, "2026-01-20", at(20))
-    assert job.clean.read(spark).count() == 0
-    assert read_quarantine(spark, job.quarantine).count() == 2
-    assert read_metrics(spark, job.metrics, "2026-01-20").first().invalid_rows == 2
+        load(spark, tmp_path, visits, FIVE_ROWS, "2026-01-20", at(20))
+    assert visits.clean.read(spark).count() == 0
+    assert read_quarantine(spark, visits.clean_job.quarantine).count() == 2
+    assert read_metrics(spark, visits.clean_job.metrics, "2026-01-20").first().invalid_rows == 2
 
 
 def test_an_empty_batch_is_no_failure(spark, at, tmp_path):
-    job = clean_job(tmp_path)
-    record = load(spark, tmp_path, job, [], "2026-01-20", at(20))
+    visits = Visits(str(tmp_path), limit_percent=50.0)
+    record = load(spark, tmp_path, visits, [], "2026-01-20", at(20))
     assert record.total_rows == 0
-    assert read_metrics(spark, job.metrics, "2026-01-20").first().error_percent == 0.0
+    assert read_metrics(spark, visits.clean_job.metrics, "2026-01-20").first().error_percent == 0.0
 
 
 def test_duplicates_of_a_stored_key_fail_and_change_nothing(spark, at, tmp_path):
-    job = clean_job(tmp_path)
-    load(spark, tmp_path, job, FIVE_ROWS, "2026-01-20", at(20))
-    before = values(job.clean.read(spark))
+    visits = Visits(str(tmp_path), limit_percent=50.0)
+    load(spark, tmp_path, visits, FIVE_ROWS, "2026-01-20", at(20))
+    before = values(visits.clean.read(spark))
     twice = [visit(1, "2026-01-15 10:30:00"), visit(1, "15.01.2026 10:30:00")]
     with pytest.raises(PySparkException, match="several source rows"):
-        load(spark, tmp_path, job, twice, "2026-01-21", at(21))
-    assert values(job.clean.read(spark)) == before
+        load(spark, tmp_path, visits, twice, "2026-01-21", at(21))
+    assert values(visits.clean.read(spark)) == before
 
 
 def test_streaming_arrivals_load_each_file_once(spark, tmp_path):
-    job = clean_job(tmp_path)
+    visits = Visits(str(tmp_path), limit_percent=50.0)
     raw = tmp_path / "arrivals"
     raw.mkdir()
     checkpoint = str(tmp_path / "checkpoint")
     (raw / "a.json").write_text(json.dumps(FIVE_ROWS))
-    clean_arrivals(spark, str(raw), checkpoint, job)
+    clean_arrivals(spark, str(raw), checkpoint, visits.clean_job)
     (raw / "b.json").write_text(json.dumps([visit(7, "2026-01-18", symptoms=["R05"])]))
-    clean_arrivals(spark, str(raw), checkpoint, job)
-    clean_arrivals(spark, str(raw), checkpoint, job)
-    assert values(job.clean.read(spark), "snils") == [
+    clean_arrivals(spark, str(raw), checkpoint, visits.clean_job)
+    clean_arrivals(spark, str(raw), checkpoint, visits.clean_job)
+    assert values(visits.clean.read(spark), "snils") == [
         ("person 1",),
         ("person 4",),
         ("person 5",),
         ("person 7",),
     ]
-    assert read_quarantine(spark, job.quarantine).count() == 2
-
+    assert read_quarantine(spark, visits.clean_job.quarantine).count() == 2
 
-CURATED = (
-    CLEAN.replace("created_at timestamp_ntz, updated_at timestamp_ntz", "")
-    + "department_id int, symptoms_list array<string>, chronic_list array<string>, "
-    "department_name string, created_at timestamp_ntz, updated_at timestamp_ntz"
-)
 
-
-def curated_job(spark, root, mark="created_at"):
-    clean = clean_job(root)
-    parents = Table(
-        clean.clean.path,
-        T.StructType.fromDDL(CLEAN.replace("age int", "age int, department_id int")),
-        clean.clean.keys,
-        "visit_date",
-    )
-    departments = Table(
-        f"{root}/departments", T.StructType.fromDDL("id int NOT NULL, name string NOT NULL"), ("id",)
-    )
+def with_directories(spark, root, **options):
+    visits = Visits(str(root), limit_percent=50.0, **options)
     (root / "departments.csv").write_text("id;name\n1;Cardiology\n2;Surgery\n")
-    load_reference(spark, str(root / "departments.csv"), departments)
-    child_keys = {"visit_id": "id", "visit_date": "visit_date"}
-    job = CuratedJob(
-        parents=parents,
-        children=[
-            (clean.children[0].table, child_keys, "symptoms_code", "symptoms_list"),
-            (clean.children[1].table, child_keys, "chronic_diseases", "chronic_list"),
-        ],
-        dimensions=[(departments, "department_id", "id", {"name": "department_name"})],
-        curated=Table(f"{root}/curated", T.StructType.fromDDL(CURATED), ("id", "visit_date"), "visit_date"),
-        mark=mark,
-    )
-    raw = clean.raw_schema.add("department_id", T.IntegerType())
-    cleaning = CleanJob(
-        raw, clean.rules, 50.0, shape, parents, clean.children, clean.quarantine, clean.metrics
-    )
-    return cleaning, job
+    (root / "professions.csv").write_text("id;name\n100;Baker\n")
+    visits.load_references(spark, f"{root}/departments.csv", f"{root}/professions.csv")
+    return visits
 
 
 def test_curated_job(spark, at, tmp_path):
-    cleaning, job = curated_job(spark, tmp_path)
+    visits = with_directories(spark, tmp_path)
     first = [
-        dict(visit(1, "2026-01-15", symptoms=["b", "a", "b"], chronic=["z"]), department_id=1),
+        dict(
+            visit(1, "2026-01-15", symptoms=["b", "a", "b"], chronic=["z"]),
+            department_id=1,
+            profession_id=100,
+        ),
         dict(visit(2, "2026-01-16"), department_id=9),
     ]
-    load(spark, tmp_path, cleaning, first, "2026-01-20", at(20))
-    assert run_curated(spark, job, at(20, 1)) == 2
-    assert values(job.curated.read(spark), "snils", "symptoms_list", "chronic_list", "department_name") == [
-        ("person 1", ["a", "b", "b"], ["z"], "Cardiology"),
-        ("person 2", None, None, None),
+    load(spark, tmp_path, visits, first, "2026-01-20", at(20))
+    assert visits.advance_curated(spark, at(20, 1)) == 2
+    lists = ("snils", "symptoms_list", "chronic_list", "department_name", "profession_name")
+    assert values(visits.curated.read(spark), *lists) == [
+        ("person 1", ["a", "b", "b"], ["z"], "Cardiology", "Baker"),
+        ("person 2", None, None, None, None),
     ]
     # The mark is when the curated rows were made, so nothing older is read again.
     with pytest.raises(NothingToDo):
-        run_curated(spark, job, at(20, 2))
-    load(spark, tmp_path, cleaning, [dict(visit(3, "2026-02-01"), department_id=2)], "2026-01-21", at(21))
-    assert run_curated(spark, job, at(21, 1)) == 1
-    assert values(job.curated.read(spark), "snils", "created_at", "department_name") == [
+        visits.advance_curated(spark, at(20, 2))
+    later = [dict(visit(3, "2026-02-01"), department_id=2)]
+    load(spark, tmp_path, visits, later, "2026-01-21", at(21))
+    assert visits.advance_curated(spark, at(21, 1)) == 1
+    assert values(visits.curated.read(spark), "snils", "created_at", "department_name") == [
         ("person 1", at(20, 1), "Cardiology"),
         ("person 2", at(20, 1), None),
         ("person 3", at(21, 1), "Surgery"),
     ]
+    assert visits.advance_mart(spark) == 3 and visits.advance_mart(spark) == 0
+    assert values(visits.read_mart(spark), "snils") == [("person 1",), ("person 2",), ("person 3",)]
 
 
 @pytest.mark.parametrize("mark, age", [("created_at", 30), ("updated_at", 31)])
 def test_corrected_parents_reach_the_curated_table_by_their_update(spark, at, tmp_path, mark, age):
-    cleaning, job = curated_job(spark, tmp_path, mark)
-    load(spark, tmp_path, cleaning, [visit(1, "2026-01-15")], "2026-01-20", at(20))
+    visits = with_directories(spark, tmp_path)
+    job = replace(visits.curated_job, mark=mark)
+    load(spark, tmp_path, visits, [visit(1, "2026-01-15")], "2026-01-20", at(20))
     run_curated(spark, job, at(20, 1))
-    load(spark, tmp_path, cleaning, [visit(1, "2026-01-15", age=31)], "2026-01-21", at(21))
+    load(spark, tmp_path, visits, [visit(1, "2026-01-15", age=31)], "2026-01-21", at(21))
     if mark == "created_at":
         with pytest.raises(NothingToDo):
             run_curated(spark, job, at(21, 1))
     else:
         run_curated(spark, job, at(21, 1))
-    assert values(job.curated.read(spark), "age", "created_at") == [(age, at(20, 1))]
+    assert values(visits.curated.read(spark), "age", "created_at") == [(age, at(20, 1))]
 
 
 def test_two_increments_equal_one(spark, at, tmp_path):
-    visits = synthetic_visits(spark.range(24), "id", seed=5)
-    records = [json.loads(r) for r in visits.toJSON().collect()]
+    made = synthetic_visits(spark.range(24), "id", seed=5)
+    records = [json.loads(r) for r in made.toJSON().collect()]
     tables = []
     for name, batches in (("one", [records]), ("two", [records[:16], records[16:]])):
         root = tmp_path / name
         root.mkdir()
-        cleaning, job = curated_job(spark, root)
+        visits = with_directories(spark, root)
         for n, batch in enumerate(batches):
-            load(spark, root, cleaning, batch, f"2026-06-0{n + 1}", at(20 + n))
-            run_curated(spark, job, at(20 + n, 1))
-        tables.append(values(job.curated.read(spark).drop("created_at", "updated_at")))
+            load(spark, root, visits, batch, f"2026-06-0{n + 1}", at(20 + n))
+            visits.advance_curated(spark, at(20 + n, 1))
+        tables.append(values(visits.curated.read(spark).drop("created_at", "updated_at")))
     assert len(tables[0]) == 24 and tables[0] == tables[1]
 
 

@@ -2,6 +2,7 @@ from tidemark.plans.clean import ChildTable, CleanJob, run_clean
 from tidemark.plans.curated import ChildLists, CuratedJob, Dimension, build_curated, run_curated
 from tidemark.plans.mart import mart_delta, mart_stage, read_mart, run_mart
 from tidemark.plans.reference import load_reference
+from tidemark.plans.visits import Visits, visit_rules
 
 __all__ = [
     "ChildLists",
@@ -9,6 +10,7 @@ __all__ = [
     "CleanJob",
     "CuratedJob",
     "Dimension",
+    "Visits",
     "build_curated",
     "load_reference",
     "mart_delta",
@@ -17,4 +19,5 @@ __all__ = [
     "run_clean",
     "run_curated",
     "run_mart",
+    "visit_rules",
 ]
