@@ -74,31 +74,44 @@ def test_clean_job_on_five_rows(spark, at, tmp_path):
     assert values(symptoms.filter("symptoms_code = 'R21'"), "visit_id") == [(ids["person 5"],)]
 
 
-def test_clean_job_again_changes_stamps_only(spark, at, tmp_path):
+def test_clean_job_over_three_days(spark, at, tmp_path):
     visits = Visits(str(tmp_path), limit_percent=50.0)
+    symptoms = visits.symptoms
     dated = [r for r in FIVE_ROWS if r["id"] != 4]
     load(spark, tmp_path, visits, dated, "2026-01-20", at(20))
-    before = values(visits.clean.read(spark).drop("updated_at"))
-    children = [values(c.table.read(spark).drop("created_at", "updated_at")) for c in visits.clean_job.children]
-    load(spark, tmp_path, visits, dated, "2026-01-21", at(21))
-    assert values(visits.clean.read(spark).drop("updated_at")) == before
-    assert {r.updated_at for r in visits.clean.read(spark).collect()} == {at(21)}
-    again = [values(c.table.read(spark).drop("created_at", "updated_at")) for c in visits.clean_job.children]
-    assert again == children
 
-
-def test_clean_job_replaces_children_and_empties_a_day(spark, at, tmp_path):
-    visits = Visits(str(tmp_path), limit_percent=50.0)
-    load(spark, tmp_path, visits, FIVE_ROWS, "2026-01-20", at(20))
-    corrected = [visit(5, "2026-01-16 08:00:00"), visit(6, "2026-01-17", symptoms=["R05"])]
+    # A corrected visit without symptoms empties its day; a new visit fills another.
+    corrected = [
+        visit(1, "15.01.2026 10:30:00", age=31, symptoms=["R05", "R50"], chronic=["E11"]),
+        visit(5, "2026-01-16 08:00:00"),
+        visit(6, "2026-01-17", symptoms=["R05"]),
+    ]
     load(spark, tmp_path, visits, corrected, "2026-01-21", at(21))
-    symptoms = visits.clean_job.children[0].table.read(spark)
-    assert values(symptoms, "symptoms_code", "created_at") == [
-        ("R05", at(20)),
-        ("R05", at(21)),
-        ("R50", at(20)),
+    rows = visits.clean.read(spark)
+    assert values(rows, "snils", "age", "created_at", "updated_at") == [
+        ("person 1", 31, at(20), at(21)),
+        ("person 5", 30, at(20), at(21)),
+        ("person 6", 30, at(21), at(21)),
+    ]
+    assert values(symptoms.read(spark), "symptoms_code", "visit_date") == [
+        ("R05", datetime(2026, 1, 15, 10, 30)),
+        ("R05", datetime(2026, 1, 17)),
+        ("R50", datetime(2026, 1, 15, 10, 30)),
     ]
-    assert values(visits.clean.read(spark).groupBy("created_at").count()) == [(at(20), 3), (at(21), 1)]
+
+    # The same batch again changes nothing but stamps.
+    tables = (visits.clean, symptoms, visits.chronic)
+    before = [values(t.read(spark).drop("created_at", "updated_at")) for t in tables]
+    load(spark, tmp_path, visits, corrected, "2026-01-22", at(22))
+    assert [values(t.read(spark).drop("created_at", "updated_at")) for t in tables] == before
+
+    # Two rows for one stored visit fail the run and change nothing.
+    before = [values(t.read(spark)) for t in tables]
+    twice = [visit(1, "2026-01-15 10:30:00"), visit(1, "15.01.2026 10:30:00")]
+    with pytest.raises(PySparkException, match="several source rows"):
+        load(spark, tmp_path, visits, twice, "2026-01-23", at(23))
+    assert [values(t.read(spark)) for t in tables] == before
+    assert read_metrics(spark, visits.clean_job.metrics, "2026-01-23").first().total_rows == 2
 
 
 def test_gate_stops_before_any_table_but_after_quarantine_and_metrics(spark, at, tmp_path):
@@ -117,16 +130,6 @@ def test_an_empty_batch_is_no_failure(spark, at, tmp_path):
     assert read_metrics(spark, visits.clean_job.metrics, "2026-01-20").first().error_percent == 0.0
 
 
-def test_duplicates_of_a_stored_key_fail_and_change_nothing(spark, at, tmp_path):
-    visits = Visits(str(tmp_path), limit_percent=50.0)
-    load(spark, tmp_path, visits, FIVE_ROWS, "2026-01-20", at(20))
-    before = values(visits.clean.read(spark))
-    twice = [visit(1, "2026-01-15 10:30:00"), visit(1, "15.01.2026 10:30:00")]
-    with pytest.raises(PySparkException, match="several source rows"):
-        load(spark, tmp_path, visits, twice, "2026-01-21", at(21))
-    assert values(visits.clean.read(spark)) == before
-
-
 def test_streaming_arrivals_load_each_file_once(spark, tmp_path):
     visits = Visits(str(tmp_path), limit_percent=50.0)
     raw = tmp_path / "arrivals"
@@ -186,19 +189,16 @@ def test_curated_job(spark, at, tmp_path):
     assert values(visits.read_mart(spark), "snils") == [("person 1",), ("person 2",), ("person 3",)]
 
 
-@pytest.mark.parametrize("mark, age", [("created_at", 30), ("updated_at", 31)])
-def test_corrected_parents_reach_the_curated_table_by_their_update(spark, at, tmp_path, mark, age):
-    visits = with_directories(spark, tmp_path)
-    job = replace(visits.curated_job, mark=mark)
+def test_corrected_parents_reach_the_curated_table_by_their_update(spark, at, tmp_path):
+    visits = Visits(str(tmp_path))
     load(spark, tmp_path, visits, [visit(1, "2026-01-15")], "2026-01-20", at(20))
-    run_curated(spark, job, at(20, 1))
+    visits.advance_curated(spark, at(20, 1))
     load(spark, tmp_path, visits, [visit(1, "2026-01-15", age=31)], "2026-01-21", at(21))
-    if mark == "created_at":
-        with pytest.raises(NothingToDo):
-            run_curated(spark, job, at(21, 1))
-    else:
-        run_curated(spark, job, at(21, 1))
-    assert values(visits.curated.read(spark), "age", "created_at") == [(age, at(20, 1))]
+    with pytest.raises(NothingToDo):
+        visits.advance_curated(spark, at(21, 1))
+    assert values(visits.curated.read(spark), "age") == [(30,)]
+    run_curated(spark, replace(visits.curated_job, mark="updated_at"), at(21, 1))
+    assert values(visits.curated.read(spark), "age", "created_at") == [(31, at(20, 1))]
 
 
 def test_two_increments_equal_one(spark, at, tmp_path):
@@ -208,7 +208,7 @@ def test_two_increments_equal_one(spark, at, tmp_path):
     for name, batches in (("one", [records]), ("two", [records[:16], records[16:]])):
         root = tmp_path / name
         root.mkdir()
-        visits = with_directories(spark, root)
+        visits = Visits(str(root))
         for n, batch in enumerate(batches):
             load(spark, root, visits, batch, f"2026-06-0{n + 1}", at(20 + n))
             visits.advance_curated(spark, at(20 + n, 1))

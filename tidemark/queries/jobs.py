@@ -21,13 +21,16 @@ from tidemark.plans import (
     Dimension,
     build_curated,
     load_reference,
+    Visits,
     read_mart,
     run_clean,
     run_mart,
+    visit_rules,
 )
 from tidemark.queries.columns import rendered_date
 from tidemark.queries.registry import LOADED_UNTIL, RUN_TS, load, query
-from tidemark.sources import Table, read_raw_json
+from tidemark.queries.scans import SYNTHETIC_VISITS, SYNTHETIC_SEED
+from tidemark.sources import Table, read_raw_json, synthetic_visits
 from tidemark.staging import staged, work_dir
 
 _NOW = "TIMESTAMP '2026-01-01 00:00:00'"
@@ -264,3 +267,49 @@ def m4_ref_load(spark, sf_dir):
         rows.write.option("header", True).option("sep", ";").csv(f"{root}/{name}")
         load_reference(spark, f"{root}/{name}", directory)
     return directory.read(spark)
+
+
+@query(
+    "v1_visits",
+    f"""
+    WITH made AS (SELECT * FROM ({SYNTHETIC_VISITS})),
+    clean AS (
+        SELECT *, CAST(weight AS FLOAT) AS kilos, CAST(visit_date AS TIMESTAMP) AS moment,
+               md5(concat_ws('-', visit_date || ' 00:00:00', snils, disease_code)) AS hash
+        FROM made WHERE age <= 88)
+    SELECT hash AS id, moment AS visit_date, age, gender_id, profession_id, doctor_id,
+           department_id, snils, height, kilos AS weight,
+           CAST(round(kilos / pow(height / 100::DOUBLE, 2), 1) AS FLOAT) AS bmi,
+           CAST(temperature AS FLOAT) AS temperature, bp_systolic, bp_diastolic, disease_code,
+           blood_type, CAST(lab_hemoglobin AS FLOAT) AS lab_hemoglobin,
+           CAST(lab_leukocytes AS FLOAT) AS lab_leukocytes,
+           CAST(lab_glucose AS FLOAT) AS lab_glucose,
+           CAST(lab_cholesterol AS FLOAT) AS lab_cholesterol,
+           array_to_string(list_sort(string_split(symptoms_code, ',')), ',') AS symptoms_list,
+           nullif(array_to_string(list_sort(string_split(chronic_diseases, ',')), ','), '')
+               AS chronic_list,
+           n_name AS department_name, c_name AS profession_name,
+           {_NOW} AS created_at, {_NOW} AS updated_at,
+           CAST(date_trunc('month', moment) AS DATE) AS event_month
+    FROM clean
+    LEFT JOIN nation ON n_nationkey = department_id
+    LEFT JOIN customer ON c_custkey = profession_id
+    """,
+)
+def v1_visits(spark, sf_dir):
+    """Every layer of the visit tables: one raw visit per order, the nations as departments
+    and the customers as professions, up to the mart."""
+    root = work_dir(spark, "visits")
+    visits = Visits(root, rules=visit_rules(ages=(0, 88)))
+    for name, key, label in (("nation", "n_nationkey", "n_name"), ("customer", "c_custkey", "c_name")):
+        rows = load(spark, sf_dir, name).select(F.col(key).alias("id"), F.col(label).alias("name"))
+        rows.write.option("header", True).option("sep", ";").csv(f"{root}/{name}")
+    visits.load_references(spark, f"{root}/nation", f"{root}/customer")
+    orders = load(spark, sf_dir, "orders")
+    made = synthetic_visits(orders, "o_orderkey", SYNTHETIC_SEED)
+    made.write.json(f"{root}/raw/2026-01-01")
+    visits.load_raw(spark, f"{root}/raw", "2026-01-01", RUN_TS, multiline=False)
+    visits.advance_curated(spark, RUN_TS)
+    visits.advance_mart(spark)
+    lists = {c: F.array_join(c, ",") for c in ("symptoms_list", "chronic_list")}
+    return visits.read_mart(spark).withColumns(lists)

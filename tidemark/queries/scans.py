@@ -86,9 +86,12 @@ def s6_metrics_history(spark, sf_dir):
     return read_metrics_history(spark, path)
 
 
+SYNTHETIC_SEED = 7
+
+
 def _draw(name: str) -> str:
     block, part = divmod(synthetic.DRAWS.index(name), 4)
-    digest = f"md5('7|d{block * 4}|' || o_orderkey)"
+    digest = f"md5('{SYNTHETIC_SEED}|d{block * 4}|' || o_orderkey)"
     return f"(('0x' || substr({digest}, {part * 8 + 1}, 8))::BIGINT::DOUBLE / 4294967296.0)"
 
 
@@ -101,7 +104,7 @@ def _pick(name: str, pool: list[str]) -> str:
 
 
 def _some(name: str, pool: list[str], size: str) -> str:
-    digest = f"md5('7|{name}|' || o_orderkey)"
+    digest = f"md5('{SYNTHETIC_SEED}|{name}|' || o_orderkey)"
     ranked = ", ".join(
         f"substr({digest}, {4 * n + 1}, 4) || '{item}'" for n, item in enumerate(pool)
     )
@@ -147,9 +150,12 @@ def _synthetic_sql() -> str:
     """
 
 
-@query("s7_synth", _synthetic_sql())
+SYNTHETIC_VISITS = _synthetic_sql()
+
+
+@query("s7_synth", SYNTHETIC_VISITS)
 def s7_synth(spark, sf_dir):
-    visits = synthetic_visits(load(spark, sf_dir, "orders"), "o_orderkey", seed=7)
+    visits = synthetic_visits(load(spark, sf_dir, "orders"), "o_orderkey", seed=SYNTHETIC_SEED)
     return visits.withColumns(
         {c: F.array_join(c, ",") for c in ("symptoms_code", "chronic_diseases")}
     )
