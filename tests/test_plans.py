@@ -30,7 +30,7 @@ def no_broadcast(spark):
 
 LAZY = sorted(
     set(entry.queries())
-    - {"s1_json_scan", "s2_csv_scan", "s6_metrics_history", "k1_quarantine", "m3_mart_append"}
+    - {"s1_json_scan", "s1_json_broken", "s2_csv_scan", "s6_metrics_history", "k1_quarantine", "m3_mart_append"}
     - {"b1_clean_job", "d1_mart", "m4_ref_load", "e5_day_partitions", "v1_visits"}
 )
 

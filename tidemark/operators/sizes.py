@@ -27,7 +27,12 @@ def payload_bytes(df: DataFrame) -> int:
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    return payload_bytes(df) <= limit
+    """Whether the rows of ``df`` carry at most ``limit`` bytes.
+
+    A row count alone, which reads no columns, already rules out a large side.
+    """
+    least = df.count() * len(df.columns) * _VALUE_OVERHEAD
+    return least <= limit and payload_bytes(df) <= limit
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators import (
     bounds,
+    corrupt,
     high_water,
     in_range,
     mark_value,
@@ -35,7 +36,12 @@ EVENTS = (
 )
 
 
-@query("s1_json_scan", "SELECT event_id, ts, CAST(user_id AS INT) AS user_id, event_type, value, props FROM events")
+@query(
+    "s1_json_scan",
+    """
+    SELECT event_id, ts, CAST(user_id AS INT) AS user_id, event_type, value, props FROM events
+    """,
+)
 def s1_json_scan(spark, sf_dir):
     path = work_dir(spark, "raw-events")
     events = load(spark, sf_dir, "events")
@@ -44,6 +50,49 @@ def s1_json_scan(spark, sf_dir):
     return typed_projection(read_raw_json(spark, path, schema, multiline=False), schema)
 
 
+@query(
+    "s1_json_broken",
+    """
+    WITH written AS (
+        SELECT *, '{"event_id": ' || event_id || ', "user_id": "' || user_id || '", "tags": ' ||
+               CASE WHEN event_type = 'view' THEN '"none"'
+                    ELSE '["' || event_type || '", "all"]' END ||
+               CASE WHEN event_type = 'error' THEN '' ELSE '}' END AS line
+        FROM events)
+    SELECT CASE WHEN event_type <> 'error' THEN event_id END AS event_id,
+           CASE WHEN event_type <> 'error' THEN CAST(user_id AS INT) END AS user_id,
+           CASE WHEN event_type NOT IN ('error', 'view') THEN event_type || ',all' END AS tags,
+           CASE WHEN event_type = 'error' THEN line END AS _corrupt_record,
+           CASE WHEN event_type = 'error' THEN 'CORRUPT' ELSE '' END AS errors
+    FROM written
+    """,
+)
+def s1_json_broken(spark, sf_dir):
+    """Records cut short are kept as text, and one bad field spoils only itself."""
+    path = work_dir(spark, "broken-events")
+    kind = F.col("event_type")
+    tags = F.when(kind == "view", F.lit('"none"')).otherwise(
+        F.concat(F.lit('["'), kind, F.lit('", "all"]'))
+    )
+    load(spark, sf_dir, "events").select(
+        F.concat(
+            F.lit('{"event_id": '),
+            F.col("event_id"),
+            F.lit(', "user_id": "'),
+            F.col("user_id"),
+            F.lit('", "tags": '),
+            tags,
+            F.when(kind == "error", "").otherwise("}"),
+        )
+    ).write.text(path)
+    schema = T.StructType.fromDDL(
+        "event_id bigint, user_id int, tags array<string>, _corrupt_record string"
+    )
+    raw = read_raw_json(spark, path, schema, multiline=False)
+    tagged = tag(typed_projection(raw, schema), [corrupt("CORRUPT")])
+    return tagged.withColumns({c: F.array_join(c, ",") for c in ("tags", "errors")})
+
+
 @query("s2_csv_scan", "SELECT CAST(c_custkey AS INT) AS id, c_name AS name FROM customer")
 def s2_csv_scan(spark, sf_dir):
     path = work_dir(spark, "reference-file")
