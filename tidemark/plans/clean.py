@@ -79,22 +79,20 @@ def run_clean(raw: DataFrame, job: CleanJob, ds: str, run_ts: datetime | None =
 
         clean = clean_rows(tagged.filter("not rejected").drop("rejected"))
         batch = staged(job.shape(clean), "batch")
-        _merge(batch, job.clean, run_ts)
+        small = fits_broadcast(batch)
+        _merge(batch, job.clean, small, run_ts)
         for child in job.children:
-            _replace(batch, child, run_ts)
+            _replace(batch, child, small, run_ts)
     return record
 
 
-def _merge(batch: DataFrame, table: Table, run_ts: datetime | None) -> None:
-    spark = batch.sparkSession
-    target = table.read_touched(spark, batch)
-    rows = upsert(
-        target, batch, table.keys, run_ts=run_ts, small_source=fits_broadcast(batch)
-    )
+def _merge(batch: DataFrame, table: Table, small: bool, run_ts: datetime | None) -> None:
+    target = table.read_touched(batch.sparkSession, batch)
+    rows = upsert(target, batch, table.keys, run_ts=run_ts, small_source=small)
     overwrite_touched(rows, table)
 
 
-def _replace(batch: DataFrame, child: ChildTable, run_ts: datetime | None) -> None:
+def _replace(batch: DataFrame, child: ChildTable, small: bool, run_ts: datetime | None) -> None:
     table = child.table
     dated = batch.filter(F.col(child.keys[table.date]).isNotNull())
 
@@ -111,7 +109,7 @@ def _replace(batch: DataFrame, child: ChildTable, run_ts: datetime | None) -> No
         child.code,
         date=table.date,
         run_ts=run_ts,
-        small_batch=fits_broadcast(parents),
+        small_batch=small or fits_broadcast(parents),
     )
     # A partition whose parents all come without children may lose its last row.
     filled = key_rows(dated.filter(F.size(child.array) > 0))
