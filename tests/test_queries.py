@@ -5,6 +5,8 @@ import os
 import pytest
 from oracle import connect, entry, mismatch
 
+from tidemark.queries import ORACLES, QUERIES
+
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
@@ -14,10 +16,10 @@ def con():
 
 
 def test_every_query_has_its_sql():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_agrees_with_its_sql(spark, con, name):
     assert mismatch(spark, con, name, SF_DIR) is None
 
