@@ -3,8 +3,12 @@
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm.decontaminate import contamination_report, find_contamination
 from tidemark.llm.jaccard import jaccard_groups
+from tidemark.llm.language import identify, learn_profiles
+from tidemark.llm.licenses import scan_licenses
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,3 +26,23 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @_query
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_licenses(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.drop("text")
+
+
+@_query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 3 == 1
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", held_out)
+    profiles = learn_profiles(docs.filter("not held_out"))
+    return identify(docs.select("doc_id", "held_out", "text"), profiles).drop("text")
+
+
+@_query
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return contamination_report(find_contamination(docs, _table(spark, sf_dir, "benchmark")))
