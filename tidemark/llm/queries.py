@@ -9,6 +9,8 @@ from tidemark.llm.decontaminate import contamination_report, find_contamination
 from tidemark.llm.jaccard import jaccard_groups
 from tidemark.llm.language import identify, learn_profiles
 from tidemark.llm.licenses import scan_licenses
+from tidemark.llm.mixing import mix
+from tidemark.llm.secrets import scan_secrets, secrets_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,11 +25,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets_report(scan_secrets(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 @_query
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(_table(spark, sf_dir, "documents"))
 
 
+@_query
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents")).drop("source")
+
+
 @_query
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_licenses(_table(spark, sf_dir, "documents").select("doc_id", "text"))
