@@ -11,6 +11,7 @@ from tidemark.llm.language import identify, learn_profiles
 from tidemark.llm.licenses import scan_licenses
 from tidemark.llm.mixing import mix
 from tidemark.llm.secrets import scan_secrets, secrets_report
+from tidemark.llm.sharding import shard, shard_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -58,3 +59,8 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return contamination_report(find_contamination(docs, _table(spark, sf_dir, "benchmark")))
+
+
+@_query
+def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_report(shard(_table(spark, sf_dir, "documents").select("doc_id", "text")))
