@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import contamination_report, find_contamination
+from tidemark.llm.embeddings import near_duplicates
 from tidemark.llm.jaccard import jaccard_groups
 from tidemark.llm.language import identify, learn_profiles
 from tidemark.llm.licenses import scan_licenses
@@ -64,3 +65,8 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_report(shard(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@_query
+def op1_near_duplicate_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "embeddings"))
