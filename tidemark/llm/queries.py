@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import urls
 from tidemark.llm.decontaminate import contamination_report, find_contamination
 from tidemark.llm.embeddings import near_duplicates
 from tidemark.llm.jaccard import jaccard_groups
@@ -70,3 +71,12 @@ def op8_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op1_near_duplicate_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(list(urls.RULES), urls.RULE_SCHEMA)
+    return urls.filter_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
+
+
+ORACLES["op4_url_filter"] = urls.SQL
