@@ -12,6 +12,7 @@ from tidemark.llm.jaccard import jaccard_groups
 from tidemark.llm.language import identify, learn_profiles
 from tidemark.llm.licenses import scan_licenses
 from tidemark.llm.mixing import mix
+from tidemark.llm.personal import find_personal, personal_report, train
 from tidemark.llm.secrets import scan_secrets, secrets_report
 from tidemark.llm.sharding import shard, shard_report
 
@@ -80,3 +81,9 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op4_url_filter"] = urls.SQL
+
+
+@_query
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return personal_report(find_personal(docs, train(docs)))
