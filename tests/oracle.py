@@ -73,7 +73,7 @@ if __name__ == "__main__":
     from pyspark.sql import SparkSession
 
     sf_dir = sys.argv[1]
-    wanted = sys.argv[2:] or list(entry.queries())
+    wanted = sys.argv[2:] or list(entry.oracle_sql())
     spark = (
         SparkSession.builder.master("local[8]")
         .config("spark.ui.enabled", "false")

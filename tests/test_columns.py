@@ -5,17 +5,12 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from tidemark.functions import (
-    choice,
-    digest,
-    draw,
     guarded_ratio,
     hash_key,
     month_start,
     parse_timestamp,
     run_clock,
-    uniform_int,
 )
-from tidemark.sources import synthetic_visits
 
 MOMENT = datetime(2024, 1, 15, 10, 30)
 DAY = datetime(2024, 1, 15)
@@ -102,29 +97,3 @@ def test_run_clock_is_the_given_time(frame):
     df = frame([(1,)], "x int").select(run_clock(MOMENT), run_clock())
     fixed, session = df.first()
     assert fixed == MOMENT and session is not None
-
-
-def test_draws_repeat_and_stay_in_range(spark):
-    keys = spark.range(500)
-    u = draw(digest(F.col("id"), "n", 3), part=2)
-    drawn = keys.select(
-        "id", uniform_int(u, 5, 9).alias("n"), choice(u, ["a", "b", "c"]).alias("c")
-    )
-    first = values(drawn)
-    assert first == values(drawn.repartition(7))
-    assert {r[1] for r in first} == {5, 6, 7, 8, 9}
-    assert {r[2] for r in first} == {"a", "b", "c"}
-
-
-def test_synthetic_visits_follow_their_ranges(spark):
-    visits = synthetic_visits(spark.range(2000), "id", seed=1)
-    low, high, fever_without, sizes, chronic = visits.agg(
-        F.min("age"),
-        F.max("age"),
-        F.count_if((F.col("temperature") >= 38) & ~F.array_contains("symptoms_code", "R50")),
-        F.collect_set(F.size("symptoms_code")),
-        F.collect_set(F.size("chronic_diseases")),
-    ).first()
-    assert (low, high, fever_without) == (18, 90, 0)
-    assert set(sizes) <= {1, 2, 3, 4} and set(chronic) == {0, 1, 2}
-    assert len(visits.columns) == 21

@@ -151,8 +151,8 @@ def test_children_are_replaced_per_parent(frame, at, within, small):
 
 
 def test_undated_children_are_counted(frame, at):
-    assert undated_children(batch(frame, at), "day", "codes") == 2
-    assert undated_children(frame([], BATCH), "day", "codes") == 0
+    assert undated_children(batch(frame, at), [("day", "codes")]) == 2
+    assert undated_children(frame([], BATCH), [("day", "codes")]) == 0
 
 
 def test_delete_keeps_undated_children_and_ignores_missing_bounds(frame, at):

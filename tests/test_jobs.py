@@ -3,15 +3,18 @@
 import json
 from dataclasses import replace
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from conftest import values
 from pyspark.errors import PySparkException
+from pyspark.sql import Row
 from pyspark.sql import types as T
 
 from tidemark.errors import NothingToDo, NotNullError, QualityGateError
 from tidemark.plans import Visits, load_reference, read_mart, run_curated, run_mart
-from tidemark.sources import Table, read_metrics, read_quarantine, synthetic_visits
+from tidemark.sinks import QualityRecord
+from tidemark.sources import Table, read_metrics, read_quarantine
 from tidemark.streaming import clean_arrivals
 
 
@@ -43,7 +46,7 @@ def load(spark, root, visits, records, ds, run_ts):
     folder = root / "raw" / ds
     folder.mkdir(parents=True, exist_ok=True)
     (folder / "batch.json").write_text(json.dumps(records, indent=1))
-    return visits.load_raw(spark, f"{root}/raw", ds, run_ts)
+    return visits.load_raw(spark, f"{root}/raw", ds, run_ts, multiline=True)
 
 
 def test_clean_job_on_five_rows(spark, at, tmp_path):
@@ -55,7 +58,11 @@ def test_clean_job_on_five_rows(spark, at, tmp_path):
         2,
         40.0,
     )
-    assert read_metrics(spark, visits.clean_job.metrics, "2026-01-20").first().error_percent == 40.0
+    stored = read_metrics(spark, visits.clean_job.metrics, "2026-01-20").first()
+    assert (stored.error_percent, stored.undated_children, record.undated_children) == (40.0, 1, 1)
+    delivered = sum(len(r["symptoms_code"]) + len(r["chronic_diseases"]) for r in FIVE_ROWS if r["id"] in (1, 4, 5))
+    placed = sum(c.table.read(spark).count() for c in visits.clean_job.children)
+    assert placed + record.undated_children == delivered
     rejected = read_quarantine(spark, visits.clean_job.quarantine)
     assert values(rejected, "id", "errors", "rejected_at") == [
         (2, ["INVALID_AGE"], at(20)),
@@ -123,6 +130,44 @@ def test_gate_stops_before_any_table_but_after_quarantine_and_metrics(spark, at,
     assert read_metrics(spark, visits.clean_job.metrics, "2026-01-20").first().invalid_rows == 2
 
 
+def test_a_stopped_run_leaves_one_copy_in_the_quarantine_and_no_folder(spark, at, tmp_path):
+    visits = Visits(str(tmp_path))
+    work = Path(spark.conf.get("spark.checkpoint.dir")) / "tidemark"
+    before = set(work.iterdir()) if work.exists() else set()
+    for _ in range(2):
+        with pytest.raises(QualityGateError):
+            load(spark, tmp_path, visits, FIVE_ROWS, "2026-01-20", at(20))
+    assert read_quarantine(spark, visits.clean_job.quarantine).count() == 2
+    assert set(work.iterdir()) == before
+
+
+def test_the_gate_rounds_a_tie_to_the_nearer(spark):
+    record = QualityRecord()
+    record.take(Row(total_rows=20_000, valid_rows=18_999, invalid_rows=1_001, corrupt_rows=0))
+    assert record.error_percent == 5.0
+
+
+def test_null_keys_merge_when_the_table_says_so(spark, at, tmp_path):
+    visits = Visits(str(tmp_path), limit_percent=50.0)
+    undated = [visit(4, "not a date")]
+    for job, expected in ((visits.clean_job, 2), (replace(visits.clean_job, clean=replace(visits.clean, path=f"{tmp_path}/safe", null_safe=True)), 1)):
+        visits.clean_job = job
+        for day in (20, 21):
+            load(spark, tmp_path, visits, undated, f"2026-01-{day}", at(day))
+        assert job.clean.read(spark).count() == expected
+
+
+def test_a_carried_mark_passes_over_no_late_commit(spark, at, tmp_path):
+    visits = with_directories(spark, tmp_path)
+    job = replace(visits.curated_job, carry_mark=True)
+    load(spark, tmp_path, visits, [visit(1, "2026-01-15")], "2026-01-20", at(20))
+    run_curated(spark, job, at(25))
+    # Stamped before the curated run, committed after it.
+    load(spark, tmp_path, visits, [visit(2, "2026-01-16")], "2026-01-21", at(22))
+    run_curated(spark, job, at(26))
+    assert values(visits.curated.read(spark), "snils") == [("person 1",), ("person 2",)]
+
+
 def test_an_empty_batch_is_no_failure(spark, at, tmp_path):
     visits = Visits(str(tmp_path), limit_percent=50.0)
     record = load(spark, tmp_path, visits, [], "2026-01-20", at(20))
@@ -136,10 +181,10 @@ def test_streaming_arrivals_load_each_file_once(spark, tmp_path):
     raw.mkdir()
     checkpoint = str(tmp_path / "checkpoint")
     (raw / "a.json").write_text(json.dumps(FIVE_ROWS))
-    clean_arrivals(spark, str(raw), checkpoint, visits.clean_job)
+    clean_arrivals(spark, str(raw), checkpoint, visits.clean_job, multiline=True)
     (raw / "b.json").write_text(json.dumps([visit(7, "2026-01-18", symptoms=["R05"])]))
-    clean_arrivals(spark, str(raw), checkpoint, visits.clean_job)
-    clean_arrivals(spark, str(raw), checkpoint, visits.clean_job)
+    clean_arrivals(spark, str(raw), checkpoint, visits.clean_job, multiline=True)
+    clean_arrivals(spark, str(raw), checkpoint, visits.clean_job, multiline=True)
     assert values(visits.clean.read(spark), "snils") == [
         ("person 1",),
         ("person 4",),
@@ -202,8 +247,10 @@ def test_corrected_parents_reach_the_curated_table_by_their_update(spark, at, tm
 
 
 def test_two_increments_equal_one(spark, at, tmp_path):
-    made = synthetic_visits(spark.range(24), "id", seed=5)
-    records = [json.loads(r) for r in made.toJSON().collect()]
+    records = [
+        visit(n, f"2026-0{1 + n % 3}-{1 + n:02d}", age=20 + n, symptoms=["R05"] * (n % 3), chronic=["E11"] * (n % 2))
+        for n in range(24)
+    ]
     tables = []
     for name, batches in (("one", [records]), ("two", [records[:16], records[16:]])):
         root = tmp_path / name
@@ -236,9 +283,11 @@ def test_mart_keeps_the_newest_and_takes_only_newer_rows(spark, frame, at, tmp_p
     assert run([(1, at(1), "late", at(2)), (2, at(1), "new", at(3)), (3, at(1), "c", at(4))]) == 2
     assert rows() == [(1, "a"), (2, "new"), (3, "c")]
     assert run([(2, at(1), "new", at(3))]) == 0
+    # A null is reported once, by the run that appends it, and keeps no newer row out.
     with pytest.raises(NotNullError, match="id: 1"):
-        run([(None, at(1), "x", at(9))])
-    assert rows() == [(1, "a"), (2, "new"), (3, "c")]
+        run([(None, at(1), "x", at(9)), (4, at(1), "d", at(10))])
+    assert rows() == [(1, "a"), (2, "new"), (3, "c"), (4, "d"), (None, "x")]
+    assert run([(None, at(1), "x", at(9)), (5, at(1), "e", at(11))]) == 1
 
 
 def test_reference_load_updates_inserts_and_checks(spark, tmp_path):

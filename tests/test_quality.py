@@ -128,3 +128,8 @@ def test_split_loses_and_repeats_nothing(frame, rows):
     assert (m.total_rows, m.invalid_rows, m.valid_rows) == (len(rows), bad, len(rows) - bad)
     both = clean_rows(tagged).unionByName(rejected_rows(tagged).select("age", "t"))
     assert values(both) == values(df)
+
+
+def test_a_bound_with_a_fraction_holds_for_whole_numbers(frame):
+    df = tag(frame([(0,), (1,), (3,)], "n int"), [in_range("n", 0.5, 2.5, "N")])
+    assert [r.errors for r in df.orderBy("n").collect()] == [["N"], [], ["N"]]

@@ -1,19 +1,19 @@
 import json
+import shutil
 
 import pytest
 from conftest import values
 from pyspark.errors import PySparkException
 from pyspark.sql import types as T
 
-from tidemark.errors import MetricsMissingError, QuarantineError, TidemarkError
+from tidemark.errors import MergeKeysError, MetricsMissingError, QuarantineError, TidemarkError
 from tidemark.operators import typed_projection
 from tidemark.sinks import (
     append_mart,
-    append_quarantine,
-    blank_partitions,
+    merge_into,
     metrics_scope,
-    overwrite_touched,
     write_metrics,
+    write_quarantine,
 )
 from tidemark.sources import (
     Table,
@@ -24,7 +24,8 @@ from tidemark.sources import (
     read_raw_json,
     read_table,
 )
-from tidemark.staging import staged, work_dir
+from tidemark.files import Files
+from tidemark.staging import scratch, staged, work_dir
 
 DDL = "id bigint, n int, w float, codes array<string>, _corrupt_record string"
 
@@ -90,15 +91,28 @@ def test_read_table_by_name_and_folder(spark, frame, tmp_path):
 
 def test_quarantine_batches_may_widen(frame, spark, tmp_path):
     path = str(tmp_path / "q")
-    append_quarantine(frame([(1,)], "x int"), path)
-    append_quarantine(frame([(2, "why")], "x int, y string"), path)
+    write_quarantine(frame([(1,)], "x int"), path, "2026-01-01")
+    write_quarantine(frame([(2, "why")], "x int, y string"), path, "2026-01-02")
     assert values(read_quarantine(spark, path), "x", "y") == [(1, None), (2, "why")]
 
 
+def test_quarantine_of_a_run_date_is_replaced(frame, spark, tmp_path):
+    path = str(tmp_path / "q")
+    for rows in ([(1,), (2,)], [(3,)]):
+        write_quarantine(frame(rows, "x int"), path, "2026-01-01")
+    write_quarantine(frame([(4,)], "x int"), path, "epoch-0000000001")
+    assert values(read_quarantine(spark, path), "x", "ds") == [
+        (3, "2026-01-01"),
+        (4, "epoch-0000000001"),
+    ]
+    write_quarantine(frame([], "x int"), path, "2026-01-01")
+    assert values(read_quarantine(spark, path), "x") == [(4,)]
+
+
 def test_quarantine_failure_has_its_own_error(frame, tmp_path):
     (tmp_path / "file").write_text("in the way")
     with pytest.raises(QuarantineError):
-        append_quarantine(frame([(1,)], "x int"), str(tmp_path / "file" / "q"))
+        write_quarantine(frame([(1,)], "x int"), str(tmp_path / "file" / "q"), "2026-01-01")
 
 
 METRICS = "total_rows bigint, valid_rows bigint, invalid_rows bigint, error_percent double"
@@ -144,13 +158,13 @@ def test_only_touched_partitions_change(spark, frame, at, tmp_path, grain):
     ddl = "k int, t timestamp_ntz, v string"
     assert target.read(spark).collect() == []
     rows = frame([(1, at(1), "a"), (2, at(2), "b"), (3, None, "c")], ddl)
-    overwrite_touched(rows, target)
+    target.replace(rows)
     assert target.read(spark).columns == ["k", "t", "v"]
     batch = frame([(9, at(1, 5), "new")], ddl)
     touched = target.read_touched(spark, batch)
     expected = {"day": [(1,)], "month": [(1,), (2,)]}[grain]
     assert values(touched, "k") == expected
-    overwrite_touched(touched.unionByName(batch), target)
+    target.replace(touched.unionByName(batch))
     assert values(target.read(spark), "k") == [(1,), (2,), (3,), (9,)]
     undated = frame([(8, None, "x")], ddl)
     assert values(target.read_touched(spark, undated), "k") == [(3,)]
@@ -160,24 +174,61 @@ def test_only_touched_partitions_change(spark, frame, at, tmp_path, grain):
 def test_a_failed_writer_leaves_the_table_as_it_was(spark, frame, at, tmp_path):
     target = table(tmp_path)
     rows = frame([(1, at(1), "a"), (2, at(2), "b")], "k int, t timestamp_ntz, v string")
-    overwrite_touched(rows, target)
+    target.replace(rows)
     broken = target.read(spark).selectExpr("k", "t", "if(k = 2, raise_error('no'), v) AS v")
     with pytest.raises(PySparkException):
-        overwrite_touched(broken, target)
+        target.replace(broken)
     assert values(target.read(spark)) == values(rows)
 
 
-def test_blanked_partitions_hold_no_rows(spark, frame, at, tmp_path):
+def test_partitions_without_rows_are_removed(spark, frame, at, tmp_path):
     target = table(tmp_path)
     rows = frame([(1, at(1), "a"), (2, at(2), "b")], "k int, t timestamp_ntz, v string")
-    overwrite_touched(rows, target)
-    blank_partitions(target, target.partitions_of(rows.filter("k = 1")))
+    target.replace(rows)
+    target.replace(rows.filter("k > 2"), target.touched(rows.filter("k = 1")))
     assert values(target.read(spark), "k") == [(2,)]
+    assert sorted(p.name for p in (tmp_path / "t").iterdir()) == ["part_date=2026-01-02"]
+
+
+@pytest.mark.parametrize("after", ["marker", "delete", "move"])
+def test_a_swap_that_broke_off_is_finished_by_the_next_reader(
+    spark, frame, at, tmp_path, monkeypatch, after
+):
+    target = table(tmp_path)
+    ddl = "k int, t timestamp_ntz, v string"
+    target.replace(frame([(1, at(1), "a"), (2, at(2), "b"), (3, at(3), "c")], ddl))
+    merged = frame([(1, at(1), "A"), (9, at(1), "new"), (2, at(2), "B")], ddl)
+    with monkeypatch.context() as broken:
+        broken.setattr(Table, "finish_swaps", lambda *_: None)
+        target.replace(merged, ["2026-01-03"])
+    folder = tmp_path / "t"
+    swap = next(p for p in folder.iterdir() if p.name.startswith("_swap"))
+    if after != "marker":
+        shutil.rmtree(folder / "part_date=2026-01-01")
+    if after == "move":
+        (swap / "part_date=2026-01-01").rename(folder / "part_date=2026-01-01")
+    assert values(target.read(spark), "k", "v") == [(1, "A"), (2, "B"), (9, "new")]
+    assert not [p for p in folder.iterdir() if p.name.startswith("_swap")]
+
+
+def test_a_mark_is_kept_beside_the_table(spark, tmp_path):
+    target = table(tmp_path)
+    assert target.stored_mark(spark, "m") is None
+    for mark in ("2026-01-01 00:00:00", 5):
+        target.store_mark(spark, "m", mark)
+        assert target.stored_mark(spark, "m") == mark
+    assert target.read(spark).collect() == []
+
+
+def test_merge_keys_must_hold_the_date(frame, at, tmp_path):
+    rows = frame([(1, at(1), "a")], "k int, t timestamp_ntz, v string")
+    with pytest.raises(MergeKeysError, match="not a merge key"):
+        merge_into(table(tmp_path), rows)
 
 
 def test_table_reads_files_of_older_declarations(spark, frame, at, tmp_path):
     older = Table(str(tmp_path / "t"), T.StructType.fromDDL("k int, gone int, t timestamp_ntz"), date="t")
-    overwrite_touched(frame([(1, 5, at(1))], "k int, gone int, t timestamp_ntz"), older)
+    older.replace(frame([(1, 5, at(1))], "k int, gone int, t timestamp_ntz"))
     newer = Table(older.path, T.StructType.fromDDL("k bigint, t timestamp_ntz, added string"), date="t")
     assert newer.read(spark).dtypes == [("k", "bigint"), ("t", "timestamp_ntz"), ("added", "string")]
     assert values(newer.read(spark)) == [(1, at(1), None)]
@@ -200,13 +251,23 @@ def test_work_folders_lie_in_the_shared_folder(spark, frame):
     assert staged(df, "s").collect() == df.collect()
 
 
-def test_work_folders_need_a_shared_folder_on_a_cluster():
+def test_the_folder_of_a_run_goes_with_it(spark, frame):
+    with pytest.raises(ZeroDivisionError):
+        with scratch(spark, "run") as folder:
+            assert staged(frame([(1,)], "x int"), "part", folder=folder).count() == 1
+            assert Files(spark, folder).names() == ["part"]
+            raise ZeroDivisionError
+    assert not Files(spark, folder).exists()
+
+
+def test_work_folders_need_a_shared_folder(monkeypatch):
     class Conf:
         def get(self, key, default=None):
-            return {"spark.master": "yarn"}.get(key, default)
+            return {"spark.master": "local[1]"}.get(key, default)
 
     class Session:
         conf = Conf()
 
+    monkeypatch.setattr("tidemark.staging._fallback", [])
     with pytest.raises(TidemarkError, match="spark.checkpoint.dir"):
         work_dir(Session(), "x")

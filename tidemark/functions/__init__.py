@@ -6,19 +6,12 @@ from tidemark.functions.columns import (
     run_clock,
 )
 from tidemark.functions.typing import typed_column
-from tidemark.functions.draws import choice, digest, draw, sample, uniform_int, uniform_tenths
 
 __all__ = [
-    "choice",
-    "digest",
-    "draw",
     "guarded_ratio",
     "hash_key",
     "month_start",
     "parse_timestamp",
     "run_clock",
-    "sample",
     "typed_column",
-    "uniform_int",
-    "uniform_tenths",
 ]

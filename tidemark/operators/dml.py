@@ -10,6 +10,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.errors import MergeKeysError
 from tidemark.functions.columns import run_clock
@@ -37,17 +38,17 @@ def upsert(
     does. ``action`` names an optional column telling kept, updated and inserted
     rows apart.
 
-    Matched rows come from a left join and new ones from an anti join. Unlike a
-    full outer join, both can broadcast a small source, so the target is not
-    shuffled, and both let adaptive execution split a hot key. ``small_source``
-    states that the caller has measured the source (``fits_broadcast``).
+    A ``small_source``, which the caller has measured (``fits_broadcast``), is broadcast:
+    matched rows come from a left join and new ones from an anti join, and the target is
+    not shuffled. Else target and source are shuffled once each, for a count of the source
+    rows per key and one full outer join. Rows whose key has nulls match nothing; they are
+    spread by a salt. A target has one row per key, so no other key can be hot.
     """
     if not keys:
         raise MergeKeysError("an upsert needs merge keys")
     columns = target.columns
     stamps = {created, updated}
     changing = [c for c in columns if c not in {*keys, *frozen, *stamps}]
-    overwrites = bool(changing) or updated in columns
     now = run_clock(run_ts)
 
     def stamped(column: str) -> Column:
@@ -56,45 +57,78 @@ def upsert(
     incoming = source.select(
         *[F.col(c).cast(target.schema[c].dataType).alias(c) for c in columns if c not in stamps]
     )
+    overwrites = bool(changing) or updated in columns
+    plan = _broadcast_merge if small_source else _shuffled_merge
+    joined = plan(target, incoming, keys, changing, null_safe, overwrites)
+    matched, new = F.col("__matched"), F.col("__new")
+
+    def merged(column: str) -> Column:
+        old = F.col(column)
+        if column in stamps:
+            fresh = new | (matched & F.lit(column == updated))
+            return F.when(fresh, stamped(column)).otherwise(old).alias(column)
+        taken = new | matched if column in changing else new
+        return F.when(taken, F.col(f"__in_{column}")).otherwise(old).alias(column)
+
+    label = F.when(new, "inserted").when(matched, "updated").otherwise("kept")
+    return joined.select(*[merged(c) for c in columns], *([label.alias(action)] if action else []))
+
+
+def _one_match(overwrites: bool) -> Column:
+    """Fails where several source rows match one target row, if they would change it."""
+    if not overwrites:
+        return F.lit(True)
+    repeated = F.raise_error(F.lit("several source rows match one target row")).cast("boolean")
+    return F.when(F.col("__matched") & (F.col("__rows") > 1), repeated).otherwise(F.lit(True))
+
+
+def _broadcast_merge(
+    target: DataFrame, incoming: DataFrame, keys: Sequence[str], changing: Sequence[str], null_safe: bool, overwrites: bool
+) -> DataFrame:
     usable = incoming if null_safe else incoming.dropna(subset=list(keys))
-    # One row per key, combined before the shuffle.
     per_key = usable.groupBy(*[F.col(k).alias(f"__key_{k}") for k in keys]).agg(
-        F.count(F.lit(1)).alias("__rows"),
-        *([F.any_value(F.struct(*changing)).alias("__new")] if changing else []),
+        F.count(F.lit(1)).alias("__rows"), *[F.any_value(c).alias(f"__in_{c}") for c in changing]
     )
     same_key = _equal({k: f"__key_{k}" for k in keys}, null_safe)
-    matched = F.col("__rows").isNotNull()
-
-    joined = target.join(F.broadcast(per_key) if small_source else per_key, same_key, "left")
-    if overwrites:
-        repeated = F.raise_error(F.lit("several source rows match one target row"))
-        joined = joined.filter(F.when(F.col("__rows") > 1, repeated).otherwise(F.lit(True)))
+    rest = target.join(F.broadcast(per_key), same_key, "left").withColumns(
+        {"__matched": F.col("__rows").isNotNull(), "__new": F.lit(False)}
+    )
+    rest = rest.filter(_one_match(overwrites)).drop("__rows", *[f"__key_{k}" for k in keys])
+    # What is left of the target's keys is no larger than the source.
+    present = target.select(*[F.col(k).alias(f"__key_{k}") for k in keys])
+    source_keys = per_key.select(*[F.col(f"__key_{k}").alias(k) for k in keys])
+    present = present.join(F.broadcast(source_keys), same_key, "left_semi").distinct()
+    inserted = incoming.join(F.broadcast(present), same_key, "left_anti")
+    inserted = inserted.select(*[F.col(c).alias(f"__in_{c}") for c in incoming.columns])
+    flags = {"__matched": F.lit(False), "__new": F.lit(True)}
+    return rest.unionByName(inserted.withColumns(flags), allowMissingColumns=True)
 
-    def merged(column: str) -> Column:
-        if column in changing:
-            new = F.col("__new").getField(column)
-            return F.when(matched, new).otherwise(F.col(column)).alias(column)
-        if column == updated:
-            return F.when(matched, stamped(column)).otherwise(F.col(column)).alias(column)
-        return F.col(column)
 
-    present = target.select(*[F.col(k).alias(f"__key_{k}") for k in keys])
-    if small_source:
-        # What is left of the target's keys is no larger than the source.
-        source_keys = per_key.select(*[F.col(f"__key_{k}").alias(k) for k in keys])
-        present = present.join(F.broadcast(source_keys), same_key, "left_semi")
-        present = F.broadcast(present.distinct())
-    else:
-        present = present.distinct()
-    new_rows = incoming.join(present, same_key, "left_anti")
-
-    label = [F.when(matched, "updated").otherwise("kept").alias(action)] if action else []
-    rest = joined.select(*[merged(c) for c in columns], *label)
-    inserted = new_rows.select(
-        *[stamped(c) if c in stamps else F.col(c) for c in columns],
-        *([F.lit("inserted").alias(action)] if action else []),
+def _shuffled_merge(
+    target: DataFrame, incoming: DataFrame, keys: Sequence[str], changing: Sequence[str], null_safe: bool, overwrites: bool
+) -> DataFrame:
+    def salted(rows: DataFrame, name: str) -> DataFrame:
+        if null_safe:
+            return rows.withColumn(name, F.lit(0).cast("bigint"))
+        usable = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        plain = [f.name for f in rows.schema.fields if not isinstance(f.dataType, T.MapType)]
+        return rows.withColumn(name, F.when(usable, F.lit(0).cast("bigint")).otherwise(F.xxhash64(*plain)))
+
+    per_key = Window.partitionBy(*keys, "__salt")
+    # Where nothing would change, repeats are no error: only the first may match.
+    rows = F.count(F.lit(1)).over(per_key) if overwrites else F.row_number().over(per_key.orderBy("__salt"))
+    counted = salted(incoming, "__salt").withColumn("__rows", rows)
+    inside = counted.select(
+        *[F.col(c).alias(f"__in_{c}") for c in incoming.columns], F.col("__salt").alias("__in_salt"), "__rows"
+    )
+    same_key = _equal({k: f"__in_{k}" for k in keys}, null_safe)
+    joined = salted(target, "__salt").withColumn("__stored", F.lit(True)).join(
+        inside, same_key & (F.col("__salt") == F.col("__in_salt")), "full"
     )
-    return rest.unionByName(inserted)
+    arrives, stored = F.col("__rows").isNotNull(), F.col("__stored").isNotNull()
+    joined = joined.withColumns({"__matched": arrives & stored, "__new": arrives & ~stored})
+    single = _one_match(overwrites) if overwrites else ~(F.col("__matched") & (F.col("__rows") > 1))
+    return joined.filter(single)
 
 
 def delete_children(
@@ -106,18 +140,17 @@ def delete_children(
 ) -> DataFrame:
     """Children whose parent is not in ``batch``; ``keys`` maps child to batch columns.
 
-    ``within`` gives a date column and the bounds of the batch: rows outside them
-    cannot match, so they take no part in the join.
+    ``within`` gives a date column and the bounds of the batch, outside of which no row
+    matches. The children are read once.
     """
-    parents = batch.select(*[F.col(b).alias(c) for c, b in keys.items()]).distinct()
+    parents = batch.select(*[F.col(b).alias(f"__{c}") for c, b in keys.items()]).distinct()
     gone = F.broadcast(parents) if small_batch else parents
-    if within is None or within[1] is None or within[2] is None:
-        return children.join(gone, list(keys), "left_anti").select(*children.columns)
-    column, low, high = within
-    kind = children.schema[column].dataType
-    inside = F.col(column).between(F.lit(str(low)).cast(kind), F.lit(str(high)).cast(kind))
-    rest = children.filter(inside).join(gone, list(keys), "left_anti").select(*children.columns)
-    return rest.unionByName(children.filter(~F.coalesce(inside, F.lit(False))))
+    same = _equal({c: f"__{c}" for c in keys}, null_safe=False)
+    if within is not None and within[1] is not None and within[2] is not None:
+        column, low, high = within
+        kind = children.schema[column].dataType
+        same = same & F.col(column).between(F.lit(str(low)).cast(kind), F.lit(str(high)).cast(kind))
+    return children.join(gone, same, "left_anti")
 
 
 def explode_children(
@@ -143,10 +176,15 @@ def explode_children(
     )
 
 
-def undated_children(batch: DataFrame, date: str, array: str) -> int:
-    """How many children ``explode_children`` leaves out for want of a date."""
-    count = batch.filter(F.col(date).isNull()).agg(F.sum(F.size(F.coalesce(array, F.array()))))
-    return count.first()[0] or 0
+def undated_children(batch: DataFrame, arrays: Sequence[tuple[str, str]]) -> int:
+    """How many children ``explode_children`` leaves out for want of a date, over several
+    pairs of a date column and an array, in one pass."""
+    if not arrays:
+        return 0
+    sizes = [
+        F.sum(F.when(F.col(date).isNull(), F.size(F.coalesce(array, F.array())))) for date, array in arrays
+    ]
+    return sum(n or 0 for n in batch.agg(*sizes).first())
 
 
 def replace_children(

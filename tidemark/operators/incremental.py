@@ -1,10 +1,14 @@
-"""High-water marks and the increments they select."""
+"""High-water marks and the increments they select.
 
-from datetime import datetime
+A mark given by hand as a ``datetime`` without a zone is in UTC for a column with one.
+"""
+
+from datetime import datetime, timedelta, timezone
 from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: where an increment starts when the target holds nothing yet.
 BEGINNING = datetime(1970, 1, 1)
@@ -18,9 +22,14 @@ def high_water(target: DataFrame, column: str) -> DataFrame:
 def mark_value(target: DataFrame, column: str) -> Any | None:
     """The high-water mark as a value: one collected row.
 
-    As a literal it reaches the scan, where it prunes files and row groups.
+    As a literal it reaches the scan, where it prunes files and row groups. A moment with
+    a time zone comes as microseconds since 1970, which no session or process zone can
+    shift; other types come as they are printed.
     """
-    return high_water(target, column).first()["mark"]
+    mark = F.max(column)
+    zoned = isinstance(target.schema[column].dataType, T.TimestampType)
+    shown = F.unix_micros(mark) if zoned else mark.cast("string")
+    return target.agg(shown.alias("mark")).first()["mark"]
 
 
 def bounds(df: DataFrame, column: str) -> DataFrame:
@@ -41,4 +50,11 @@ def newer_than(df: DataFrame, column: str, mark: Any | None) -> DataFrame:
 
 
 def _literal(df: DataFrame, column: str, mark: Any):
-    return F.lit(str(mark)).cast(df.schema[column].dataType)
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.TimestampType):
+        if isinstance(mark, datetime):
+            aware = mark if mark.tzinfo else mark.replace(tzinfo=timezone.utc)
+            mark = (aware - BEGINNING.replace(tzinfo=timezone.utc)) // timedelta(microseconds=1)
+        if isinstance(mark, int):
+            return F.timestamp_micros(F.lit(mark))
+    return F.lit(str(mark)).cast(kind)

@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.errors import QualityGateError
 from tidemark.functions.columns import run_clock
@@ -28,13 +29,15 @@ class Rule:
 def in_range(column: str, low: float, high: float, code: str) -> Rule:
     """Valid from ``low`` to ``high``, both included; null is valid, NaN is not.
 
-    The bounds take the type of the column: 34.1 as a float is not 34.1 as a double.
+    Against a float column the bounds are floats: 34.1 as a float is not 34.1 as a double.
+    No other type narrows them: 0 is below a bound of 0.5 in a column of whole numbers.
     """
 
     def violated(df: DataFrame) -> Column:
-        kind = df.schema[column].dataType
         value = F.col(column)
-        return (value < F.lit(low).cast(kind)) | (value > F.lit(high).cast(kind))
+        single = isinstance(df.schema[column].dataType, T.FloatType)
+        least, most = (F.lit(b).cast("float") if single else F.lit(b) for b in (low, high))
+        return (value < least) | (value > most)
 
     return Rule(code, violated)
 
@@ -61,7 +64,10 @@ def tag(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def quality_metrics(tagged: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Total, valid, invalid and corrupt rows and the error percent, in one aggregate."""
+    """Total, valid, invalid and corrupt rows and the error percent, in one aggregate.
+
+    The percent rounds a tie up; a run takes the counts and rounds as ``QualityRecord`` says.
+    """
     broken = F.col(CORRUPT_COLUMN).isNotNull() if CORRUPT_COLUMN in tagged.columns else F.lit(False)
     bad = F.size(ERRORS) > 0
     counted = tagged.groupBy(*by).agg(

@@ -8,33 +8,53 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 
+# Rows in memory are taken to be at most this many times as large as in files.
+_UNPACKED = 8
+
 _VALUE_OVERHEAD = 16
 
 
 def payload_bytes(df: DataFrame) -> int:
     """Bytes the rows of ``df`` carry, from one distributed aggregate."""
 
-    def width(field: T.StructField):
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            return F.coalesce(F.octet_length(F.col(field.name)), F.lit(0)) + _VALUE_OVERHEAD
-        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            text = F.to_json(F.struct(F.col(field.name)))
-            return F.octet_length(text) * 2 + _VALUE_OVERHEAD
+    def width(kind: T.DataType, value):
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(value), F.lit(0)) + _VALUE_OVERHEAD
+        if isinstance(kind, T.ArrayType):
+            if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType)):
+                parts = F.aggregate(value, F.lit(0).cast("bigint"), lambda a, v: a + width(kind.elementType, v))
+            else:
+                parts = F.size(value) * _VALUE_OVERHEAD
+            return F.coalesce(parts, F.lit(0)) + _VALUE_OVERHEAD
+        if isinstance(kind, T.StructType):
+            return reduce(lambda a, b: a + b, [width(f.dataType, value[f.name]) for f in kind.fields], F.lit(_VALUE_OVERHEAD))
+        if isinstance(kind, T.MapType):
+            return width(T.ArrayType(kind.keyType), F.map_keys(value)) + width(
+                T.ArrayType(kind.valueType), F.map_values(value)
+            )
         return F.lit(_VALUE_OVERHEAD)
 
-    row = reduce(lambda a, b: a + b, [width(f) for f in df.schema.fields])
+    row = reduce(lambda a, b: a + b, [width(f.dataType, F.col(f.name)) for f in df.schema.fields])
     return df.agg(F.sum(row.cast("bigint"))).first()[0] or 0
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """What the optimizer expects of ``df``: the size of its files when it is a scan."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
     """Whether the rows of ``df`` carry at most ``limit`` bytes.
 
-    A row count alone, which reads no columns, already rules out a large side.
+    Statistics and file sizes decide the clear cases without a job. Only what they
+    leave open is measured: first a row count, which reads no columns, then the bytes.
     """
+    if estimated_bytes(df) * _UNPACKED <= limit:
+        return True
     least = df.count() * len(df.columns) * _VALUE_OVERHEAD
     return least <= limit and payload_bytes(df) <= limit
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` with a broadcast hint when its measured size allows it."""
+    """``df`` with a broadcast hint when its size allows it."""
     return F.broadcast(df) if fits_broadcast(df, limit) else df

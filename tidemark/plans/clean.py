@@ -1,5 +1,6 @@
 """Raw -> clean: type, tag, quarantine, gate, upsert, replace children."""
 
+import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.conform import typed_projection
-from tidemark.operators.dml import replace_children, upsert
+from tidemark.operators.dml import replace_children, undated_children
 from tidemark.operators.quality import (
     ERRORS,
     Rule,
@@ -20,15 +21,11 @@ from tidemark.operators.quality import (
     tag,
 )
 from tidemark.operators.sizes import fits_broadcast
-from tidemark.sinks.writers import (
-    QualityRecord,
-    append_quarantine,
-    blank_partitions,
-    metrics_scope,
-    overwrite_touched,
-)
-from tidemark.sources.tables import PARTITION_COLUMN, Table
-from tidemark.staging import staged
+from tidemark.sinks.writers import QualityRecord, merge_into, metrics_scope, write_quarantine
+from tidemark.sources.tables import Table
+from tidemark.staging import scratch, staged
+
+log = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
@@ -61,65 +58,55 @@ def run_clean(raw: DataFrame, job: CleanJob, ds: str, run_ts: datetime | None =
     """Load one raw batch. Metrics are stored whatever happens.
 
     The batch is parsed once: the tagged rows are staged with clean and rejected
-    rows in folders of their own, and everything after reads those.
+    rows in folders of their own, and everything after reads those. The copies go when
+    the run ends. Children that cannot be placed for want of a date are counted in the
+    record, as are records that could not be read; an empty batch and anything left out
+    is also logged.
     """
     spark = raw.sparkSession
-    with metrics_scope(spark, job.metrics, ds) as record:
+    job.clean.require_merge_keys()
+    with metrics_scope(spark, job.metrics, ds) as record, scratch(spark, "clean") as folder:
         tagged = tag(typed_projection(raw, job.raw_schema), job.rules)
         tagged = staged(
-            tagged.withColumn("rejected", F.size(ERRORS) > 0), "tagged", ("rejected",)
+            tagged.withColumn("rejected", F.size(ERRORS) > 0), "tagged", ("rejected",), folder
         )
         record.take(quality_metrics(tagged).first())
-        if record.invalid_rows:
-            rejected = rejected_rows(tagged.filter("rejected").drop("rejected"), run_ts)
-            append_quarantine(rejected, job.quarantine)
+        rejected = rejected_rows(tagged.filter("rejected").drop("rejected"), run_ts)
+        write_quarantine(rejected, job.quarantine, ds)
         if not record.total_rows:
+            log.warning("the batch of %s is empty", ds)
             return record
+        if record.corrupt_rows:
+            log.warning("%d records of %s could not be read", record.corrupt_rows, ds)
         enforce_gate({"error_percent": record.error_percent}, job.limit_percent)
 
         clean = clean_rows(tagged.filter("not rejected").drop("rejected"))
-        batch = staged(job.shape(clean), "batch")
+        batch = staged(job.shape(clean), "batch", folder=folder)
+        record.undated_children = undated_children(
+            batch, [(c.keys[c.table.date], c.array) for c in job.children]
+        )
+        if record.undated_children:
+            log.warning("%d children of %s have no date and are left out", record.undated_children, ds)
         small = fits_broadcast(batch)
-        _merge(batch, job.clean, small, run_ts)
+        merge_into(job.clean, batch, run_ts, small=small)
         for child in job.children:
             _replace(batch, child, small, run_ts)
     return record
 
 
-def _merge(batch: DataFrame, table: Table, small: bool, run_ts: datetime | None) -> None:
-    target = table.read_touched(batch.sparkSession, batch)
-    rows = upsert(target, batch, table.keys, run_ts=run_ts, small_source=small)
-    overwrite_touched(rows, table)
-
-
 def _replace(batch: DataFrame, child: ChildTable, small: bool, run_ts: datetime | None) -> None:
     table = child.table
     dated = batch.filter(F.col(child.keys[table.date]).isNotNull())
-
-    def key_rows(rows: DataFrame) -> DataFrame:
-        return rows.select(*[F.col(b).alias(c) for c, b in child.keys.items()])
-
-    parents = key_rows(dated)
-    current = table.read_touched(batch.sparkSession, parents)
+    # A partition whose parents all come without children may lose its last row: it goes.
+    parts = table.touched(dated.select(*[F.col(b).alias(c) for c, b in child.keys.items()]))
     rows = replace_children(
-        current,
+        table.read_parts(batch.sparkSession, parts),
         dated,
         child.keys,
         child.array,
         child.code,
         date=table.date,
         run_ts=run_ts,
-        small_batch=small or fits_broadcast(parents),
-    )
-    # A partition whose parents all come without children may lose its last row.
-    filled = key_rows(dated.filter(F.size(child.array) > 0))
-    bare = table.partitions_of(parents).join(
-        table.partitions_of(filled), PARTITION_COLUMN, "left_anti"
+        small_batch=small,
     )
-    emptied = None
-    if not bare.isEmpty():
-        left = table.partitions_of(rows)
-        emptied = staged(bare.join(left, PARTITION_COLUMN, "left_anti"), "emptied")
-    overwrite_touched(rows, table)
-    if emptied is not None:
-        blank_partitions(table, emptied)
+    table.replace(rows, parts)

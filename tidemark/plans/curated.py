@@ -9,13 +9,12 @@ from pyspark.sql import functions as F
 
 from tidemark.errors import NothingToDo
 from tidemark.operators.conform import align
-from tidemark.operators.dml import upsert
 from tidemark.operators.enrich import attach, child_lists, lookup
 from tidemark.operators.incremental import mark_value, since
 from tidemark.operators.sizes import BROADCAST_BYTES, fits_broadcast
-from tidemark.sinks.writers import overwrite_touched
+from tidemark.sinks.writers import merge_into
 from tidemark.sources.tables import Table
-from tidemark.staging import staged
+from tidemark.staging import scratch, staged
 
 
 @dataclass(frozen=True)
@@ -73,39 +72,56 @@ class CuratedJob:
     """Parent column the increment is cut by. Upserts never change ``created_at``, so
     corrected parents only reach the curated table with ``updated_at``."""
     target_mark: str = "created_at"
+    carry_mark: bool = False
+    """Cut by the newest ``mark`` that was read from the parents, not by the curated
+    table's own clock: parents stamped before that clock, but committed after the last
+    run had read, are then not passed over."""
 
 
 def run_curated(spark: SparkSession, job: CuratedJob, run_ts: datetime | None = None) -> int:
     """Bring new parents into the curated table; returns how many.
 
-    The mark is the newest ``target_mark`` of the curated table and is included, so
-    rows at the mark are merged again, which changes nothing but their stamp.
-    Raises ``NothingToDo`` for an empty increment.
+    The mark is the newest ``target_mark`` of the curated table, or with ``carry_mark`` the
+    newest ``mark`` of the parents read so far. It is included, so rows at the mark are
+    merged again, which changes nothing but their stamp. Each run leaves its mark beside
+    the curated table; only where it is missing the whole column is scanned. A run that
+    stops before that starts from the older mark again. Raises ``NothingToDo`` for an
+    empty increment.
     """
-    mark = mark_value(job.curated.read(spark), job.target_mark)
-    parents = staged(since(job.parents.read(spark), job.mark, mark), "increment")
-    count = parents.count()
-    if not count:
-        raise NothingToDo(f"no rows at or after {mark}")
-
-    def touched(table: Table, keys: Mapping[str, str]) -> DataFrame:
-        dated = parents.select(*[F.col(p).alias(c) for c, p in keys.items()])
-        return table.read_touched(spark, dated)
-
-    narrow = parents.select(*job.curated.keys)
-    built = build_curated(
-        parents,
-        [ChildLists(touched(t, keys), keys, code, alias) for t, keys, code, alias in job.children],
-        [Dimension(t.read(spark), on, key, columns) for t, on, key, columns in job.dimensions],
-        small_parents=fits_broadcast(narrow),
-    )
-    batch = staged(align(built, job.curated.schema), "curated")
-    rows = upsert(
-        job.curated.read_touched(spark, batch),
-        batch,
-        job.curated.keys,
-        run_ts=run_ts,
-        small_source=fits_broadcast(batch),
-    )
-    overwrite_touched(rows, job.curated)
+    job.curated.require_merge_keys()
+    kind = f"{'source' if job.carry_mark else 'target'}-{job.mark if job.carry_mark else job.target_mark}"
+    mark = job.curated.stored_mark(spark, kind)
+    if mark is None and not job.carry_mark:
+        mark = mark_value(job.curated.read(spark), job.target_mark)
+    with scratch(spark, "curated") as folder:
+        parents = staged(since(job.parents.read(spark), job.mark, mark), "increment", folder=folder)
+        count = parents.count()
+        if not count:
+            raise NothingToDo(f"no rows at or after {mark}")
+        known: dict[tuple[str | None, str], list[str]] = {}
+
+        def touched(table: Table, keys: Mapping[str, str]) -> DataFrame:
+            date = table.date and keys[table.date]
+            if (date, table.grain) not in known:
+                dated = parents.select(*[F.col(p).alias(c) for c, p in keys.items()])
+                known[date, table.grain] = table.touched(dated) if date else []
+            return table.read_parts(spark, known[date, table.grain])
+
+        small = fits_broadcast(parents)
+        built = build_curated(
+            parents,
+            [ChildLists(touched(t, keys), keys, code, alias) for t, keys, code, alias in job.children],
+            [Dimension(t.read(spark), on, key, columns) for t, on, key, columns in job.dimensions],
+            small_parents=small,
+        )
+        batch = staged(align(built, job.curated.schema), "curated", folder=folder)
+        parts = known.get((job.curated.date, job.curated.grain)) or job.curated.touched(batch)
+        merge_into(job.curated, batch, run_ts, parts, small)
+        if job.carry_mark:
+            found = mark_value(parents, job.mark)
+        else:
+            found = mark_value(job.curated.read_parts(spark, parts), job.target_mark)
+        marks = [m for m in (mark, found) if m is not None]
+        # Marks of one column are all numbers or all moments printed alike.
+        job.curated.store_mark(spark, kind, max(marks) if marks else None)
     return count

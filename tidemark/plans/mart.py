@@ -1,4 +1,4 @@
-"""Curated -> mart: month column, strict delta, append, keep-latest, not-null checks."""
+"""Curated -> mart: month column, strict delta, append, not-null checks, keep-latest."""
 
 from collections.abc import Sequence
 
@@ -11,9 +11,9 @@ from tidemark.errors import NotNullError
 from tidemark.functions.columns import month_start
 from tidemark.operators.dml import keep_latest
 from tidemark.operators.incremental import mark_value, newer_than
-from tidemark.operators.quality import null_counts
 from tidemark.sinks.writers import append_mart
-from tidemark.staging import staged
+from tidemark.sources.tables import Table
+from tidemark.staging import scratch, staged
 
 MONTH = "event_month"
 
@@ -50,17 +50,29 @@ def run_mart(
 ) -> int:
     """Append what is new in ``curated`` to the mart; returns how many rows.
 
-    ``keys`` are the mart's keys besides the month. Raises ``NotNullError`` before
-    anything is appended when a required column holds nulls.
+    ``keys`` are the mart's keys besides the month. The required columns are checked after
+    the append, so a row with a null is reported once and keeps no newer row out: raises
+    ``NotNullError`` when what was appended holds such rows.
+
+    The newest version appended is left beside the mart for the next run; only where it
+    is missing the mart is scanned for it. A run that stops between the two appends its
+    rows again, which readers do not see: they keep one row per key.
     """
     spark = curated.sparkSession
     rows = mart_stage(curated, date)
-    delta = staged(mart_delta(rows, _stored(spark, path, rows.schema), version), "delta")
-    missing = null_counts(delta, required).filter("null_rows > 0").collect()
+    table = Table(path, rows.schema)
+    mark = table.stored_mark(spark, version)
+    if mark is None:
+        mark = mark_value(_stored(spark, path, rows.schema), version)
+    with scratch(spark, "mart") as folder:
+        delta = staged(newer_than(rows, version, mark), "delta", folder=folder)
+        checked = delta.agg(F.count(F.lit(1)), *[F.count_if(F.col(c).isNull()) for c in required]).first()
+        append_mart(delta, path, MONTH, keys)
+        table.store_mark(spark, version, mark_value(delta, version))
+    missing = [f"{c}: {n}" for c, n in zip(required, checked[1:]) if n]
     if missing:
-        raise NotNullError(", ".join(f"{r.column_name}: {r.null_rows}" for r in missing))
-    append_mart(delta, path, MONTH, keys)
-    return delta.count()
+        raise NotNullError(", ".join(missing))
+    return checked[0]
 
 
 def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -5,10 +5,8 @@ from datetime import datetime
 from pyspark.sql import SparkSession
 
 from tidemark.errors import NotNullError
-from tidemark.operators.dml import upsert
 from tidemark.operators.quality import null_counts
-from tidemark.operators.sizes import fits_broadcast
-from tidemark.sinks.writers import overwrite_touched
+from tidemark.sinks.writers import merge_into
 from tidemark.sources.readers import read_delimited
 from tidemark.sources.tables import Table
 
@@ -26,12 +24,4 @@ def load_reference(
         missing = null_counts(incoming, required).filter("null_rows > 0").collect()
         if missing:
             raise NotNullError(", ".join(f"{r.column_name}: {r.null_rows}" for r in missing))
-    merged = upsert(
-        table.read_touched(spark, incoming),
-        incoming,
-        table.keys,
-        run_ts=run_ts,
-        frozen=(),
-        small_source=fits_broadcast(incoming),
-    )
-    overwrite_touched(merged, table)
+    merge_into(table, incoming, run_ts, frozen=())

@@ -136,9 +136,13 @@ class Visits:
         raw: str,
         ds: str,
         run_ts: datetime | None = None,
-        multiline: bool = True,
+        multiline: bool = False,
     ) -> QualityRecord:
-        """Raw files of a run date into the clean tables; ``raw`` has a folder per date."""
+        """Raw files of a run date into the clean tables; ``raw`` has a folder per date.
+
+        Records stand on lines of their own. ``multiline`` reads files that are one document
+        each, by one task a file.
+        """
         batch = read_raw_json(spark, f"{raw}/{ds}/*", self.clean_job.raw_schema, multiline)
         return run_clean(batch, self.clean_job, ds, run_ts)
 

@@ -14,7 +14,7 @@ from tidemark.operators import (
     upsert,
 )
 from tidemark.queries.registry import LOADED_UNTIL, REDELIVERED_FROM, RUN_TS, load, query
-from tidemark.sinks import overwrite_touched
+from tidemark.sinks import merge_into
 from tidemark.sources import Table
 from tidemark.staging import work_dir
 
@@ -165,6 +165,14 @@ def w1_keep_latest(spark, sf_dir):
     return keep_latest(events, ["user_id", "event_type"], "ts", ["event_id"])
 
 
+def _days(spark, sf_dir):
+    events = load(spark, sf_dir, "events").select("event_id", "ts", "value")
+    path = f"{work_dir(spark, 'days')}/events"
+    table = Table(path, events.schema, keys=("event_id", "ts"), date="ts", grain="day")
+    table.replace(events)
+    return events, table
+
+
 @query(
     "e5_day_partitions",
     """
@@ -175,13 +183,24 @@ def w1_keep_latest(spark, sf_dir):
 )
 def e5_day_partitions(spark, sf_dir):
     """A table partitioned by day; a batch of corrections rewrites only its own days."""
-    events = load(spark, sf_dir, "events").select("event_id", "ts", "value")
-    table = Table(
-        f"{work_dir(spark, 'days')}/events", events.schema, keys=("event_id",), date="ts", grain="day"
-    )
-    overwrite_touched(events, table)
+    events, table = _days(spark, sf_dir)
     late = events.filter(F.col("ts") >= F.lit("2024-01-20").cast("timestamp_ntz"))
-    batch = late.withColumn("value", F.col("value") + 1)
-    merged = upsert(table.read_touched(spark, batch), batch, table.keys)
-    overwrite_touched(merged, table)
+    merge_into(table, late.withColumn("value", F.col("value") + 1))
+    return table.read(spark)
+
+
+@query(
+    "e5_far_partitions",
+    """
+    SELECT event_id, ts, CASE WHEN CAST(ts AS DATE) IN ('2024-01-02', '2024-01-28')
+                              THEN value + 1 ELSE value END AS value
+    FROM events
+    """,
+)
+def e5_far_partitions(spark, sf_dir):
+    """A batch that touches two days far apart reads and rewrites those two, also when it
+    is too large to broadcast."""
+    events, table = _days(spark, sf_dir)
+    far = events.filter(F.col("ts").cast("date").cast("string").isin("2024-01-02", "2024-01-28"))
+    merge_into(table, far.withColumn("value", F.col("value") + 1), small=False)
     return table.read(spark)

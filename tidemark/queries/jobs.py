@@ -1,37 +1,30 @@
 """The jobs end to end, over the test tables in the roles of their layers."""
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.errors import NothingToDo, NotNullError, QualityGateError
 from tidemark.functions import guarded_ratio, hash_key, parse_timestamp
-from tidemark.operators import (
-    align,
-    child_lists,
-    conform,
-    fits_broadcast,
-    in_range,
-    mark_value,
-    since,
-    upsert,
-)
+from tidemark.operators import child_lists, corrupt, in_range
 from tidemark.plans import (
-    ChildLists,
     ChildTable,
     CleanJob,
-    Dimension,
-    build_curated,
-    load_reference,
+    CuratedJob,
     Visits,
+    load_reference,
     read_mart,
     run_clean,
+    run_curated,
     run_mart,
     visit_rules,
 )
 from tidemark.queries.columns import rendered_date
-from tidemark.queries.registry import LOADED_UNTIL, RUN_TS, load, query
-from tidemark.queries.scans import SYNTHETIC_VISITS, SYNTHETIC_SEED
-from tidemark.sources import Table, read_raw_json, synthetic_visits
-from tidemark.staging import staged, work_dir
+from tidemark.queries.registry import LOADED_UNTIL, REDELIVERED_FROM, RUN_TS, load, query
+from tidemark.sinks import merge_into
+from tidemark.sources import Table, read_metrics_history, read_quarantine, read_raw_json
+from tidemark.staging import work_dir
 
 _NOW = "TIMESTAMP '2026-01-01 00:00:00'"
 
@@ -72,46 +65,110 @@ def _lists_sql(column: str) -> str:
 def g1_curated(spark, sf_dir):
     """The curated table, loaded up to a date under an older declaration without lists
     and names, brought to the current one and then advanced by the next increment."""
-    orders = load(spark, sf_dir, "orders").select(
+    orders = _order_parents(spark, sf_dir, F.col("o_orderdate"))
+    job = _curated_job(spark, sf_dir, "order-increment")
+    job.parents.replace(orders)
+    loaded = orders.filter(F.col("created_at") < F.lit(LOADED_UNTIL).cast("timestamp_ntz"))
+    Table(job.curated.path, orders.schema, date="order_date").replace(loaded)
+    run_curated(spark, job, RUN_TS)
+    return _listed(job.curated.read(spark))
+
+
+def _listed(rows):
+    return rows.withColumns({c: F.array_join(c, ",") for c in ("flag_list", "status_list")})
+
+
+def _order_parents(spark, sf_dir, stamp):
+    return load(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("id"),
         F.col("o_orderdate").alias("order_date"),
         F.col("o_custkey").alias("cust"),
         F.col("o_orderstatus").alias("status"),
         F.col("o_totalprice").alias("price"),
-        F.col("o_orderdate").alias("created_at"),
-        F.col("o_orderdate").alias("updated_at"),
+        stamp.alias("created_at"),
+        stamp.alias("updated_at"),
     )
-    loaded = orders.filter(F.col("created_at") < F.lit(LOADED_UNTIL).cast("timestamp_ntz"))
+
+
+def _curated_job(spark, sf_dir, label: str, **options) -> CuratedJob:
+    """Orders with the lists of their lines and the name of their customer; lines and
+    customers are read where they are."""
+    root = work_dir(spark, label)
     schema = T.StructType.fromDDL(CURATED_ORDERS)
-    curated = conform(loaded, schema)
-    increment = since(orders, "created_at", mark_value(curated, "created_at"))
-    lines = load(spark, sf_dir, "lineitem")
-    customer = load(spark, sf_dir, "customer")
-    built = build_curated(
-        increment,
-        [
-            ChildLists(lines, {"l_orderkey": "id"}, "l_returnflag", "flag_list"),
-            ChildLists(lines, {"l_orderkey": "id"}, "l_linestatus", "status_list"),
+    names = ("id", "order_date", "cust", "status", "price", "created_at", "updated_at")
+    parents = T.StructType([f for f in schema.fields if f.name in names])
+    lines = Table(f"{sf_dir}/lineitem.parquet", load(spark, sf_dir, "lineitem").schema)
+    customers = Table(f"{sf_dir}/customer.parquet", load(spark, sf_dir, "customer").schema)
+    return CuratedJob(
+        parents=Table(f"{root}/parents", parents, keys=("id", "order_date"), date="order_date"),
+        children=[
+            (lines, {"l_orderkey": "id"}, "l_returnflag", "flag_list"),
+            (lines, {"l_orderkey": "id"}, "l_linestatus", "status_list"),
         ],
-        [
-            Dimension(
-                customer,
-                "cust",
-                "c_custkey",
-                {"c_name": "customer_name", "c_mktsegment": "segment"},
-            ),
+        dimensions=[
+            (customers, "cust", "c_custkey", {"c_name": "customer_name", "c_mktsegment": "segment"}),
         ],
-        small_parents=fits_broadcast(increment.select("id")),
-    )
-    batch = staged(align(built, schema), "curated")
-    merged = upsert(
-        curated,
-        batch,
-        ["id", "order_date"],
-        run_ts=RUN_TS,
-        small_source=fits_broadcast(batch),
+        curated=Table(f"{root}/curated", schema, keys=("id", "order_date"), date="order_date"),
+        **options,
     )
-    return merged.withColumns({c: F.array_join(c, ",") for c in ("flag_list", "status_list")})
+
+
+_REDELIVERED = f"o_orderdate >= TIMESTAMP '{REDELIVERED_FROM}'"
+_LOADED = f"o_orderdate < TIMESTAMP '{LOADED_UNTIL}'"
+
+
+@query(
+    "g2_curated_increment",
+    f"""
+    SELECT o_orderkey AS id, o_orderdate AS order_date, o_custkey AS cust, o_orderstatus AS status,
+           CASE WHEN {_REDELIVERED} THEN o_totalprice + 1 ELSE o_totalprice END AS price,
+           f.codes AS flag_list, s.codes AS status_list, c_name AS customer_name,
+           c_mktsegment AS segment,
+           CASE WHEN {_LOADED} THEN TIMESTAMP '2026-01-02 00:00:00'
+                ELSE TIMESTAMP '2026-01-04 00:00:00' END AS created_at,
+           CASE WHEN {_REDELIVERED} THEN TIMESTAMP '2026-01-04 00:00:00'
+                ELSE TIMESTAMP '2026-01-02 00:00:00' END AS updated_at
+    FROM orders
+    LEFT JOIN {_lists_sql('l_returnflag')} f ON f.l_orderkey = o_orderkey
+    LEFT JOIN {_lists_sql('l_linestatus')} s ON s.l_orderkey = o_orderkey
+    LEFT JOIN customer ON c_custkey = o_custkey
+    """,
+)
+def g2_curated_increment(spark, sf_dir):
+    """Two runs of the curated job: between them, two years are delivered again, corrected,
+    with all that is newer. The increment is cut by the parents' update time, as read."""
+    job = _curated_job(spark, sf_dir, "two-increments", mark="updated_at", carry_mark=True)
+    first = _order_parents(spark, sf_dir, F.col("o_orderdate"))
+    date = F.col("order_date")
+    job.parents.replace(first.filter(date < F.lit(LOADED_UNTIL).cast("timestamp_ntz")))
+    run_curated(spark, job, datetime(2026, 1, 2))
+    again = first.filter(date >= F.lit(REDELIVERED_FROM).cast("timestamp_ntz"))
+    merge_into(job.parents, again.withColumn("price", F.col("price") + 1), datetime(2026, 1, 3))
+    run_curated(spark, job, datetime(2026, 1, 4))
+    return _listed(job.curated.read(spark))
+
+
+@query(
+    "f4_empty_increment",
+    """
+    SELECT 1 AS run, 'loaded' AS outcome, count(*) AS n FROM orders
+    UNION ALL SELECT 2, 'nothing to do', count(*) FROM orders
+    """,
+)
+def f4_empty_increment(spark, sf_dir):
+    """A second run with nothing new says so, and leaves the table as it is."""
+    job = _curated_job(spark, sf_dir, "no-increment")
+    job.parents.replace(_order_parents(spark, sf_dir, F.col("o_orderdate")))
+    rows = []
+    for run in (1, 2):
+        try:
+            run_curated(spark, job, RUN_TS)
+            outcome = "loaded"
+        except NothingToDo:
+            outcome = "nothing to do"
+        held = job.curated.read(spark)
+        rows.append(held.agg(F.lit(run).alias("run"), F.lit(outcome).alias("outcome"), F.count("*").alias("n")))
+    return rows[0].unionByName(rows[1])
 
 
 @query(
@@ -141,21 +198,41 @@ def g1_curated(spark, sf_dir):
     """,
 )
 def b1_clean_job(spark, sf_dir):
+    return run_orders(spark, prepare_orders(spark, sf_dir))
+
+
+def prepare_orders(spark, sf_dir) -> str:
+    """The raw files of the clean job, apart from the job itself."""
     root = work_dir(spark, "clean-job")
+    _raw_orders(spark, sf_dir, F.col("o_custkey")).write.json(f"{root}/raw")
+    return f"{root}/raw"
+
+
+def run_orders(spark, raw: str):
+    job = _clean_job(work_dir(spark, "clean-tables"))
+    _load(spark, job, raw, "2026-01-01", RUN_TS)
+    return _with_lists(spark, job)
+
+
+def _raw_orders(spark, sf_dir, customer):
     lines = load(spark, sf_dir, "lineitem")
     raw = load(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("id"),
         rendered_date().alias("order_date"),
-        F.col("o_custkey").cast("string").alias("customer"),
+        customer.cast("string").alias("customer"),
         F.col("o_orderpriority").alias("priority"),
         F.col("o_totalprice").alias("price"),
         F.col("o_custkey").alias("size"),
+        F.col("o_orderdate").alias("placed"),
+        F.col("o_orderstatus").alias("status"),
     )
     for column, alias in (("l_returnflag", "flags"), ("l_linestatus", "statuses")):
         lists = child_lists(lines, ["l_orderkey"], column, alias)
         raw = raw.join(lists.withColumnRenamed("l_orderkey", "id"), "id", "left")
-    raw.write.json(f"{root}/raw")
+    return raw
+
 
+def _clean_job(root: str, limit_percent: float = 5.0, most: float = 495000) -> CleanJob:
     def shape(df):
         dated = df.withColumn("order_date", parse_timestamp(F.col("order_date")))
         keys = [F.col("order_date"), F.col("customer"), F.col("priority")]
@@ -174,13 +251,13 @@ def b1_clean_job(spark, sf_dir):
         table = Table(f"{root}/{alias}", schema, date="order_date")
         return ChildTable(table, {"parent_id": "id", "order_date": "order_date"}, alias, "code")
 
-    job = CleanJob(
+    return CleanJob(
         raw_schema=T.StructType.fromDDL(
             "id bigint, order_date string, customer string, priority string, price double, "
             "size int, flags array<string>, statuses array<string>, _corrupt_record string"
         ),
-        rules=[in_range("price", 5000, 495000, "PRICE")],
-        limit_percent=5.0,
+        rules=[corrupt("BROKEN"), in_range("price", 5000, most, "PRICE")],
+        limit_percent=limit_percent,
         shape=shape,
         clean=Table(
             f"{root}/clean",
@@ -196,8 +273,13 @@ def b1_clean_job(spark, sf_dir):
         quarantine=f"{root}/quarantine",
         metrics=f"{root}/metrics",
     )
-    raw_scan = read_raw_json(spark, f"{root}/raw", job.raw_schema, multiline=False)
-    run_clean(raw_scan, job, ds="2026-01-01", run_ts=RUN_TS)
+
+
+def _load(spark, job: CleanJob, raw: str, ds: str, run_ts: datetime) -> None:
+    run_clean(read_raw_json(spark, raw, job.raw_schema, multiline=False), job, ds, run_ts)
+
+
+def _with_lists(spark, job: CleanJob):
     rows = job.clean.read(spark)
     for table in job.children:
         codes = child_lists(
@@ -210,6 +292,130 @@ def b1_clean_job(spark, sf_dir):
     return rows
 
 
+def _two_batches(spark, sf_dir) -> CleanJob:
+    """What is loaded first; then two years of it again, corrected, with all that is newer.
+    Each has one record cut short. In the second, orders not finished have lost their lines."""
+    root = work_dir(spark, "reload")
+    raw = _raw_orders(spark, sf_dir, F.col("o_orderkey"))
+    placed = F.col("placed")
+    first = raw.filter(placed < F.lit(LOADED_UNTIL).cast("timestamp_ntz"))
+    second = raw.filter(placed >= F.lit(REDELIVERED_FROM).cast("timestamp_ntz")).withColumns(
+        {"price": F.col("price") + 1}
+        | {c: F.when(F.col("status") == "F", F.col(c)) for c in ("flags", "statuses")}
+    )
+    job = _clean_job(f"{root}/tables")
+    for day, batch in ((1, first), (2, second)):
+        lines = batch.drop("placed", "status").select(F.to_json(F.struct("*")).alias("value"))
+        broken = load(spark, sf_dir, "region").agg(F.concat(F.lit('{"id": '), F.max("r_name")).alias("value"))
+        lines.unionByName(broken).write.text(f"{root}/raw/{day}")
+        _load(spark, job, f"{root}/raw/{day}", f"2026-01-0{day}", datetime(2026, 1, day))
+    return job
+
+
+_BATCHES = f"""
+    WITH lists AS (
+        SELECT l_orderkey, string_agg(l_returnflag, '' ORDER BY l_returnflag) AS flags,
+               string_agg(l_linestatus, '' ORDER BY l_linestatus) AS statuses, count(*) AS n
+        FROM lineitem GROUP BY 1),
+    source AS (
+        SELECT *, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderdate END AS order_date
+        FROM orders LEFT JOIN lists ON l_orderkey = o_orderkey),
+    first AS (SELECT *, o_totalprice AS price, flags AS f, statuses AS s, n AS children
+              FROM source WHERE {_LOADED}),
+    second AS (SELECT *, o_totalprice + 1 AS price,
+                      CASE WHEN o_orderstatus = 'F' THEN flags END AS f,
+                      CASE WHEN o_orderstatus = 'F' THEN statuses END AS s,
+                      CASE WHEN o_orderstatus = 'F' THEN n END AS children
+               FROM source WHERE {_REDELIVERED})
+"""
+_FITS = "price BETWEEN 5000 AND 495000"
+
+
+@query(
+    "b2_clean_reload",
+    f"""
+    {_BATCHES},
+    a AS (SELECT * FROM first WHERE {_FITS}),
+    b AS (SELECT * FROM second WHERE {_FITS}),
+    rows AS (
+        SELECT coalesce(b.o_orderkey, a.o_orderkey) AS o_orderkey,
+               coalesce(b.order_date, a.order_date) AS order_date,
+               coalesce(b.o_orderpriority, a.o_orderpriority) AS priority,
+               coalesce(b.price, a.price) AS price, coalesce(b.o_custkey, a.o_custkey) AS cust,
+               CASE WHEN a.o_orderkey IS NULL THEN 2 ELSE 1 END AS made,
+               CASE WHEN b.o_orderkey IS NULL THEN 1 ELSE 2 END AS changed,
+               CASE WHEN b.o_orderkey IS NULL THEN a.f ELSE b.f END AS flags,
+               CASE WHEN b.o_orderkey IS NULL THEN a.s ELSE b.s END AS statuses
+        FROM a FULL JOIN b ON a.o_orderkey = b.o_orderkey AND a.order_date = b.order_date)
+    SELECT md5(concat_ws('-', coalesce(CAST(order_date AS VARCHAR), 'EMPTY'),
+                         CAST(o_orderkey AS VARCHAR), priority)) AS id,
+           order_date, CAST(o_orderkey AS VARCHAR) AS customer, priority, price,
+           CAST(cust AS INT) AS size,
+           CASE WHEN cust > 0 THEN round(price / pow(cust / 100::DOUBLE, 2), 1) END AS ratio,
+           TIMESTAMP '2025-12-31 00:00:00' + made * INTERVAL 1 DAY AS created_at,
+           TIMESTAMP '2025-12-31 00:00:00' + changed * INTERVAL 1 DAY AS updated_at,
+           CASE WHEN order_date IS NOT NULL THEN flags END AS flags,
+           CASE WHEN order_date IS NOT NULL THEN statuses END AS statuses
+    FROM rows
+    """,
+)
+def b2_clean_reload(spark, sf_dir):
+    """Two runs of the clean job. Undated orders match nothing, so they are added again;
+    their lines cannot be placed in a day and are left out."""
+    return _with_lists(spark, _two_batches(spark, sf_dir))
+
+
+@query(
+    "k2_clean_counts",
+    f"""
+    {_BATCHES},
+    runs AS (SELECT '2026-01-01' AS ds, price, order_date, children FROM first
+             UNION ALL SELECT '2026-01-02', price, order_date, children FROM second)
+    SELECT ds, count(*) + 1 AS total_rows, count(*) FILTER (WHERE {_FITS}) AS valid_rows,
+           count(*) FILTER (WHERE NOT {_FITS}) + 1 AS invalid_rows,
+           round((count(*) FILTER (WHERE NOT {_FITS}) + 1) / (count(*) + 1)::DOUBLE * 100, 2)
+               AS error_percent,
+           CAST(1 AS BIGINT) AS corrupt_rows,
+           CAST(coalesce(sum(2 * children) FILTER (WHERE {_FITS} AND order_date IS NULL), 0)
+                AS BIGINT) AS undated_children
+    FROM runs GROUP BY ds
+    """,
+)
+def k2_clean_counts(spark, sf_dir):
+    """What the two runs stored about themselves: each had one broken record."""
+    job = _two_batches(spark, sf_dir)
+    return read_metrics_history(spark, job.metrics)
+
+
+@query(
+    "k3_stopped_run",
+    """
+    SELECT '2026-01-01' AS ds, count(*) AS total_rows,
+           count(*) FILTER (WHERE o_totalprice BETWEEN 5000 AND 100000) AS valid_rows,
+           count(*) FILTER (WHERE NOT o_totalprice BETWEEN 5000 AND 100000) AS invalid_rows,
+           round(count(*) FILTER (WHERE NOT o_totalprice BETWEEN 5000 AND 100000)
+                 / count(*)::DOUBLE * 100, 2) AS error_percent,
+           CAST(0 AS BIGINT) AS corrupt_rows, CAST(0 AS BIGINT) AS undated_children,
+           CAST(0 AS BIGINT) AS rows_loaded,
+           count(*) FILTER (WHERE NOT o_totalprice BETWEEN 5000 AND 100000) AS quarantined
+    FROM orders
+    """,
+)
+def k3_stopped_run(spark, sf_dir):
+    """A run that the gate stops, twice: its metrics and rejected rows are stored once."""
+    raw = prepare_orders(spark, sf_dir)
+    job = _clean_job(work_dir(spark, "stopped"), most=100000)
+    for _ in range(2):
+        try:
+            _load(spark, job, raw, "2026-01-01", RUN_TS)
+        except QualityGateError:
+            pass
+    loaded = job.clean.read(spark).agg(F.count("*").alias("rows_loaded"))
+    rejected = read_quarantine(spark, job.quarantine).groupBy("ds").agg(F.count("*").alias("quarantined"))
+    stored = read_metrics_history(spark, job.metrics).join(rejected, "ds")
+    return stored.withColumn("rows_loaded", F.lit(loaded.first()[0]).cast("bigint"))
+
+
 @query(
     "d1_mart",
     f"""
@@ -248,6 +454,37 @@ def d1_mart(spark, sf_dir):
     return read_mart(spark, path, schema, ["event_month", "id"])
 
 
+@query(
+    "d1_mart_undated",
+    f"""
+    SELECT o_orderkey AS id, order_date, o_totalprice AS price, o_orderdate AS updated_at,
+           CAST(date_trunc('month', order_date) AS DATE) AS event_month,
+           (SELECT count(*) FROM orders WHERE o_orderpriority = '5-LOW') AS reported
+    FROM (SELECT *, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderdate END AS order_date
+          FROM orders)
+    """,
+)
+def d1_mart_undated(spark, sf_dir):
+    """Rows without a date are reported by the run that appends them, and keep no newer
+    rows out: each of two runs appends its rows."""
+    path = work_dir(spark, "undated-mart")
+    dated = F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderdate"))
+    orders = load(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("id"), dated.alias("order_date"),
+        F.col("o_totalprice").alias("price"), F.col("o_orderdate").alias("updated_at"),
+    )
+    before = orders.filter(F.col("updated_at") < F.lit(LOADED_UNTIL).cast("timestamp_ntz"))
+    reported = 0
+    for curated in (before, orders):
+        try:
+            run_mart(curated, path, "order_date", ["id"], ["id", "order_date", "updated_at"])
+        except NotNullError as error:
+            reported += int(str(error).removeprefix("order_date: "))
+    schema = T.StructType([*orders.schema.fields, T.StructField("event_month", T.DateType())])
+    rows = read_mart(spark, path, schema, ["event_month", "id"])
+    return rows.withColumn("reported", F.lit(reported).cast("bigint"))
+
+
 @query(
     "m4_ref_load",
     """
@@ -272,43 +509,70 @@ def m4_ref_load(spark, sf_dir):
 @query(
     "v1_visits",
     f"""
-    WITH made AS (SELECT * FROM ({SYNTHETIC_VISITS})),
-    clean AS (
-        SELECT *, CAST(weight AS FLOAT) AS kilos, CAST(visit_date AS TIMESTAMP) AS moment,
-               md5(concat_ws('-', visit_date || ' 00:00:00', snils, disease_code)) AS hash
-        FROM made WHERE age <= 88)
-    SELECT hash AS id, moment AS visit_date, age, gender_id, profession_id, doctor_id,
-           department_id, snils, height, kilos AS weight,
-           CAST(round(kilos / pow(height / 100::DOUBLE, 2), 1) AS FLOAT) AS bmi,
-           CAST(temperature AS FLOAT) AS temperature, bp_systolic, bp_diastolic, disease_code,
-           blood_type, CAST(lab_hemoglobin AS FLOAT) AS lab_hemoglobin,
-           CAST(lab_leukocytes AS FLOAT) AS lab_leukocytes,
-           CAST(lab_glucose AS FLOAT) AS lab_glucose,
-           CAST(lab_cholesterol AS FLOAT) AS lab_cholesterol,
-           array_to_string(list_sort(string_split(symptoms_code, ',')), ',') AS symptoms_list,
-           nullif(array_to_string(list_sort(string_split(chronic_diseases, ',')), ','), '')
-               AS chronic_list,
+    WITH visits AS (
+        SELECT *, date_trunc('second', ts) AS moment, CAST(user_id % 100 AS INT) AS age,
+               CAST(150 + user_id % 40 AS INT) AS height, CAST(40 + user_id % 50 AS FLOAT) AS weight
+        FROM events WHERE user_id % 100 <= 96)
+    SELECT md5(concat_ws('-', strftime(moment, '%Y-%m-%d %H:%M:%S'), CAST(event_id AS VARCHAR),
+                         event_type)) AS id,
+           moment AS visit_date, age, CAST(user_id % 2 + 1 AS INT) AS gender_id,
+           CAST(user_id AS INT) AS profession_id, CAST(event_id % 200 AS INT) AS doctor_id,
+           CAST(user_id % 30 AS INT) AS department_id, CAST(event_id AS VARCHAR) AS snils,
+           height, weight,
+           CAST(round(weight / pow(height / 100::DOUBLE, 2), 1) AS FLOAT) AS bmi,
+           CAST(36.6 AS FLOAT) AS temperature, CAST(NULL AS INT) AS bp_systolic,
+           CAST(NULL AS INT) AS bp_diastolic, event_type AS disease_code,
+           CAST(NULL AS VARCHAR) AS blood_type, CAST(value AS FLOAT) AS lab_hemoglobin,
+           CAST(NULL AS FLOAT) AS lab_leukocytes, CAST(NULL AS FLOAT) AS lab_glucose,
+           CAST(NULL AS FLOAT) AS lab_cholesterol,
+           CASE WHEN event_type > 'p' THEN event_type || ',x' ELSE 'a,' || event_type END
+               AS symptoms_list,
+           CASE WHEN user_id % 2 = 0 THEN event_type END AS chronic_list,
            n_name AS department_name, c_name AS profession_name,
            {_NOW} AS created_at, {_NOW} AS updated_at,
            CAST(date_trunc('month', moment) AS DATE) AS event_month
-    FROM clean
-    LEFT JOIN nation ON n_nationkey = department_id
-    LEFT JOIN customer ON c_custkey = profession_id
+    FROM visits LEFT JOIN nation ON n_nationkey = user_id % 30
+    LEFT JOIN customer ON c_custkey = user_id
     """,
 )
 def v1_visits(spark, sf_dir):
-    """Every layer of the visit tables: one raw visit per order, the nations as departments
-    and the customers as professions, up to the mart."""
+    return run_visits(spark, prepare_visits(spark, sf_dir))
+
+
+def prepare_visits(spark, sf_dir) -> str:
+    """Raw files in which events are the visits, customers the professions and nations the
+    departments."""
     root = work_dir(spark, "visits")
-    visits = Visits(root, rules=visit_rules(ages=(0, 88)))
     for name, key, label in (("nation", "n_nationkey", "n_name"), ("customer", "c_custkey", "c_name")):
         rows = load(spark, sf_dir, name).select(F.col(key).alias("id"), F.col(label).alias("name"))
         rows.write.option("header", True).option("sep", ";").csv(f"{root}/{name}")
+    user, kind = F.col("user_id"), F.col("event_type")
+    visits = load(spark, sf_dir, "events").select(
+        F.col("event_id").alias("id"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("visit_date"),
+        (user % 100).alias("age"),
+        (user % 2 + 1).alias("gender_id"),
+        user.alias("profession_id"),
+        (F.col("event_id") % 200).alias("doctor_id"),
+        (user % 30).alias("department_id"),
+        F.col("event_id").cast("string").alias("snils"),
+        (user % 40 + 150).alias("height"),
+        (user % 50 + 40).alias("weight"),
+        F.lit(36.6).alias("temperature"),
+        kind.alias("disease_code"),
+        F.col("value").alias("lab_hemoglobin"),
+        F.array(kind, F.when(kind > "p", "x").otherwise("a")).alias("symptoms_code"),
+        F.when(user % 2 == 0, F.array(kind)).otherwise(F.array()).alias("chronic_diseases"),
+    )
+    visits.write.json(f"{root}/raw/2026-01-01")
+    return root
+
+
+def run_visits(spark, root: str):
+    """Every layer of the visit tables, up to the mart."""
+    visits = Visits(work_dir(spark, "visit-tables"), rules=visit_rules(ages=(0, 96)))
     visits.load_references(spark, f"{root}/nation", f"{root}/customer")
-    orders = load(spark, sf_dir, "orders")
-    made = synthetic_visits(orders, "o_orderkey", SYNTHETIC_SEED)
-    made.write.json(f"{root}/raw/2026-01-01")
-    visits.load_raw(spark, f"{root}/raw", "2026-01-01", RUN_TS, multiline=False)
+    visits.load_raw(spark, f"{root}/raw", "2026-01-01", RUN_TS)
     visits.advance_curated(spark, RUN_TS)
     visits.advance_mart(spark)
     lists = {c: F.array_join(c, ",") for c in ("symptoms_list", "chronic_list")}

@@ -6,6 +6,7 @@ from tidemark.operators import (
     clean_rows,
     error_counts,
     gate,
+    in_range,
     null_counts,
     predicate,
     quality_metrics,
@@ -103,3 +104,21 @@ def q8_not_null(spark, sf_dir):
         "o_orderstatus", F.nullif(F.col("o_orderstatus"), F.lit("P"))
     )
     return null_counts(orders, ["o_orderkey", "o_orderdate", "o_orderstatus"])
+
+
+@query(
+    "q1_range_int",
+    """
+    SELECT l_orderkey, l_linenumber, l_quantity,
+           CASE WHEN CAST(l_quantity AS INT) < 1.5 OR CAST(l_quantity AS INT) > 48.5
+                THEN 'QUANTITY' ELSE '' END AS errors
+    FROM lineitem
+    """,
+)
+def q1_range_int(spark, sf_dir):
+    """Bounds with a fraction on a column of whole numbers."""
+    lines = load(spark, sf_dir, "lineitem").withColumn("quantity", F.col("l_quantity").cast("int"))
+    tagged = tag(lines, [in_range("quantity", 1.5, 48.5, "QUANTITY")])
+    return tagged.select(
+        "l_orderkey", "l_linenumber", "l_quantity", F.array_join("errors", ",").alias("errors")
+    )

@@ -19,17 +19,15 @@ from tidemark.operators import (
 from tidemark.plans import mart_delta, mart_stage
 from tidemark.queries.quality import EVENT_RULES
 from tidemark.queries.registry import LOADED_UNTIL, RUN_TS, load, query
-from tidemark.sinks import append_mart, append_quarantine, write_metrics
+from tidemark.sinks import append_mart, write_metrics, write_quarantine
 from tidemark.sources import (
     read_delimited,
     read_metrics_history,
     read_quarantine,
     read_raw_json,
     read_table,
-    synthetic,
-    synthetic_visits,
 )
-from tidemark.staging import work_dir
+from tidemark.staging import staged, work_dir
 
 EVENTS = (
     "event_id bigint, ts timestamp_ntz, user_id int, event_type string, value double, props string"
@@ -93,6 +91,48 @@ def s1_json_broken(spark, sf_dir):
     return tagged.withColumns({c: F.array_join(c, ",") for c in ("tags", "errors")})
 
 
+@query(
+    "s1_json_multiline",
+    """
+    WITH written AS (
+        SELECT event_id // 200 AS doc, event_id, user_id, event_type,
+               '{"event_id": ' || event_id || ', "user_id": "' || user_id || '", "tags": ["' ||
+               event_type || '"]}' AS line
+        FROM events)
+    SELECT event_id, CAST(user_id AS INT) AS user_id, event_type AS tags,
+           NULL::VARCHAR AS _corrupt_record
+    FROM written WHERE doc % 4 <> 1
+    UNION ALL
+    SELECT NULL, NULL, NULL,
+           '[' || string_agg(line, ',' || chr(10) || ' ' ORDER BY event_id) || chr(10)
+    FROM written WHERE doc % 4 = 1 GROUP BY doc
+    """,
+)
+def s1_json_multiline(spark, sf_dir):
+    """A folder of documents, each one array over several lines; every fourth is cut short
+    and kept as text."""
+    path = work_dir(spark, "array-events")
+    line = F.concat(
+        F.lit('{"event_id": '), F.col("event_id"), F.lit(', "user_id": "'), F.col("user_id"),
+        F.lit('", "tags": ["'), F.col("event_type"), F.lit('"]}'),
+    )
+    doc = F.expr("event_id div 200")
+    lines = F.array_sort(F.collect_list(F.struct("event_id", line.alias("line"))))["line"]
+    (
+        load(spark, sf_dir, "events")
+        .groupBy(doc.alias("doc"))
+        .agg(F.concat(F.lit("["), F.array_join(lines, ",\n ")).alias("open"))
+        .select("doc", F.concat("open", F.when(F.col("doc") % 4 == 1, "").otherwise("]")).alias("value"))
+        .write.partitionBy("doc")
+        .text(path)
+    )
+    schema = T.StructType.fromDDL(
+        "event_id bigint, user_id int, tags array<string>, _corrupt_record string"
+    )
+    typed = typed_projection(read_raw_json(spark, f"{path}/*", schema), schema)
+    return typed.withColumn("tags", F.array_join("tags", ","))
+
+
 @query("s2_csv_scan", "SELECT CAST(c_custkey AS INT) AS id, c_name AS name FROM customer")
 def s2_csv_scan(spark, sf_dir):
     path = work_dir(spark, "reference-file")
@@ -124,7 +164,8 @@ def s5_mart_stage(spark, sf_dir):
            count(*) FILTER (WHERE NOT coalesce(value < 1 OR value > 100, false)) AS valid_rows,
            count(*) FILTER (WHERE value < 1 OR value > 100) AS invalid_rows,
            round(count(*) FILTER (WHERE value < 1 OR value > 100) / count(*)::DOUBLE * 100, 2)
-               AS error_percent
+               AS error_percent,
+           CAST(0 AS BIGINT) AS corrupt_rows, CAST(0 AS BIGINT) AS undated_children
     FROM events GROUP BY 1
     """,
 )
@@ -135,85 +176,10 @@ def s6_metrics_history(spark, sf_dir):
     return read_metrics_history(spark, path)
 
 
-SYNTHETIC_SEED = 7
-
-
-def _draw(name: str) -> str:
-    block, part = divmod(synthetic.DRAWS.index(name), 4)
-    digest = f"md5('{SYNTHETIC_SEED}|d{block * 4}|' || o_orderkey)"
-    return f"(('0x' || substr({digest}, {part * 8 + 1}, 8))::BIGINT::DOUBLE / 4294967296.0)"
-
-
-def _int(name: str, low: int, high: int) -> str:
-    return f"CAST({low} + floor({_draw(name)} * {high - low + 1}) AS INT)"
-
-
-def _pick(name: str, pool: list[str]) -> str:
-    return f"{pool}[{_int(name, 1, len(pool))}]"
-
-
-def _some(name: str, pool: list[str], size: str) -> str:
-    digest = f"md5('{SYNTHETIC_SEED}|{name}|' || o_orderkey)"
-    ranked = ", ".join(
-        f"substr({digest}, {4 * n + 1}, 4) || '{item}'" for n, item in enumerate(pool)
-    )
-    return f"list_transform((list_sort([{ranked}]))[1:{size}], lambda c: substr(c, 5))"
-
-
-def _synthetic_sql() -> str:
-    s = synthetic
-    first = f"{_int('gender', 1, 2)} = 1"
-    fever = f"{_draw('fever')} < {s.FEVER_SHARE}"
-    symptoms = _some("symptoms", s.SYMPTOMS, _int("n_symptoms", 1, 3))
-    chronic = _some("chronic", s.CHRONIC, _int("n_chronic", 0, 2))
-    return f"""
-    SELECT o_orderkey AS id,
-           CAST(DATE '{s.FIRST_DAY}' + {_int('day', 0, s.LAST_DAY_OFFSET)} AS VARCHAR) AS visit_date,
-           {_int('age', 18, 90)} AS age,
-           {_int('gender', 1, 2)} AS gender_id,
-           {_int('profession', 100, 150)} AS profession_id,
-           {_int('doctor', 1, 200)} AS doctor_id,
-           {_int('department', 1, 10)} AS department_id,
-           {_int('person1', 100, 999)} || '-' || {_int('person2', 100, 999)} || '-' ||
-               {_int('person3', 100, 999)} || ' ' ||
-               lpad(CAST({_int('person4', 0, 99)} AS VARCHAR), 2, '0') AS snils,
-           CASE WHEN {first} THEN {_int('height', 155, 195)}
-                ELSE {_int('height', 145, 180)} END AS height,
-           CASE WHEN {first} THEN {_int('weight', 600, 1100)}
-                ELSE {_int('weight', 450, 900)} END / 10.0::DOUBLE AS weight,
-           CASE WHEN {fever} THEN {_int('temperature', 380, 405)}
-                ELSE {_int('temperature', 362, 372)} END / 10.0::DOUBLE AS temperature,
-           {_int('systolic', 110, 150)} AS bp_systolic,
-           {_int('diastolic', 70, 95)} AS bp_diastolic,
-           {_pick('disease', s.DISEASES)} AS disease_code,
-           {_pick('blood', s.BLOOD_TYPES)} AS blood_type,
-           array_to_string(CASE WHEN {fever} AND NOT list_contains({symptoms}, '{s.FEVER_SYMPTOM}')
-                THEN list_append({symptoms}, '{s.FEVER_SYMPTOM}') ELSE {symptoms} END, ',')
-                AS symptoms_code,
-           coalesce(array_to_string({chronic}, ','), '') AS chronic_diseases,
-           {_int('hemoglobin', 1100, 1700)} / 10.0::DOUBLE AS lab_hemoglobin,
-           {_int('leukocytes', 40, 150)} / 10.0::DOUBLE AS lab_leukocytes,
-           {_int('glucose', 35, 85)} / 10.0::DOUBLE AS lab_glucose,
-           {_int('cholesterol', 30, 70)} / 10.0::DOUBLE AS lab_cholesterol
-    FROM orders
-    """
-
-
-SYNTHETIC_VISITS = _synthetic_sql()
-
-
-@query("s7_synth", SYNTHETIC_VISITS)
-def s7_synth(spark, sf_dir):
-    visits = synthetic_visits(load(spark, sf_dir, "orders"), "o_orderkey", seed=SYNTHETIC_SEED)
-    return visits.withColumns(
-        {c: F.array_join(c, ",") for c in ("symptoms_code", "chronic_diseases")}
-    )
-
-
 @query(
     "k1_quarantine",
     """
-    SELECT 'events' AS source, event_id AS id, NULL AS amount,
+    SELECT 'events' AS ds, event_id AS id, NULL AS amount,
            CASE WHEN value < 1 THEN 'LOW' ELSE 'HIGH' END AS errors,
            TIMESTAMP '2026-01-01 00:00:00' AS rejected_at
     FROM events WHERE value < 1 OR value > 100
@@ -224,27 +190,24 @@ def s7_synth(spark, sf_dir):
     """,
 )
 def k1_quarantine(spark, sf_dir):
+    """Batches of different columns, one of them stored twice."""
     path = work_dir(spark, "quarantine")
     events = tag(load(spark, sf_dir, "events"), EVENT_RULES)
-    append_quarantine(
-        rejected_rows(events, RUN_TS).selectExpr(
-            "'events' AS source", "event_id AS id", "errors", "rejected_at"
-        ),
-        path,
-    )
+    rejected = rejected_rows(events, RUN_TS).selectExpr("event_id AS id", "errors", "rejected_at")
     orders = tag(
         load(spark, sf_dir, "orders"), [in_range("o_totalprice", 5000, 495000, "PRICE")]
     )
-    append_quarantine(
-        rejected_rows(orders, RUN_TS).selectExpr(
-            "'orders' AS source",
-            "o_orderkey AS id",
-            "o_totalprice AS amount",
-            "errors",
-            "rejected_at",
+    for rows, ds in (
+        (rejected, "events"),
+        (
+            rejected_rows(orders, RUN_TS).selectExpr(
+                "o_orderkey AS id", "o_totalprice AS amount", "errors", "rejected_at"
+            ),
+            "orders",
         ),
-        path,
-    )
+        (rejected, "events"),
+    ):
+        write_quarantine(rows, path, ds)
     return read_quarantine(spark, path).withColumn("errors", F.array_join("errors", ","))
 
 
@@ -267,6 +230,35 @@ def i2_since(spark, sf_dir):
     return since(orders, "o_orderdate", mark_value(loaded, "o_orderdate"))
 
 
+@query(
+    "i2_zoned_marks",
+    """
+    SELECT event_id, 'since' AS cut FROM events
+    WHERE ts >= (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00')
+    UNION ALL
+    SELECT event_id, 'newer' FROM events
+    WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00')
+    """,
+)
+def i2_zoned_marks(spark, sf_dir):
+    """Marks on a column with a time zone, in a session of another zone than the process."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        events = load(spark, sf_dir, "events")
+        moments = events.select("event_id", F.col("ts").cast("timestamp").alias("at"), "ts")
+        loaded = moments.filter(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz"))
+        mark = mark_value(loaded, "at")
+        cuts = [
+            cut(moments, "at", mark).select("event_id", F.lit(name).alias("cut"))
+            for name, cut in (("since", since), ("newer", newer_than))
+        ]
+        # Planned while the zone holds.
+        return staged(cuts[0].unionByName(cuts[1]), "zoned")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 @query(
     "i3_mart_delta",
     """

@@ -1,19 +1,17 @@
 from tidemark.sinks.writers import (
     QualityRecord,
     append_mart,
-    append_quarantine,
-    blank_partitions,
+    merge_into,
     metrics_scope,
-    overwrite_touched,
     write_metrics,
+    write_quarantine,
 )
 
 __all__ = [
     "QualityRecord",
     "append_mart",
-    "append_quarantine",
-    "blank_partitions",
+    "merge_into",
     "metrics_scope",
-    "overwrite_touched",
     "write_metrics",
+    "write_quarantine",
 ]

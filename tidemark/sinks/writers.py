@@ -4,35 +4,59 @@ import logging
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.errors import QuarantineError
+from tidemark.files import Files
+from tidemark.operators.dml import upsert
+from tidemark.operators.sizes import fits_broadcast
 from tidemark.sources.readers import METRICS_SCHEMA
-from tidemark.sources.tables import PARTITION_COLUMN, Table
+from tidemark.sources.tables import Table
 
 log = logging.getLogger(__name__)
 
 
 @dataclass
 class QualityRecord:
-    """Quality numbers of one run; zeros until they are measured."""
+    """Quality numbers of one run; zeros until they are measured.
+
+    Fixed values: the names of the first four fields are those of the stored record.
+    """
 
     total_rows: int = 0
     valid_rows: int = 0
     invalid_rows: int = 0
     error_percent: float = 0.0
+    corrupt_rows: int = 0
+    undated_children: int = 0
 
     def take(self, metrics: Row) -> None:
-        for name in METRICS_SCHEMA.names:
+        """The counts, and the percent from them, rounded as Python rounds it: to the nearer
+        of two digits of the exact value, so that 1,001 of 20,000 is 5.0."""
+        for name in ("total_rows", "valid_rows", "invalid_rows", "corrupt_rows"):
             setattr(self, name, metrics[name])
+        share = self.invalid_rows / self.total_rows * 100 if self.total_rows else 0.0
+        self.error_percent = round(share, 2)
+
 
+def write_quarantine(df: DataFrame, path: str, ds: str) -> None:
+    """Store the rejected rows of a run date, in the place of those stored before.
 
-def append_quarantine(df: DataFrame, path: str) -> None:
-    """Append rejected rows; batches may differ in their columns."""
+    Batches may differ in their columns. Without rows nothing is left of the run date.
+    """
     try:
-        df.write.mode("append").parquet(path)
+        files = Files(df.sparkSession, path)
+        files.delete(f"ds={ds}")
+        (
+            df.withColumn("ds", F.lit(ds))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("ds")
+            .parquet(path)
+        )
     except Exception as error:
         raise QuarantineError(f"rejected rows could not be written: {error}") from error
 
@@ -41,11 +65,15 @@ def write_metrics(metrics: DataFrame, path: str, ds: str | None = None) -> None:
     """Store quality metrics as JSON, one file per run date, replacing earlier ones.
 
     ``metrics`` is one record of the run date ``ds``, or one record per value of
-    its own ``ds`` column.
+    its own ``ds`` column. Counts that it does not have are stored as 0.
     """
     rows = metrics if ds is None else metrics.withColumn("ds", F.lit(ds))
+    stored = [
+        F.col(f.name) if f.name in rows.columns else F.lit(0).cast(f.dataType).alias(f.name)
+        for f in METRICS_SCHEMA.fields
+    ]
     (
-        rows.select(*METRICS_SCHEMA.names, F.col("ds").cast("string"))
+        rows.select(*stored, F.col("ds").cast("string"))
         .repartition("ds")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -71,31 +99,32 @@ def metrics_scope(spark: SparkSession, path: str, ds: str) -> Iterator[QualityRe
             log.exception("quality metrics of %s could not be stored", ds)
 
 
-def overwrite_touched(rows: DataFrame, table: Table) -> None:
-    """Replace the partitions of ``table`` that ``rows`` falls into.
+def merge_into(
+    table: Table,
+    batch: DataFrame,
+    run_ts: datetime | None = None,
+    parts: Sequence[str] | None = None,
+    small: bool | None = None,
+    frozen: Sequence[str] = ("id",),
+) -> None:
+    """Upsert ``batch`` into ``table``, reading and replacing only what it touches.
 
-    ``rows`` may be computed from those same partitions: Spark writes the new files
-    beside them and swaps the folders when all tasks have succeeded, so a failed
-    writer leaves the table as it was. The swap goes partition by partition and is
-    not atomic over several.
+    ``parts`` and ``small`` are what the caller already knows: the touched partitions, and
+    whether the batch was measured to fit a broadcast.
     """
-    (
-        rows.withColumn(PARTITION_COLUMN, table.partition())
-        .hint("rebalance", PARTITION_COLUMN)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PARTITION_COLUMN)
-        .parquet(table.path)
+    keys = table.require_merge_keys()
+    if parts is None:
+        parts = table.touched(batch)
+    rows = upsert(
+        table.read_parts(batch.sparkSession, parts),
+        batch,
+        keys,
+        run_ts=run_ts,
+        frozen=frozen,
+        null_safe=table.null_safe,
+        small_source=fits_broadcast(batch) if small is None else small,
     )
-
-
-def blank_partitions(table: Table, parts: DataFrame) -> None:
-    """Empty the given partitions, which have no row left to replace them by."""
-    spark = parts.sparkSession
-    nothing = spark.createDataFrame([], table.file_schema())
-    for row in parts.toLocalIterator():
-        folder = f"{table.path}/{PARTITION_COLUMN}={row[0].isoformat()}"
-        nothing.write.mode("overwrite").parquet(folder)
+    table.replace(rows, parts)
 
 
 def append_mart(df: DataFrame, path: str, month: str, order: Sequence[str]) -> None:

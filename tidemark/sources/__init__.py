@@ -8,7 +8,6 @@ from tidemark.sources.readers import (
     read_table,
     text_schema,
 )
-from tidemark.sources.synthetic import synthetic_visits
 from tidemark.sources.tables import Table
 
 __all__ = [
@@ -20,6 +19,5 @@ __all__ = [
     "read_quarantine",
     "read_raw_json",
     "read_table",
-    "synthetic_visits",
     "text_schema",
 ]

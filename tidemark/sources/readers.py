@@ -11,12 +11,16 @@ from tidemark.errors import MetricsMissingError
 # Fixed value: column that holds the text of a record the reader could not parse.
 CORRUPT_COLUMN = "_corrupt_record"
 
+# The first four fields are those of the stored record; older records have
+# no others, which are read as null.
 METRICS_SCHEMA = T.StructType(
     [
         T.StructField("total_rows", T.LongType()),
         T.StructField("valid_rows", T.LongType()),
         T.StructField("invalid_rows", T.LongType()),
         T.StructField("error_percent", T.DoubleType()),
+        T.StructField("corrupt_rows", T.LongType()),
+        T.StructField("undated_children", T.LongType()),
     ]
 )
 
@@ -65,8 +69,9 @@ def read_table(
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
-    """All rejected rows, with the union of the columns of every batch."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+    """All rejected rows, with the union of the columns of every batch and the run date ``ds``."""
+    rows = spark.read.option("mergeSchema", True).parquet(path)
+    return rows.withColumn("ds", F.col("ds").cast("string"))
 
 
 def read_metrics_history(spark: SparkSession, path: str) -> DataFrame:

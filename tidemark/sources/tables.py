@@ -1,26 +1,42 @@
 """Declared Parquet tables with a derived date partition."""
 
+import json
+import uuid
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from datetime import date
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.errors import MergeKeysError, TidemarkError
+from tidemark.files import Files
+
 PARTITION_COLUMN = "part_date"
 
 # Fixed value: partition of the rows without a business date. It is a real date,
 # so equality on the partition column also finds these rows.
 NO_DATE = "0001-01-01"
 
+#: Most partitions that one batch may touch; a calendar of days has fewer.
+MOST_PARTITIONS = 100_000
+#: Folders that are moved at the same time.
+_MOVERS = 16
+
+_SWAP = "_swap-"
+_READY = "READY"
+_MARKS = "_marks"
+
 
 @dataclass(frozen=True)
 class Table:
     """A folder of Parquet files with a declared schema.
 
     ``date`` names the business time whose ``grain`` (``month`` or ``day``)
-    partitions the table; without it the table is one partition.
+    partitions the table; without it the table is one partition. ``null_safe`` makes
+    null keys equal when batches are merged. One job at a time may write a table.
     """
 
     path: str
@@ -28,6 +44,7 @@ class Table:
     keys: tuple[str, ...] = ()
     date: str | None = None
     grain: str = "month"
+    null_safe: bool = False
 
     def partition(self) -> Column:
         if self.date is None:
@@ -36,6 +53,15 @@ class Table:
         value = F.trunc(day, "MM") if self.grain == "month" else day
         return F.coalesce(value, F.lit(NO_DATE).cast("date"))
 
+    def require_merge_keys(self) -> tuple[str, ...]:
+        """The merge keys. The date must be one: else a row whose date changes would be
+        looked for in its new partition only, and stay in the old one as well."""
+        if not self.keys:
+            raise MergeKeysError(f"{self.path} has no merge keys")
+        if self.date is not None and self.date not in self.keys:
+            raise MergeKeysError(f"{self.path} is partitioned by {self.date!r}, which is not a merge key")
+        return self.keys
+
     def read(self, spark: SparkSession) -> DataFrame:
         """Declared columns in declared order; a table not written yet is empty.
 
@@ -49,35 +75,90 @@ class Table:
         """The partitions that ``rows`` falls into, one row each."""
         return rows.select(self.partition().alias(PARTITION_COLUMN)).distinct()
 
+    def touched(self, rows: DataFrame) -> list[str]:
+        """The same as a list of days: one job, and no more than a calendar holds."""
+        text = self.partitions_of(rows).select(F.col(PARTITION_COLUMN).cast("string"))
+        found = sorted(r[0] for r in text.limit(MOST_PARTITIONS + 1).collect())
+        if len(found) > MOST_PARTITIONS:
+            raise TidemarkError(f"a batch for {self.path} touches over {MOST_PARTITIONS} partitions")
+        return found
+
+    def read_parts(self, spark: SparkSession, parts: Sequence[str]) -> DataFrame:
+        """Rows in the given partitions. The list is literal, so no other file is listed
+        for the scan, whatever the size of the batch that touches them."""
+        if self.date is None:
+            return self.read(spark)
+        return self._scan(spark).filter(self._among(parts)).drop(PARTITION_COLUMN)
+
     def read_touched(self, spark: SparkSession, batch: DataFrame) -> DataFrame:
-        """Rows in the partitions that the batch falls into, and no others.
+        """Rows in the partitions that the batch falls into, and no others."""
+        return self.read(spark) if self.date is None else self.read_parts(spark, self.touched(batch))
+
+    def replace(self, rows: DataFrame, parts: Sequence[str] | None = None) -> None:
+        """Put ``rows`` in the place of the partitions that they fall into, and of ``parts``.
 
-        The bounds are one collected row and prune at planning time; the semi
-        join then leaves out the untouched partitions between them.
+        ``rows`` may be computed from those same partitions. They are written beside the
+        table first; a marker that names the partitions then makes the swap certain: it
+        can be done over from any point, and a reader that finds a marker finishes it. A
+        writer that fails before has changed nothing. Partitions of ``parts`` without rows
+        are removed. The swap goes partition by partition.
         """
-        if self.date is None:
-            return self.read(spark)
-        part, no_date = F.col(PARTITION_COLUMN), F.lit(NO_DATE).cast("date")
-        parts = self.partitions_of(batch)
-        dated = F.nullif(part, no_date)
-        low, high, undated = parts.agg(
-            F.min(dated), F.max(dated), F.bool_or(part == no_date)
-        ).first()
-        pruned = part == no_date if undated else F.lit(False)
-        if low is not None:
-            pruned = pruned | part.between(_date(low), _date(high))
-        return (
-            self._scan(spark)
-            .filter(pruned)
-            .join(parts, PARTITION_COLUMN, "left_semi")
-            .drop(PARTITION_COLUMN)
+        spark = rows.sparkSession
+        self.finish_swaps(spark)
+        files = Files(spark, self.path)
+        for name in files.names():
+            if name.startswith(_SWAP):  # of a writer that failed before its marker
+                files.delete(name)
+        swap = f"{_SWAP}{uuid.uuid4().hex}"
+        (
+            rows.withColumn(PARTITION_COLUMN, self.partition())
+            .hint("rebalance", PARTITION_COLUMN)
+            .write.partitionBy(PARTITION_COLUMN)
+            .parquet(f"{self.path}/{swap}")
         )
+        made = [n for n in files.names(swap) if n.startswith(f"{PARTITION_COLUMN}=")]
+        gone = [f"{PARTITION_COLUMN}={p}" for p in parts or ()]
+        files.write(f"{swap}/{_READY}", json.dumps({"made": made, "gone": sorted({*gone} - {*made})}))
+        self.finish_swaps(spark)
+
+    def finish_swaps(self, spark: SparkSession) -> None:
+        """Finish what a writer that has stopped left behind; else nothing."""
+        files = Files(spark, self.path)
+        for swap in files.names():
+            plan = files.read(f"{swap}/{_READY}") if swap.startswith(_SWAP) else None
+            if plan is None:
+                continue
+            left = {*files.names(swap)}  # what has been moved before is not there any more
+
+            def put(name: str) -> None:
+                files.delete(name)
+                if name in left:
+                    files.move(f"{swap}/{name}", name)
+
+            made, gone = (json.loads(plan)[k] for k in ("made", "gone"))
+            with ThreadPoolExecutor(_MOVERS) as movers:
+                list(movers.map(put, [*(n for n in made if n in left), *gone]))
+            files.delete(swap)
+
+    def stored_mark(self, spark: SparkSession, name: str) -> str | int | None:
+        """The mark that the last run left beside the table."""
+        text = Files(spark, self.path).read(f"{_MARKS}/{name}")
+        return None if text is None else json.loads(text)
+
+    def store_mark(self, spark: SparkSession, name: str, mark: str | int | None) -> None:
+        if mark is not None:
+            Files(spark, self.path).write(f"{_MARKS}/{name}", json.dumps(mark))
 
     def file_schema(self) -> T.StructType:
         """The declared columns; files do not enforce not-null."""
         return T.StructType([T.StructField(f.name, f.dataType) for f in self.schema.fields])
 
+    def _among(self, parts: Sequence[str]) -> Column:
+        days = ", ".join(f"DATE '{p}'" for p in parts)
+        return F.expr(f"{PARTITION_COLUMN} IN ({days})") if parts else F.lit(False)
+
     def _scan(self, spark: SparkSession) -> DataFrame:
+        self.finish_swaps(spark)
         part = T.StructField(PARTITION_COLUMN, T.DateType())
         schema = T.StructType([*self.file_schema().fields, part])
         try:
@@ -87,6 +168,3 @@ class Table:
                 raise
             return spark.createDataFrame([], schema)
 
-
-def _date(day: date) -> Column:
-    return F.lit(day.isoformat()).cast("date")

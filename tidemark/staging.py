@@ -5,31 +5,50 @@ than once are written as Parquet under ``spark.checkpoint.dir`` instead of being
 kept on executors.
 """
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.errors import TidemarkError
+from tidemark.files import Files
 
+_fallback: list[str] = []
 
-def work_dir(spark: SparkSession, label: str) -> str:
-    """A new folder, never used before, below the cluster's checkpoint folder.
 
-    Only a local session without that setting falls back to the machine's own
-    temporary folder.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+def use_folder(path: str) -> None:
+    """The folder to work in where a session names none; it must be shared by all machines."""
+    _fallback[:] = [path]
+
+
+def work_dir(spark: SparkSession, label: str) -> str:
+    """A new folder, never used before, below the session's checkpoint folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or next(iter(_fallback), None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise TidemarkError("spark.checkpoint.dir must name a shared folder")
-        root = tempfile.mkdtemp(prefix="tidemark-")
+        raise TidemarkError("spark.checkpoint.dir must name a shared folder")
     return f"{root.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
-    """Write ``df`` once and hand back a scan of what was written."""
+def staged(
+    df: DataFrame, label: str, partition_by: tuple[str, ...] = (), folder: str | None = None
+) -> DataFrame:
+    """Write ``df`` once and hand back a scan of what was written.
+
+    Without a ``folder`` of the caller's the copy stays, because what is built on it
+    may be read at any later time.
+    """
     spark = df.sparkSession
-    path = work_dir(spark, label)
+    path = f"{folder}/{label}" if folder else work_dir(spark, label)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession, label: str) -> Iterator[str]:
+    """A folder for the staged copies of one run, removed when the run ends or fails."""
+    path = work_dir(spark, label)
+    try:
+        yield path
+    finally:
+        Files(spark, path).delete()

@@ -1,8 +1,8 @@
 """The clean job over files that arrived since the last run.
 
 File discovery with a checkpoint takes the place of listing run-date folders. The
-job itself is the batch job; merging a batch again after a failure changes nothing
-but the stamps.
+job itself is the batch job; loading an epoch again after a failure replaces what it
+left in the quarantine and the metrics, and changes nothing in the tables but stamps.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +12,7 @@ from tidemark.sources.readers import CORRUPT_COLUMN, text_schema
 
 
 def clean_arrivals(
-    spark: SparkSession, raw_path: str, checkpoint: str, job: CleanJob, multiline: bool = True
+    spark: SparkSession, raw_path: str, checkpoint: str, job: CleanJob, multiline: bool = False
 ) -> None:
     """Process every raw file not processed yet, then stop."""
 
