@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import urls
+from tidemark.llm import oracles, urls
 from tidemark.llm.decontaminate import contamination_report, find_contamination
 from tidemark.llm.embeddings import near_duplicates
 from tidemark.llm.jaccard import jaccard_groups
@@ -17,7 +17,13 @@ from tidemark.llm.secrets import scan_secrets, secrets_report
 from tidemark.llm.sharding import shard, shard_report
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_near_duplicate_vectors": oracles.OP1,
+    "op2_mix_sources": oracles.OP2,
+    "op4_url_filter": oracles.OP4,
+    "op6_jaccard_join": oracles.OP6,
+    "op9_decontaminate": oracles.OP9,
+}
 
 
 def _query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -80,8 +86,6 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), rules).drop("url")
 
 
-ORACLES["op4_url_filter"] = urls.SQL
-
 
 @_query
 def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
