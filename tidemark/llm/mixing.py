@@ -71,6 +71,7 @@ def apportion(parts: DataFrame, group: Sequence[str], share: str, seats: str, or
         parts.withColumn("__base", F.floor(exact + 0.5))
         .withColumn("__left", F.col(seats) - F.sum("__base").over(all_of))
         .withColumn("__parts", F.count(F.lit(1)).over(all_of))
+        .withColumn("__place", F.row_number().over(all_of.orderBy(*[F.col(c).asc_nulls_last() for c in order])))
         .withColumn(
             "__tries",
             F.when(
@@ -84,9 +85,9 @@ def apportion(parts: DataFrame, group: Sequence[str], share: str, seats: str, or
     holds = F.when(F.col("__give"), F.col("__base") + F.col("__try")).otherwise(F.col("__base") - F.col("__try") - 1)
     quotient = F.when(holds >= 0, F.col(share) / (holds * 2 + 1))
     tried = tried.withColumn("__rank_by", F.when(F.col("__give"), -quotient).otherwise(quotient))
-    ranked = Window.partitionBy(*group).orderBy(
-        F.col("__rank_by").asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in order], "__try"
-    )
+    # Of equal quotients the first part's seat counts as dealt earlier, so it is taken back later.
+    turn = F.when(F.col("__give"), F.col("__place")).otherwise(-F.col("__place"))
+    ranked = Window.partitionBy(*group).orderBy(F.col("__rank_by").asc_nulls_last(), turn, "__try")
     moves = F.col("__rank_by").isNotNull() & (F.row_number().over(ranked) <= F.abs("__left"))
     won = tried.withColumn("__move", F.when(moves, F.when(F.col("__give"), 1).otherwise(-1)).otherwise(0))
     return (
