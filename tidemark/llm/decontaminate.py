@@ -82,7 +82,8 @@ def drop_contaminated(found: DataFrame) -> DataFrame:
 def cut_hits(found: DataFrame, text: str = "text") -> DataFrame:
     """The documents with their hit words, and what stands between these, cut out."""
     schema = T.StructType([f for f in found.schema.fields if f.name not in ("n_words", "hits", "items")])
-    at, hits, keep = found.columns.index(text), found.columns.index("hits"), schema.names
+    names, keep = found.columns, schema.names
+    at, hits = names.index(text), names.index("hits")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,7 +91,7 @@ def cut_hits(found: DataFrame, text: str = "text") -> DataFrame:
             for i, runs in enumerate(batch.column(hits).to_pylist()):
                 if runs:
                     texts[i] = _cut(texts[i].encode(), runs)
-            columns = [pa.array(texts, batch.column(at).type) if c == text else batch.column(found.columns.index(c)) for c in keep]
+            columns = [pa.array(texts, batch.column(at).type) if c == text else batch.column(names.index(c)) for c in keep]
             yield pa.RecordBatch.from_arrays(columns, keep)
 
     return found.mapInArrow(run, schema)

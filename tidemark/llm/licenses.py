@@ -49,7 +49,7 @@ TERMS = ("permissive", "weak copyleft", "strong copyleft", "unknown")
 
 _LEVEL = {name.lower(): level for level, names in enumerate((PERMISSIVE, WEAK, STRONG)) for name in names}
 _BINDS = {"or": 1, "and": 2, "with": 3}
-_TOKEN = re.compile(r"[ \t]*([()]|[A-Za-z0-9][A-Za-z0-9.+:-]*)")
+_TOKEN = re.compile(r"[ \t]*([()]|[A-Za-z0-9](?:[A-Za-z0-9.+:-]*[A-Za-z0-9+])?)")
 
 COLUMNS = (
     "n_words long, n_base long, first_word long, last_word long, base_labels string, "

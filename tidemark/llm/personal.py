@@ -348,6 +348,7 @@ def personal_report(found: DataFrame, key: str = "doc_id") -> DataFrame:
 def redact(found: DataFrame, text: str = "text") -> DataFrame:
     """The documents with every span replaced by its kind in angle brackets."""
     rows = found.drop("found")
+    names = rows.columns
     at, spans = found.columns.index(text), found.columns.index("found")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,6 +362,6 @@ def redact(found: DataFrame, text: str = "text") -> DataFrame:
                     last = max(last, s["end"])
                 out.append("".join(done) + value[last:] if mine else value)
             columns = [pa.array(out, batch.column(at).type) if i == at else c for i, c in enumerate(batch.columns) if i != spans]
-            yield pa.RecordBatch.from_arrays(columns, rows.columns)
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return found.mapInArrow(run, rows.schema)
