@@ -14,6 +14,8 @@ from tidemark.llm.components import components
 from tidemark.llm.text import _PLACE, SPACED, Words, _scramble, pieces, words
 from tidemark.staging import staged
 
+#: Bytes of text whose rows are dealt out together.
+PIECE_BYTES = 4 << 20
 #: Bytes of text whose n-grams make up one block of columns.
 BLOCK_BYTES = 6 << 20
 #: An n-gram in more rows of one piece than this is sent once for the piece.
@@ -110,7 +112,7 @@ def _deal(width: int, bits: int):
         serial = TaskContext.get().partitionId() << 32
         for batch in batches:
             ids = batch.column(0)
-            for first, data, offsets in pieces(batch.column(1)):
+            for first, data, offsets in pieces(batch.column(1), PIECE_BYTES):
                 row, value = _shingles(words(data, offsets, SPACED), width)
                 block = (value >> np.uint64(64 - bits)).astype(np.uint16)
                 entry = (value & _LOW) << _BITS | row.astype(np.uint64)

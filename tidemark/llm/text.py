@@ -13,7 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: A piece of a column that is worked on at once; one longer text is a piece by itself.
-PIECE_BYTES = 8 << 20
+#: The arrays over a piece take about 50 times its bytes.
+PIECE_BYTES = 2 << 20
 
 _U = np.uint64
 
