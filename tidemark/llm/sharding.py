@@ -21,6 +21,7 @@ def shard(
     text: str = "text",
     cells_per_shard: int = 256,
     cell_rows: int = 50_000,
+    group_share: int = 16,
     weights: Sequence[float] = (0.9, 0.05, 0.05),
 ) -> DataFrame:
     """``docs`` with ``size``, ``text_crc32``, ``shard`` and ``slot``; shards near equal in bytes.
@@ -54,11 +55,13 @@ def shard(
     )
     total = groups.agg(F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows")).first()
     cells = shards * cells_per_shard + (total["rows"] or 0) // cell_rows
-    fair = max(1, (total["bytes"] or 0) // cells)
-    # At most one group per cell can be over a cell's bytes: the list is bounded.
-    large = groups.filter((F.col("bytes") > fair) & (F.col("rows") > 1)).select(
+    fair = max(1, (total["bytes"] or 0) // (shards * group_share))
+    # The total bounds how many groups can be over either limit, so the list is bounded.
+    large = groups.filter(((F.col("bytes") > fair) | (F.col("rows") > cell_rows)) & (F.col("rows") > 1)).select(
         F.col("__group").alias("__large"),
-        F.least(F.ceil(F.col("bytes") / fair), F.col("rows")).cast("long").alias("__parts"),
+        F.least(
+            F.greatest(F.ceil(F.col("bytes") / fair), F.ceil(F.col("rows") / cell_rows)), F.col("rows")
+        ).cast("long").alias("__parts"),
     )
     dealt = rows.join(F.broadcast(large), F.col("__group") == F.col("__large"), "left")
     part = F.pmod(F.xxhash64(F.col(key).cast("string"), F.lit(1)), F.coalesce("__parts", F.lit(1)))
