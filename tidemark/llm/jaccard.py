@@ -25,9 +25,12 @@ BLOCK_ROWS = 512
 #: Columns that are multiplied at once.
 BLOCK_COLUMNS = 4096
 
-_LOW = np.uint64((1 << 48) - 1)
+# An entry is 40 bits of an n-gram's hash, which with its block make 56 at most, and a row.
+_LOW = np.uint64((1 << 40) - 1)
+_TOP = np.uint64(40)
 _IDX = np.uint64(0xFFFF)
 _BITS = np.uint64(16)
+_ENTRY_BYTES = 7
 
 
 def jaccard_groups(
@@ -50,13 +53,14 @@ def jaccard_groups(
     3. Equal sets become one row. Rows that may link, directly or through others, are
        multiplied block by block, and overlaps below the bound are dropped.
 
-    Memory of a task is set by the size of a block. Hashes are 64 bits; sets with equal
-    128-bit sums and sizes are taken to be equal.
+    Memory of a task is set by the size of a block. N-grams are known by hashes of 48 to 56
+    bits, as many as there are blocks; sets with equal 128-bit sums and sizes are taken to be
+    equal.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(3, min(16, int(total // BLOCK_BYTES).bit_length()))
+    bits = max(8, min(16, int(total // BLOCK_BYTES).bit_length()))
 
     dealt = rows.mapInArrow(_deal(width, bits), "block int, batch long, entries binary, often binary, meta binary")
     common = dealt.groupBy("block").applyInPandas(
@@ -134,7 +138,7 @@ def _deal(width: int, bits: int):
                     if many.any():
                         hot = _pack(low=low[edge[times > OFTEN]], times=times[times > OFTEN])
                         often.append((k, mine[many]))
-                    out.append((k, serial, mine[~many].tobytes(), hot, None))
+                    out.append((k, serial, _shorten(mine[~many]), hot, None))
                 size = len(offsets) - 1
                 n, s1, s2 = np.zeros(size, np.int64), np.zeros(size, np.uint64), np.zeros(size, np.uint64)
                 if every:
@@ -144,7 +148,7 @@ def _deal(width: int, bits: int):
                     n = np.bincount(owner, minlength=size)
                     has = np.flatnonzero(n)
                     edge = np.concatenate([[0], np.cumsum(n[has])[:-1]])
-                    whole = ((mine >> _BITS) | at << np.uint64(48))[order]
+                    whole = ((mine >> _BITS) | at << _TOP)[order]
                     s1[has] = np.add.reduceat(_scramble(whole + np.uint64(1)), edge)
                     s2[has] = np.add.reduceat(_scramble(whole ^ np.uint64(0xA5A5A5A5A5A5A5A5)), edge)
                 mine = ids.slice(first, size)
@@ -163,12 +167,22 @@ def _pack(**arrays) -> bytes:
     return pickle.dumps(arrays, protocol=5)
 
 
+def _shorten(entries: np.ndarray) -> bytes:
+    return entries.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_ENTRY_BYTES].tobytes()
+
+
+def _lengthen(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // _ENTRY_BYTES, 8), np.uint8)
+    wide[:, :_ENTRY_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, _ENTRY_BYTES)
+    return wide.view("<u8")[:, 0].astype(np.uint64)
+
+
 def _common(group: pd.DataFrame) -> pd.DataFrame:
     """The entries of one block whose n-gram is in two rows or more, with its frequency."""
     block = int(group["block"].iloc[0])
     meta = group[group["meta"].notna()]
     rows = group[group["meta"].isna()]
-    light = [np.frombuffer(e, np.uint64) for e in rows["entries"]]
+    light = [_lengthen(e) for e in rows["entries"]]
     hot = [pickle.loads(o) if o is not None else None for o in rows["often"]]
     low = [x >> _BITS for x in light] + [h["low"] for h in hot if h]
     result = []
@@ -185,7 +199,7 @@ def _common(group: pd.DataFrame) -> pd.DataFrame:
                 df = frequency[np.searchsorted(known, much["low"])]
                 back = _pack(low=much["low"], df=np.minimum(df, 0xFFFF).astype(np.uint16))
             if len(counts) or much:
-                result.append((block, batch, entries[keep].tobytes(), counts.tobytes(), back, None))
+                result.append((block, batch, _shorten(entries[keep]), counts.tobytes(), back, None))
     result += [(block, b, None, None, None, m) for b, m in zip(meta["batch"], meta["meta"])]
     return pd.DataFrame(result, columns=["block", "batch", "entries", "counts", "often", "meta"])
 
@@ -200,8 +214,8 @@ def _rows(percent: int):
         for block, entries, counts, often in zip(group["block"], group["entries"], group["counts"], group["often"]):
             if entries is None:
                 continue
-            top = np.uint64(block) << np.uint64(48)
-            e = np.frombuffer(entries, np.uint64)
+            top = np.uint64(block) << _TOP
+            e = _lengthen(entries)
             parts = [(e, np.frombuffer(counts, np.uint16))]
             if often is not None:
                 much, e = pickle.loads(often), mine[block]
