@@ -14,6 +14,8 @@ from tidemark.llm.text import pieces
 #: Classes of letters; 0 stands for what is not a letter.
 LETTERS = 64
 UNKNOWN = "und"
+#: Different trigrams that are bundled at once.
+GRAM_BLOCK = 8192
 
 @dataclass(frozen=True)
 class Profiles:
@@ -132,6 +134,20 @@ def _bound(grams: np.ndarray, width: int, seed: int) -> np.ndarray:
     return np.roll(signs, 2, 1)[a] * np.roll(signs, 1, 1)[b] * signs[c]
 
 
+def _bundle(row: np.ndarray, gram: np.ndarray, rows: int, profiles: Profiles) -> np.ndarray:
+    """Sums of the trigrams' vectors by row, a block of different trigrams at a time."""
+    known, which = np.unique(gram, return_inverse=True)
+    order = np.argsort(which, kind="stable")
+    row, which = row[order], which[order]
+    cuts = np.searchsorted(which, np.arange(0, len(known) + GRAM_BLOCK, GRAM_BLOCK))
+    total = np.zeros((rows, profiles.width), np.float32)
+    for low, high, base in zip(cuts[:-1], cuts[1:], range(0, len(known), GRAM_BLOCK)):
+        mine = known[base : base + GRAM_BLOCK]
+        count = np.bincount(row[low:high] * len(mine) + which[low:high] - base, minlength=rows * len(mine))
+        total += count.reshape(rows, -1).astype(np.float32) @ _bound(mine, profiles.width, profiles.seed)
+    return total
+
+
 def _compare(
     profiles: Profiles, row: np.ndarray, gram: np.ndarray, rows: int, chunk: int = 256
 ) -> tuple[list[str], np.ndarray]:
@@ -142,11 +158,9 @@ def _compare(
         for low, high, base in zip(cuts[:-1], cuts[1:], range(0, rows, chunk)):
             if low == high:
                 continue
-            known, which = np.unique(gram[low:high], return_inverse=True)
-            count = np.bincount((row[low:high] - base) * len(known) + which, minlength=chunk * len(known))
-            bundle = count.reshape(chunk, len(known)).astype(np.float32) @ _bound(known, profiles.width, profiles.seed)
+            bundle = _bundle(row[low:high] - base, gram[low:high], chunk, profiles)
             norm = np.linalg.norm(bundle, axis=1)
-            has = np.flatnonzero(count.reshape(chunk, -1).any(1))
+            has = np.unique(row[low:high] - base)
             cosine = (bundle[has] @ profiles.vectors.T) / np.maximum(norm[has], 1e-9)[:, None]
             best[base + has] = cosine.argmax(1)
             score[base + has] = np.clip(cosine.max(1), 0, 1)
