@@ -190,17 +190,28 @@ class Field:
         return found
 
 
-def train(docs: DataFrame, key: str = "doc_id", text: str = "text", sample_rows: int = 400, epochs: int = 12) -> Field:
+def train(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    sample_rows: int = 400,
+    drawn_rows: int = 20_000,
+    epochs: int = 12,
+) -> Field:
     """Fit the field on zones of at most ``sample_rows`` documents that have a digit or an at sign.
 
-    The sample is fixed by a hash of ``key``; of each document the first zones of up to 40
-    tokens come to the driver, four at most. The base patterns label them. Telephone
-    numbers are learned a second time without their plus and country code, so that the
-    field knows what they look like on their own. The gradient is that of the conditional
-    log-likelihood, by the forward-backward recursion over segments.
+    They are the first by a hash of ``key`` and text among about ``drawn_rows`` documents
+    that the hash draws from all, so that what is ordered does not grow with the corpus. Of
+    each document the first zones of up to 40 tokens come to the driver, four at most. The
+    base patterns label them. Telephone numbers are learned a second time without their
+    plus and country code, so that the field knows what they look like on their own. The
+    gradient is that of the conditional log-likelihood, by the forward-backward recursion
+    over segments.
     """
-    rows = docs.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text")).filter(F.col("text").rlike("[0-9@]"))
-    sample = rows.orderBy(F.xxhash64("key"), "key", "text").limit(sample_rows)
+    share = min(1.0, drawn_rows / max(1, docs.count()))
+    rows = docs.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"))
+    drawn = rows.withColumn("draw", F.pmod(F.xxhash64("key", "text"), F.lit(1 << 31))).filter(F.col("draw") <= int(share * (1 << 31)))
+    sample = drawn.filter(F.col("text").rlike("[0-9@]")).orderBy("draw", "key", "text").limit(sample_rows)
 
     def shown(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
