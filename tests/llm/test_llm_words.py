@@ -206,6 +206,26 @@ def test_licence_expressions(text, expected, level):
     assert (found and found.text, found and found.level) == (expected, level)
 
 
+@pytest.mark.parametrize("n", [20, 60, 250, 100_000])
+def test_licence_expressions_behind_a_tag_are_read_whole(frame, n):
+    many = " OR ".join(["MIT"] * n)
+    tag = "SPDX-License-Identifier:"
+    cases = {
+        f"({many}) AND ISC": (f"({many}) AND ISC", "spdx:isc,spdx:mit", "permissive"),
+        f"MIT AND ({many} AND GPL-2.0)": (f"MIT AND ({many} AND GPL-2.0)", "spdx:gpl-2.0,spdx:mit", "permissive"),
+        f"MIT AND (GPL-2.0 AND ({many}))": (f"MIT AND GPL-2.0 AND ({many})", "spdx:gpl-2.0,spdx:mit", "strong copyleft"),
+        f"{'(' * n}GPL-3.0{')' * n}": ("GPL-3.0", "spdx:gpl-3.0", "strong copyleft"),
+        f"{' ' * 5 * n}ISC": ("ISC", "spdx:isc", "permissive"),
+        f"MIT AND{' ' * 5 * n}AGPL-3.0\nAND ISC": ("MIT AND AGPL-3.0", "spdx:agpl-3.0,spdx:mit", "strong copyleft"),
+        f"MIT AND LicenseRef-{'a' * 5 * n}": (f"MIT AND LicenseRef-{'a' * 5 * n}", f"spdx:licenseref-{'a' * 5 * n},spdx:mit", "unknown"),
+        f"MIT AND ({many}": ("MIT", "spdx:mit", "permissive"),
+    }
+    rows = [(i, f"{tag} {text}") for i, text in enumerate(cases)]
+    got = {r.id: r for r in scan_licenses(frame(rows, "id int, text string")).collect()}
+    for i, expected in enumerate(cases.values()):
+        assert (got[i].expression, got[i].labels, got[i].terms) == expected and got[i].score == 1.0
+
+
 def test_license_scan(frame, awkward, empty):
     rows = [
         (1, "Released under the MIT-License. cc BY nc. gnu general public license: cc by", "cc-by,gpl,mit", 0.9, None),

@@ -49,7 +49,8 @@ TERMS = ("permissive", "weak copyleft", "strong copyleft", "unknown")
 
 _LEVEL = {name.lower(): level for level, names in enumerate((PERMISSIVE, WEAK, STRONG)) for name in names}
 _BINDS = {"or": 1, "and": 2, "with": 3}
-_TOKEN = re.compile(r"[ \t]*([()]|[A-Za-z0-9](?:[A-Za-z0-9.+:-]*[A-Za-z0-9+])?)")
+_TOKEN = re.compile(rb"[ \t]*([()]|[A-Za-z0-9](?:[A-Za-z0-9.+:-]*[A-Za-z0-9+])?)")
+_LEAD = re.compile(rb"[ \t:]*")
 
 COLUMNS = (
     "n_words long, n_base long, first_word long, last_word long, base_labels string, "
@@ -111,72 +112,101 @@ def parse_expression(text: str) -> Expression | None:
     freest, and an exception turns strong copyleft into weak. An expression that breaks
     off is cut where it was last complete.
     """
-    tokens = _TOKEN.findall(re.match(rf"(?:{_TOKEN.pattern})*", text)[0])
-    while tokens:
-        if (found := _evaluate(tokens)) is not None:
-            return found
-        tokens.pop()
-    return None
+    data = text.encode(errors="replace")
+    return _evaluate(_longest(data, 0, len(data)))
+
+
+def _longest(data: bytes | memoryview, start: int, end: int) -> list[str]:
+    """Tokens of the longest whole expression at ``start``, read until none can follow."""
+    tokens: list[str] = []
+    whole = depth = 0
+    operand, last = True, ""
+    while found := _TOKEN.match(data, start, end):
+        start = found.end()
+        token = found[1].decode()
+        name = token.lower()
+        if token == "(":
+            if not operand:
+                break
+            depth += 1
+        elif token == ")":
+            if operand or not depth:
+                break
+            depth -= 1
+        elif name in _BINDS:
+            if operand:
+                break
+            operand = True
+        else:
+            known = name in _LEVEL or name.startswith("licenseref-") or last == "with"
+            if not operand or not known:
+                break
+            operand = False
+        tokens.append(token)
+        last = name
+        if not operand and not depth:
+            whole = len(tokens)
+    return tokens[:whole]
 
 
 def _evaluate(tokens: Sequence[str]) -> Expression | None:
-    """Shunting-yard: operators wait on a stack until one that binds less closely comes."""
-    values: list[Expression] = []
+    """Shunting-yard over a whole expression: operators wait until one that binds less closely comes.
+
+    A value is its text, as nested parts that are put together once, its level and how
+    closely it binds.
+    """
+    values: list[tuple] = []
     waiting: list[str] = []
-    operand = True
+    names: dict[str, None] = {}
 
-    def reduce() -> bool:
-        if len(values) < 2:
-            return False
+    def reduce() -> None:
         right, left = values.pop(), values.pop()
         values.append(_join(waiting.pop(), left, right))
-        return True
 
     for token in tokens:
         name = token.lower()
         if token == "(":
-            if not operand:
-                return None
             waiting.append("(")
         elif token == ")":
-            if operand:
-                return None
-            while waiting and waiting[-1] != "(":
-                if not reduce():
-                    return None
-            if not waiting:
-                return None
+            while waiting[-1] != "(":
+                reduce()
             waiting.pop()
         elif name in _BINDS:
-            if operand:
-                return None
             while waiting and waiting[-1] != "(" and _BINDS[waiting[-1]] >= _BINDS[name]:
-                if not reduce():
-                    return None
+                reduce()
             waiting.append(name)
-            operand = True
+        elif waiting and waiting[-1] == "with":
+            values.append((token, 0, 4))
         else:
-            exception = bool(waiting) and waiting[-1] == "with"
-            known = name in _LEVEL or name.startswith("licenseref-") or exception
-            if not operand or not known:
-                return None
-            values.append(Expression(token, () if exception else (name,), 0 if exception else _LEVEL.get(name, 3)))
-            operand = False
+            names[name] = None
+            values.append((token, _LEVEL.get(name, 3), 4))
     while waiting:
-        if waiting[-1] == "(" or not reduce():
-            return None
-    return values[0] if len(values) == 1 and not operand else None
+        reduce()
+    if not values:
+        return None
+    parts, level, binds = values[0]
+    return Expression(_flat(parts), tuple(names), level, binds)
 
 
-def _join(operator: str, left: Expression, right: Expression) -> Expression:
+def _join(operator: str, left: tuple, right: tuple) -> tuple:
     binds = _BINDS[operator]
-    sides = [f"({x.text})" if x.binds < binds else x.text for x in (left, right)]
+    sides = [("(", parts, ")") if b < binds else parts for parts, _, b in (left, right)]
     if operator == "with":
-        level = 1 if left.level == 2 else left.level
+        level = 1 if left[1] == 2 else left[1]
     else:
-        level = (min if operator == "or" else max)(left.level, right.level)
-    names = left.names + tuple(n for n in right.names if n not in left.names)
-    return Expression(f"{sides[0]} {operator.upper()} {sides[1]}", names, level, binds)
+        level = (min if operator == "or" else max)(left[1], right[1])
+    return (sides[0], f" {operator.upper()} ", sides[1]), level, binds
+
+
+def _flat(parts: str | tuple) -> str:
+    found, waiting = [], [parts]
+    while waiting:
+        part = waiting.pop()
+        if isinstance(part, str):
+            found.append(part)
+        else:
+            waiting += reversed(part)
+    return "".join(found)
 
 
 def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -284,12 +314,7 @@ class _Scanner:
         )
 
     def _behind(self, found: Words, data: np.ndarray, end: int, word: int) -> Expression | None:
-        """The expression on the rest of the line, read in growing parts while it goes on."""
-        start, reach = int(found.end[word]), 256
-        while True:
-            line = data[start : min(end, start + reach)].tobytes().split(b"\n")[0]
-            whole = len(line) < min(end - start, reach) or start + reach >= end
-            parsed = parse_expression(line.decode(errors="replace").lstrip(" \t:"))
-            if whole or parsed is None or len(parsed.text) < reach // 2:
-                return parsed
-            reach *= 4
+        """The expression on the rest of the line, read as far as it goes on."""
+        line = memoryview(data)
+        start = _LEAD.match(line, int(found.end[word]), int(end)).end()
+        return _evaluate(_longest(line, start, int(end)))
