@@ -99,6 +99,17 @@ def test_a_large_group_is_multiplied_in_blocks(frame, monkeypatch):
     assert sorted(got) == brute_groups(rows)
 
 
+def test_jaccard_groups_tell_ngrams_apart_by_whole_hashes(frame):
+    """The hashes of two n-grams agree in their first 8 and their last 40 bits."""
+    one, two = (" ".join(f"{k + i:08d}" for i in range(5)) for k in (35870549, 21457197))
+    rows = [(1, f"{one} {two}"), (2, one), (3, two), (4, f"{two} {one}"), (5, f"{one} {two}"), (6, one)]
+    (_, data, offsets), = pieces(pa.array([one, two]))
+    first, second = words(data, offsets, SPACED).windows(5)[1].tolist()
+    assert first != second and first >> 56 == second >> 56 and (first ^ second) % 2**40 == 0
+    got = listed(jaccard_groups(frame(rows, "doc_id long, text string")), "doc_id", "n_shingles", "component_id")
+    assert sorted(got) == brute_groups(rows)
+
+
 def test_jaccard_groups_take_awkward_rows(awkward, empty):
     got = Counter(listed(jaccard_groups(awkward), "doc_id", "component_id"))
     assert got[(2, 1)] == 2 and got[(1, 1)] == 1 and got[(10, 9)] == 1 and got[(None, None)] == 2

@@ -16,6 +16,8 @@ from tidemark.staging import staged
 
 #: Bytes of text whose rows are dealt out together.
 PIECE_BYTES = 4 << 20
+#: Bytes of text that are cut into words at once.
+WORDS_BYTES = 1 << 20
 #: Bytes of text whose n-grams make up one block of columns.
 BLOCK_BYTES = 6 << 20
 #: An n-gram in more rows of one piece than this is sent once for the piece.
@@ -25,12 +27,12 @@ BLOCK_ROWS = 512
 #: Columns that are multiplied at once.
 BLOCK_COLUMNS = 4096
 
-# An entry is 40 bits of an n-gram's hash, which with its block make 56 at most, and a row.
-_LOW = np.uint64((1 << 40) - 1)
-_TOP = np.uint64(40)
+# An entry is sent as 48 bits of an n-gram's hash and a row. The bits above are the block and,
+# between block and entry, counts of the sorted entries.
+_SENT = np.uint64(48)
+_LOW = np.uint64((1 << 48) - 1)
 _IDX = np.uint64(0xFFFF)
 _BITS = np.uint64(16)
-_ENTRY_BYTES = 7
 
 
 def jaccard_groups(
@@ -53,8 +55,8 @@ def jaccard_groups(
     3. Equal sets become one row. Rows that may link, directly or through others, are
        multiplied block by block, and overlaps below the bound are dropped.
 
-    Memory of a task is set by the size of a block. N-grams are known by hashes of 48 to 56
-    bits, as many as there are blocks; sets with equal 128-bit sums and sizes are taken to be
+    Memory of a task is set by the size of a block. N-grams are known by hashes of 64 bits,
+    however many blocks there are; sets with equal 128-bit sums and sizes are taken to be
     equal.
     """
     spark = docs.sparkSession
@@ -64,10 +66,10 @@ def jaccard_groups(
 
     dealt = rows.mapInArrow(_deal(width, bits), "block int, batch long, entries binary, often binary, meta binary")
     common = dealt.groupBy("block").applyInPandas(
-        _common, "block int, batch long, entries binary, counts binary, often binary, meta binary"
+        _common(bits), "block int, batch long, entries binary, counts binary, often binary, meta binary"
     )
     sets = common.groupBy("batch").applyInPandas(
-        _rows(percent),
+        _rows(percent, bits),
         "doc_id long, n_shingles int, s1 long, s2 long, suspect boolean, prefix int, shared binary",
     )
     sets = staged(sets, "shingles")
@@ -116,39 +118,45 @@ def _deal(width: int, bits: int):
         serial = TaskContext.get().partitionId() << 32
         for batch in batches:
             ids = batch.column(0)
-            for first, data, offsets in pieces(batch.column(1), PIECE_BYTES):
-                row, value = _shingles(words(data, offsets, SPACED), width)
-                block = (value >> np.uint64(64 - bits)).astype(np.uint16)
-                entry = (value & _LOW) << _BITS | row.astype(np.uint64)
-                order = np.argsort(block, kind="stable")
-                cuts = np.searchsorted(block[order], np.arange((1 << bits) + 1))
-                entry = entry[order]
-                out, often, every, where = [], [], [], []
+            for first, _, offsets in pieces(batch.column(1), PIECE_BYTES):
+                size = len(offsets) - 1
+                parts = []
+                for at, data, borders in pieces(batch.column(1).slice(first, size), WORDS_BYTES):
+                    part, hashes = _shingles(words(data, borders, SPACED), width)
+                    parts.append((part + at, hashes))
+                row, value = (np.concatenate(x) for x in zip(*parts))
+                order = np.lexsort((row, value))
+                row, value = row[order].astype(np.uint16), value[order]
+                other = np.append(True, value[1:] != value[:-1])
+                fresh = other.copy()
+                fresh[1:] |= row[1:] != row[:-1]
+                row, value, other = row[fresh], value[fresh], other[fresh]
+                edge = np.flatnonzero(other)
+                times = np.diff(np.append(edge, len(value)))
+                many = np.repeat(times > OFTEN, times)
+                hot, hot_times = value[edge[times > OFTEN]], times[times > OFTEN]
+                borders = np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+                cuts = [0, *np.searchsorted(value, borders).tolist(), len(value)]
+                hot_cuts = [0, *np.searchsorted(hot, borders).tolist(), len(hot)]
+                low, hot = value & np.uint64((1 << 64 - bits) - 1), hot & np.uint64((1 << 64 - bits) - 1)
+                out, often = [], []
                 for k in range(1 << bits):
-                    mine = np.unique(entry[cuts[k] : cuts[k + 1]])
-                    if not len(mine):
+                    mine = slice(cuts[k], cuts[k + 1])
+                    if mine.start == mine.stop:
                         continue
-                    every.append(mine)
-                    where.append(np.full(len(mine), k, np.uint64))
-                    low = mine >> _BITS
-                    edge = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
-                    times = np.diff(np.append(edge, len(low)))
-                    many = np.repeat(times > OFTEN, times)
-                    hot = None
-                    if many.any():
-                        hot = _pack(low=low[edge[times > OFTEN]], times=times[times > OFTEN])
-                        often.append((k, mine[many]))
-                    out.append((k, serial, _shorten(mine[~many]), hot, None))
-                size = len(offsets) - 1
+                    much = slice(hot_cuts[k], hot_cuts[k + 1])
+                    sent, packed = mine, None
+                    if much.start < much.stop:
+                        packed = _pack(low=hot[much], times=hot_times[much])
+                        often.append((k, (low[mine][many[mine]], row[mine][many[mine]])))
+                        sent = np.flatnonzero(~many[mine]) + mine.start
+                    out.append((k, serial, _shorten(low[sent], row[sent], bits), packed, None))
                 n, s1, s2 = np.zeros(size, np.int64), np.zeros(size, np.uint64), np.zeros(size, np.uint64)
-                if every:
-                    mine, at = np.concatenate(every), np.concatenate(where)
-                    owner = (mine & _IDX).astype(np.uint16)
-                    order = np.argsort(owner, kind="stable")
-                    n = np.bincount(owner, minlength=size)
+                if len(value):
+                    n = np.bincount(row, minlength=size)
                     has = np.flatnonzero(n)
                     edge = np.concatenate([[0], np.cumsum(n[has])[:-1]])
-                    whole = ((mine >> _BITS) | at << _TOP)[order]
+                    whole = value[np.argsort(row, kind="stable")]
                     s1[has] = np.add.reduceat(_scramble(whole + np.uint64(1)), edge)
                     s2[has] = np.add.reduceat(_scramble(whole ^ np.uint64(0xA5A5A5A5A5A5A5A5)), edge)
                 mine = ids.slice(first, size)
@@ -167,44 +175,56 @@ def _pack(**arrays) -> bytes:
     return pickle.dumps(arrays, protocol=5)
 
 
-def _shorten(entries: np.ndarray) -> bytes:
-    return entries.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_ENTRY_BYTES].tobytes()
+def _shorten(low: np.ndarray, row: np.ndarray, bits: int) -> bytes:
+    """Entries of one block and piece, sorted by hash: counts by the bits not sent, and the rest."""
+    if not len(low):
+        return b""
+    counts = np.bincount((low >> _SENT).astype(np.int64), minlength=1 << 16 - bits)
+    return counts.astype("<u4").tobytes() + ((low & _LOW) << _BITS | row).astype("<u8").tobytes()
 
 
-def _lengthen(data: bytes) -> np.ndarray:
-    wide = np.zeros((len(data) // _ENTRY_BYTES, 8), np.uint8)
-    wide[:, :_ENTRY_BYTES] = np.frombuffer(data, np.uint8).reshape(-1, _ENTRY_BYTES)
-    return wide.view("<u8")[:, 0].astype(np.uint64)
+def _lengthen(data: bytes, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes below the block's bits, and rows."""
+    if not data:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint16)
+    counts = np.frombuffer(data, "<u4", 1 << 16 - bits)
+    sent = np.frombuffer(data, "<u8", offset=counts.nbytes).astype(np.uint64)
+    top = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)
+    return top << _SENT | sent >> _BITS, (sent & _IDX).astype(np.uint16)
 
 
-def _common(group: pd.DataFrame) -> pd.DataFrame:
+def _common(bits: int):
     """The entries of one block whose n-gram is in two rows or more, with its frequency."""
-    block = int(group["block"].iloc[0])
-    meta = group[group["meta"].notna()]
-    rows = group[group["meta"].isna()]
-    light = [_lengthen(e) for e in rows["entries"]]
-    hot = [pickle.loads(o) if o is not None else None for o in rows["often"]]
-    low = [x >> _BITS for x in light] + [h["low"] for h in hot if h]
-    result = []
-    if low:
-        times = [np.ones(len(x), np.int64) for x in light] + [h["times"] for h in hot if h]
-        known, which = np.unique(np.concatenate(low), return_inverse=True)
-        frequency = np.bincount(which, np.concatenate(times)).astype(np.int64)
-        for batch, entries, much in zip(rows["batch"], light, hot):
-            df = frequency[np.searchsorted(known, entries >> _BITS)]
-            keep = df > 1
-            counts = np.minimum(df[keep], 0xFFFF).astype(np.uint16)
-            back = None
-            if much:
-                df = frequency[np.searchsorted(known, much["low"])]
-                back = _pack(low=much["low"], df=np.minimum(df, 0xFFFF).astype(np.uint16))
-            if len(counts) or much:
-                result.append((block, batch, _shorten(entries[keep]), counts.tobytes(), back, None))
-    result += [(block, b, None, None, None, m) for b, m in zip(meta["batch"], meta["meta"])]
-    return pd.DataFrame(result, columns=["block", "batch", "entries", "counts", "often", "meta"])
-
-
-def _rows(percent: int):
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        block = int(group["block"].iloc[0])
+        meta = group[group["meta"].notna()]
+        rows = group[group["meta"].isna()]
+        light = [_lengthen(e, bits) for e in rows["entries"]]
+        hot = [pickle.loads(o) if o is not None else None for o in rows["often"]]
+        low = [x for x, _ in light] + [h["low"] for h in hot if h]
+        result = []
+        if low:
+            times = [np.ones(len(x), np.int64) for x, _ in light] + [h["times"] for h in hot if h]
+            known, which = np.unique(np.concatenate(low), return_inverse=True)
+            frequency = np.bincount(which, np.concatenate(times)).astype(np.int64)
+            for batch, (mine, row), much in zip(rows["batch"], light, hot):
+                df = frequency[np.searchsorted(known, mine)]
+                keep = df > 1
+                counts = np.minimum(df[keep], 0xFFFF).astype(np.uint16)
+                back = None
+                if much:
+                    df = frequency[np.searchsorted(known, much["low"])]
+                    back = _pack(low=much["low"], df=np.minimum(df, 0xFFFF).astype(np.uint16))
+                if len(counts) or much:
+                    result.append((block, batch, _shorten(mine[keep], row[keep], bits), counts.tobytes(), back, None))
+        result += [(block, b, None, None, None, m) for b, m in zip(meta["batch"], meta["meta"])]
+        return pd.DataFrame(result, columns=["block", "batch", "entries", "counts", "often", "meta"])
+
+    return run
+
+
+def _rows(percent: int, bits: int):
     """Rows of one piece: size, sum of the set, and the shared n-grams of those that may link."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -214,15 +234,14 @@ def _rows(percent: int):
         for block, entries, counts, often in zip(group["block"], group["entries"], group["counts"], group["often"]):
             if entries is None:
                 continue
-            top = np.uint64(block) << _TOP
-            e = _lengthen(entries)
-            parts = [(e, np.frombuffer(counts, np.uint16))]
+            top = np.uint64(block) << np.uint64(64 - bits)
+            parts = [(*_lengthen(entries, bits), np.frombuffer(counts, np.uint16))]
             if often is not None:
-                much, e = pickle.loads(often), mine[block]
-                parts.append((e, much["df"][np.searchsorted(much["low"], e >> _BITS)]))
-            for e, d in parts:
-                value.append((e >> _BITS) | top)
-                row.append((e & _IDX).astype(np.uint16))
+                much, (low, at) = pickle.loads(often), mine[block]
+                parts.append((low, at, much["df"][np.searchsorted(much["low"], low)]))
+            for low, at, d in parts:
+                value.append(low | top)
+                row.append(at)
                 df.append(d)
         n = meta["n"]
         need = (n * percent + 99) // 100
