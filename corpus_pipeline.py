@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.decontaminate import drop_contaminated, find_contamination
 from tidemark.llm.jaccard import jaccard_groups
-from tidemark.llm.language import UNKNOWN, identify, learn_profiles
+from tidemark.llm.language import identify, learn_profiles
 from tidemark.llm.mixing import mix
 from tidemark.llm.sharding import shard
 from tidemark.staging import staged
@@ -24,10 +24,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents in a language; null texts and texts without a letter go.
 
     The profiles are learned from all documents that name their language. Short texts of
-    low score stay: a score tells languages apart, not good texts from bad ones.
+    low score stay: a score tells languages apart, not good texts from bad ones. So do
+    texts with letters when no document names its language, or when one is named ``und``.
     """
-    found = identify(docs, learn_profiles(docs))
-    return found.filter(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    found = identify(docs, learn_profiles(docs), flag="__letters")
+    return found.filter("__letters").select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

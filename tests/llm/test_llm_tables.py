@@ -352,6 +352,15 @@ def test_pipeline_takes_awkward_rows(spark, awkward):
     assert nothing.collect() == []
 
 
+@pytest.mark.parametrize("lang", [None, "und"])
+def test_pipeline_keeps_letters_without_a_language(spark, awkward, lang):
+    docs = awkward.select("doc_id", "text", F.lit(lang).cast("string").alias("lang"), "source")
+    rows = docs.collect()
+    kept = dict(corpus_pipeline.STAGES)["language"](spark, docs, SF_DIR)
+    assert kept.columns == docs.columns
+    assert Counter(kept.collect()) == Counter(r for r in rows if any(c.isalpha() for c in r.text or ""))
+
+
 def test_words_of_both_kinds_differ():
     assert spaced("A-b c") == ["a-b", "c"] and alnum("A-b c") == ["a", "b", "c"]
 

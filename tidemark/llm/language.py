@@ -56,26 +56,36 @@ def learn_profiles(
     return Profiles(names, vectors / np.where(norm > 0, norm, 1), seed)
 
 
-def identify(docs: DataFrame, profiles: Profiles, text: str = "text") -> DataFrame:
+def identify(docs: DataFrame, profiles: Profiles, text: str = "text", flag: str | None = None) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, the cosine with that language (0 to 1).
 
     A text that is null or has no letter is ``und`` with score 0, as is every text when no
-    language was learned. Ties go to the first language by name. Columns of ``docs`` with
-    one of the two names are replaced; no column but ``text`` takes part.
+    language was learned. Ties go to the first language by name. A column named ``flag``,
+    if any, says whether the text has a letter; ``und`` does not say that, as it may also be
+    a language of ``profiles``. Columns of ``docs`` with one of these names are replaced; no
+    column but ``text`` takes part.
     """
-    rows = docs.drop("lang_pred", "score")
-    schema = T.StructType([*rows.schema.fields, *T.StructType.fromDDL("lang_pred string, score double").fields])
+    rows = docs.drop("lang_pred", "score", *[flag] * (flag is not None))
+    added = T.StructType.fromDDL("lang_pred string, score double").fields
+    if flag is not None:
+        added.append(T.StructField(flag, T.BooleanType()))
+    schema = T.StructType([*rows.schema.fields, *added])
     at = rows.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _unknown_classes()
         for batch in batches:
-            found, score = [], []
+            found, score, letters = [], [], []
             for _, data, offsets in pieces(batch.column(at)):
-                f, s = _compare(profiles, *_grams(data, offsets, table), len(offsets) - 1)
+                row, gram = _grams(data, offsets, table)
+                f, s = _compare(profiles, row, gram, len(offsets) - 1)
                 found += f
                 score.append(s)
+                if flag is not None:
+                    letters.append(np.bincount(row, minlength=len(offsets) - 1) > 0)
             columns = [pa.array(found, pa.string()), pa.array(np.concatenate(score) if score else [], pa.float64())]
+            if flag is not None:
+                columns.append(pa.array(np.concatenate(letters) if letters else [], pa.bool_()))
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], schema.names)
 
     return rows.mapInArrow(run, schema)
