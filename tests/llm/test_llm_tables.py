@@ -92,6 +92,25 @@ def test_vectors_lose_no_link(frame, dim):
     assert sorted(map(tuple, got.select(*COLUMNS).collect())) == brute_links(rows)
 
 
+@pytest.mark.parametrize("dim", [3, 8])
+def test_pairs_at_the_threshold_link(frame, dim):
+    rng = np.random.default_rng(dim)
+    rows = []
+    for i in range(200):
+        x, y = np.linalg.qr(rng.normal(size=(dim, 2)))[0].T
+        c = 0.98 + 2e-10
+        rows += [(2 * i, str(i), x.tolist()), (2 * i + 1, str(i), (c * x + np.sqrt(1 - c * c) * y).tolist())]
+    found = near_duplicates(frame(rows, "vec_id long, label string, embedding array<double>"))
+    assert {r.vec_id: r.n_links for r in found.collect()} == {i: 1 for i in range(400)}
+
+
+def test_a_radius_beyond_the_probed_cells_is_refused(frame):
+    some = frame([(1, "a", [1.0, 0.0])], "vec_id long, label string, embedding array<double>")
+    for options in ({"cosine": 0.8}, {"scale": 0.25}):
+        with pytest.raises(ValueError, match="lattice"):
+            near_duplicates(some, **options)
+
+
 def test_crowded_cells_are_dealt_into_blocks(frame, monkeypatch):
     monkeypatch.setattr(embeddings, "BLOCK_ROWS", 5)
     rng = np.random.default_rng(1)

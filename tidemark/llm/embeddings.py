@@ -43,7 +43,8 @@ def near_duplicates(
     least it is not above its mean, the table's radius: no link is lost. In every table a
     vector is stored in the cell of the E8 lattice that it is decoded to, and probes all
     cells with a point within the radius; ``scale`` is the lattice's scale as a share of
-    the vectors' length in a table.
+    the vectors' length in a table. A radius beyond the cells that are looked at, as a
+    cosine below about 0.82 has at this scale, is a ValueError.
 
     1. Only ids and the table's eight coordinates are sent to the cells, which tells the
        vectors that have another within the radius.
@@ -55,6 +56,8 @@ def near_duplicates(
     blocks of at most about ``BLOCK_ROWS`` rows a side. Equal rows are copies of each
     other; a null key is counted as a link but has no component.
     """
+    radius2 = (2 - 2 * cosine) * (1 + 1e-9) + 1e-9
+    _check_reach(math.sqrt(radius2) / scale)
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(label).cast("string").alias("label"), F.col(vector).alias("v"))
     ready = staged(
         rows.mapInArrow(_prepare(seed), "id long, label string, dim int, raw binary, turned binary")
@@ -71,7 +74,6 @@ def near_duplicates(
     )
     named = classes.filter("rep is not null")
     shells = _shells()
-    radius2 = (2 - 2 * cosine) * (1 + 1e-9) + 1e-9
 
     near = _in_cells(named.select("rep", "label", "dim", "turned"), shells, radius2, scale, whole=False)
     suspects = staged(near.groupBy("bucket").applyInPandas(_suspects(radius2), "rep long").distinct(), "suspects")
@@ -147,6 +149,18 @@ def _rotation(dim: int, seed: int) -> np.ndarray:
     return q[:dim]
 
 
+def _check_reach(reach: float) -> None:
+    """Cells at squared length 6, which are not among the shells, are 1 / sqrt(2) apart."""
+    if reach + 1e-6 >= math.sqrt(0.5):
+        raise ValueError(f"a radius of {reach:.4f} lattice units reaches cells that are not probed; raise cosine or scale")
+
+
+def _widened(radius2: float, dim: int) -> float:
+    """A bound of the squared distance after coordinates were rounded to whole units."""
+    off = math.sqrt(-(-dim // 8) * 8) * _UNIT
+    return (math.sqrt(radius2) + off) ** 2
+
+
 def _shells() -> np.ndarray:
     """E8 vectors of squared length 2 and 4: all differences to cells that a small ball can reach."""
     points = []
@@ -201,7 +215,8 @@ def _in_cells(rows: DataFrame, shells: np.ndarray, radius2: float, scale: float,
                 units = np.stack([np.frombuffer(t, np.int32) for t in mine["turned"]])
                 tables = units.shape[1] // 8
                 size = scale / math.sqrt(tables)
-                reach = math.sqrt(radius2 / tables) / size
+                reach = math.sqrt(_widened(radius2, units.shape[1]) / tables) / size
+                _check_reach(reach)
                 for low in range(0, len(mine), 512):
                     part = mine.iloc[low : low + 512]
                     for t in range(tables):
@@ -271,7 +286,7 @@ def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _within(left: pd.DataFrame, right: pd.DataFrame, radius2: float) -> tuple[np.ndarray, float]:
     """Pairs in order of their ids that are within the radius in this table."""
     dim = int(left["dim"].iloc[0])
-    limit = radius2 / -(-dim // 8) / _UNIT**2
+    limit = _widened(radius2, dim) / -(-dim // 8) / _UNIT**2
     a, b = (np.stack([np.frombuffer(x, np.int32) for x in side["block"]]).astype(float) for side in (left, right))
     return (_squares(a, b) <= limit) & (left["rep"].to_numpy()[:, None] < right["rep"].to_numpy()[None]), limit
 
