@@ -133,3 +133,25 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
             + greatest(0, least(words - (words // z) * z - front, size)) ELSE 0 END AS BIGINT) AS taken
 FROM placed
 """
+
+
+OP12 = f"""
+WITH split AS (
+    SELECT doc_id, row_number() OVER () AS r, regexp_extract_all({_LOWER}, {_ALNUM}) AS w FROM documents),
+stats AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS total FROM split WHERE len(w) > 0),
+counts AS (
+    SELECT r, doc_id, n, t, count(*) AS tf FROM (SELECT r, doc_id, len(w) AS n, unnest(w) AS t FROM split) GROUP BY ALL),
+terms AS (SELECT DISTINCT item_id, unnest(regexp_extract_all({_LOWER}, {_ALNUM})) AS t FROM benchmark),
+weighed AS (
+    SELECT t, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS weight
+    FROM counts, stats GROUP BY t),
+scored AS (
+    SELECT item_id, r, doc_id,
+           CAST(sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // total)))) AS BIGINT) AS score
+    FROM terms JOIN counts USING (t) JOIN weighed USING (t), stats GROUP BY ALL),
+ranked AS (
+    SELECT item_id, doc_id, score,
+           CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+    FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
