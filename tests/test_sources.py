@@ -25,6 +25,7 @@ from tidemark.sources import (
     read_table,
 )
 from tidemark.files import Files
+from tidemark.sources.swaps import Swaps
 from tidemark.staging import scratch, staged, work_dir
 
 DDL = "id bigint, n int, w float, codes array<string>, _corrupt_record string"
@@ -199,7 +200,7 @@ def test_a_swap_that_broke_off_is_finished_by_the_next_reader(
     target.replace(frame([(1, at(1), "a"), (2, at(2), "b"), (3, at(3), "c")], ddl))
     merged = frame([(1, at(1), "A"), (9, at(1), "new"), (2, at(2), "B")], ddl)
     with monkeypatch.context() as broken:
-        broken.setattr(Table, "finish_swaps", lambda *_: None)
+        broken.setattr(Swaps, "finish", lambda *_: None)
         target.replace(merged, ["2026-01-03"])
     folder = tmp_path / "t"
     swap = next(p for p in folder.iterdir() if p.name.startswith("_swap"))

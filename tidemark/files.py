@@ -25,6 +25,10 @@ class Files:
         at = self._at(name)
         return sorted(s.getPath().getName() for s in self._fs.listStatus(at)) if self._fs.exists(at) else []
 
+    def make(self, name: str) -> None:
+        """The folder, if it is not there yet."""
+        self._fs.mkdirs(self._at(name))
+
     def delete(self, name: str = "") -> None:
         self._fs.delete(self._at(name), True)
 

@@ -49,12 +49,27 @@ def newer_than(df: DataFrame, column: str, mark: Any | None) -> DataFrame:
     return df.filter(F.col(column) > _literal(df, column, mark))
 
 
+def micros(mark: Any) -> int | None:
+    """A mark on a moment as microseconds since 1970; None for one that cannot be read so.
+
+    Moments of a column without a zone are counted as if they were in UTC.
+    """
+    if isinstance(mark, str):
+        try:
+            mark = datetime.fromisoformat(mark)
+        except ValueError:
+            return None
+    if isinstance(mark, datetime):
+        aware = mark if mark.tzinfo else mark.replace(tzinfo=timezone.utc)
+        return (aware - BEGINNING.replace(tzinfo=timezone.utc)) // timedelta(microseconds=1)
+    return mark if isinstance(mark, int) else None
+
+
 def _literal(df: DataFrame, column: str, mark: Any):
     kind = df.schema[column].dataType
     if isinstance(kind, T.TimestampType):
         if isinstance(mark, datetime):
-            aware = mark if mark.tzinfo else mark.replace(tzinfo=timezone.utc)
-            mark = (aware - BEGINNING.replace(tzinfo=timezone.utc)) // timedelta(microseconds=1)
+            mark = micros(mark)
         if isinstance(mark, int):
             return F.timestamp_micros(F.lit(mark))
     return F.lit(str(mark)).cast(kind)

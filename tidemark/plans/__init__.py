@@ -1,6 +1,6 @@
 from tidemark.plans.clean import ChildTable, CleanJob, run_clean
 from tidemark.plans.curated import ChildLists, CuratedJob, Dimension, build_curated, run_curated
-from tidemark.plans.mart import mart_delta, mart_stage, read_mart, run_mart
+from tidemark.plans.mart import compact_mart, mart_delta, mart_stage, read_mart, run_mart
 from tidemark.plans.reference import load_reference
 from tidemark.plans.visits import Visits, visit_rules
 
@@ -12,6 +12,7 @@ __all__ = [
     "Dimension",
     "Visits",
     "build_curated",
+    "compact_mart",
     "load_reference",
     "mart_delta",
     "mart_stage",

@@ -99,8 +99,10 @@ def _replace(batch: DataFrame, child: ChildTable, small: bool, run_ts: datetime
     dated = batch.filter(F.col(child.keys[table.date]).isNotNull())
     # A partition whose parents all come without children may lose its last row: it goes.
     parts = table.touched(dated.select(*[F.col(b).alias(c) for c, b in child.keys.items()]))
+    files = table.files_holding(dated, child.keys, parts) if small else None
+    held = table.read_parts(batch.sparkSession, parts) if files is None else table.read_files(batch.sparkSession, files)
     rows = replace_children(
-        table.read_parts(batch.sparkSession, parts),
+        held,
         dated,
         child.keys,
         child.array,
@@ -109,4 +111,7 @@ def _replace(batch: DataFrame, child: ChildTable, small: bool, run_ts: datetime
         run_ts=run_ts,
         small_batch=small,
     )
-    table.replace(rows, parts)
+    if files is None:
+        table.replace(rows, parts)
+    else:
+        table.rewrite(rows, files)

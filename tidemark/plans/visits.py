@@ -10,7 +10,7 @@ from tidemark.functions.columns import guarded_ratio, hash_key, parse_timestamp
 from tidemark.operators.quality import Rule, corrupt, in_range
 from tidemark.plans.clean import ChildTable, CleanJob, run_clean
 from tidemark.plans.curated import CuratedJob, run_curated
-from tidemark.plans.mart import MONTH, read_mart, run_mart
+from tidemark.plans.mart import MONTH, compact_mart, read_mart, run_mart
 from tidemark.plans.reference import load_reference
 from tidemark.sinks.writers import QualityRecord
 from tidemark.sources.readers import read_raw_json
@@ -151,10 +151,15 @@ class Visits:
 
     def advance_mart(self, spark: SparkSession) -> int:
         return run_mart(
-            self.curated.read(spark), self.mart, "visit_date", ["id"], REQUIRED_IN_MART
+            self.curated, self.mart, "visit_date", ["id"], REQUIRED_IN_MART
         )
 
+    def compact_mart(self, spark: SparkSession, share: float = 0.2) -> list[str]:
+        return compact_mart(spark, self.mart, self._mart_schema(), [MONTH, "id"], share=share)
+
     def read_mart(self, spark: SparkSession) -> DataFrame:
+        return read_mart(spark, self.mart, self._mart_schema(), [MONTH, "id"])
+
+    def _mart_schema(self) -> T.StructType:
         month = T.StructField(MONTH, T.DateType())
-        schema = T.StructType([*self.curated.file_schema().fields, month])
-        return read_mart(spark, self.mart, schema, [MONTH, "id"])
+        return T.StructType([*self.curated.file_schema().fields, month])

@@ -110,21 +110,30 @@ def merge_into(
     """Upsert ``batch`` into ``table``, reading and replacing only what it touches.
 
     ``parts`` and ``small`` are what the caller already knows: the touched partitions, and
-    whether the batch was measured to fit a broadcast.
+    whether the batch was measured to fit a broadcast. A small batch first looks for its keys
+    in the touched partitions: only the files that hold one are read whole and rewritten, and
+    new rows come in files of their own. Otherwise the partitions are rewritten.
     """
     keys = table.require_merge_keys()
+    spark = batch.sparkSession
     if parts is None:
         parts = table.touched(batch)
+    if small is None:
+        small = fits_broadcast(batch)
+    files = table.files_holding(batch, {k: k for k in keys}, parts, table.null_safe) if small else None
     rows = upsert(
-        table.read_parts(batch.sparkSession, parts),
+        table.read_parts(spark, parts) if files is None else table.read_files(spark, files),
         batch,
         keys,
         run_ts=run_ts,
         frozen=frozen,
         null_safe=table.null_safe,
-        small_source=fits_broadcast(batch) if small is None else small,
+        small_source=small,
     )
-    table.replace(rows, parts)
+    if files is None:
+        table.replace(rows, parts)
+    else:
+        table.rewrite(rows, files)
 
 
 def append_mart(df: DataFrame, path: str, month: str, order: Sequence[str]) -> None:

@@ -1,18 +1,21 @@
 """Declared Parquet tables with a derived date partition."""
 
 import json
-import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
+from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import MergeKeysError, TidemarkError
 from tidemark.files import Files
+from tidemark.operators.incremental import micros
+from tidemark.sources.swaps import Swaps
 
 PARTITION_COLUMN = "part_date"
 
@@ -22,11 +25,13 @@ NO_DATE = "0001-01-01"
 
 #: Most partitions that one batch may touch; a calendar of days has fewer.
 MOST_PARTITIONS = 100_000
-#: Folders that are moved at the same time.
-_MOVERS = 16
+#: Most files that a batch may match and still be merged file by file.
+MOST_FILES = 10_000
+#: A partition of more files is rewritten whole by the next batch that matches rows in it.
+FILES_A_PARTITION = 200
+#: Partitions whose files are listed at the same time.
+_LISTERS = 16
 
-_SWAP = "_swap-"
-_READY = "READY"
 _MARKS = "_marks"
 
 
@@ -37,6 +42,10 @@ class Table:
     ``date`` names the business time whose ``grain`` (``month`` or ``day``)
     partitions the table; without it the table is one partition. ``null_safe`` makes
     null keys equal when batches are merged. One job at a time may write a table.
+
+    Of the ``stamps`` among the columns the greatest value written is kept for every
+    partition, beside the table, so that increments cut by one of them read only the
+    partitions that changed.
     """
 
     path: str
@@ -45,6 +54,7 @@ class Table:
     date: str | None = None
     grain: str = "month"
     null_safe: bool = False
+    stamps: tuple[str, ...] = ("created_at", "updated_at")
 
     def partition(self) -> Column:
         if self.date is None:
@@ -94,51 +104,99 @@ class Table:
         """Rows in the partitions that the batch falls into, and no others."""
         return self.read(spark) if self.date is None else self.read_parts(spark, self.touched(batch))
 
+    def parts_since(self, spark: SparkSession, column: str, mark: Any | None, strict: bool = False) -> list[str] | None:
+        """Partitions that may hold a row with ``column`` at or after ``mark``, or only after it
+        when ``strict``.
+
+        They are those that were written with such a row, or of which it is not known. None
+        where nothing is known: without a mark, for a column that is no stamp, and for a
+        table that was written without keeping what it is known by.
+        """
+        at = None if mark is None or self.date is None else micros(mark)
+        if at is None or column not in self._stamped():
+            return None
+        swaps = Swaps(spark, self.path)
+        swaps.finish()
+        known = swaps.changes()
+        if not known:
+            return None
+        ahead = f"{PARTITION_COLUMN}="
+        there = [n for n in Files(spark, self.path).names() if n.startswith(ahead)]
+
+        def may(part: str) -> bool:
+            if column not in known.get(part, {}):
+                return True
+            bound = known[part][column]
+            return bound is not None and (bound > at if strict else bound >= at)
+
+        return [p.removeprefix(ahead) for p in there if may(p)]
+
+    def read_since(self, spark: SparkSession, column: str, mark: Any | None, strict: bool = False) -> DataFrame:
+        """Rows of ``parts_since``; all rows where that is not known. They are still to be cut
+        by the mark."""
+        parts = self.parts_since(spark, column, mark, strict)
+        return self.read(spark) if parts is None else self.read_parts(spark, parts)
+
+    def files_holding(
+        self, batch: DataFrame, keys: Mapping[str, str], parts: Sequence[str], null_safe: bool = False
+    ) -> list[str] | None:
+        """Files of ``parts`` with a row whose ``keys`` (column to batch column) are those of a
+        row of ``batch``, which must be small enough to broadcast.
+
+        None where rewriting whole partitions is as good: when half of their files match, or
+        one of them has come to hold more than ``FILES_A_PARTITION``.
+        """
+        spark = batch.sparkSession
+        sought = batch.select(*[F.col(b).alias(f"__{c}") for c, b in keys.items()]).distinct()
+        same = [F.col(c).eqNullSafe(F.col(f"__{c}")) if null_safe else F.col(c) == F.col(f"__{c}") for c in keys]
+        rows = self._scan(spark)
+        if not Files(spark, self.path).exists():
+            return []
+        rows = rows if self.date is None else rows.filter(self._among(parts))
+        rows = rows.select(*keys, F.col("_metadata.file_path").alias("__file"))
+        held = rows.join(F.broadcast(sought), reduce(lambda a, b: a & b, same), "left_semi").select("__file").distinct()
+        found = ["/".join(r[0].split("/")[-2:]) for r in held.limit(MOST_FILES + 1).collect()]
+        if len(found) > MOST_FILES:
+            return None
+        files = Files(spark, self.path)
+        touched = [f"{PARTITION_COLUMN}={p}" for p in parts] if self.date else [f"{PARTITION_COLUMN}={NO_DATE}"]
+        with ThreadPoolExecutor(_LISTERS) as listers:
+            counts = list(listers.map(lambda part: len(files.names(part)), touched))
+        crowded = max(counts, default=0) > FILES_A_PARTITION
+        return None if found and (crowded or 2 * len(found) > sum(counts)) else sorted(found)
+
+    def read_files(self, spark: SparkSession, files: Sequence[str]) -> DataFrame:
+        """Rows of the given files, which ``files_holding`` named."""
+        part = T.StructField(PARTITION_COLUMN, T.DateType())
+        schema = T.StructType([*self.file_schema().fields, part])
+        if not files:
+            return spark.createDataFrame([], schema).drop(PARTITION_COLUMN)
+        paths = [f"{self.path.rstrip('/')}/{name}" for name in files]
+        return spark.read.schema(schema).option("basePath", self.path).parquet(*paths).drop(PARTITION_COLUMN)
+
     def replace(self, rows: DataFrame, parts: Sequence[str] | None = None) -> None:
         """Put ``rows`` in the place of the partitions that they fall into, and of ``parts``.
 
         ``rows`` may be computed from those same partitions. They are written beside the
-        table first; a marker that names the partitions then makes the swap certain: it
-        can be done over from any point, and a reader that finds a marker finishes it. A
-        writer that fails before has changed nothing. Partitions of ``parts`` without rows
-        are removed. The swap goes partition by partition.
+        table first, and a swap that survives a crash puts them in place. Partitions of
+        ``parts`` without rows are removed. The swap goes partition by partition.
         """
-        spark = rows.sparkSession
-        self.finish_swaps(spark)
-        files = Files(spark, self.path)
-        for name in files.names():
-            if name.startswith(_SWAP):  # of a writer that failed before its marker
-                files.delete(name)
-        swap = f"{_SWAP}{uuid.uuid4().hex}"
-        (
-            rows.withColumn(PARTITION_COLUMN, self.partition())
-            .hint("rebalance", PARTITION_COLUMN)
-            .write.partitionBy(PARTITION_COLUMN)
-            .parquet(f"{self.path}/{swap}")
-        )
-        made = [n for n in files.names(swap) if n.startswith(f"{PARTITION_COLUMN}=")]
-        gone = [f"{PARTITION_COLUMN}={p}" for p in parts or ()]
-        files.write(f"{swap}/{_READY}", json.dumps({"made": made, "gone": sorted({*gone} - {*made})}))
-        self.finish_swaps(spark)
+        swaps = Swaps(rows.sparkSession, self.path)
+        swap = swaps.start()
+        bounds = self._write(rows, f"{self.path}/{swap}")
+        swaps.put_partitions(swap, [f"{PARTITION_COLUMN}={p}" for p in parts or ()], bounds)
+
+    def rewrite(self, rows: DataFrame, files: Sequence[str]) -> None:
+        """Put ``rows`` in the place of ``files``; other files of their partitions stay. The
+        swap is that of ``replace``, file by file."""
+        swaps = Swaps(rows.sparkSession, self.path)
+        swap = swaps.start()
+        bounds = self._write(rows, f"{self.path}/{swap}")
+        swaps.put_files(swap, files, bounds)
 
     def finish_swaps(self, spark: SparkSession) -> None:
         """Finish what a writer that has stopped left behind; else nothing."""
-        files = Files(spark, self.path)
-        for swap in files.names():
-            plan = files.read(f"{swap}/{_READY}") if swap.startswith(_SWAP) else None
-            if plan is None:
-                continue
-            left = {*files.names(swap)}  # what has been moved before is not there any more
-
-            def put(name: str) -> None:
-                files.delete(name)
-                if name in left:
-                    files.move(f"{swap}/{name}", name)
-
-            made, gone = (json.loads(plan)[k] for k in ("made", "gone"))
-            with ThreadPoolExecutor(_MOVERS) as movers:
-                list(movers.map(put, [*(n for n in made if n in left), *gone]))
-            files.delete(swap)
+        Swaps(spark, self.path).finish()
 
     def stored_mark(self, spark: SparkSession, name: str) -> str | int | None:
         """The mark that the last run left beside the table."""
@@ -157,6 +215,22 @@ class Table:
         days = ", ".join(f"DATE '{p}'" for p in parts)
         return F.expr(f"{PARTITION_COLUMN} IN ({days})") if parts else F.lit(False)
 
+    def _stamped(self) -> list[str]:
+        kinds = (T.TimestampType, T.TimestampNTZType)
+        return [c for c in self.stamps if c in self.schema.names and isinstance(self.schema[c].dataType, kinds)]
+
+    def _write(self, rows: DataFrame, path: str) -> dict[str, int | None]:
+        """Write the partitions; gives the greatest value of each stamp, as microseconds,
+        observed while writing."""
+        placed = rows.withColumn(PARTITION_COLUMN, self.partition()).hint("rebalance", PARTITION_COLUMN)
+        stamps = self._stamped()
+        seen = Observation()
+        if stamps:
+            greatest = [F.max(_micros(F.col(c), self.schema[c].dataType)).alias(c) for c in stamps]
+            placed = placed.observe(seen, *greatest)
+        placed.write.partitionBy(PARTITION_COLUMN).parquet(path)
+        return {c: seen.get.get(c) for c in stamps} if stamps else {}
+
     def _scan(self, spark: SparkSession) -> DataFrame:
         self.finish_swaps(spark)
         part = T.StructField(PARTITION_COLUMN, T.DateType())
@@ -168,3 +242,8 @@ class Table:
                 raise
             return spark.createDataFrame([], schema)
 
+
+def _micros(column: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(column)
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), column)
