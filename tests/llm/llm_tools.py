@@ -8,6 +8,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 LONG = " ".join(f"wort{i % 977} is {i}" for i in range(30_000))
 UNBROKEN = "a1é" * 100_000
+ZEROS = "0" * 5000 + ".1.2.3 and " + "0" * 6000 + "255.1.0.00 card 4" + "0" * 5000
 
 #: doc_id, text, lang, source
 AWKWARD = [
@@ -20,6 +21,7 @@ AWKWARD = [
     (6, "... 123 !!", "de", None),
     (7, LONG, "de", "c"),
     (8, UNBROKEN, None, "c"),
+    (12, ZEROS, "en", "c"),
     (None, "der die das und nicht ein schöner Tag für den Fluss", "de", "a"),
     (None, None, "de", "a"),
     (9, "one two", "en", "Z"),

@@ -64,7 +64,7 @@ def base_spans(text: str) -> list[Span]:
             found.append((EMAIL, start, last))
         at = text.find("@", max(at + 1, last))
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        if all(len(q := p.lstrip("0")) <= 3 and int(q or "0") <= 255 for p in m[0].split(".")):
             found.append((IP, *m.span()))
     for m in _CARD.finditer(text):
         digits = _digits(m[0])
