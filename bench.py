@@ -17,12 +17,13 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import SparkSession
 
 from tidemark import staging
-from tidemark.queries import QUERIES, jobs
+from tidemark.queries import QUERIES, jobs, scans
 
 # Jobs whose raw files are made beforehand, outside of the time taken.
 PREPARED = {
     "b1_clean_job": (jobs.prepare_orders, jobs.run_orders),
     "v1_visits": (jobs.prepare_visits, jobs.run_visits),
+    "s1_json_multiline": (scans.prepare_documents, scans.run_documents),
 }
 
 # Whole pipelines: one run after the warm-up.

@@ -28,7 +28,7 @@ def no_broadcast(spark):
 
 
 EAGER = {
-    "s1_json_scan", "s1_json_broken", "s1_json_multiline", "s2_csv_scan", "s6_metrics_history",
+    "s1_json_scan", "s1_json_broken", "s1_json_multiline", "s1_json_split", "s2_csv_scan", "s6_metrics_history",
     "k1_quarantine", "m3_mart_append", "b1_clean_job", "b2_clean_reload", "k2_clean_counts",
     "k3_stopped_run", "g1_curated", "g2_curated_increment", "f4_empty_increment", "d1_mart",
     "d1_mart_undated", "m4_ref_load", "e5_day_partitions", "e5_far_partitions", "v1_visits",

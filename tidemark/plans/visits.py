@@ -15,6 +15,7 @@ from tidemark.plans.reference import load_reference
 from tidemark.sinks.writers import QualityRecord
 from tidemark.sources.readers import read_raw_json
 from tidemark.sources.tables import Table
+from tidemark.staging import scratch
 
 # Rule codes, bounds and the allowed share of rejected rows.
 CORRUPT_JSON = "Malformed JSON record could not be parsed"
@@ -141,10 +142,11 @@ class Visits:
         """Raw files of a run date into the clean tables; ``raw`` has a folder per date.
 
         Records stand on lines of their own. ``multiline`` reads files that are one document
-        each, by one task a file.
+        each, large ones by many tasks.
         """
-        batch = read_raw_json(spark, f"{raw}/{ds}/*", self.clean_job.raw_schema, multiline)
-        return run_clean(batch, self.clean_job, ds, run_ts)
+        with scratch(spark, "raw") as folder:
+            batch = read_raw_json(spark, f"{raw}/{ds}/*", self.clean_job.raw_schema, multiline, folder=folder)
+            return run_clean(batch, self.clean_job, ds, run_ts)
 
     def advance_curated(self, spark: SparkSession, run_ts: datetime | None = None) -> int:
         return run_curated(spark, self.curated_job, run_ts)

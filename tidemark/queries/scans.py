@@ -111,13 +111,13 @@ def s1_json_broken(spark, sf_dir):
 def s1_json_multiline(spark, sf_dir):
     """A folder of documents, each one array over several lines; every fourth is cut short
     and kept as text."""
+    return run_documents(spark, prepare_documents(spark, sf_dir))
+
+
+def prepare_documents(spark, sf_dir) -> str:
     path = work_dir(spark, "array-events")
-    line = F.concat(
-        F.lit('{"event_id": '), F.col("event_id"), F.lit(', "user_id": "'), F.col("user_id"),
-        F.lit('", "tags": ["'), F.col("event_type"), F.lit('"]}'),
-    )
     doc = F.expr("event_id div 200")
-    lines = F.array_sort(F.collect_list(F.struct("event_id", line.alias("line"))))["line"]
+    lines = F.array_sort(F.collect_list(F.struct("event_id", _event_line().alias("line"))))["line"]
     (
         load(spark, sf_dir, "events")
         .groupBy(doc.alias("doc"))
@@ -126,13 +126,58 @@ def s1_json_multiline(spark, sf_dir):
         .write.partitionBy("doc")
         .text(path)
     )
-    schema = T.StructType.fromDDL(
-        "event_id bigint, user_id int, tags array<string>, _corrupt_record string"
-    )
-    typed = typed_projection(read_raw_json(spark, f"{path}/*", schema), schema)
+    return path
+
+
+def run_documents(spark, path: str):
+    typed = typed_projection(read_raw_json(spark, f"{path}/*", _EVENT_SCHEMA), _EVENT_SCHEMA)
     return typed.withColumn("tags", F.array_join("tags", ","))
 
 
+_EVENT_SCHEMA = T.StructType.fromDDL(
+    "event_id bigint, user_id int, tags array<string>, _corrupt_record string"
+)
+
+
+def _event_line():
+    return F.concat(
+        F.lit('{"event_id": '), F.col("event_id"), F.lit(', "user_id": "'), F.col("user_id"),
+        F.lit('", "tags": ["'), F.col("event_type"), F.lit('"]}'),
+    )
+
+
+@query(
+    "s1_json_split",
+    """
+    SELECT event_id, CAST(user_id AS INT) AS user_id, event_type || ',}"{[' AS tags,
+           NULL::VARCHAR AS _corrupt_record FROM events
+    UNION ALL
+    SELECT NULL, NULL, NULL, '[' || '{"event_id": ' || event_id || ', "user_id": "' || user_id ||
+           '", "tags": ["' || event_type || '", "}\\"{["]}'
+    FROM events WHERE event_id = (SELECT min(event_id) FROM events)
+    """,
+)
+def s1_json_split(spark, sf_dir):
+    """Two arrays of all events, read in byte ranges of 64 kB; the second is cut short. Braces
+    and quotes in their texts end nothing."""
+    path = work_dir(spark, "one-array")
+    line = F.regexp_replace(_event_line(), r'"\]\}$', r'", "}\\"{["]}')
+    events = load(spark, sf_dir, "events")
+    first, last = events.agg(F.min("event_id"), F.max("event_id")).first()
+    opened = F.concat(F.when(F.col("event_id") == first, "[").otherwise(","), line)
+    closed = F.concat(opened, F.when(F.col("event_id") == last, "]").otherwise(""))
+    for name, value in (("whole", closed), ("cut", opened)):
+        events.orderBy("event_id").coalesce(1).select(value.alias("value")).write.text(f"{path}/{name}")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        raw = read_raw_json(spark, f"{path}/*", _EVENT_SCHEMA, split_above=0)
+        typed = typed_projection(raw, _EVENT_SCHEMA)
+        return staged(typed.withColumn("tags", F.array_join("tags", ",")), "split")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 @query("s2_csv_scan", "SELECT CAST(c_custkey AS INT) AS id, c_name AS name FROM customer")
 def s2_csv_scan(spark, sf_dir):
     path = work_dir(spark, "reference-file")

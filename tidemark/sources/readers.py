@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import MetricsMissingError
+from tidemark.sources.arrays import read_arrays
 
 # Fixed value: column that holds the text of a record the reader could not parse.
 CORRUPT_COLUMN = "_corrupt_record"
 
+#: Bytes above which a multi-line document is split over tasks.
+SPLIT_ABOVE = 32 << 20
+
 # The first four fields are those of the stored record; older records have
 # no others, which are read as null.
 METRICS_SCHEMA = T.StructType(
@@ -32,22 +36,42 @@ def text_schema(schema: T.StructType) -> T.StructType:
 
 
 def read_raw_json(
-    spark: SparkSession, path: str | list[str], schema: T.StructType, multiline: bool = True
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType,
+    multiline: bool = True,
+    split_above: int = SPLIT_ABOVE,
+    folder: str | None = None,
 ) -> DataFrame:
     """Raw records as text columns; a broken document is kept in one column.
 
     Reading everything as text keeps one bad field from spoiling the other rows
     of its file, and spares the pass that infers a schema. ``typed_projection``
-    types the rows. A multi-line document is read by one task, so large inputs
-    should be line-delimited (``multiline=False``).
+    types the rows. A multi-line document is read by one task, up to ``split_above`` bytes;
+    a larger one, which must be an array of records, is split over tasks at the borders of
+    its records (``read_arrays``, below ``folder``), and if it is broken only its first record
+    is kept. Telling them apart costs a listing of the files.
     """
-    return (
-        spark.read.schema(text_schema(schema))
-        .option("multiLine", multiline)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-        .json(path)
-    )
+    declared = text_schema(schema)
+
+    def read(paths: str | list[str]) -> DataFrame:
+        return (
+            spark.read.schema(declared)
+            .option("multiLine", multiline)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+            .json(paths)
+        )
+
+    if not multiline:
+        return read(path)
+    files = spark.read.format("binaryFile").load(path).select("path", "length")
+    large = [r.path for r in files.filter(F.col("length") > split_above).collect()]
+    if not large:
+        return read(path)
+    split = read_arrays(spark, large, declared, CORRUPT_COLUMN, folder)
+    small = [r.path for r in files.filter(F.col("length") <= split_above).collect()]
+    return read(small).unionByName(split) if small else split
 
 
 def read_delimited(
