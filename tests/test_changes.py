@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from test_plans import plan
 
-from tidemark.errors import MergeKeysError
+from tidemark.errors import MergeKeysError, SchemaChangeError
 from tidemark.operators import since
 from tidemark.operators.incremental import micros
 from tidemark.plans import ChildTable, compact_mart, mart_stage, read_mart, run_mart
@@ -69,7 +69,7 @@ def test_without_a_record_of_changes_everything_is_read(spark, months):
     path = months.path + "/_changes"
     held = json.loads(open(path).read())
     for part in ("2020-01-01", "2021-01-01"):
-        del held[f"part_date={part}"]
+        del held["parts"][f"part_date={part}"]
     Swaps(spark, months.path)._files.write("_changes", json.dumps(held))
     late = datetime(2026, 2, 1)
     assert months.parts_since(spark, "updated_at", late) == ["2020-01-01", "2021-01-01"]
@@ -263,3 +263,44 @@ def test_the_mart_reads_the_partitions_that_changed(spark, months, tmp_path, mon
     monkeypatch.setattr(Table, "read_parts", lambda self, spark, parts: asked.append(list(parts)) or read_parts(self, spark, parts))
     assert run_mart(months, path, "at", ["id"], ["id"]) == 2
     assert asked == [["2020-02-01", "2022-10-01"]]
+
+
+def declared(path, ddl):
+    return Table(str(path / "t"), T.StructType.fromDDL(f"id int, at timestamp_ntz, {ddl}"), keys=("id", "at"), date="at")
+
+
+@pytest.mark.parametrize(
+    "old, new, value",
+    [
+        ("v int", "v bigint", 7), ("v int", "v double", 7), ("v smallint", "v int", 7), ("v float", "v double", 0.5),
+        ("v decimal(5,2)", "v decimal(9,2)", 1), ("v array<int>", "v array<int>", "array(1)"),
+    ],
+)
+def test_files_of_both_declarations_are_read(spark, frame, at, tmp_path, old, new, value):
+    older, newer = declared(tmp_path, old), declared(tmp_path, new)
+    given = frame([(1, at(1))], "id int, at timestamp_ntz").selectExpr("*", f"cast({value} AS {new[2:]}) AS v")
+    merge_into(older, given.withColumn("v", F.col("v").cast(older.schema["v"].dataType)), at(2), small=True)
+    merge_into(newer, given.withColumn("id", F.lit(2)), at(3), small=True)
+    assert len(files_of(newer, spark, "2026-01-01")) == 2
+    assert [r.id for r in newer.read(spark).filter(F.col("v") == F.lit(given.first().v)).orderBy("id").collect()] == [1, 2]
+
+
+@pytest.mark.parametrize("new", ["v int", "v string", "v double", "w int NOT NULL"])
+def test_a_change_that_loses_values_is_refused_before_any_task(spark, frame, at, tmp_path, new, monkeypatch):
+    declared(tmp_path, "v bigint").replace(frame([(1, at(1), 5)], "id int, at timestamp_ntz, v bigint"))
+    changed = declared(tmp_path, new)
+    with pytest.raises(SchemaChangeError, match="cannot"):
+        changed.read(spark)
+    with pytest.raises(SchemaChangeError, match="cannot"):
+        merge_into(changed, frame([(1, at(1), None)], f"id int, at timestamp_ntz, {new.removesuffix(' NOT NULL')}"), at(2))
+
+
+def test_a_declaration_no_file_has_any_more_is_no_hindrance(spark, frame, at, tmp_path):
+    wide, narrow = declared(tmp_path, "v bigint"), declared(tmp_path, "v int")
+    feb = datetime(2026, 2, 1)
+    wide.replace(frame([(1, at(1), 5), (2, feb, 6)], "id int, at timestamp_ntz, v bigint"))
+    narrow.replace(frame([(1, at(1), 5)], "id int, at timestamp_ntz, v int"))
+    with pytest.raises(SchemaChangeError):
+        narrow.read(spark)
+    narrow.replace(frame([(2, feb, 6)], "id int, at timestamp_ntz, v int"))
+    assert values(narrow.read(spark), "id", "v") == [(1, 5), (2, 6)]

@@ -13,9 +13,9 @@ from tidemark.functions.typing import typed_column
 
 # Changes of type that keep every value.
 _WIDER: dict[type, tuple[type, ...]] = {
-    T.ByteType: (T.ShortType, T.IntegerType, T.LongType),
-    T.ShortType: (T.IntegerType, T.LongType),
-    T.IntegerType: (T.LongType,),
+    T.ByteType: (T.ShortType, T.IntegerType, T.LongType, T.DoubleType),
+    T.ShortType: (T.IntegerType, T.LongType, T.DoubleType),
+    T.IntegerType: (T.LongType, T.DoubleType),
     T.FloatType: (T.DoubleType,),
     T.DateType: (T.TimestampNTZType,),
 }
@@ -66,25 +66,36 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     nulls, and types are widened. A missing not-null column or a change that could
     lose values raises. Names are compared in lower case.
     """
+    require_conformable(df.schema, schema)
     present = {f.name.lower(): f for f in df.schema.fields}
 
     def column(field: T.StructField):
         name = field.name.lower()
         found = present.get(name)
-        if found is None:
-            if not field.nullable:
-                raise SchemaChangeError(f"new column {name!r} cannot be not null")
-            return F.lit(None).cast(field.dataType).alias(name)
-        if found.dataType == field.dataType:
-            return F.col(found.name).alias(name)
-        if not _widens(found.dataType, field.dataType):
+        value = F.lit(None) if found is None else F.col(found.name)
+        kept = found is not None and found.dataType == field.dataType
+        return (value if kept else value.cast(field.dataType)).alias(name)
+
+    return df.select(*[column(f) for f in schema.fields])
+
+
+def require_conformable(old: T.StructType, new: T.StructType) -> None:
+    """Raise unless rows of the one declaration can be brought to the other without a loss."""
+    present = {f.name.lower(): f.dataType for f in old.fields}
+    for field in new.fields:
+        name = field.name.lower()
+        found = present.get(name)
+        if found is None and not field.nullable:
+            raise SchemaChangeError(f"new column {name!r} cannot be not null")
+        if found is not None and not _same(found, field.dataType) and not _widens(found, field.dataType):
             raise SchemaChangeError(
-                f"column {name!r} cannot change from {found.dataType.simpleString()} "
-                f"to {field.dataType.simpleString()}"
+                f"column {name!r} cannot change from {found.simpleString()} to {field.dataType.simpleString()}"
             )
-        return F.col(found.name).cast(field.dataType).alias(name)
 
-    return df.select(*[column(f) for f in schema.fields])
+
+def _same(old: T.DataType, new: T.DataType) -> bool:
+    """Equal but for what may be null, which files do not keep."""
+    return old == new or old.simpleString() == new.simpleString()
 
 
 def _widens(old: T.DataType, new: T.DataType) -> bool:

@@ -5,6 +5,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.errors import SchemaChangeError
 from tidemark.plans import compact_mart, mart_stage, run_mart
 from tidemark.plans.mart import MONTH
 from tidemark.queries.registry import LOADED_UNTIL, load, query
@@ -115,3 +116,41 @@ def w1_compacted(spark, sf_dir):
     schema = mart_stage(first, "order_date").schema
     compact_mart(spark, path, schema, [MONTH, "id"])
     return spark.read.schema(schema).parquet(path)
+
+
+@query(
+    "e3_stored_declaration",
+    """
+    SELECT o_orderkey AS id, o_orderdate AS order_date, CAST(CAST(o_custkey AS INT) AS BIGINT) AS cust,
+           CASE WHEN o_orderkey % 4 = 3 THEN CAST(o_custkey AS DOUBLE) + 0.5
+                ELSE CAST(o_custkey AS DOUBLE) END AS price,
+           CASE WHEN o_orderkey % 4 = 3 THEN o_orderstatus END AS status,
+           'column ''cust'' cannot change from bigint to int; column ''price'' cannot change from int to string'
+               AS refused
+    FROM orders
+    """,
+)
+def e3_stored_declaration(spark, sf_dir):
+    """A table written under one declaration and then under a wider one, whose files lie side
+    by side in every month; declarations that would lose values are refused."""
+    path = f"{work_dir(spark, 'declared')}/orders"
+
+    def table(ddl: str) -> Table:
+        schema = T.StructType.fromDDL(f"id bigint, order_date timestamp_ntz, {ddl}")
+        return Table(path, schema, keys=("id", "order_date"), date="order_date")
+
+    older, newer = table("cust int, price int, gone string"), table("cust bigint, price double, status string")
+    orders = load(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    plain = [key.alias("id"), F.col("o_orderdate").alias("order_date"), F.col("o_custkey").cast("int").alias("cust")]
+    first = orders.filter(key % 4 != 3).select(*plain, F.col("o_custkey").cast("int").alias("price"), F.lit("x").alias("gone"))
+    second = orders.filter(key % 4 == 3).select(*plain, (F.col("o_custkey") + 0.5).alias("price"), F.col("o_orderstatus").alias("status"))
+    merge_into(older, first, datetime(2026, 1, 1), small=True)
+    merge_into(newer, second, datetime(2026, 1, 2), small=True)
+    refused = []
+    for narrower in (table("cust int, price double, status string"), table("cust bigint, price string, status string")):
+        try:
+            narrower.read(spark)
+        except SchemaChangeError as error:
+            refused.append(str(error))
+    return newer.read(spark).withColumn("refused", F.lit("; ".join(refused)))

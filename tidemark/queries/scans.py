@@ -130,13 +130,13 @@ def prepare_documents(spark, sf_dir) -> str:
 
 
 def run_documents(spark, path: str):
-    typed = typed_projection(read_raw_json(spark, f"{path}/*", _EVENT_SCHEMA), _EVENT_SCHEMA)
+    schema = _event_schema()
+    typed = typed_projection(read_raw_json(spark, f"{path}/*", schema), schema)
     return typed.withColumn("tags", F.array_join("tags", ","))
 
 
-_EVENT_SCHEMA = T.StructType.fromDDL(
-    "event_id bigint, user_id int, tags array<string>, _corrupt_record string"
-)
+def _event_schema():
+    return T.StructType.fromDDL("event_id bigint, user_id int, tags array<string>, _corrupt_record string")
 
 
 def _event_line():
@@ -171,8 +171,8 @@ def s1_json_split(spark, sf_dir):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
     try:
-        raw = read_raw_json(spark, f"{path}/*", _EVENT_SCHEMA, split_above=0)
-        typed = typed_projection(raw, _EVENT_SCHEMA)
+        schema = _event_schema()
+        typed = typed_projection(read_raw_json(spark, f"{path}/*", schema, split_above=0), schema)
         return staged(typed.withColumn("tags", F.array_join("tags", ",")), "split")
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -10,6 +10,7 @@ import json
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import SparkSession
 
@@ -38,20 +39,20 @@ class Swaps:
                 self._files.delete(name)
         return f"{_SWAP}{uuid.uuid4().hex}"
 
-    def put_partitions(self, swap: str, gone: Iterable[str] = (), bounds: Mapping[str, int | None] | None = None) -> None:
+    def put_partitions(self, swap: str, gone: Iterable[str] = (), written: "Written | None" = None) -> None:
         """The partitions written into ``swap`` take the place of those of their names, and
         those named in ``gone`` are removed."""
         made = self._made(swap)
-        self._commit(swap, {"made": made, "gone": sorted({*gone} - {*made}), "bounds": bounds})
+        self._commit(swap, {"made": made, "gone": sorted({*gone} - {*made}), "written": _plain(written)})
 
-    def put_files(self, swap: str, removed: Sequence[str], bounds: Mapping[str, int | None] | None = None) -> None:
+    def put_files(self, swap: str, removed: Sequence[str], written: "Written | None" = None) -> None:
         """The files written into ``swap`` join their partitions, and ``removed`` ones go."""
         with ThreadPoolExecutor(_MOVERS) as movers:
             made = self._made(swap)
             inside = movers.map(lambda part: self._files.names(f"{swap}/{part}"), made)
             added = [f"{part}/{name}" for part, names in zip(made, inside) for name in names]
         fresh = sorted({*made} - {*self._files.names()})
-        self._commit(swap, {"added": added, "fresh": fresh, "removed": sorted(removed), "bounds": bounds})
+        self._commit(swap, {"added": added, "fresh": fresh, "removed": sorted(removed), "written": _plain(written)})
 
     def finish(self) -> None:
         """Finish what a writer that has stopped left behind; else nothing."""
@@ -80,11 +81,10 @@ class Swaps:
             self._note(plan)
             files.delete(swap)
 
-    def changes(self) -> dict[str, dict[str, int | None]]:
-        """By partition: the greatest value of each observed column among the rows written to
-        it, as far as that is known."""
+    def changes(self) -> "Changes":
+        """What is known of the rows that the partitions hold."""
         text = self._files.read(_CHANGES)
-        return {} if text is None else json.loads(text)
+        return Changes([], {}) if text is None else Changes(**json.loads(text))
 
     def _made(self, swap: str) -> list[str]:
         return [n for n in self._files.names(swap) if "=" in n]
@@ -94,18 +94,51 @@ class Swaps:
         self.finish()
 
     def _note(self, plan: dict) -> None:
-        """Partitions with rows of unknown bounds stay unknown; else a bound is never lowered
-        by files that join those that stay."""
-        if not plan["bounds"]:
+        """Partitions with rows of which nothing is known stay unknown; else a bound is never
+        lowered, and a declaration not forgotten, by files that join those that stay."""
+        if plan["written"] is None:
             return
-        known, new = self.changes(), plan["bounds"]
+        new, known = Written(**plan["written"]), self.changes()
+        if new.declared not in known.declarations:
+            known.declarations.append(new.declared)
+        number = known.declarations.index(new.declared)
         for part in plan.get("gone", ()):
-            known.pop(part, None)
-        for part in plan.get("made", ()):
-            known[part] = dict(new)
-        for part in plan.get("fresh", ()):
-            known[part] = dict(new)
-        for part in {name.rsplit("/", 1)[0] for name in plan.get("added", ())} & {*known}:
-            old = known[part]
-            known[part] = {c: max((v for v in (old[c], new[c]) if v is not None), default=None) for c in {*old} & {*new}}
-        self._files.write(_CHANGES, json.dumps(known))
+            known.parts.pop(part, None)
+        for part in (*plan.get("made", ()), *plan.get("fresh", ())):
+            known.parts[part] = {"bounds": dict(new.bounds), "declared": [number]}
+        for part in {name.rsplit("/", 1)[0] for name in plan.get("added", ())} & {*known.parts}:
+            old = known.parts[part]
+            both = {*old["bounds"]} & {*new.bounds}
+            bounds = {c: max((v for v in (old["bounds"][c], new.bounds[c]) if v is not None), default=None) for c in both}
+            known.parts[part] = {"bounds": bounds, "declared": sorted({*old["declared"], number})}
+        self._files.write(_CHANGES, json.dumps(asdict(known)))
+
+
+@dataclass(frozen=True)
+class Written:
+    """What one write is known by: its declaration, as JSON, and the greatest value of each
+    stamp among its rows, in microseconds."""
+
+    declared: str
+    bounds: Mapping[str, int | None]
+
+
+@dataclass
+class Changes:
+    """By partition the ``bounds`` of its stamps, and which of the ``declarations`` its files
+    were written under, as far as that is known."""
+
+    declarations: list[str]
+    parts: dict[str, dict]
+
+    def bound(self, part: str, column: str, unknown: int) -> int | None:
+        return self.parts.get(part, {"bounds": {}})["bounds"].get(column, unknown)
+
+    def in_use(self) -> list[str]:
+        """Declarations that files were written under."""
+        numbers = {n for part in self.parts.values() for n in part["declared"]}
+        return [self.declarations[n] for n in sorted(numbers)]
+
+
+def _plain(written: Written | None) -> dict | None:
+    return None if written is None else asdict(written)

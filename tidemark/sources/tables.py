@@ -14,8 +14,9 @@ from pyspark.sql import types as T
 
 from tidemark.errors import MergeKeysError, TidemarkError
 from tidemark.files import Files
+from tidemark.operators.conform import require_conformable
 from tidemark.operators.incremental import micros
-from tidemark.sources.swaps import Swaps
+from tidemark.sources.swaps import Swaps, Written
 
 PARTITION_COLUMN = "part_date"
 
@@ -77,7 +78,9 @@ class Table:
 
         Passing the declaration to the scan is what lets files written under an
         older one be read: missing columns are null, dropped ones are not read,
-        narrower numbers are widened.
+        narrower numbers are widened. The declarations that files were written under are kept
+        beside the table: one that cannot be brought to this without losing values raises
+        ``SchemaChangeError`` before anything is read, as ``conform`` does.
         """
         return self._scan(spark).drop(PARTITION_COLUMN)
 
@@ -118,15 +121,13 @@ class Table:
         swaps = Swaps(spark, self.path)
         swaps.finish()
         known = swaps.changes()
-        if not known:
+        if not known.parts:
             return None
         ahead = f"{PARTITION_COLUMN}="
         there = [n for n in Files(spark, self.path).names() if n.startswith(ahead)]
 
         def may(part: str) -> bool:
-            if column not in known.get(part, {}):
-                return True
-            bound = known[part][column]
+            bound = known.bound(part, column, unknown=at + 1)
             return bound is not None and (bound > at if strict else bound >= at)
 
         return [p.removeprefix(ahead) for p in there if may(p)]
@@ -183,16 +184,16 @@ class Table:
         """
         swaps = Swaps(rows.sparkSession, self.path)
         swap = swaps.start()
-        bounds = self._write(rows, f"{self.path}/{swap}")
-        swaps.put_partitions(swap, [f"{PARTITION_COLUMN}={p}" for p in parts or ()], bounds)
+        written = self._write(rows, f"{self.path}/{swap}")
+        swaps.put_partitions(swap, [f"{PARTITION_COLUMN}={p}" for p in parts or ()], written)
 
     def rewrite(self, rows: DataFrame, files: Sequence[str]) -> None:
         """Put ``rows`` in the place of ``files``; other files of their partitions stay. The
         swap is that of ``replace``, file by file."""
         swaps = Swaps(rows.sparkSession, self.path)
         swap = swaps.start()
-        bounds = self._write(rows, f"{self.path}/{swap}")
-        swaps.put_files(swap, files, bounds)
+        written = self._write(rows, f"{self.path}/{swap}")
+        swaps.put_files(swap, files, written)
 
     def finish_swaps(self, spark: SparkSession) -> None:
         """Finish what a writer that has stopped left behind; else nothing."""
@@ -219,9 +220,8 @@ class Table:
         kinds = (T.TimestampType, T.TimestampNTZType)
         return [c for c in self.stamps if c in self.schema.names and isinstance(self.schema[c].dataType, kinds)]
 
-    def _write(self, rows: DataFrame, path: str) -> dict[str, int | None]:
-        """Write the partitions; gives the greatest value of each stamp, as microseconds,
-        observed while writing."""
+    def _write(self, rows: DataFrame, path: str) -> Written:
+        """Write the partitions; the greatest stamps are observed while writing."""
         placed = rows.withColumn(PARTITION_COLUMN, self.partition()).hint("rebalance", PARTITION_COLUMN)
         stamps = self._stamped()
         seen = Observation()
@@ -229,10 +229,12 @@ class Table:
             greatest = [F.max(_micros(F.col(c), self.schema[c].dataType)).alias(c) for c in stamps]
             placed = placed.observe(seen, *greatest)
         placed.write.partitionBy(PARTITION_COLUMN).parquet(path)
-        return {c: seen.get.get(c) for c in stamps} if stamps else {}
+        return Written(T.StructType(rows.schema.fields).json(), {c: seen.get.get(c) for c in stamps})
 
     def _scan(self, spark: SparkSession) -> DataFrame:
         self.finish_swaps(spark)
+        for older in Swaps(spark, self.path).changes().in_use():
+            require_conformable(T.StructType.fromJson(json.loads(older)), self.schema)
         part = T.StructField(PARTITION_COLUMN, T.DateType())
         schema = T.StructType([*self.file_schema().fields, part])
         try:
