@@ -73,6 +73,18 @@ def test_payload_bytes_counts_the_text(frame):
     assert not fits_broadcast(large, 500) and fits_broadcast(small, 500)
 
 
+def test_repeated_values_are_not_taken_for_small(spark, tmp_path):
+    path = str(tmp_path / "repeated")
+    spark.range(20_000).selectExpr("id % 3 AS id", "repeat('same', 500) AS s").write.parquet(path)
+    stored = spark.read.parquet(path)
+    written = sum(f.stat().st_size for f in (tmp_path / "repeated").glob("*.parquet"))
+    assert written < 1 << 20 and payload_bytes(stored) > 32 << 20
+    assert not fits_broadcast(stored, 8 << 20)
+    # Rows that the plan makes count too.
+    many = spark.range(10).selectExpr("explode(sequence(1, 100000)) AS n")
+    assert not fits_broadcast(many, 1 << 20) and fits_broadcast(many, 32 << 20)
+
+
 def test_high_water_mark(frame, at):
     df = frame([(at(1),), (at(3),), (at(2),), (None,)], "t timestamp_ntz")
     assert mark_value(df, "t") == str(at(3))

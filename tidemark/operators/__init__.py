@@ -20,6 +20,7 @@ from tidemark.operators.quality import (
     not_null,
     null_counts,
     predicate,
+    quality_counts,
     quality_metrics,
     rejected_rows,
     tag,
@@ -54,6 +55,7 @@ __all__ = [
     "null_counts",
     "payload_bytes",
     "predicate",
+    "quality_counts",
     "quality_metrics",
     "rejected_rows",
     "replace_children",

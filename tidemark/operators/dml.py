@@ -176,15 +176,20 @@ def explode_children(
     )
 
 
+def undated_counts(arrays: Sequence[tuple[str, str]]) -> list[Column]:
+    """Children that ``explode_children`` leaves out for want of a date, by pair of a date
+    column and an array, to be aggregated or observed."""
+    return [
+        F.sum(F.when(F.col(date).isNull(), F.size(F.coalesce(array, F.array())))).alias(f"undated_{i}")
+        for i, (date, array) in enumerate(arrays)
+    ]
+
+
 def undated_children(batch: DataFrame, arrays: Sequence[tuple[str, str]]) -> int:
-    """How many children ``explode_children`` leaves out for want of a date, over several
-    pairs of a date column and an array, in one pass."""
+    """How many they are over all pairs, in one pass."""
     if not arrays:
         return 0
-    sizes = [
-        F.sum(F.when(F.col(date).isNull(), F.size(F.coalesce(array, F.array())))) for date, array in arrays
-    ]
-    return sum(n or 0 for n in batch.agg(*sizes).first())
+    return sum(n or 0 for n in batch.agg(*undated_counts(arrays)).first())
 
 
 def replace_children(

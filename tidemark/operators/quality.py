@@ -63,19 +63,25 @@ def tag(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.withColumn(ERRORS, codes)
 
 
-def quality_metrics(tagged: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Total, valid, invalid and corrupt rows and the error percent, in one aggregate.
-
-    The percent rounds a tie up; a run takes the counts and rounds as ``QualityRecord`` says.
-    """
+def quality_counts(tagged: DataFrame) -> list[Column]:
+    """Total, valid, invalid and corrupt rows, to be aggregated, or observed while the rows
+    are on their way to somewhere else."""
     broken = F.col(CORRUPT_COLUMN).isNotNull() if CORRUPT_COLUMN in tagged.columns else F.lit(False)
     bad = F.size(ERRORS) > 0
-    counted = tagged.groupBy(*by).agg(
+    return [
         F.count(F.lit(1)).alias("total_rows"),
         F.count_if(~bad).alias("valid_rows"),
         F.count_if(bad).alias("invalid_rows"),
         F.count_if(broken).alias("corrupt_rows"),
-    )
+    ]
+
+
+def quality_metrics(tagged: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Total, valid, invalid and corrupt rows and the error percent, in one aggregate.
+
+    The percent rounds a tie up; a run takes the counts and rounds as ``QualityRecord`` says.
+    """
+    counted = tagged.groupBy(*by).agg(*quality_counts(tagged))
     share = F.col("invalid_rows").cast("double") / F.col("total_rows") * 100
     percent = F.when(F.col("total_rows") > 0, F.round(share, 2)).otherwise(F.lit(0.0))
     return counted.withColumn("error_percent", percent)

@@ -2,20 +2,17 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-# Rows in memory are taken to be at most this many times as large as in files.
-_UNPACKED = 8
-
 _VALUE_OVERHEAD = 16
 
 
-def payload_bytes(df: DataFrame) -> int:
-    """Bytes the rows of ``df`` carry, from one distributed aggregate."""
+def row_bytes(schema: T.StructType) -> Column:
+    """Bytes that a row with the columns of ``schema`` carries."""
 
     def width(kind: T.DataType, value):
         if isinstance(kind, (T.StringType, T.BinaryType)):
@@ -34,23 +31,21 @@ def payload_bytes(df: DataFrame) -> int:
             )
         return F.lit(_VALUE_OVERHEAD)
 
-    row = reduce(lambda a, b: a + b, [width(f.dataType, F.col(f.name)) for f in df.schema.fields])
-    return df.agg(F.sum(row.cast("bigint"))).first()[0] or 0
+    return reduce(lambda a, b: a + b, [width(f.dataType, F.col(f.name)) for f in schema.fields]).cast("bigint")
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """What the optimizer expects of ``df``: the size of its files when it is a scan."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def payload_bytes(df: DataFrame) -> int:
+    """Bytes the rows of ``df`` carry, from one distributed aggregate."""
+    return df.agg(F.sum(row_bytes(df.schema))).first()[0] or 0
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether the rows of ``df`` carry at most ``limit`` bytes.
+    """Whether the rows of ``df`` carry at most ``limit`` bytes, as measured.
 
-    Statistics and file sizes decide the clear cases without a job. Only what they
-    leave open is measured: first a row count, which reads no columns, then the bytes.
+    File sizes and the optimizer's estimates prove nothing: files of repeated values unpack to
+    many times their size, and rows made by a plan are not in them. A row count, which reads
+    no columns, comes first; only where it leaves the matter open the bytes are added up.
     """
-    if estimated_bytes(df) * _UNPACKED <= limit:
-        return True
     least = df.count() * len(df.columns) * _VALUE_OVERHEAD
     return least <= limit and payload_bytes(df) <= limit
 

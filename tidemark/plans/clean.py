@@ -10,20 +10,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.conform import typed_projection
-from tidemark.operators.dml import replace_children, undated_children
+from tidemark.operators.dml import replace_children, undated_counts
 from tidemark.operators.quality import (
     ERRORS,
     Rule,
     clean_rows,
     enforce_gate,
-    quality_metrics,
+    quality_counts,
     rejected_rows,
     tag,
 )
-from tidemark.operators.sizes import fits_broadcast
+from tidemark.operators.sizes import BROADCAST_BYTES, row_bytes
 from tidemark.sinks.writers import QualityRecord, merge_into, metrics_scope, write_quarantine
 from tidemark.sources.tables import Table
-from tidemark.staging import scratch, staged
+from tidemark.staging import scratch, staged_and_counted
 
 log = logging.getLogger(__name__)
 
@@ -58,8 +58,8 @@ def run_clean(raw: DataFrame, job: CleanJob, ds: str, run_ts: datetime | None =
     """Load one raw batch. Metrics are stored whatever happens.
 
     The batch is parsed once: the tagged rows are staged with clean and rejected
-    rows in folders of their own, and everything after reads those. The copies go when
-    the run ends. Children that cannot be placed for want of a date are counted in the
+    rows in folders of their own, and everything after reads those. They are counted while
+    they are written, and so is what the clean batch weighs. The copies go when the run ends. Children that cannot be placed for want of a date are counted in the
     record, as are records that could not be read; an empty batch and anything left out
     is also logged.
     """
@@ -67,10 +67,9 @@ def run_clean(raw: DataFrame, job: CleanJob, ds: str, run_ts: datetime | None =
     job.clean.require_merge_keys()
     with metrics_scope(spark, job.metrics, ds) as record, scratch(spark, "clean") as folder:
         tagged = tag(typed_projection(raw, job.raw_schema), job.rules)
-        tagged = staged(
-            tagged.withColumn("rejected", F.size(ERRORS) > 0), "tagged", ("rejected",), folder
-        )
-        record.take(quality_metrics(tagged).first())
+        tagged = tagged.withColumn("rejected", F.size(ERRORS) > 0)
+        tagged, counts = staged_and_counted(tagged, "tagged", folder, quality_counts(tagged), ("rejected",))
+        record.take(counts)
         rejected = rejected_rows(tagged.filter("rejected").drop("rejected"), run_ts)
         write_quarantine(rejected, job.quarantine, ds)
         if not record.total_rows:
@@ -81,13 +80,14 @@ def run_clean(raw: DataFrame, job: CleanJob, ds: str, run_ts: datetime | None =
         enforce_gate({"error_percent": record.error_percent}, job.limit_percent)
 
         clean = clean_rows(tagged.filter("not rejected").drop("rejected"))
-        batch = staged(job.shape(clean), "batch", folder=folder)
-        record.undated_children = undated_children(
-            batch, [(c.keys[c.table.date], c.array) for c in job.children]
-        )
+        shaped = job.shape(clean)
+        undated = undated_counts([(c.keys[c.table.date], c.array) for c in job.children])
+        size = F.sum(row_bytes(shaped.schema)).alias("bytes")
+        batch, counts = staged_and_counted(shaped, "batch", folder, [*undated, size])
+        small = (counts.pop("bytes") or 0) <= BROADCAST_BYTES
+        record.undated_children = sum(n or 0 for n in counts.values())
         if record.undated_children:
             log.warning("%d children of %s have no date and are left out", record.undated_children, ds)
-        small = fits_broadcast(batch)
         merge_into(job.clean, batch, run_ts, small=small)
         for child in job.children:
             _replace(batch, child, small, run_ts)

@@ -1,7 +1,7 @@
 """Writers for quarantine, quality metrics, partitioned tables and the mart."""
 
 import logging
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
@@ -33,7 +33,7 @@ class QualityRecord:
     corrupt_rows: int = 0
     undated_children: int = 0
 
-    def take(self, metrics: Row) -> None:
+    def take(self, metrics: Row | Mapping[str, int]) -> None:
         """The counts, and the percent from them, rounded as Python rounds it: to the nearer
         of two digits of the exact value, so that 1,001 of 20,000 is 5.0."""
         for name in ("total_rows", "valid_rows", "invalid_rows", "corrupt_rows"):

@@ -37,9 +37,9 @@ def read_arrays(
     """
     folder = folder or work_dir(spark, "arrays")
     pieces = staged(_measured(_pieces(spark, paths)), "pieces", folder=folder)
-    at = _range_states(pieces)
+    at = staged(_range_states(pieces), "ranges", folder=folder)
     parts = staged(_parts(pieces.join(broadcast_if_small(at), [*_RANGE])), "parts", folder=folder)
-    records = staged(_judged(_records(parts), schema, corrupt), "records", folder=folder)
+    records = staged(_judged(_records(parts, folder), schema, corrupt), "records", folder=folder)
     # A row a file.
     files = parts.groupBy("file").agg(
         F.max("open").alias("open"), F.min_by(F.substring("text", 1, KEPT), F.struct("range", "nth")).alias("beginning")
@@ -127,11 +127,11 @@ def _parts(pieces: DataFrame) -> DataFrame:
     )
 
 
-def _records(parts: DataFrame) -> DataFrame:
+def _records(parts: DataFrame, folder: str) -> DataFrame:
     """Whole records: those of one range as they are, others put together by their number."""
     counts = parts.groupBy(*_RANGE).agg(F.count_if("ended").alias("ended_here"))
     over = Window.partitionBy("file").orderBy("range")
-    ahead = counts.select(*_RANGE, _before(F.col("ended_here"), over).alias("ahead"))
+    ahead = staged(counts.select(*_RANGE, _before(F.col("ended_here"), over).alias("ahead")), "numbers", folder=folder)
     numbered = parts.join(broadcast_if_small(ahead), [*_RANGE]).withColumn("number", F.col("ahead") + F.col("nth"))
     border = ((F.col("nth") == 0) & (F.col("range") > 0)) | ~F.col("ended")
     whole = numbered.filter(~border).select("file", "number", "text", "tail")

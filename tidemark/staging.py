@@ -6,10 +6,10 @@ kept on executors.
 """
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 from tidemark.errors import TidemarkError
 from tidemark.files import Files
@@ -44,6 +44,17 @@ def staged(
     return spark.read.schema(df.schema).parquet(path)
 
 
+def staged_and_counted(
+    df: DataFrame, label: str, folder: str, counts: Sequence[Column], partition_by: tuple[str, ...] = ()
+) -> tuple[DataFrame, dict]:
+    """``staged``, and the named aggregates ``counts`` over what was written, taken in the same
+    pass. They are added up where the rows are written, by tasks that succeeded, so a task that
+    runs again is counted once."""
+    seen = Observation()
+    rows = staged(df.observe(seen, *counts), label, partition_by, folder)
+    return rows, seen.get
+
+
 @contextmanager
 def scratch(spark: SparkSession, label: str) -> Iterator[str]:
     """A folder for the staged copies of one run, removed when the run ends or fails."""
