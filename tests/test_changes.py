@@ -19,6 +19,7 @@ from tidemark.plans.mart import MONTH
 from tidemark.sinks import merge_into
 from tidemark.sources import Table
 from tidemark.sources.swaps import Swaps
+from tidemark.sources.tables import one_of
 
 DDL = "id bigint, at timestamp_ntz, v string, created_at timestamp_ntz, updated_at timestamp_ntz"
 
@@ -304,3 +305,48 @@ def test_a_declaration_no_file_has_any_more_is_no_hindrance(spark, frame, at, tm
         narrow.read(spark)
     narrow.replace(frame([(2, feb, 6)], "id int, at timestamp_ntz, v int"))
     assert values(narrow.read(spark), "id", "v") == [(1, 5), (2, 6)]
+
+
+def scanned(df):
+    """Rows that the scan hands on: those of the row groups that were read."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().get("numOutputRows").get().value() for i in range(leaves.size()))
+
+
+@pytest.mark.parametrize("clustered", [True, False])
+def test_bloom_filters_leave_few_row_groups(spark, tmp_path, clustered):
+    schema = T.StructType.fromDDL("id string, at timestamp_ntz, v bigint")
+    table = Table(str(tmp_path / "t"), schema, keys=("id", "at"), date="at", cluster=("id",) if clustered else ())
+    rows = spark.range(8000).selectExpr("md5(cast(id AS string)) AS id", "timestamp_ntz'2026-01-05' AS at", "id AS v")
+    for n in range(8):
+        merge_into(table, rows.filter(F.col("v") % 8 == n), datetime(2026, 1, 1), small=True)
+    assert len(files_of(table, spark, "2026-01-01")) == 8
+    few = rows.filter("v IN (16, 24, 11)")
+    ids = [r.id for r in few.collect()]
+    found = table.read(spark).filter(one_of("id", ids))
+    assert scanned(found) == (2000 if clustered else 8000) and found.count() == 3
+    assert len(table.files_holding(few, {"id": "id", "at": "at"}, ["2026-01-01"])) == 2
+    many = rows.filter("v % 8 < 2").limit(700)
+    assert len(table.files_holding(many, {"id": "id", "at": "at"}, ["2026-01-01"])) <= 2
+    merge_into(table, few.withColumn("v", F.lit(-1).cast("bigint")), datetime(2026, 1, 2), small=True)
+    assert table.read(spark).filter("v = -1").count() == 3 and table.read(spark).count() == 8000
+
+
+def test_rows_are_sorted_within_files(spark, tmp_path):
+    schema = T.StructType.fromDDL("id string, at timestamp_ntz")
+    table = Table(str(tmp_path / "t"), schema, date="at", cluster=("id",))
+    table.replace(spark.range(3000).selectExpr("md5(cast(id AS string)) AS id", "timestamp_ntz'2026-01-05' + make_interval(0, int(id % 2)) AS at"))
+    for part in ("2026-01-01", "2026-02-01"):
+        for name in files_of(table, spark, part):
+            ids = [r.id for r in spark.read.parquet(f"{table.path}/part_date={part}/{name}").collect()]
+            assert ids == sorted(ids) and len(ids) == 1500
+
+
+def test_null_clustering_keys_are_found_when_nulls_are_equal(spark, frame, at, tmp_path):
+    ddl = "k string, at timestamp_ntz, v int"
+    table = Table(str(tmp_path / "t"), T.StructType.fromDDL(ddl), keys=("k", "at"), date="at", null_safe=True, cluster=("k",))
+    merge_into(table, frame([(None, at(1), 1), ("a", at(1), 2)], ddl), at(2), small=True)
+    merge_into(table, frame([("b", at(1), 3)], ddl), at(2), small=True)
+    merge_into(table, frame([(None, at(1), 9), ("b", at(1), 8)], ddl), at(3), small=True)
+    assert values(table.read(spark), "k", "v") == [("a", 2), ("b", 8), (None, 9)]

@@ -87,18 +87,20 @@ class Visits:
             schema(CLEAN_VISITS),
             keys=("visit_date", "snils", "disease_code"),
             date="visit_date",
+            cluster=("snils",),
         )
         self.symptoms = Table(
-            f"{root}/clean/visits_symptoms", schema(SYMPTOMS), date="visit_date", grain="day"
+            f"{root}/clean/visits_symptoms", schema(SYMPTOMS), date="visit_date", grain="day", cluster=("visit_id",)
         )
         self.chronic = Table(
-            f"{root}/clean/visits_chronic", schema(CHRONIC), date="visit_date", grain="day"
+            f"{root}/clean/visits_chronic", schema(CHRONIC), date="visit_date", grain="day", cluster=("visit_id",)
         )
         self.curated = Table(
             f"{root}/curated/visits",
             schema(CURATED_VISITS),
             keys=("id", "visit_date"),
             date="visit_date",
+            cluster=("id",),
         )
         parent = {"visit_id": "id", "visit_date": "visit_date"}
         self.clean_job = CleanJob(

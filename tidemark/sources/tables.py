@@ -33,6 +33,13 @@ FILES_A_PARTITION = 200
 #: Partitions whose files are listed at the same time.
 _LISTERS = 16
 
+#: Most values that are looked up as literals.
+FEW_VALUES = 500
+#: Values of one list that the file reader turns into equalities, which Bloom filters answer.
+_LISTED = 10
+#: Small files get small filters.
+_BLOOM_SIZES = {"parquet.bloom.filter.adaptive.enabled": "true"}
+
 _MARKS = "_marks"
 
 
@@ -44,6 +51,9 @@ class Table:
     partitions the table; without it the table is one partition. ``null_safe`` makes
     null keys equal when batches are merged. One job at a time may write a table.
 
+    Files are sorted by the columns of ``cluster`` and carry a Bloom filter for each, so that
+    a search for a few of their values reads the row groups that may hold one.
+
     Of the ``stamps`` among the columns the greatest value written is kept for every
     partition, beside the table, so that increments cut by one of them read only the
     partitions that changed.
@@ -56,6 +66,7 @@ class Table:
     grain: str = "month"
     null_safe: bool = False
     stamps: tuple[str, ...] = ("created_at", "updated_at")
+    cluster: tuple[str, ...] = ()
 
     def partition(self) -> Column:
         if self.date is None:
@@ -142,7 +153,8 @@ class Table:
         self, batch: DataFrame, keys: Mapping[str, str], parts: Sequence[str], null_safe: bool = False
     ) -> list[str] | None:
         """Files of ``parts`` with a row whose ``keys`` (column to batch column) are those of a
-        row of ``batch``, which must be small enough to broadcast.
+        row of ``batch``, which must be small enough to broadcast. Up to ``FEW_VALUES`` values
+        of a clustering key are looked up by the files' Bloom filters.
 
         None where rewriting whole partitions is as good: when half of their files match, or
         one of them has come to hold more than ``FILES_A_PARTITION``.
@@ -154,6 +166,11 @@ class Table:
         if not Files(spark, self.path).exists():
             return []
         rows = rows if self.date is None else rows.filter(self._among(parts))
+        for column in self.cluster:
+            if column in keys:
+                values = sought.select(f"__{column}").distinct().limit(FEW_VALUES + 1).collect()
+                if len(values) <= FEW_VALUES and not (null_safe and any(v[0] is None for v in values)):
+                    rows = rows.filter(one_of(column, [v[0] for v in values if v[0] is not None]))
         rows = rows.select(*keys, F.col("_metadata.file_path").alias("__file"))
         held = rows.join(F.broadcast(sought), reduce(lambda a, b: a & b, same), "left_semi").select("__file").distinct()
         found = ["/".join(r[0].split("/")[-2:]) for r in held.limit(MOST_FILES + 1).collect()]
@@ -228,7 +245,10 @@ class Table:
         if stamps:
             greatest = [F.max(_micros(F.col(c), self.schema[c].dataType)).alias(c) for c in stamps]
             placed = placed.observe(seen, *greatest)
-        placed.write.partitionBy(PARTITION_COLUMN).parquet(path)
+        if self.cluster:
+            placed = placed.sortWithinPartitions(PARTITION_COLUMN, *self.cluster)
+        blooms = {f"parquet.bloom.filter.enabled#{c}": "true" for c in self.cluster} | _BLOOM_SIZES
+        placed.write.options(**blooms).partitionBy(PARTITION_COLUMN).parquet(path)
         return Written(T.StructType(rows.schema.fields).json(), {c: seen.get.get(c) for c in stamps})
 
     def _scan(self, spark: SparkSession) -> DataFrame:
@@ -245,6 +265,12 @@ class Table:
             return spark.createDataFrame([], schema)
 
 
+def one_of(column: str, values: Sequence[Any]) -> Column:
+    """Whether ``column`` is one of a few values, so that a scan can ask Bloom filters."""
+    lists = [F.col(column).isin(list(values[i : i + _LISTED])) for i in range(0, len(values), _LISTED)]
+    return reduce(lambda a, b: a | b, lists, F.lit(False))
+
+
 def _micros(column: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(column)
