@@ -160,11 +160,16 @@ class Table:
         one of them has come to hold more than ``FILES_A_PARTITION``.
         """
         spark = batch.sparkSession
+        self.finish_swaps(spark)
+        files = Files(spark, self.path)
+        touched = [f"{PARTITION_COLUMN}={p}" for p in parts] if self.date else [f"{PARTITION_COLUMN}={NO_DATE}"]
+        with ThreadPoolExecutor(_LISTERS) as listers:
+            counts = list(listers.map(lambda part: len(files.names(part)), touched))
+        if not any(counts):
+            return []
         sought = batch.select(*[F.col(b).alias(f"__{c}") for c, b in keys.items()]).distinct()
         same = [F.col(c).eqNullSafe(F.col(f"__{c}")) if null_safe else F.col(c) == F.col(f"__{c}") for c in keys]
         rows = self._scan(spark)
-        if not Files(spark, self.path).exists():
-            return []
         rows = rows if self.date is None else rows.filter(self._among(parts))
         for column in self.cluster:
             if column in keys:
@@ -176,10 +181,6 @@ class Table:
         found = ["/".join(r[0].split("/")[-2:]) for r in held.limit(MOST_FILES + 1).collect()]
         if len(found) > MOST_FILES:
             return None
-        files = Files(spark, self.path)
-        touched = [f"{PARTITION_COLUMN}={p}" for p in parts] if self.date else [f"{PARTITION_COLUMN}={NO_DATE}"]
-        with ThreadPoolExecutor(_LISTERS) as listers:
-            counts = list(listers.map(lambda part: len(files.names(part)), touched))
         crowded = max(counts, default=0) > FILES_A_PARTITION
         return None if found and (crowded or 2 * len(found) > sum(counts)) else sorted(found)
 
