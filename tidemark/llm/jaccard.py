@@ -9,9 +9,11 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.components import components
 from tidemark.llm.text import _PLACE, SPACED, Words, _scramble, pieces, words
+from tidemark.operators.sizes import broadcast_if_small
 from tidemark.staging import staged
 
 #: Bytes of text whose rows are dealt out together.
@@ -52,8 +54,12 @@ def jaccard_groups(
        are its own that no partner can reach the overlap it needs, which leaves documents
        with near copies. The rarest n-grams of the others, as many as the bound allows to
        be missing and one more, tell which of them may link.
-    3. Equal sets become one row. Rows that may link, directly or through others, are
-       multiplied block by block, and overlaps below the bound are dropped.
+    3. Equal sets become one row. How many n-grams a row has ahead of the first that it may
+       share bounds its overlaps, and by that the sizes of its partners; rows without a
+       partner of such a size go. Rows that may link, directly or through others, are
+       multiplied block by block, and overlaps below the bound are dropped. Of a group of
+       more than a block every row is first compared with one of them: those that link with
+       it are in one component, and only rows that do not are multiplied with all others.
 
     Memory of a task is set by the size of a block. N-grams are known by hashes of 64 bits,
     however many blocks there are; sets with equal 128-bit sums and sizes are taken to be
@@ -62,7 +68,7 @@ def jaccard_groups(
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(8, min(16, int(total // BLOCK_BYTES).bit_length()))
+    bits = max(8, int(total // BLOCK_BYTES).bit_length())
 
     dealt = rows.mapInArrow(_deal(width, bits), "block int, batch long, entries binary, often binary, meta binary")
     common = dealt.groupBy("block").applyInPandas(
@@ -179,7 +185,7 @@ def _shorten(low: np.ndarray, row: np.ndarray, bits: int) -> bytes:
     """Entries of one block and piece, sorted by hash: counts by the bits not sent, and the rest."""
     if not len(low):
         return b""
-    counts = np.bincount((low >> _SENT).astype(np.int64), minlength=1 << 16 - bits)
+    counts = np.bincount((low >> _SENT).astype(np.int64), minlength=1 << max(0, 16 - bits))
     return counts.astype("<u4").tobytes() + ((low & _LOW) << _BITS | row).astype("<u8").tobytes()
 
 
@@ -187,7 +193,7 @@ def _lengthen(data: bytes, bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes below the block's bits, and rows."""
     if not data:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint16)
-    counts = np.frombuffer(data, "<u4", 1 << 16 - bits)
+    counts = np.frombuffer(data, "<u4", 1 << max(0, 16 - bits))
     sent = np.frombuffer(data, "<u8", offset=counts.nbytes).astype(np.uint64)
     top = np.repeat(np.arange(len(counts), dtype=np.uint64), counts)
     return top << _SENT | sent >> _BITS, (sent & _IDX).astype(np.uint16)
@@ -279,40 +285,102 @@ def _rows(percent: int, bits: int):
 
 def _linked(classes: DataFrame, percent: int) -> DataFrame:
     """Edges ``(a, b)`` that connect what the product finds linked."""
+    named = staged(
+        classes.filter("rep is not null").select("rep", "n", "prefix", "shared", (F.octet_length("shared") / 8).cast("long").alias("common")),
+        "named",
+    )
+    near = staged(components(_may_link(named, percent)), "near")
+    sizes = near.groupBy("component").agg(F.count("id").alias("members"), F.min_by("id", F.xxhash64("id")).alias("pivot"))
+    rows = near.join(sizes, "component").select(F.col("id").alias("rep"), "component", "members", "pivot")
+    rows = staged(named.select("rep", "n", "shared").join(rows, "rep"), "rows")
+    small = rows.filter(F.col("members") <= BLOCK_ROWS)
+    star = staged(_star(rows.filter(F.col("members") > BLOCK_ROWS), percent), "star")
+
+    counts = star.groupBy("component").agg(F.count_if(~F.col("linked")).alias("free"), F.count_if("linked").alias("held"))
+    counts = counts.filter("free > 0").select(
+        F.col("component").cast("string").alias("at"),
+        F.ceil(F.col("free") / BLOCK_ROWS).cast("int").alias("free"),
+        F.ceil(F.col("held") / BLOCK_ROWS).cast("int").alias("held"),
+    )
+    dealt = star.join(counts, F.col("component").cast("string") == F.col("at"))
+    hashed = F.xxhash64("rep", F.lit(3))
+    part = F.when(F.col("linked"), F.col("free") + F.pmod(hashed, F.col("held"))).otherwise(F.pmod(hashed, F.col("free"))).cast("int")
+    others = F.sequence(F.lit(0), F.when(F.col("linked"), F.col("free")).otherwise(F.col("free") + F.col("held")) - 1)
+    pairs = F.transform(others, lambda k: F.struct(F.least("part", k).alias("i"), F.greatest("part", k).alias("j")))
+    blocks = dealt.withColumn("part", part).withColumn("pair", F.explode(pairs)).select(
+        "rep", "n", "shared", "component", "part", F.col("component").alias("spread"), "pair.i", "pair.j"
+    )
+    alone = small.select(
+        "rep", "n", "shared", "component", F.lit(0).alias("part"),
+        F.pmod(F.xxhash64("component"), F.lit(4096)).alias("spread"), F.lit(-1).alias("i"), F.lit(-1).alias("j"),
+    )
+    found = blocks.unionByName(alone).groupBy("spread", "i", "j").applyInPandas(_multiply(percent), "a long, b long")
+    return found.unionByName(star.filter("linked and rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")))
+
+
+def _may_link(named: DataFrame, percent: int) -> DataFrame:
+    """Rows that have a rare n-gram in common and sizes that allow a link, each with the least
+    of them.
+
+    A row of ``n`` n-grams that shares none ahead of a place has at most the ``c`` from there
+    on in common with another, which bounds the other's size by c * (100 + percent) / percent
+    - n. Of two rows that link the smaller one allows the larger; such rows are ``open``.
+    """
 
     def leading(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             first = [np.frombuffer(s, np.int64)[:p] for s, p in zip(batch["shared"], batch["prefix"])]
             if first:
+                size = [len(f) for f in first]
                 yield pd.DataFrame(
-                    {"gram": np.concatenate(first), "rep": np.repeat(batch["rep"].to_numpy(np.int64), [len(f) for f in first])}
+                    {
+                        "gram": np.concatenate(first),
+                        "rep": np.repeat(batch["rep"].to_numpy(np.int64), size),
+                        "place": np.concatenate([np.arange(k) for k in size]),
+                    }
                 )
 
-    named = classes.filter("rep is not null")
-    grams = staged(named.select("rep", "prefix", "shared").mapInPandas(leading, "gram long, rep long"), "grams")
-    least = grams.groupBy("gram").agg(F.min("rep").alias("least"), F.count("rep").alias("times"))
-    least = least.filter("times > 1").select(F.col("gram").cast("string").alias("g"), "least")
-    may = grams.withColumn("g", F.col("gram").cast("string")).join(least, "g")
-    near = staged(components(may.select(F.col("rep").alias("a"), F.col("least").alias("b"))), "near")
-
-    sizes = near.groupBy("component").agg(F.count("id").alias("members"))
-    parts = F.ceil(F.col("members") / BLOCK_ROWS).cast("int")
-    where = near.join(sizes, "component").select(
-        F.col("id").alias("rep"), "component", "members", parts.alias("parts"),
-        F.pmod(F.xxhash64("id"), parts).cast("int").alias("part"),
-    )
-    pairs = F.transform(
-        F.sequence(F.lit(0), F.col("parts") - 1),
-        lambda k: F.struct(F.least("part", k).alias("i"), F.greatest("part", k).alias("j")),
-    )
-    spread = F.when(F.col("parts") > 1, F.col("component")).otherwise(F.pmod(F.xxhash64("component"), F.lit(4096)))
-    blocks = (
-        named.select("rep", "n", "shared")
-        .join(where, "rep")
-        .withColumn("pair", F.explode(pairs))
-        .select("rep", "n", "shared", "component", "part", (F.col("parts") > 1).alias("large"), spread.alias("spread"), "pair.i", "pair.j")
+    def together(rows: DataFrame, found: DataFrame) -> DataFrame:
+        # Keyed by an expression: both sides are dealt out anew, so a hot n-gram may be split.
+        return rows.join(found.withColumnRenamed("gram", "of"), F.col("gram").cast("string") == F.col("of").cast("string")).drop("of")
+
+    grams = named.select("rep", "prefix", "shared").mapInPandas(leading, "gram long, rep long, place long")
+    grams = staged(grams, "grams")
+    shared = grams.groupBy("gram").agg(F.count("rep").alias("times")).filter("times > 1").select("gram")
+    met = staged(together(grams, shared), "met")
+    ahead = met.groupBy("rep").agg(F.min("place").alias("ahead"))
+    size = named.select("rep", "n", "common").join(ahead, "rep")
+    most = F.floor((F.col("common") - F.col("ahead")) * (100 + percent) / percent).cast("long") - F.col("n")
+    size = size.withColumn("most", most).filter(100 * F.col("most") >= percent * F.col("n")).select("rep", "n", "most")
+    met = staged(met.select("gram", "rep").join(size, "rep").withColumn("open", F.col("most") >= F.col("n")), "sized")
+    open_rows = met.filter("open").groupBy("gram").agg(F.min("n").alias("low"), F.max("most").alias("high"))
+    kept = together(met, open_rows).filter("open or (n <= high and most >= low)").select("gram", "rep")
+    least = kept.groupBy("gram").agg(F.min("rep").alias("least"))
+    return together(kept, least).filter("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
+
+
+def _star(rows: DataFrame, percent: int) -> DataFrame:
+    """Rows of large groups, and whether they link with their group's pivot."""
+    pivots = rows.filter("rep = pivot").select(
+        F.col("component").cast("string").alias("at"), F.col("n").alias("pivot_n"), F.col("shared").alias("pivot_shared")
     )
-    return blocks.groupBy("large", "spread", "i", "j").applyInPandas(_multiply(percent), "a long, b long")
+    both = rows.join(broadcast_if_small(pivots), F.col("component").cast("string") == F.col("at")).drop("at", "members")
+    schema = T.StructType([*both.drop("pivot_n", "pivot_shared").schema.fields, T.StructField("linked", T.BooleanType())])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            known: dict[int, np.ndarray] = {}
+            linked = []
+            for n, shared, component, m, other in zip(*(batch[c] for c in ("n", "shared", "component", "pivot_n", "pivot_shared"))):
+                if component not in known:
+                    known = {component: np.sort(np.frombuffer(other, np.uint64))}
+                pivot, mine = known[component], np.frombuffer(shared, np.uint64)
+                at = np.minimum(np.searchsorted(pivot, mine), max(0, len(pivot) - 1))
+                overlap = int((pivot[at] == mine).sum()) if len(pivot) else 0
+                linked.append(100 * overlap >= percent * (n + m - overlap))
+            yield batch.drop(columns=["pivot_n", "pivot_shared"]).assign(linked=linked)
+
+    return both.mapInPandas(run, schema)
 
 
 def _multiply(percent: int):
@@ -327,7 +395,7 @@ def _multiply(percent: int):
 
 def _links(rows: pd.DataFrame, percent: int) -> list[tuple[int, int]]:
     """Each linked row with the least row that it reaches within this block."""
-    i, j = rows["i"].iloc[0], rows["j"].iloc[0]
+    i, j = int(rows["i"].iloc[0]), int(rows["j"].iloc[0])
     if i != j:
         rows = pd.concat([rows[rows["part"] == i], rows[rows["part"] == j]])
     half = int((rows["part"] == i).sum()) if i != j else len(rows)
