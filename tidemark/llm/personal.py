@@ -1,8 +1,10 @@
 """Personal data: base patterns, and a semi-Markov conditional random field for the rest."""
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -83,7 +85,11 @@ class Zone:
     text: str
     start: int
     before: str
-    tokens: list[tuple[int, int]]
+    tokens: np.ndarray
+
+    def word(self) -> str:
+        """The word before the first chunk, as far as it is known."""
+        return self.before.strip(".,:;()\"'").lower()
 
 
 def zones(text: str) -> Iterator[Zone]:
@@ -108,7 +114,8 @@ def zones(text: str) -> Iterator[Zone]:
 
 def _zone(text: str, first: int, last: int, before: str) -> Zone:
     inside = text[first:last]
-    return Zone(inside, first, before, [m.span() for m in _TOKEN.finditer(inside)])
+    borders = np.fromiter((at for m in _TOKEN.finditer(inside) for at in m.span()), np.int32)
+    return Zone(inside, first, before, borders.reshape(-1, 2))
 
 
 def _side(char: str) -> str:
@@ -117,8 +124,8 @@ def _side(char: str) -> str:
 
 def candidates(zone: Zone) -> Iterator[tuple[int, int, list[str]]]:
     """First and end token, and whole-span features, of every candidate segment."""
-    text, tokens = zone.text, zone.tokens
-    word = zone.before.strip(".,:;()\"'").lower()
+    text, tokens = zone.text, zone.tokens.tolist()
+    word = zone.word()
     for i, (start, _) in enumerate(tokens):
         yield i, i + 1, ["o", "o:" + ("d" if text[start].isdigit() else "a" if text[start].isalpha() else "p")]
         trigger = False
@@ -131,14 +138,22 @@ def candidates(zone: Zone) -> Iterator[tuple[int, int, list[str]]]:
                 yield i, j + 1, _features(text, start, end, word if i == 0 else "")
 
 
+def _mail(span: str) -> str:
+    left, _, right = span.partition("@")
+    return "mail" if left and _MAIL_RIGHT.fullmatch(right) and not re.search(r"[^A-Za-z0-9._%+-]", left) else "nomail"
+
+
+def _ip(span: str) -> str:
+    return "ip" if all(int(p[:4]) <= 255 for p in span.split(".")) else "noip"
+
+
 def _features(text: str, start: int, end: int, word: str) -> list[str]:
     span = text[start:end]
     digits = _digits(span)
     letters = any(c.isalpha() for c in span)
     out = ["b", "l" + _side(text[start - 1 : start]), "r" + _side(text[end : end + 1]), "f" + _side(span[0]), "e" + _side(span[-1])]
     if "@" in span:
-        left, _, right = span.partition("@")
-        out.append("mail" if left and _MAIL_RIGHT.fullmatch(right) and not re.search(r"[^A-Za-z0-9._%+-]", left) else "nomail")
+        out.append(_mail(span))
     elif letters:
         out.append("letters")
     else:
@@ -146,7 +161,7 @@ def _features(text: str, start: int, end: int, word: str) -> list[str]:
         if len(digits) >= 13:
             out.append("luhn" if luhn(digits) else "noluhn")
         if span.count(".") == 3 and _IP.fullmatch(span):
-            out.append("ip" if all(int(p[:4]) <= 255 for p in span.split(".")) else "noip")
+            out.append(_ip(span))
         shape = re.sub(r"[0-9]+", "9", span)
         out.append("shape" + shape[:16])
     if any(c.isspace() for c in span):
@@ -163,32 +178,196 @@ class Field:
     weights: dict[str, tuple[float, ...]]
 
     def decode(self, zone: Zone) -> list[Span]:
-        """The best segmentation of the zone, as spans of the text."""
+        """The best segmentation of the zone, as spans of the text.
+
+        A segment is worth what its score is above that of its tokens outside of entities.
+        Those that are worth something are few; among them the best chain is found from left
+        to right. Of equal chains the one with the longer last segment is taken.
+        """
         n = len(zone.tokens)
-        best = [0.0] + [-np.inf] * n
-        back: list[tuple[int, int]] = [(0, OUTSIDE)] * (n + 1)
-        ahead: list[list[tuple[int, int, float]]] = [[] for _ in range(n)]
-        none = (0.0,) * (OUTSIDE + 1)
-        for i, j, names in candidates(zone):
-            rows = [self.weights.get(f, none) for f in names]
-            if names[0] == "o":
-                ahead[i].append((j, OUTSIDE, sum(r[OUTSIDE] for r in rows)))
+        best, back, done = [0.0] * (n + 1), {}, 0
+        late: list[np.ndarray] = []
+        for high, *segments in self._worth(zone):
+            i, j, kind, worth = (np.concatenate(x) for x in zip(late, segments)) if late else segments
+            order = np.lexsort((i, j))
+            i, j, kind, worth = i[order], j[order], kind[order], worth[order]
+            # Those that end behind the part may still be joined by others that end there.
+            cut = int(np.searchsorted(j, high, side="right"))
+            late = [x[cut:] for x in (i, j, kind, worth)]
+            for first, end, label, gain in zip(*(x[:cut].tolist() for x in (i, j, kind, worth))):
+                if done < end:
+                    best[done + 1 : end + 1] = [best[done]] * (end - done)
+                    done = end
+                total = best[first] + gain
+                if total > best[end] or total == best[end] and end not in back and end - first > 1:
+                    best[end], back[end] = total, (first, label)
+            best[done + 1 : high + 1] = [best[done]] * (high - done)
+            done = max(done, high)
+        found, at = [], n
+        while at:
+            if at in back:
+                first, label = back[at]
+                found.append((label, zone.start + int(zone.tokens[first, 0]), zone.start + int(zone.tokens[at - 1, 1])))
+                at = first
             else:
-                scores = [sum(r[k] for r in rows) for k in range(OUTSIDE)]
-                kind = int(np.argmax(scores))
-                ahead[i].append((j, kind, scores[kind]))
-        for i in range(n):
-            for j, kind, score in ahead[i]:
-                if best[i] + score > best[j]:
-                    best[j], back[j] = best[i] + score, (i, kind)
-        found, j = [], n
-        while j:
-            i, kind = back[j]
-            if kind != OUTSIDE:
-                found.append((kind, zone.start + zone.tokens[i][0], zone.start + zone.tokens[j - 1][1]))
-            j = i
+                at -= 1
         return found
 
+    @cached_property
+    def _tables(self) -> "_Tables":
+        return _Tables(self.weights)
+
+    def _worth(self, zone: Zone) -> Iterator[tuple]:
+        """By part of the zone: its end, and first and end token, kind and worth of the segments
+        that begin in it and are worth taking.
+
+        Scores are those of ``candidates``, for all segments of a length and some thousand
+        first tokens at a time, so that memory does not grow with what a zone may hold. What
+        is costly to tell of a segment is only told where it can still matter.
+        """
+        w, text = self._tables, zone.text
+        n = len(zone.tokens)
+        start, end = zone.tokens[:, 0].astype(np.int64), zone.tokens[:, 1].astype(np.int64)
+        codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+        chars, which = np.unique(codes, return_inverse=True)
+        known = [chr(c) for c in chars]
+        side = np.array([_SIDES.index(_side(c)) for c in known])[which]
+        edge = np.append(side, _SIDES.index("s"))
+        left, right = np.where(start > 0, side[start - 1], _SIDES.index("s")), edge[end]
+        first, last = side[start], side[end - 1]
+        digit = (codes >= ord("0")) & (codes <= ord("9"))
+        alpha = np.array([c.isalpha() for c in known])[which]
+        numeral = np.array([c.isdigit() for c in known])[which]
+        number, at_sign = digit[start], codes[start] == ord("@")
+        outside = w.outside[np.where(numeral[start], 0, np.where(alpha[start], 1, 2))]
+
+        def summed(values: np.ndarray) -> np.ndarray:
+            return np.concatenate([[0], np.cumsum(values)])
+
+        digits, letters, signs = summed(digit), summed(alpha), summed(at_sign)
+        triggers, dots = summed(number | at_sign), summed(codes[start] == ord("."))
+        gap = np.append(start[1:] > end[:-1], False)
+        gaps, rest = summed(gap), summed(outside)
+        # Sums of check digits, by the parity of the last digit's place.
+        value = (codes[digit] - ord("0")).astype(np.int64)
+        twice = 2 * value - 9 * (value > 4)
+        even = np.arange(len(value)) % 2 == 0
+        checks = [summed(np.where(even, value, twice)), summed(np.where(even, twice, value))]
+        # Shapes: a run of digits is one 9; hashes of their beginnings by polynomial.
+        shown = ~digit | ~np.append(False, digit[:-1])
+        shape = np.where(digit[shown], ord("9"), codes[shown]).astype(np.uint64)
+        place = summed(shown)
+        hashes, powers = _running(shape)
+        word = w.vector("w:" + zone.word()) if zone.word().isalpha() else None
+
+        begins, closes = w.left[left] + w.first[first], w.right[right] + w.last[last]
+        # At most this, whatever the label.
+        most_begin, most_close = begins.max(1) + rest[:-1], closes.max(1) - rest[1:]
+        fixed = w.one("b").max() + max(0.0, w.one("space").max(), 0.0 if word is None else word.max())
+        most = w.count.max(1) + w.most_plain + fixed
+        other = max(w.most_mail, float(w.one("letters").max())) + fixed
+
+        for low in range(0, n, _DECODED):
+            none = np.zeros(0, np.int64)
+            parts = [(none, none, none, np.zeros(0))]
+            for length in range(1, min(MOST_TOKENS, n - low) + 1):
+                high = min(low + _DECODED, n - length + 1)
+                here, there = slice(low, high), slice(low + length - 1, high + length - 1)
+                a, b = start[here], end[there]
+                fits = (b - a <= MOST_CHARS) & (triggers[low + length : high + length] > triggers[here])
+                count = np.minimum(digits[b] - digits[a], MOST_CHARS)
+                mixed = (signs[low + length : high + length] > signs[here]) | (letters[b] > letters[a])
+                bound = most_begin[here] + most_close[there] + np.where(mixed, other, most[count])
+                i = np.flatnonzero(fits & (bound >= -1e-9)) + low
+                if not len(i):
+                    continue
+                j = i + length
+                a, b = start[i], end[j - 1]
+                score = w.one("b") + begins[i] + closes[j - 1]
+                mail, lettered = signs[j] > signs[i], letters[b] > letters[a]
+                plain = ~mail & ~lettered
+                count = digits[b] - digits[a]
+                score += np.where((lettered & ~mail)[:, None], w.one("letters"), 0)
+                score += np.where(plain[:, None], w.count[count], 0)
+                score += np.where((gaps[j - 1] > gaps[i])[:, None], w.one("space"), 0)
+                if word is not None and i[0] == 0:
+                    score[0] += word
+                without = rest[j] - rest[i]
+                for k in np.flatnonzero(mail):
+                    score[k] += w.one(_mail(text[a[k] : b[k]]))
+                many = plain & (count >= 13)
+                ahead = digits[b]
+                check = np.where(ahead % 2 == 1, checks[0][ahead] - checks[0][digits[a]], checks[1][ahead] - checks[1][digits[a]])
+                score += np.where((many & (check % 10 == 0))[:, None], w.one("luhn"), 0)
+                score += np.where((many & (check % 10 != 0))[:, None], w.one("noluhn"), 0)
+                if length == 7:
+                    for k in np.flatnonzero(plain & (dots[j] - dots[i] == 3)):
+                        score[k] += w.ip(text[a[k] : b[k]])
+                size = np.minimum(place[b] - place[a], 16)
+                score += np.where(plain[:, None], w.shape((hashes[place[a] + size] - hashes[place[a]]) * powers[place[a]], size), 0)
+                kind = score.argmax(1)
+                worth = score.max(1) - without
+                good = worth >= 0
+                parts.append((i[good], j[good], kind[good], worth[good]))
+            yield min(low + _DECODED, n), *(np.concatenate(x) for x in zip(*parts))
+
+
+#: First tokens of the segments that are scored at once.
+_DECODED = 8192
+
+# Sides of a segment: the values of ``_side``.
+_SIDES = ["s", "a", "p", *"\"'.,:;=()-+@_/"]
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _running(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums of values times powers of the base, and powers of its inverse: the sum over
+    a run, times that of where it begins, does not depend on where it stands."""
+    base, inverse = (np.full(len(values), b, np.uint64) for b in (_BASE, pow(int(_BASE), -1, 1 << 64)))
+    one = np.ones(1, np.uint64)
+    ahead, back = (np.cumprod(np.concatenate([one, b])) for b in (base, inverse))
+    return np.concatenate([one - one, np.cumsum((values + one) * ahead[:-1])]), back
+
+
+class _Tables:
+    """The weights of the labels by what a segment has, as arrays."""
+
+    def __init__(self, weights: dict[str, tuple[float, ...]]):
+        self._weights = weights
+
+        def rows(names: list[str]) -> np.ndarray:
+            return np.array([self.vector(n) for n in names])
+
+        self.left, self.right, self.first, self.last = (rows([a + s for s in _SIDES]) for a in "lrfe")
+        self.count = rows([f"d{n}" for n in range(MOST_CHARS + 1)])
+        none = (0.0,) * (OUTSIDE + 1)
+        self.outside = np.array([weights.get("o", none)[OUTSIDE] + weights.get("o:" + c, none)[OUTSIDE] for c in "dap"])
+        shapes = [f for f in weights if f.startswith("shape")]
+        codes = np.array([_running(np.array([ord(c) for c in f[5:]], np.uint64))[0][-1] for f in shapes], np.uint64)
+        order = np.argsort(codes)
+        self._codes, self._sizes = codes[order], np.array([len(f) - 5 for f in shapes], np.int64)[order]
+        self._shapes = rows(shapes).reshape(-1, OUTSIDE)[order]
+        self.most_plain = max(
+            0.0, *(float(max(0.0, *self.vector(f))) for f in ("luhn", "noluhn"))
+        ) + max(0.0, *(float(max(0.0, *self.vector(f))) for f in ("ip", "noip"))) + float(self._shapes.max(initial=0.0))
+        self.most_mail = max(0.0, *(float(max(self.vector(f))) for f in ("mail", "nomail")))
+
+    def vector(self, name: str) -> np.ndarray:
+        return np.array(self._weights.get(name, (0.0,) * (OUTSIDE + 1))[:OUTSIDE])
+
+    def one(self, name: str) -> np.ndarray:
+        return self.vector(name)
+
+    def ip(self, span: str) -> np.ndarray:
+        return self.vector(_ip(span)) if _IP.fullmatch(span) else np.zeros(OUTSIDE)
+
+    def shape(self, codes: np.ndarray, size: np.ndarray) -> np.ndarray:
+        if not len(self._codes):
+            return np.zeros((len(codes), OUTSIDE))
+        at = np.minimum(np.searchsorted(self._codes, codes), len(self._codes) - 1)
+        known = (self._codes[at] == codes) & (self._sizes[at] == size)
+        return np.where(known[:, None], self._shapes[at], 0.0)
+
 
 def train(
     docs: DataFrame,
@@ -279,8 +458,8 @@ def _marginals(n: int, start: np.ndarray, end: np.ndarray, score: np.ndarray) ->
 
 def _gold(zone: Zone, spans: list[Span]) -> set[tuple[int, int, int]]:
     """The labelled segmentation: spans at token borders, the longest first; the rest outside."""
-    begin = {s: i for i, (s, _) in enumerate(zone.tokens)}
-    finish = {e: i + 1 for i, (_, e) in enumerate(zone.tokens)}
+    begin = {s: i for i, (s, _) in enumerate(zone.tokens.tolist())}
+    finish = {e: i + 1 for i, (_, e) in enumerate(zone.tokens.tolist())}
     free = np.ones(len(zone.tokens), bool)
     gold = set()
     for kind, start, end in sorted(spans, key=lambda s: s[1] - s[2]):
@@ -330,7 +509,7 @@ def _spans(text: str, field: Field) -> list[dict]:
     spans = [(*s, True) for s in base]
     for zone in zones(text):
         for kind, start, end in field.decode(zone):
-            before = int(np.searchsorted(starts, end))
+            before = bisect_left(starts, end)
             if not before or reach[before - 1] <= start:
                 spans.append((kind, start, end, False))
     return [dict(zip(("kind", "start", "end", "base"), s)) for s in sorted(spans)]
