@@ -5,7 +5,8 @@ import pytest
 from llm_tools import listed
 from test_llm_words import brute_groups, near_copies
 
-from tidemark.llm import jaccard
+from tidemark.llm import embeddings, jaccard
+from tidemark.llm.embeddings import near_duplicates
 from tidemark.llm.jaccard import jaccard_groups
 
 TEXTS = "doc_id long, text string"
@@ -57,3 +58,43 @@ def test_any_number_of_column_blocks(frame, monkeypatch, block_bytes):
     if block_bytes == 1:  # more than 2^16 blocks
         rows.append((9999, " ".join(f"long{i}" for i in range(9000))))
     assert grouped(frame, rows) == brute_groups(rows)
+
+
+def brute_rows(rows, cosine=0.98):
+    """Links and component by row, not by id."""
+    unit = [np.array(v, float) / np.linalg.norm(v) for _, v, _ in rows]
+    near = [[a != b and rows[a][2] == rows[b][2] and unit[a] @ unit[b] >= cosine for b in range(len(rows))] for a in range(len(rows))]
+    label = [r[0] for r in rows]
+    for _ in rows:
+        label = [min([label[a], *(label[b] for b in range(len(rows)) if near[a][b])]) for a in range(len(rows))]
+    return sorted((r[0], sum(near[k]), label[k], r[0] == label[k]) for k, r in enumerate(rows))
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_repeated_ids_with_other_vectors(frame, seed):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(6, 16))
+    rows = []
+    for n in range(60):
+        noisy = centres[rng.integers(0, 6)] + rng.normal(size=16) * rng.choice([0.0, 0.05, 0.12])
+        rows.append((int(rng.integers(0, 25)), noisy.tolist(), 1))
+    v, w = rng.normal(size=(2, 16))
+    rows += [(101, v.tolist(), 1), (101, w.tolist(), 1), (102, (w + 0.01).tolist(), 1)]
+    got = near_duplicates(frame(rows, "vec_id long, embedding array<double>, label int"))
+    assert sorted(map(tuple, got.collect())) == brute_rows(rows)
+
+
+def test_dense_cells_keep_groups_small(frame, monkeypatch):
+    monkeypatch.setattr(embeddings, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(embeddings, "GROUP_ROWS", 500)
+    sent = []
+    in_cells = embeddings._in_cells
+    monkeypatch.setattr(embeddings, "_in_cells", lambda *a, **k: sent.append(in_cells(*a, **k)) or sent[-1])
+    rng = np.random.default_rng(7)
+    centre = rng.normal(size=16)
+    rows = [(i, (centre + rng.normal(size=16) * 0.01).tolist(), 1) for i in range(600)]
+    got = near_duplicates(frame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert {(r.n_links, r.component_id) for r in got} == {(599, 0)}
+    for messages in sent:
+        sizes = [r["count"] for r in messages.groupBy("bucket").count().collect()]
+        assert max(sizes) <= 500 < sum(sizes)

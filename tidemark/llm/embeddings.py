@@ -15,8 +15,9 @@ from tidemark.staging import staged
 
 #: Rows on one side of a block of a cell.
 BLOCK_ROWS = 1000
-#: Messages that one group of cells holds, about.
+#: Most messages that one group of cells holds, and most bytes, but for chance.
 GROUP_ROWS = 50_000
+GROUP_BYTES = 64 << 20
 
 # Rotated coordinates are kept as multiples of this, so that distances are exact sums.
 _UNIT = 2.0**-20
@@ -53,8 +54,10 @@ def near_duplicates(
        precision. Blocks of a cell give link counts and a spanning forest, never pairs.
 
     Equal vectors of a label are one vector with a weight. A crowded cell is dealt into
-    blocks of at most about ``BLOCK_ROWS`` rows a side. Equal rows are copies of each
-    other; a null key is counted as a link but has no component.
+    blocks of at most about ``BLOCK_ROWS`` rows a side, and as many groups as hold what is
+    then sent. Equal rows are copies of each other; a null key is counted as a link but has
+    no component. Rows that repeat a key with another vector are told apart: each has the
+    links and the component of its own vector.
     """
     radius2 = (2 - 2 * cosine) * (1 + 1e-9) + 1e-9
     _check_reach(math.sqrt(radius2) / scale)
@@ -69,10 +72,11 @@ def near_duplicates(
         usable.groupBy("k1", "k2").agg(
             F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"),
             *[F.any_value(c).alias(c) for c in ("label", "dim", "raw", "turned")],
-        ),
+        ).withColumn("node", F.monotonically_increasing_id()),
         "vector-classes",
     )
-    named = classes.filter("rep is not null")
+    # From here to the links a class goes by its own number, since keys may repeat.
+    named = classes.filter("rep is not null").withColumn("rep", F.col("node"))
     shells = _shells()
 
     near = _in_cells(named.select("rep", "label", "dim", "turned"), shells, radius2, scale, whole=False)
@@ -86,12 +90,20 @@ def near_duplicates(
     )
     counted = links.groupBy("rep").agg(F.sum("links").alias("links"))
     labels = components(links.select(F.col("rep").alias("a"), F.col("root").alias("b")))
+    named_labels = staged(
+        labels.join(classes.select(F.col("node").alias("id"), F.col("rep").alias("key")), "id"), "labels"
+    )
+    least = named_labels.groupBy("component").agg(F.min("key").alias("least"))
+    # Keyed by an expression, so that the rows of a large component may be split.
+    inside = named_labels.join(
+        least.select(F.col("component").cast("string").alias("of"), "least"), F.col("component").cast("string") == F.col("of")
+    )
     found = staged(
-        classes.select("k1", "k2", "rep", "weight")
+        classes.select("k1", "k2", F.col("rep").alias("key"), F.col("node").alias("rep"), "weight")
         .join(counted, "rep", "left")
-        .join(labels.withColumnRenamed("id", "rep"), "rep", "left")
+        .join(inside.select(F.col("id").alias("rep"), "least"), "rep", "left")
         .select("k1", "k2", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-                F.coalesce("component", "rep").alias("component")),
+                F.coalesce("least", "key").alias("component")),
         "found",
     )
     alone = ready.filter("raw is null").select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"))
@@ -248,12 +260,17 @@ def _in_cells(rows: DataFrame, shells: np.ndarray, radius2: float, scale: float,
     # A cell without a stored row, or with one that only itself probes, has no pair.
     held = held.filter("stored > 0 and probing > 1").select(
         *[F.col(c).cast("string").alias(f"at_{c}") for c in cells],
+        "stored",
+        "probing",
         F.ceil(F.col("stored") / BLOCK_ROWS).cast("int").alias("rows"),
         F.ceil(F.col("probing") / BLOCK_ROWS).cast("int").alias("columns"),
     )
     same = [F.col(c).cast("string") == F.col(f"at_{c}") for c in cells]
-    size = messages.count()
-    buckets = max(8, size // GROUP_ROWS)
+    sent = held.agg(F.sum(F.col("stored") * F.col("columns") + F.col("probing") * F.col("rows"))).first()[0] or 0
+    wide = F.lit(64) + sum(F.octet_length(c) for c in ("block", *(("turned", "raw") if whole else ())))
+    widest = messages.agg(F.max(wide)).first()[0] or 1
+    # Cells fall into groups by chance, so a group is planned to be a third of what it may be.
+    buckets = max(8, 3 * sent // max(2 * BLOCK_ROWS, min(GROUP_ROWS, GROUP_BYTES // widest)))
 
     def others(mine: str, many: str, flag: bool):
         own = F.pmod(F.xxhash64("rep", F.lit(2)), F.col(mine)).cast("int")
@@ -264,7 +281,7 @@ def _in_cells(rows: DataFrame, shells: np.ndarray, radius2: float, scale: float,
     blocks = messages.join(held, same).withColumn("__at", F.explode(spread)).withColumn(
         "cell", F.xxhash64(*cells, "__at.i", "__at.j")
     )
-    return blocks.withColumn("bucket", F.pmod("cell", F.lit(buckets))).drop("__at", "rows", "columns", "label", "code", *[f"at_{c}" for c in cells])
+    return blocks.withColumn("bucket", F.pmod("cell", F.lit(buckets))).drop("__at", "rows", "columns", "stored", "probing", "label", "code", *[f"at_{c}" for c in cells])
 
 
 def _blocks(group: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, pd.DataFrame]]:
