@@ -10,12 +10,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.files import Files
 from tidemark.llm.decontaminate import drop_contaminated, find_contamination
 from tidemark.llm.jaccard import jaccard_groups
 from tidemark.llm.language import identify, learn_profiles
 from tidemark.llm.mixing import mix
 from tidemark.llm.sharding import shard
-from tidemark.staging import staged
+from tidemark.staging import scratch, staged, work_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -84,7 +85,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The sharded corpus. Each stage's documents are written, and removed when those of the
+    next are there; the last stage reads what the one before it left."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        folder = work_dir(spark, name)
+        with scratch(spark, f"{name}-parts"):
+            docs = staged(stage(spark, docs, sf_dir), name, folder=folder)
+        if before:
+            Files(spark, before).delete()
+        before = folder
     return STAGES[-1][1](spark, docs, sf_dir)

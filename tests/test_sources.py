@@ -261,6 +261,18 @@ def test_the_folder_of_a_run_goes_with_it(spark, frame):
     assert not Files(spark, folder).exists()
 
 
+def test_copies_go_with_the_scope_that_they_are_made_in(spark, frame):
+    with scratch(spark, "outer") as outer:
+        with scratch(spark, "inner") as inner:
+            staged(frame([(1,)], "x int"), "part")
+            kept = staged(frame([(2,)], "x int"), "result", keep=True)
+            assert len(Files(spark, inner).names()) == 1
+        assert not Files(spark, inner).exists() and kept.count() == 1
+        last = staged(frame([(3,)], "x int"), "result", keep=True)
+        assert len(Files(spark, outer).names()) == 1
+    assert not Files(spark, outer).exists() and last.count() == 1
+
+
 def test_work_folders_need_a_shared_folder(monkeypatch):
     class Conf:
         def get(self, key, default=None):

@@ -8,6 +8,7 @@ kept on executors.
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
@@ -15,6 +16,7 @@ from tidemark.errors import TidemarkError
 from tidemark.files import Files
 
 _fallback: list[str] = []
+_scopes: ContextVar[tuple[str, ...]] = ContextVar("scopes", default=())
 
 
 def use_folder(path: str) -> None:
@@ -22,24 +24,32 @@ def use_folder(path: str) -> None:
     _fallback[:] = [path]
 
 
+def work_root(spark: SparkSession) -> str | None:
+    """The folder to work in: the session's checkpoint folder, else the one given for that case."""
+    return spark.conf.get("spark.checkpoint.dir", None) or next(iter(_fallback), None)
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
-    """A new folder, never used before, below the session's checkpoint folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or next(iter(_fallback), None)
+    """A new folder, never used before, below the folder to work in."""
+    root = work_root(spark)
     if not root:
         raise TidemarkError("spark.checkpoint.dir must name a shared folder")
     return f"{root.rstrip('/')}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
 def staged(
-    df: DataFrame, label: str, partition_by: tuple[str, ...] = (), folder: str | None = None
+    df: DataFrame, label: str, partition_by: tuple[str, ...] = (), folder: str | None = None, keep: bool = False
 ) -> DataFrame:
     """Write ``df`` once and hand back a scan of what was written.
 
-    Without a ``folder`` of the caller's the copy stays, because what is built on it
-    may be read at any later time.
+    Without a ``folder`` of the caller's the copy goes with the ``scratch`` that it is made in,
+    or with ``keep``, as the result of that scope, with the one around it. Outside of any it
+    stays, because what is built on it may be read at any later time.
     """
     spark = df.sparkSession
-    path = f"{folder}/{label}" if folder else work_dir(spark, label)
+    scopes = _scopes.get()[:-1] if keep else _scopes.get()
+    inside = folder or next(reversed(scopes), None)
+    path = f"{inside}/{label}{'' if folder else '-' + uuid.uuid4().hex}" if inside else work_dir(spark, label)
     df.write.partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -59,7 +69,9 @@ def staged_and_counted(
 def scratch(spark: SparkSession, label: str) -> Iterator[str]:
     """A folder for the staged copies of one run, removed when the run ends or fails."""
     path = work_dir(spark, label)
+    outer = _scopes.set((*_scopes.get(), path))
     try:
         yield path
     finally:
+        _scopes.reset(outer)
         Files(spark, path).delete()
