@@ -2,9 +2,11 @@
 
 import numpy as np
 import pytest
-from llm_tools import listed
+from llm_tools import SF_DIR, listed
 from test_llm_words import brute_groups, near_copies
 
+import __spark_entry__ as entry
+from tidemark.files import Files
 from tidemark.llm import embeddings, jaccard
 from tidemark.llm.embeddings import near_duplicates
 from tidemark.llm.jaccard import jaccard_groups
@@ -98,3 +100,11 @@ def test_dense_cells_keep_groups_small(frame, monkeypatch):
     for messages in sent:
         sizes = [r["count"] for r in messages.groupBy("bucket").count().collect()]
         assert max(sizes) <= 500 < sum(sizes)
+
+
+@pytest.mark.parametrize("name, left", [("op1_near_duplicate_vectors", 1), ("op6_jaccard_join", 1), ("op2_mix_sources", 1), ("pipeline", 3)])
+def test_what_is_written_in_between_is_removed(spark, name, left):
+    root = Files(spark, spark.conf.get("spark.checkpoint.dir") + "/tidemark")
+    before = set(root.names())
+    entry.queries()[name](spark, SF_DIR).collect()
+    assert len(set(root.names()) - before) <= left

@@ -141,7 +141,7 @@ def brute_contamination(docs, items, width=10):
 REPORT = ("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
-@pytest.mark.parametrize("limit", [1 << 26, 2000])
+@pytest.mark.parametrize("limit", [1 << 26, 200_000])
 def test_contamination(table, limit):
     """Also with so little room for the windows that they are scanned in turns."""
     docs, items = table("documents"), table("benchmark")
@@ -150,6 +150,19 @@ def test_contamination(table, limit):
     assert sorted(map(tuple, got.select(*REPORT).collect())) == brute_contamination(*rows)
 
 
+def test_a_window_that_every_item_has(frame):
+    """Items share a window, and hits of several turns touch and overlap."""
+    shared = "one two three four five six seven eight nine ten"
+    items = [(n, f"{shared} own{n} {' '.join(f'w{n}x{k}' for k in range(6))}") for n in range(30)]
+    rows = [(1, f"a {shared} b"), (2, items[3][1]), (3, f"{items[4][1]} {items[5][1]} {shared}"), (4, "none"), (5, None), (1, f"a {shared} b")]
+    docs, given = frame(rows, "doc_id long, text string"), frame(items, "item_id long, text string")
+    found = find_contamination(docs.withColumn("extra", F.lit("kept")), given, broadcast_bytes=30_000)
+    assert sorted(map(tuple, contamination_report(found).select(*REPORT).collect())) == brute_contamination(rows, items)
+    assert {r.extra for r in found.collect()} == {"kept"}
+    one = [tuple(r) for r in find_contamination(docs, given).select("doc_id", "hits").collect()]
+    assert sorted(map(str, one)) == sorted(str(tuple(r)) for r in found.select("doc_id", "hits").collect())
+
+
 def test_contamination_cuts_and_drops(frame, awkward, empty):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda"
     items = frame([(1, item), (2, "Short ONE"), (3, None), (4, "-"), (None, "one"), (5, item)], "item_id long, text string")

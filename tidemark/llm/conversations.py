@@ -191,8 +191,8 @@ def format_conversations(
         laid = _laid_out(spark, _placed(nodes, paths), folder)
         with_attention = _attention(laid, paths)
         whole = segments.select("part", "seq", "role", "tokens", "loss_first", "loss_end").join(with_attention, ["part", "seq"])
-        out = staged(whole.drop("part", "seq", "conversation", "length"), "trees")
-        turns = staged(rows.select("conversation", "depth", "node"), "turns")
+        out = staged(whole.drop("part", "seq", "conversation", "length"), "trees", keep=True)
+        turns = staged(rows.select("conversation", "depth", "node"), "turns", keep=True)
     ids = F.sequence(F.col("position"), F.col("position") + F.size("tokens") - 1)
     return Formatted(out.withColumn("position_ids", ids), turns, codec)
 

@@ -1,22 +1,28 @@
 """Benchmark decontamination: a broadcast hash set of normalised test n-grams."""
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import Any
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.portions import portions
 from tidemark.llm.text import ALNUM, Words, pieces, words
 from tidemark.staging import staged
 
 #: Most bytes of test windows that are broadcast at once; more are scanned in turns.
 BROADCAST_BYTES = 64 << 20
 
+#: Bytes that a window takes in the hash set besides its words.
+_OVERHEAD = 400
+
 _WINDOWS = "width int, hash long, item string, words string"
+FOUND = "n_words long, hits array<struct<first:int,last:int>>, items array<string>"
 
 
 def find_contamination(
@@ -37,28 +43,64 @@ def find_contamination(
     have no words; an item without words or without an id hits nothing. Columns of
     ``docs`` with one of the three names are replaced.
 
-    The windows are measured first. Up to ``broadcast_bytes`` of them are broadcast as one
-    hash set; more are dealt into so many sets, and the documents, written in between,
-    are scanned once for each. Every hit is verified word by word.
+    The windows are measured first, each with the items that have it. Up to
+    ``broadcast_bytes`` of them are broadcast as one hash set, and one pass over the documents
+    gives the result. Beyond that the documents are written once, numbered, and scanned in
+    turns, each with windows of at most so many bytes without their items; a turn gives only
+    numbers, hit words and windows of documents with hits. These are put together, and items
+    joined to windows, by shuffles, so that it does not matter how many items share a window.
+    Every hit is verified word by word.
     """
     rows = docs.drop("n_words", "hits", "items")
-    windows = _windows(benchmark, width, item, item_text)
-    size = windows.agg(F.sum(F.octet_length("words") + F.octet_length("item") + 64)).first()[0] or 0
-    turns = max(1, -(-size // broadcast_bytes))
-    schema = T.StructType(
-        [
-            *rows.schema.fields,
-            *T.StructType.fromDDL("n_words long, hits array<struct<first:int,last:int>>, items array<string>").fields,
-        ]
+    schema = T.StructType([*rows.schema.fields, *T.StructType.fromDDL(FOUND).fields])
+    windows = staged(_windows(benchmark, width, item, item_text), "windows")
+    size = F.octet_length("words") + _OVERHEAD
+    with_items = windows.agg(F.sum(size + F.octet_length("item"))).first()[0] or 0
+    if with_items <= broadcast_bytes:
+        known = docs.sparkSession.sparkContext.broadcast(_hash_set(windows.toPandas()))
+        return rows.mapInArrow(_scan(known, rows.columns.index(text)), schema)
+    return _in_turns(rows, windows, size, broadcast_bytes, text).select(*schema.names)
+
+
+def _in_turns(rows: DataFrame, windows: DataFrame, size: Column, limit: int, text: str) -> DataFrame:
+    numbered = staged(rows.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    one = windows.select("width", "hash", "words").distinct().withColumn("item", F.sha2(F.concat_ws(" ", "width", "words"), 256))
+    one = staged(one, "distinct")
+    given = numbered.select("__row", text)
+    schema = T.StructType.fromDDL(f"__row long, {text} string, {FOUND}")
+    counts, parts = None, []
+    for mine in portions(one, "hash", size + F.octet_length("item"), limit):
+        known = rows.sparkSession.sparkContext.broadcast(_hash_set(one.filter(mine).toPandas()))
+        found = given.mapInArrow(_scan(known, 1), schema).drop(text)
+        if counts is None:  # the first turn counts the words of all documents
+            found = staged(found, "first")
+            counts = found.select("__row", "n_words")
+        parts.append(staged(found.filter("size(hits) > 0").select("__row", "hits", "items"), "hits"))
+    hits = reduce(DataFrame.unionByName, parts)
+    named = windows.select("item", F.sha2(F.concat_ws(" ", "width", "words"), 256).alias("window")).distinct()
+    items = (
+        hits.select("__row", F.explode("items").alias("window")).join(named, "window")
+        .groupBy("__row").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    )
+    merged = hits.groupBy("__row").agg(F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits")).mapInPandas(
+        _merged, "__row long, hits array<struct<first:int,last:int>>"
     )
-    found = rows.withColumns({"n_words": F.lit(0).cast("long"), "hits": F.lit(None).cast(schema["hits"].dataType), "items": F.lit(None).cast("array<string>")})
-    for turn in range(turns):
-        mine = windows if turns == 1 else windows.filter(F.pmod("hash", F.lit(turns)) == turn)
-        known = docs.sparkSession.sparkContext.broadcast(_hash_set(mine.toPandas()))
-        found = found.mapInArrow(_scan(known, rows.columns.index(text)), schema)
-        if turn < turns - 1:
-            found = staged(found, "scanned")
-    return found
+    none = {c: F.array().cast(kind) for c, kind in (("hits", "array<struct<first:int,last:int>>"), ("items", "array<string>"))}
+    out = numbered.join(counts, "__row").join(merged, "__row", "left").join(items, "__row", "left")
+    return out.withColumns({c: F.coalesce(F.col(c), v) for c, v in none.items()})
+
+
+def _merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sorted runs of different turns, those that touch or overlap made one."""
+    for batch in batches:
+        out = []
+        for runs in batch["hits"]:
+            first, last = (np.array([r[k] for r in runs], np.int64) for k in ("first", "last"))
+            reach = np.maximum.accumulate(last)
+            cut = np.concatenate([[0], np.flatnonzero(first[1:] > reach[:-1] + 1) + 1])
+            ends = np.append(cut[1:], len(first)) - 1
+            out.append([{"first": int(a), "last": int(b)} for a, b in zip(first[cut], reach[ends])])
+        yield pd.DataFrame({"__row": batch["__row"], "hits": out})
 
 
 def contamination_report(found: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -121,7 +163,7 @@ def _windows(benchmark: DataFrame, width: int, item: str, text: str) -> DataFram
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["width", "hash", "item", "words"])
 
     items = benchmark.select(F.col(item).cast("string"), F.col(text)).filter(F.col(item).isNotNull())
-    return staged(items.mapInArrow(run, _WINDOWS).distinct(), "windows")
+    return items.mapInArrow(run, _WINDOWS).distinct()
 
 
 def _item_windows(found: Words, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -158,17 +200,12 @@ def _scan(known: Any, at: int):
         sets = known.value
         for batch in batches:
             n_words, hits = [], []
-            items = [set(x or ()) for x in batch.column(batch.num_columns - 1).to_pylist()]
-            before = batch.column(batch.num_columns - 2).to_pylist()
+            items: list[set[str]] = [set() for _ in range(batch.num_rows)]
             for first, data, offsets in pieces(batch.column(at)):
                 found = words(data, offsets, ALNUM)
                 n_words.append(found.per_row())
                 cover = np.zeros(len(found.row) + 1, np.int64)
                 begin = found.first()
-                for row, runs in enumerate(before[first : first + found.rows]):
-                    for r in runs or ():
-                        cover[begin[row] + r["first"]] += 1
-                        cover[begin[row] + r["last"] + 1] -= 1
                 for size, (hashes, bitmap, names) in sets.items():
                     where, value = found.windows(size)
                     maybe = np.flatnonzero(bitmap[value >> np.uint64(64 - len(bitmap).bit_length() + 1)])
@@ -184,15 +221,17 @@ def _scan(known: Any, at: int):
                 hits += _runs(np.cumsum(cover)[:-1] > 0, found, begin)
             done = [
                 pa.array(np.concatenate(n_words) if n_words else [], pa.int64()),
-                pa.array(hits, batch.schema.field("hits").type),
-                pa.array([sorted(x) for x in items], batch.schema.field("items").type),
+                pa.array(hits, _HITS),
+                pa.array([sorted(x) for x in items], pa.list_(pa.string())),
             ]
-            names = batch.schema.names
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-3], *done], names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, *done], [*batch.schema.names, "n_words", "hits", "items"])
 
     return run
 
 
+_HITS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))
+
+
 def _runs(hit: np.ndarray, found: Words, begin: np.ndarray) -> list[list[dict]]:
     """Runs of hit words, by row, counted from the row's first word."""
     out: list[list[dict]] = [[] for _ in range(found.rows)]

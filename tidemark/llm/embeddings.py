@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.staging import staged
+from tidemark.staging import scratch, staged
 
 #: Rows on one side of a block of a cell.
 BLOCK_ROWS = 1000
@@ -57,8 +57,17 @@ def near_duplicates(
     blocks of at most about ``BLOCK_ROWS`` rows a side, and as many groups as hold what is
     then sent. Equal rows are copies of each other; a null key is counted as a link but has
     no component. Rows that repeat a key with another vector are told apart: each has the
-    links and the component of its own vector.
+    links and the component of its own vector. What is written in between is removed; the
+    result is written once and handed back.
     """
+    with scratch(vectors.sparkSession, "vectors"):
+        found = _near_duplicates(vectors, key, vector, label, cosine, scale, seed)
+        return staged(found, "near-duplicates", keep=True)
+
+
+def _near_duplicates(
+    vectors: DataFrame, key: str, vector: str, label: str, cosine: float, scale: float, seed: int
+) -> DataFrame:
     radius2 = (2 - 2 * cosine) * (1 + 1e-9) + 1e-9
     _check_reach(math.sqrt(radius2) / scale)
     rows = vectors.select(F.col(key).cast("long").alias("id"), F.col(label).cast("string").alias("label"), F.col(vector).alias("v"))

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from tidemark.llm.components import components
 from tidemark.llm.text import _PLACE, SPACED, Words, _scramble, pieces, words
 from tidemark.operators.sizes import broadcast_if_small
-from tidemark.staging import staged
+from tidemark.staging import scratch, staged
 
 #: Bytes of text whose rows are dealt out together.
 PIECE_BYTES = 4 << 20
@@ -61,11 +61,16 @@ def jaccard_groups(
        more than a block every row is first compared with one of them: those that link with
        it are in one component, and only rows that do not are multiplied with all others.
 
+    What is written in between is removed; the result is written once and handed back.
     Memory of a task is set by the size of a block. N-grams are known by hashes of 64 bits,
     however many blocks there are; sets with equal 128-bit sums and sizes are taken to be
     equal.
     """
-    spark = docs.sparkSession
+    with scratch(docs.sparkSession, "jaccard"):
+        return staged(_groups(docs, key, text, width, percent), "jaccard-groups", keep=True)
+
+
+def _groups(docs: DataFrame, key: str, text: str, width: int, percent: int) -> DataFrame:
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(8, int(total // BLOCK_BYTES).bit_length())

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.staging import staged
+from tidemark.staging import scratch, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -117,8 +117,19 @@ def mix(
     several times, or not, but for one per shard where the blocks end.
 
     Null sources are one source. Documents without words are not taken. Rows that repeat
-    an id are taken on their own. The result depends on ids, sources and sizes alone.
+    an id are taken on their own. The result depends on ids, sources and sizes alone; it is
+    written once, and what is written on the way to it is removed.
+
+    The shards of one source, a row per ``shard_rows`` documents, stand in one window.
     """
+    with scratch(docs.sparkSession, "mix"):
+        return staged(_mix(docs, key, source, text, weights, repeats, block_words, shard_rows, seed), "mix", keep=True)
+
+
+def _mix(
+    docs: DataFrame, key: str, source: str, text: str,
+    weights: Sequence[int], repeats: int, block_words: int, shard_rows: int, seed: int,
+) -> DataFrame:
     digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string")))
     sized = staged(sizes(docs, key, source, text), "sized")
     wanted = targets(sized, weights, repeats).withColumn("shards", F.ceil(F.col("rows") / shard_rows).cast("long"))

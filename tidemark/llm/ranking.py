@@ -80,7 +80,7 @@ def rank_documents(
             scored = counted.mapInArrow(_score(tiles, total.docs, total.words, k, schema.names), schema)
             best = best.unionByName(_first(scored, k).drop("rank"))
         out = _first(best, k).select(F.col("item").alias(item), "rank", F.col("key").alias(key), "score")
-        return staged(out, "ranked")
+        return staged(out, "ranked", keep=True)
 
 
 def _first(scored: DataFrame, k: int) -> DataFrame:
