@@ -66,6 +66,25 @@ def test_an_increment_reads_the_partitions_that_changed(spark, months):
     assert months.read_since(spark, "updated_at", "no moment").count() == 120
 
 
+def test_the_newest_stamp_is_read_where_it_may_be(spark, months, monkeypatch):
+    merge_into(months, batch(spark, 3, 100), datetime(2026, 1, 2))
+    asked = []
+    read_parts = Table.read_parts
+    monkeypatch.setattr(Table, "read_parts", lambda self, spark, parts: asked.append(list(parts)) or read_parts(self, spark, parts))
+    assert months.greatest(spark, "updated_at") == "2026-01-02 00:00:00"
+    assert months.greatest(spark, "created_at") == "2026-01-01 00:00:00"
+    assert asked[0] == ["2020-02-01", "2022-10-01"] and len(asked[1]) == 40
+    # The rows that were newest go, file by file; their bound stays.
+    files = [f for p in asked[0] for f in [f"part_date={p}/{n}" for n in files_of(months, spark, p)]]
+    months.rewrite(months.read(spark).limit(0), files)
+    del asked[:]
+    assert months.greatest(spark, "updated_at") == "2026-01-01 00:00:00"
+    assert [len(a) for a in asked] == [2, 38]
+    assert months.greatest(spark, "id") == "119"
+    Swaps(spark, months.path)._files.delete("_changes")
+    assert months.greatest(spark, "updated_at") == "2026-01-01 00:00:00"
+
+
 def test_without_a_record_of_changes_everything_is_read(spark, months):
     path = months.path + "/_changes"
     held = json.loads(open(path).read())

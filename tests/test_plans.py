@@ -32,7 +32,7 @@ EAGER = {
     "k1_quarantine", "m3_mart_append", "b1_clean_job", "b2_clean_reload", "k2_clean_counts",
     "k3_stopped_run", "g1_curated", "g2_curated_increment", "f4_empty_increment", "d1_mart",
     "d1_mart_undated", "m4_ref_load", "e5_day_partitions", "e5_far_partitions", "v1_visits",
-    "i2_zoned_marks", "i2_changed_partitions", "m1_one_file", "w1_compacted", "e3_stored_declaration",
+    "i2_zoned_marks", "i2_changed_partitions", "m1_one_file", "w1_compacted", "i1_mark_of_changed", "e3_stored_declaration",
 }
 LAZY = sorted(set(QUERIES) - EAGER)
 

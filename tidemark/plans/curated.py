@@ -84,7 +84,8 @@ def run_curated(spark: SparkSession, job: CuratedJob, run_ts: datetime | None =
     The mark is the newest ``target_mark`` of the curated table, or with ``carry_mark`` the
     newest ``mark`` of the parents read so far. It is included, so rows at the mark are
     merged again, which changes nothing but their stamp. Each run leaves its mark beside
-    the curated table; only where it is missing the whole column is scanned. A run that
+    the curated table; where it is missing it is read from the
+    partitions that may hold it. A run that
     stops before that starts from the older mark again. Of the parents only the partitions
     that were written at or after the mark are read, where their table keeps that. Raises
     ``NothingToDo`` for an empty increment.
@@ -93,7 +94,7 @@ def run_curated(spark: SparkSession, job: CuratedJob, run_ts: datetime | None =
     kind = f"{'source' if job.carry_mark else 'target'}-{job.mark if job.carry_mark else job.target_mark}"
     mark = job.curated.stored_mark(spark, kind)
     if mark is None and not job.carry_mark:
-        mark = mark_value(job.curated.read(spark), job.target_mark)
+        mark = job.curated.greatest(spark, job.target_mark)
     with scratch(spark, "curated") as folder:
         parents = staged(since(job.parents.read_since(spark, job.mark, mark), job.mark, mark), "increment", folder=folder)
         count = parents.count()

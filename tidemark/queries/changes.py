@@ -154,3 +154,21 @@ def e3_stored_declaration(spark, sf_dir):
         except SchemaChangeError as error:
             refused.append(str(error))
     return newer.read(spark).withColumn("refused", F.lit("; ".join(refused)))
+
+
+@query(
+    "i1_mark_of_changed",
+    f"""
+    SELECT '2026-01-03 00:00:00' AS mark, count(DISTINCT date_trunc('month', o_orderdate)) AS partitions
+    FROM orders WHERE {_AGAIN}
+    """,
+)
+def i1_mark_of_changed(spark, sf_dir):
+    """The newest stamp of a table, and how many partitions had to be read for it."""
+    table = _orders_table(work_dir(spark, "newest"))
+    orders = _orders(spark, sf_dir)
+    merge_into(table, orders, datetime(2026, 1, 2))
+    merge_into(table, orders.filter(_AGAIN.replace("o_orderdate", "order_date")), datetime(2026, 1, 3))
+    mark = table.greatest(spark, "updated_at")
+    read = table.partitions_of(table.read_since(spark, "updated_at", mark))
+    return read.agg(F.lit(mark).alias("mark"), F.count("*").alias("partitions"))

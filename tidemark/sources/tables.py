@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tidemark.errors import MergeKeysError, TidemarkError
 from tidemark.files import Files
 from tidemark.operators.conform import require_conformable
-from tidemark.operators.incremental import micros
+from tidemark.operators.incremental import mark_value, micros
 from tidemark.sources.swaps import Swaps, Written
 
 PARTITION_COLUMN = "part_date"
@@ -149,6 +149,26 @@ class Table:
         parts = self.parts_since(spark, column, mark, strict)
         return self.read(spark) if parts is None else self.read_parts(spark, parts)
 
+    def greatest(self, spark: SparkSession, column: str) -> Any | None:
+        """``mark_value`` of the table, from the partitions that may hold the greatest value.
+
+        What is kept beside the table bounds a stamp from above, and rows may have gone since.
+        So the partitions of the highest bound are read first; if what they hold is less than
+        other bounds, the partitions of those are read too. Without that knowledge the whole
+        column is read.
+        """
+        parts = self.parts_since(spark, column, 0)
+        known = Swaps(spark, self.path).changes().parts
+        bounds = {p: known.get(f"{PARTITION_COLUMN}={p}", {"bounds": {}})["bounds"].get(column) for p in parts or ()}
+        if not parts or None in bounds.values():
+            return mark_value(self.read(spark), column)
+        high = max(bounds.values())
+        found = mark_value(self.read_parts(spark, [p for p in parts if bounds[p] == high]), column)
+        at = None if found is None else micros(found)
+        more = [p for p in parts if bounds[p] < high and (at is None or bounds[p] > at)]
+        also = mark_value(self.read_parts(spark, more), column) if more else None
+        return max((m for m in (found, also) if m is not None), key=lambda m: micros(m) or 0, default=None)
+
     def files_holding(
         self, batch: DataFrame, keys: Mapping[str, str], parts: Sequence[str], null_safe: bool = False
     ) -> list[str] | None:
