@@ -49,7 +49,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of a benchmark item."""
+    """Documents without a passage of a benchmark item.
+
+    Null and empty texts have no passage and stay. Without items all documents stay, and
+    without documents there are none.
+    """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return drop_contaminated(find_contamination(docs, benchmark)).select(*docs.columns)
 
@@ -57,7 +61,9 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it, to the nearest whole document.
 
-    A source above its target loses documents, and one below it repeats them.
+    A source above its target loses documents, and one below it repeats them. Null sources
+    are one source; documents without words, null texts among them, are not taken. Rows that
+    share an id are repeated alike. Without documents there are none.
     """
     mixed = mix(docs).select(
         F.col("doc_id").alias("__id"), F.when(F.col("size") > 0, F.round(F.col("taken") / F.col("size"))).cast("int").alias("__times")
@@ -68,7 +74,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def deal_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with the shard and slot that each is written to."""
+    """The documents with the shard and slot that each is written to.
+
+    Null texts weigh nothing and are dealt like others. Without documents there are no rows.
+    """
     return shard(docs)
 
 

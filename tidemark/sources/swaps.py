@@ -96,7 +96,7 @@ class Swaps:
     def _note(self, plan: dict) -> None:
         """Partitions with rows of which nothing is known stay unknown; else a bound is never
         lowered, and a declaration not forgotten, by files that join those that stay."""
-        if plan["written"] is None:
+        if plan.get("written") is None:
             return
         new, known = Written(**plan["written"]), self.changes()
         if new.declared not in known.declarations:
