@@ -40,7 +40,9 @@ def find_contamination(
     consecutive words of an item, or all words of a shorter one. ``hits`` are the runs
     ``(first, last)`` of document words inside any occurrence of a window, and ``items``
     the sorted ids, as text, of the items with occurring windows. Null and empty texts
-    have no words; an item without words or without an id hits nothing. Columns of
+    have no words; an item without words or without an id hits nothing. Repeated documents are
+    scanned each by itself, repeated items are one, and without documents there are no rows.
+    Columns of
     ``docs`` with one of the three names are replaced.
 
     The windows are measured first, each with the items that have it. Up to

@@ -62,8 +62,9 @@ def identify(docs: DataFrame, profiles: Profiles, text: str = "text", flag: str
     A text that is null or has no letter is ``und`` with score 0, as is every text when no
     language was learned. Ties go to the first language by name. A column named ``flag``,
     if any, says whether the text has a letter; ``und`` does not say that, as it may also be
-    a language of ``profiles``. Columns of ``docs`` with one of these names are replaced; no
-    column but ``text`` takes part.
+    a language of ``profiles``. Repeated rows are judged alike, and a table without rows gives
+    none. Columns of ``docs`` with one of these names are replaced; no column but ``text``
+    takes part.
     """
     rows = docs.drop("lang_pred", "score", *[flag] * (flag is not None))
     added = T.StructType.fromDDL("lang_pred string, score double").fields

@@ -219,8 +219,9 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     licence of an expression behind an identifier tag or behind "licensed under".
     ``expression`` is the first such expression and ``terms`` what it evaluates to, else
     null. ``score`` is 1 for a tag with an expression, 0.9 for a base phrase, 0.6 for other
-    notices, else 0. Null and empty texts have no words and no labels. Columns of ``docs``
-    with one of the names are replaced.
+    notices, else 0. Null and empty texts have no words and no labels. Every row is judged by
+    itself, so repeated rows are judged alike, and a table without rows gives none. Columns
+    of ``docs`` with one of the names are replaced.
     """
     added = T.StructType.fromDDL(COLUMNS)
     rows = docs.drop(*added.names)

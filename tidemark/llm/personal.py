@@ -478,7 +478,9 @@ def find_personal(docs: DataFrame, field: Field, text: str = "text") -> DataFram
 
     ``kind`` numbers ``KINDS``; offsets are characters, ends exclusive. ``base`` spans are
     those of the patterns; the field adds what it finds apart from them. Null and empty
-    texts have none. A column ``found`` of ``docs`` is replaced.
+    texts have none. Long texts are read whole, in time and memory in proportion to their
+    length, also where all of it is digits. Repeated rows are searched each by itself, and a
+    table without rows gives none. A column ``found`` of ``docs`` is replaced.
     """
     rows = docs.drop("found")
     schema = T.StructType([*rows.schema.fields, *T.StructType.fromDDL(COLUMNS).fields])

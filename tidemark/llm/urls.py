@@ -146,8 +146,9 @@ def filter_urls(pages: DataFrame, rules: DataFrame, url: str = "url", otherwise:
     The keys of a url are the ends of its host, of as many labels as rules have, each with
     the start of its path, as long as rules have. All distinct keys of all pages are the
     universe; one cascade is built for the blocked and one for the allowed keys, and every
-    key of every page is looked up in both, without a join. Columns of ``pages`` with one
-    of the four names are replaced.
+    key of every page is looked up in both, without a join. Repeated pages are judged alike;
+    without pages there are no rows, and without rules every page has the verdict
+    ``otherwise``. Columns of ``pages`` with one of the four names are replaced.
     """
     rows = pages.drop("host", "path", "rule", "verdict").withColumns({"host": host_of(F.col(url)), "path": path_of(F.col(url))})
     listed = staged(
