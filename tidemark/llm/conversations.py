@@ -17,7 +17,6 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession

@@ -1,7 +1,7 @@
 """Personal data: base patterns, and a semi-Markov conditional random field for the rest."""
 
 import re
-from bisect import bisect_left, bisect_right
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
