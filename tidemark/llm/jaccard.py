@@ -17,9 +17,9 @@ from tidemark.operators.sizes import broadcast_if_small
 from tidemark.staging import scratch, staged
 
 #: Bytes of text whose rows are dealt out together.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 3 << 20
 #: Bytes of text that are cut into words at once.
-WORDS_BYTES = 1 << 20
+WORDS_BYTES = 1 << 19
 #: Bytes of text whose n-grams make up one block of columns.
 BLOCK_BYTES = 6 << 20
 #: An n-gram in more rows of one piece than this is sent once for the piece.
@@ -347,7 +347,7 @@ def _may_link(named: DataFrame, percent: int) -> DataFrame:
 
     def together(rows: DataFrame, found: DataFrame) -> DataFrame:
         # Keyed by an expression: both sides are dealt out anew, so a hot n-gram may be split.
-        return rows.join(found.withColumnRenamed("gram", "of"), F.col("gram").cast("string") == F.col("of").cast("string")).drop("of")
+        return rows.join(found.withColumnRenamed("gram", "of"), F.col("gram").bitwiseXOR(F.lit(1)) == F.col("of").bitwiseXOR(F.lit(1))).drop("of")
 
     grams = named.select("rep", "prefix", "shared").mapInPandas(leading, "gram long, rep long, place long")
     grams = staged(grams, "grams")

@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 
 #: A piece of a column that is worked on at once; one longer text is a piece by itself.
 #: The arrays over a piece take about 50 times its bytes.
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 _U = np.uint64
 
