@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.portions import portions
-from tidemark.llm.text import ALNUM, Words, pieces, words
+from tidemark.llm.text import ALNUM, Words, pieces, tidied, words
 from tidemark.staging import staged
 
 #: Most bytes of test windows that are broadcast at once; more are scanned in turns.
@@ -201,13 +201,11 @@ def _scan(known: Any, at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets = known.value
         for batch in batches:
-            n_words, hits = [], []
-            items: list[set[str]] = [set() for _ in range(batch.num_rows)]
+            # A piece at a time also on the way back.
             for first, data, offsets in pieces(batch.column(at)):
                 found = words(data, offsets, ALNUM)
-                n_words.append(found.per_row())
+                items: list[set[str]] = [set() for _ in range(found.rows)]
                 cover = np.zeros(len(found.row) + 1, np.int64)
-                begin = found.first()
                 for size, (hashes, bitmap, names) in sets.items():
                     where, value = found.windows(size)
                     maybe = np.flatnonzero(bitmap[value >> np.uint64(64 - len(bitmap).bit_length() + 1)])
@@ -217,18 +215,18 @@ def _scan(known: Any, at: int):
                         i = where[k]
                         meant = names[int(value[k].view(np.int64))].get(_phrase(found, i, size))
                         if meant:
-                            items[first + found.row[i]].update(meant)
+                            items[found.row[i]].update(meant)
                             cover[i] += 1
                             cover[i + size] -= 1
-                hits += _runs(np.cumsum(cover)[:-1] > 0, found, begin)
-            done = [
-                pa.array(np.concatenate(n_words) if n_words else [], pa.int64()),
-                pa.array(hits, _HITS),
-                pa.array([sorted(x) for x in items], pa.list_(pa.string())),
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *done], [*batch.schema.names, "n_words", "hits", "items"])
-
-    return run
+                done = [
+                    pa.array(found.per_row(), pa.int64()),
+                    pa.array(_runs(np.cumsum(cover)[:-1] > 0, found, found.first()), _HITS),
+                    pa.array([sorted(x) for x in items], pa.list_(pa.string())),
+                ]
+                mine = batch.slice(first, found.rows)
+                yield pa.RecordBatch.from_arrays([*mine.columns, *done], [*batch.schema.names, "n_words", "hits", "items"])
+
+    return tidied(run)
 
 
 _HITS = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32())]))

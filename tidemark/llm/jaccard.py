@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.components import components
-from tidemark.llm.text import _PLACE, SPACED, Words, _scramble, pieces, words
+from tidemark.llm.text import _PLACE, SPACED, Words, _scramble, pieces, tidied, words
 from tidemark.operators.sizes import broadcast_if_small
 from tidemark.staging import scratch, staged
 
@@ -75,12 +75,12 @@ def _groups(docs: DataFrame, key: str, text: str, width: int, percent: int) -> D
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(8, int(total // BLOCK_BYTES).bit_length())
 
-    dealt = rows.mapInArrow(_deal(width, bits), "block int, batch long, entries binary, often binary, meta binary")
+    dealt = rows.mapInArrow(tidied(_deal(width, bits)), "block int, batch long, entries binary, often binary, meta binary")
     common = dealt.groupBy("block").applyInPandas(
-        _common(bits), "block int, batch long, entries binary, counts binary, often binary, meta binary"
+        tidied(_common(bits)), "block int, batch long, entries binary, counts binary, often binary, meta binary"
     )
     sets = common.groupBy("batch").applyInPandas(
-        _rows(percent, bits),
+        tidied(_rows(percent, bits)),
         "doc_id long, n_shingles int, s1 long, s2 long, suspect boolean, prefix int, shared binary",
     )
     sets = staged(sets, "shingles")
@@ -319,7 +319,7 @@ def _linked(classes: DataFrame, percent: int) -> DataFrame:
         "rep", "n", "shared", "component", F.lit(0).alias("part"),
         F.pmod(F.xxhash64("component"), F.lit(4096)).alias("spread"), F.lit(-1).alias("i"), F.lit(-1).alias("j"),
     )
-    found = blocks.unionByName(alone).groupBy("spread", "i", "j").applyInPandas(_multiply(percent), "a long, b long")
+    found = blocks.unionByName(alone).groupBy("spread", "i", "j").applyInPandas(tidied(_multiply(percent)), "a long, b long")
     return found.unionByName(star.filter("linked and rep <> pivot").select(F.col("rep").alias("a"), F.col("pivot").alias("b")))
 
 
@@ -349,7 +349,7 @@ def _may_link(named: DataFrame, percent: int) -> DataFrame:
         # Keyed by an expression: both sides are dealt out anew, so a hot n-gram may be split.
         return rows.join(found.withColumnRenamed("gram", "of"), F.col("gram").bitwiseXOR(F.lit(1)) == F.col("of").bitwiseXOR(F.lit(1))).drop("of")
 
-    grams = named.select("rep", "prefix", "shared").mapInPandas(leading, "gram long, rep long, place long")
+    grams = named.select("rep", "prefix", "shared").mapInPandas(tidied(leading), "gram long, rep long, place long")
     grams = staged(grams, "grams")
     shared = grams.groupBy("gram").agg(F.count("rep").alias("times")).filter("times > 1").select("gram")
     met = staged(together(grams, shared), "met")
@@ -385,7 +385,7 @@ def _star(rows: DataFrame, percent: int) -> DataFrame:
                 linked.append(100 * overlap >= percent * (n + m - overlap))
             yield batch.drop(columns=["pivot_n", "pivot_shared"]).assign(linked=linked)
 
-    return both.mapInPandas(run, schema)
+    return both.mapInPandas(tidied(run), schema)
 
 
 def _multiply(percent: int):

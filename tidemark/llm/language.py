@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.text import pieces
+from tidemark.llm.text import pieces, tidied
 
 #: Classes of letters; 0 stands for what is not a letter.
 LETTERS = 64
@@ -42,7 +42,7 @@ def learn_profiles(
     rows = docs.select(F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
     counts = (
         rows.filter("text is not null and lang is not null")
-        .mapInArrow(_count, "lang string, gram int, n long")
+        .mapInArrow(tidied(_count), "lang string, gram int, n long")
         .groupBy("lang", "gram")
         .agg(F.sum("n").alias("n"))
         .toPandas()
@@ -76,20 +76,17 @@ def identify(docs: DataFrame, profiles: Profiles, text: str = "text", flag: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _unknown_classes()
         for batch in batches:
-            found, score, letters = [], [], []
-            for _, data, offsets in pieces(batch.column(at)):
+            # A piece at a time also on the way back.
+            for first, data, offsets in pieces(batch.column(at)):
+                size = len(offsets) - 1
                 row, gram = _grams(data, offsets, table)
-                f, s = _compare(profiles, row, gram, len(offsets) - 1)
-                found += f
-                score.append(s)
+                found, score = _compare(profiles, row, gram, size)
+                columns = [pa.array(found, pa.string()), pa.array(score, pa.float64())]
                 if flag is not None:
-                    letters.append(np.bincount(row, minlength=len(offsets) - 1) > 0)
-            columns = [pa.array(found, pa.string()), pa.array(np.concatenate(score) if score else [], pa.float64())]
-            if flag is not None:
-                columns.append(pa.array(np.concatenate(letters) if letters else [], pa.bool_()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], schema.names)
+                    columns.append(pa.array(np.bincount(row, minlength=size) > 0, pa.bool_()))
+                yield pa.RecordBatch.from_arrays([*batch.slice(first, size).columns, *columns], schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(tidied(run), schema)
 
 
 def _unknown_classes() -> np.ndarray:

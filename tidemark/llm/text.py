@@ -5,8 +5,10 @@ name ASCII separators, so bytes from 0x80 on are always word bytes and a charact
 never cut.
 """
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from inspect import isgenerator
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,35 @@ PIECE_BYTES = 1 << 20
 _U = np.uint64
 
 
+def tidied(fn: Callable) -> Callable:
+    """``fn``, a function that Spark runs in a Python worker, giving back the memory that it
+    has freed when it ends: a worker waits for its next task with what it held last."""
+
+    def run(given):
+        out = fn(given)
+        if isgenerator(out):
+            return _then_give_back(out)
+        _give_back()
+        return out
+
+    return run
+
+
+def _then_give_back(out: Iterator) -> Iterator:
+    try:
+        yield from out
+    finally:
+        _give_back()
+
+
+def _give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not a GNU system
+        pass
+
+
 def _scramble(x: np.ndarray) -> np.ndarray:
     """A fixed bijection of 64-bit numbers that spreads every bit."""
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)
