@@ -18,7 +18,7 @@ def tiny_ranges(spark):
     """Byte ranges of a few hundred bytes, so that records reach over many of them."""
     names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
     old = {n: spark.conf.get(n) for n in names}
-    spark.conf.set(names[0], "257b")
+    spark.conf.set(names[0], "503b")
     spark.conf.set(names[1], "1b")
     yield
     for n, v in old.items():
@@ -50,14 +50,13 @@ def records(n, seed=1):
         }
 
 
-@pytest.mark.parametrize("indent", [None, 2])
-@pytest.mark.parametrize("ascii_only", [True, False])
+@pytest.mark.parametrize("indent, ascii_only", [(None, False), (2, True)])
 def test_split_arrays_equal_whole_ones(spark, tmp_path, tiny_ranges, indent, ascii_only):
     for k in range(2):
-        text = json.dumps(list(records(60, k)), indent=indent, ensure_ascii=ascii_only)
+        text = json.dumps(list(records(40, k)), indent=indent, ensure_ascii=ascii_only)
         (tmp_path / f"{k}.json").write_text(text + "\n" * k)
     whole = rows_of(spark, tmp_path)
-    assert rows_of(spark, tmp_path, split_above=0) == whole and len(whole) == 120
+    assert rows_of(spark, tmp_path, split_above=0) == whole and len(whole) == 80
 
 
 @pytest.mark.parametrize(
@@ -71,7 +70,7 @@ def test_small_arrays(spark, tmp_path, tiny_ranges, text):
 
 @pytest.mark.parametrize("cut", ["end", "middle", "comma", "quote", "bracket", "extra", "bare", "twice"])
 def test_a_broken_array_is_one_row(spark, tmp_path, tiny_ranges, cut):
-    good = list(records(30))
+    good = list(records(20))
     text = json.dumps(good, ensure_ascii=False)
     middle = text.index('{"id": 15')
     broken = {
@@ -90,7 +89,7 @@ def test_a_broken_array_is_one_row(spark, tmp_path, tiny_ranges, cut):
     got = read_raw_json(spark, str(tmp_path), schema, split_above=0)
     kept = got.filter(F.col(CORRUPT_COLUMN).isNotNull()).collect()
     assert len(kept) == 1 and kept[0].id is None and broken.startswith(kept[0][CORRUPT_COLUMN][:100])
-    assert got.filter(F.col(CORRUPT_COLUMN).isNull()).count() == 30
+    assert got.filter(F.col(CORRUPT_COLUMN).isNull()).count() == 20
 
 
 def test_small_and_large_documents_together(spark, tmp_path):
