@@ -358,10 +358,12 @@ def _may_link(named: DataFrame, percent: int) -> DataFrame:
     most = F.floor((F.col("common") - F.col("ahead")) * (100 + percent) / percent).cast("long") - F.col("n")
     size = size.withColumn("most", most).filter(100 * F.col("most") >= percent * F.col("n")).select("rep", "n", "most")
     met = staged(met.select("gram", "rep").join(size, "rep").withColumn("open", F.col("most") >= F.col("n")), "sized")
-    open_rows = met.filter("open").groupBy("gram").agg(F.min("n").alias("low"), F.max("most").alias("high"))
-    kept = together(met, open_rows).filter("open or (n <= high and most >= low)").select("gram", "rep")
-    least = kept.groupBy("gram").agg(F.min("rep").alias("least"))
-    return together(kept, least).filter("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
+    # All rows of an n-gram that may link hang on its least open one, which is among them.
+    open_rows = met.filter("open").groupBy("gram").agg(
+        F.min("n").alias("low"), F.max("most").alias("high"), F.min("rep").alias("least")
+    )
+    kept = together(met, open_rows).filter("open or (n <= high and most >= low)")
+    return kept.filter("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b")).distinct()
 
 
 def _star(rows: DataFrame, percent: int) -> DataFrame:
