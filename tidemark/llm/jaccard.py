@@ -290,10 +290,8 @@ def _rows(percent: int, bits: int):
 
 def _linked(classes: DataFrame, percent: int) -> DataFrame:
     """Edges ``(a, b)`` that connect what the product finds linked."""
-    named = staged(
-        classes.filter("rep is not null").select("rep", "n", "prefix", "shared", (F.octet_length("shared") / 8).cast("long").alias("common")),
-        "named",
-    )
+    common = (F.octet_length("shared") / 8).cast("long").alias("common")
+    named = classes.filter("rep is not null").select("rep", "n", "prefix", "shared", common)
     near = staged(components(_may_link(named, percent)), "near")
     sizes = near.groupBy("component").agg(F.count("id").alias("members"), F.min_by("id", F.xxhash64("id")).alias("pivot"))
     rows = near.join(sizes, "component").select(F.col("id").alias("rep"), "component", "members", "pivot")
