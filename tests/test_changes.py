@@ -6,9 +6,10 @@ from datetime import datetime
 
 import pytest
 from conftest import values
+from oracle import connect, mismatch
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from test_plans import plan
+from test_plans import SF_DIR, plan
 
 from tidemark.errors import MergeKeysError, SchemaChangeError
 from tidemark.operators import since
@@ -16,7 +17,7 @@ from tidemark.operators.incremental import micros
 from tidemark.plans import ChildTable, compact_mart, mart_stage, read_mart, run_mart
 from tidemark.plans.clean import _replace
 from tidemark.plans.mart import MONTH
-from tidemark.sinks import merge_into
+from tidemark.sinks import merge_into, writers
 from tidemark.sources import Table
 from tidemark.sources.swaps import Swaps
 from tidemark.sources.tables import one_of
@@ -369,3 +370,24 @@ def test_null_clustering_keys_are_found_when_nulls_are_equal(spark, frame, at, t
     merge_into(table, frame([("b", at(1), 3)], ddl), at(2), small=True)
     merge_into(table, frame([(None, at(1), 9), ("b", at(1), 8)], ddl), at(3), small=True)
     assert values(table.read(spark), "k", "v") == [("a", 2), ("b", 8), (None, 9)]
+
+
+@pytest.mark.parametrize("name", ["e3_stored_declaration"])
+def test_loads_that_fit_no_broadcast_are_merged_by_file(spark, name, monkeypatch):
+    hinted = []
+    broadcast = F.broadcast
+    monkeypatch.setattr(writers, "fits_broadcast", lambda batch: False)
+    monkeypatch.setattr(F, "broadcast", lambda df: hinted.append(df) or broadcast(df))
+    assert mismatch(spark, connect(SF_DIR), name, SF_DIR) is None
+    assert not hinted
+
+
+def test_a_large_batch_rewrites_the_files_that_hold_its_keys(spark, months):
+    merge_into(months, batch(spark, 0, 3).withColumn("id", F.col("id") + 500), datetime(2026, 1, 2), small=False, by_file=True)
+    before = {p: set(files_of(months, spark, p)) for p in ("2020-01-01", "2020-02-01")}
+    assert [len(names) for names in before.values()] == [2, 2]
+    merge_into(months, batch(spark, 3), datetime(2026, 1, 3), small=False, by_file=True)
+    assert set(files_of(months, spark, "2020-01-01")) == before["2020-01-01"]
+    assert len(before["2020-02-01"] & set(files_of(months, spark, "2020-02-01"))) == 1
+    assert values(months.read(spark).filter("v = 'new'"), "id") == [(3,), (500,), (503,)]
+    assert months.read(spark).count() == 122

@@ -145,8 +145,8 @@ def e3_stored_declaration(spark, sf_dir):
     plain = [key.alias("id"), F.col("o_orderdate").alias("order_date"), F.col("o_custkey").cast("int").alias("cust")]
     first = orders.filter(key % 4 != 3).select(*plain, F.col("o_custkey").cast("int").alias("price"), F.lit("x").alias("gone"))
     second = orders.filter(key % 4 == 3).select(*plain, (F.col("o_custkey") + 0.5).alias("price"), F.col("o_orderstatus").alias("status"))
-    merge_into(older, first, datetime(2026, 1, 1), small=True)
-    merge_into(newer, second, datetime(2026, 1, 2), small=True)
+    merge_into(older, first, datetime(2026, 1, 1), by_file=True)
+    merge_into(newer, second, datetime(2026, 1, 2), by_file=True)
     refused = []
     for narrower in (table("cust int, price double, status string"), table("cust bigint, price string, status string")):
         try:

@@ -106,13 +106,16 @@ def merge_into(
     parts: Sequence[str] | None = None,
     small: bool | None = None,
     frozen: Sequence[str] = ("id",),
+    by_file: bool | None = None,
 ) -> None:
     """Upsert ``batch`` into ``table``, reading and replacing only what it touches.
 
     ``parts`` and ``small`` are what the caller already knows: the touched partitions, and
     whether the batch was measured to fit a broadcast. A small batch first looks for its keys
     in the touched partitions: only the files that hold one are read whole and rewritten, and
-    new rows come in files of their own. Otherwise the partitions are rewritten.
+    new rows come in files of their own. Otherwise the partitions are rewritten. ``by_file``
+    asks for the one or the other at any size; a batch that is not small is shuffled, not
+    broadcast, in both.
     """
     keys = table.require_merge_keys()
     spark = batch.sparkSession
@@ -120,7 +123,8 @@ def merge_into(
         parts = table.touched(batch)
     if small is None:
         small = fits_broadcast(batch)
-    files = table.files_holding(batch, {k: k for k in keys}, parts, table.null_safe) if small else None
+    look = small if by_file is None else by_file
+    files = table.files_holding(batch, {k: k for k in keys}, parts, table.null_safe, small) if look else None
     rows = upsert(
         table.read_parts(spark, parts) if files is None else table.read_files(spark, files),
         batch,

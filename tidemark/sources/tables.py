@@ -170,11 +170,12 @@ class Table:
         return max((m for m in (found, also) if m is not None), key=lambda m: micros(m) or 0, default=None)
 
     def files_holding(
-        self, batch: DataFrame, keys: Mapping[str, str], parts: Sequence[str], null_safe: bool = False
+        self, batch: DataFrame, keys: Mapping[str, str], parts: Sequence[str], null_safe: bool = False, small: bool = True
     ) -> list[str] | None:
         """Files of ``parts`` with a row whose ``keys`` (column to batch column) are those of a
-        row of ``batch``, which must be small enough to broadcast. Up to ``FEW_VALUES`` values
-        of a clustering key are looked up by the files' Bloom filters.
+        row of ``batch``. A ``small`` batch is broadcast; for another the keys of both sides are
+        shuffled. Up to ``FEW_VALUES`` values of a clustering key are looked up by the files'
+        Bloom filters.
 
         None where rewriting whole partitions is as good: when half of their files match, or
         one of them has come to hold more than ``FILES_A_PARTITION``.
@@ -197,7 +198,7 @@ class Table:
                 if len(values) <= FEW_VALUES and not (null_safe and any(v[0] is None for v in values)):
                     rows = rows.filter(one_of(column, [v[0] for v in values if v[0] is not None]))
         rows = rows.select(*keys, F.col("_metadata.file_path").alias("__file"))
-        held = rows.join(F.broadcast(sought), reduce(lambda a, b: a & b, same), "left_semi").select("__file").distinct()
+        held = rows.join(F.broadcast(sought) if small else sought, reduce(lambda a, b: a & b, same), "left_semi").select("__file").distinct()
         found = ["/".join(r[0].split("/")[-2:]) for r in held.limit(MOST_FILES + 1).collect()]
         if len(found) > MOST_FILES:
             return None
