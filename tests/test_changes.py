@@ -372,7 +372,7 @@ def test_null_clustering_keys_are_found_when_nulls_are_equal(spark, frame, at, t
     assert values(table.read(spark), "k", "v") == [("a", 2), ("b", 8), (None, 9)]
 
 
-@pytest.mark.parametrize("name", ["e3_stored_declaration"])
+@pytest.mark.parametrize("name", ["e3_stored_declaration", "m1_one_file"])
 def test_loads_that_fit_no_broadcast_are_merged_by_file(spark, name, monkeypatch):
     hinted = []
     broadcast = F.broadcast

@@ -67,7 +67,7 @@ def m1_one_file(spark, sf_dir):
     table = _orders_table(work_dir(spark, "one-file"))
     orders = _orders(spark, sf_dir)
     for load_number in range(4):
-        merge_into(table, orders.filter(F.col("id") % 4 == load_number), datetime(2026, 1, 1 + load_number), small=True)
+        merge_into(table, orders.filter(F.col("id") % 4 == load_number), datetime(2026, 1, 1 + load_number), by_file=True)
 
     def places():
         rows = spark.read.schema(table.file_schema()).parquet(table.path)
@@ -75,7 +75,7 @@ def m1_one_file(spark, sf_dir):
 
     before = places().groupBy("file").agg(F.min("id").alias("any_id")).collect()
     again = orders.filter(_AGAIN.replace("o_orderdate", "order_date")).filter("id % 8 = 5")
-    merge_into(table, again.withColumn("price", F.col("price") + 1), datetime(2026, 1, 9), small=True)
+    merge_into(table, again.withColumn("price", F.col("price") + 1), datetime(2026, 1, 9), by_file=True)
     old = spark.createDataFrame([(r.file, True) for r in before], "old_file string, stays boolean")
     now = places().join(old, F.col("file") == F.col("old_file"), "left").select("id", F.col("stays").isNull().alias("moved"))
     return table.read(spark).select("id", "order_date", "price").join(now, "id")
