@@ -1,4 +1,5 @@
 import json
+import os
 import shutil
 
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import types as T
 
 from tidemark.errors import MergeKeysError, MetricsMissingError, QuarantineError, TidemarkError
 from tidemark.operators import typed_projection
+from tidemark.queries import scans
 from tidemark.sinks import (
     append_mart,
     merge_into,
@@ -285,3 +287,23 @@ def test_work_folders_need_a_shared_folder(monkeypatch):
     monkeypatch.setattr("tidemark.staging._fallback", [])
     with pytest.raises(TidemarkError, match="spark.checkpoint.dir"):
         work_dir(Session(), "x")
+
+
+def test_documents_are_read_as_the_multi_line_mode_reads_them(spark, tmp_path):
+    texts = [
+        '[{"id": 1.10, "tags": ["a",  {"b" : 1e2}]},\n {"id": 12345678901234567890.10, "x": 1}]\n', '[{"id": 1},\n {"id": 2',
+        '{"id": null,\r\n "tags": []}', "", " \n ", "[]", "[1, 2]", "no json\n", '{"id": 1}\n{"id": 2}', '[{"id": "a\nb"}]', "\ufeff[{\"id\": 3}]",
+        '[{"id": "é"}, 5, {"id": true}]',
+    ]
+    for n, text in enumerate(texts):
+        (tmp_path / f"{n}.json").write_bytes(text.encode())
+    schema = T.StructType.fromDDL("id string, tags string, _corrupt_record string")
+    options = {"multiLine": True, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    expected = spark.read.schema(schema).options(**options).json(str(tmp_path))
+    assert values(read_raw_json(spark, str(tmp_path), schema)) == values(expected)
+
+
+def test_documents_of_a_query_lie_side_by_side(spark):
+    folder = scans.prepare_documents(spark, "/root/testdata/sf0.001")
+    inside = [n for n in os.listdir(folder.removeprefix("file:")) if n[0] not in "._"]
+    assert len(inside) > 1 and all(n.endswith(".txt") for n in inside)
