@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 from test_plans import SF_DIR, plan
 
 from tidemark.errors import MergeKeysError, SchemaChangeError
-from tidemark.operators import since
+from tidemark.operators import since, sizes
 from tidemark.operators.incremental import micros
-from tidemark.plans import ChildTable, compact_mart, mart_stage, read_mart, run_mart
+from tidemark.plans import ChildTable, compact_mart, curated, mart_stage, read_mart, run_mart
 from tidemark.plans.clean import _replace
 from tidemark.plans.mart import MONTH
 from tidemark.sinks import merge_into, writers
@@ -391,3 +391,20 @@ def test_a_large_batch_rewrites_the_files_that_hold_its_keys(spark, months):
     assert len(before["2020-02-01"] & set(files_of(months, spark, "2020-02-01"))) == 1
     assert values(months.read(spark).filter("v = 'new'"), "id") == [(3,), (500,), (503,)]
     assert months.read(spark).count() == 122
+
+
+def test_shuffles_of_the_curated_job_follow_the_rows(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(sizes, "PARTITION_ROWS", 500, raising=False)
+    staged = curated.staged
+
+    def seen(df, label, **options):
+        asked.append((label, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+        return staged(df, label, **options)
+
+    monkeypatch.setattr(curated, "staged", seen)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert mismatch(spark, connect(SF_DIR), "g1_curated", SF_DIR) is None
+    lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").count()
+    assert dict(asked)["curated"] == -(-lines // 500) > int(before)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before

@@ -11,7 +11,7 @@ from tidemark.errors import NothingToDo
 from tidemark.operators.conform import align
 from tidemark.operators.enrich import attach, child_lists, lookup
 from tidemark.operators.incremental import mark_value, since
-from tidemark.operators.sizes import BROADCAST_BYTES, fits_broadcast
+from tidemark.operators.sizes import BROADCAST_BYTES, fits_broadcast, shuffles_of
 from tidemark.sinks.writers import merge_into
 from tidemark.sources.tables import Table
 from tidemark.staging import scratch, staged
@@ -110,13 +110,15 @@ def run_curated(spark: SparkSession, job: CuratedJob, run_ts: datetime | None =
             return table.read_parts(spark, known[date, table.grain])
 
         small = fits_broadcast(parents)
+        children = [ChildLists(touched(t, keys), keys, code, alias) for t, keys, code, alias in job.children]
         built = build_curated(
             parents,
-            [ChildLists(touched(t, keys), keys, code, alias) for t, keys, code, alias in job.children],
+            children,
             [Dimension(t.read(spark), on, key, columns) for t, on, key, columns in job.dimensions],
             small_parents=small,
         )
-        batch = staged(align(built, job.curated.schema), "curated", folder=folder)
+        with shuffles_of(spark, max([count, *(child.rows.count() for child in children)])):
+            batch = staged(align(built, job.curated.schema), "curated", folder=folder)
         parts = known.get((job.curated.date, job.curated.grain)) or job.curated.touched(batch)
         merge_into(job.curated, batch, run_ts, parts, small)
         if job.carry_mark:
