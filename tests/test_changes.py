@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 from test_plans import SF_DIR, plan
 
 from tidemark.errors import MergeKeysError, SchemaChangeError
-from tidemark.operators import since, sizes
+from tidemark.operators import since, sizes, upsert
 from tidemark.operators.incremental import micros
-from tidemark.plans import ChildTable, compact_mart, curated, mart_stage, read_mart, run_mart
+from tidemark.plans import ChildTable, clean, compact_mart, curated, mart_stage, read_mart, run_mart
 from tidemark.plans.clean import _replace
 from tidemark.plans.mart import MONTH
 from tidemark.sinks import merge_into, writers
@@ -408,3 +408,26 @@ def test_shuffles_of_the_curated_job_follow_the_rows(spark, monkeypatch):
     lines = spark.read.parquet(f"{SF_DIR}/lineitem.parquet").count()
     assert dict(asked)["curated"] == -(-lines // 500) > int(before)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_what_meets_no_rows_is_joined_with_none(spark, months, monkeypatch, small):
+    def refuse(*_, **__):
+        raise AssertionError("there is nothing to join")
+
+    rows = batch(spark, 0, 3).withColumn("at", F.lit("1999-01-05").cast("timestamp_ntz"))
+    expected = upsert(months.read(spark).limit(0), rows, months.keys, run_ts=datetime(2026, 1, 2))
+    child = ChildTable(
+        Table(months.path + "-children", T.StructType.fromDDL("pid bigint, at timestamp_ntz, code string"), date="at"),
+        {"pid": "id", "at": "at"}, "codes", "code",
+    )
+    with monkeypatch.context() as patched:
+        patched.setattr(writers, "upsert", refuse)
+        patched.setattr(clean, "replace_children", refuse)
+        merge_into(months, rows, datetime(2026, 1, 2), small=small)
+        arrays = rows.selectExpr("id", "at", "if(id = 0, array('a', null), array()) AS codes")
+        _replace(arrays, child, small, datetime(2026, 1, 2))
+    assert values(months.read(spark).filter("v = 'new'")) == values(expected)
+    assert months.read(spark).count() == 122
+    assert [r.code for r in child.table.read(spark).orderBy("code").collect()] == [None, "a"]
+    assert all(".zstd." in name for name in files_of(months, spark, "1999-01-01"))

@@ -74,6 +74,14 @@ def upsert(
     return joined.select(*[merged(c) for c in columns], *([label.alias(action)] if action else []))
 
 
+def inserted(
+    source: DataFrame, schema: T.StructType, run_ts: datetime | None = None, stamps: Sequence[str] = ("created_at", "updated_at")
+) -> DataFrame:
+    """The rows of ``source`` as ``upsert`` puts them into a table of ``schema`` that holds none."""
+    now = run_clock(run_ts)
+    return source.select(*[(now if f.name in stamps else F.col(f.name)).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def _one_match(overwrites: bool) -> Column:
     """Fails where several source rows match one target row, if they would change it."""
     if not overwrites:

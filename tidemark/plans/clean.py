@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.conform import typed_projection
-from tidemark.operators.dml import replace_children, undated_counts
+from tidemark.operators.dml import explode_children, inserted, replace_children, undated_counts
 from tidemark.operators.quality import (
     ERRORS,
     Rule,
@@ -20,7 +20,7 @@ from tidemark.operators.quality import (
     rejected_rows,
     tag,
 )
-from tidemark.operators.sizes import BROADCAST_BYTES, row_bytes
+from tidemark.operators.sizes import BROADCAST_BYTES, row_bytes, shuffles_of
 from tidemark.sinks.writers import QualityRecord, merge_into, metrics_scope, write_quarantine
 from tidemark.sources.tables import Table
 from tidemark.staging import scratch, staged_and_counted
@@ -99,8 +99,13 @@ def _replace(batch: DataFrame, child: ChildTable, small: bool, run_ts: datetime
     dated = batch.filter(F.col(child.keys[table.date]).isNotNull())
     # A partition whose parents all come without children may lose its last row: it goes.
     parts = table.touched(dated.select(*[F.col(b).alias(c) for c, b in child.keys.items()]))
+    spark = batch.sparkSession
+    if not table.holds(spark, parts):
+        fresh = explode_children(dated, child.keys, child.array, child.code, table.date)
+        table.rewrite(inserted(fresh, table.file_schema(), run_ts), [])
+        return
     files = table.files_holding(dated, child.keys, parts) if small else None
-    held = table.read_parts(batch.sparkSession, parts) if files is None else table.read_files(batch.sparkSession, files)
+    held = table.read_parts(spark, parts) if files is None else table.read_files(spark, files)
     rows = replace_children(
         held,
         dated,
@@ -111,7 +116,8 @@ def _replace(batch: DataFrame, child: ChildTable, small: bool, run_ts: datetime
         run_ts=run_ts,
         small_batch=small,
     )
-    if files is None:
-        table.replace(rows, parts)
-    else:
-        table.rewrite(rows, files)
+    with shuffles_of(spark, 0 if small else held.count() + dated.count()):
+        if files is None:
+            table.replace(rows, parts)
+        else:
+            table.rewrite(rows, files)

@@ -10,9 +10,9 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.errors import QuarantineError
-from tidemark.files import Files
-from tidemark.operators.dml import upsert
-from tidemark.operators.sizes import fits_broadcast
+from tidemark.files import COMPRESSION, Files
+from tidemark.operators.dml import inserted, upsert
+from tidemark.operators.sizes import fits_broadcast, shuffles_of
 from tidemark.sources.readers import METRICS_SCHEMA
 from tidemark.sources.tables import Table
 
@@ -115,7 +115,7 @@ def merge_into(
     in the touched partitions: only the files that hold one are read whole and rewritten, and
     new rows come in files of their own. Otherwise the partitions are rewritten. ``by_file``
     asks for the one or the other at any size; a batch that is not small is shuffled, not
-    broadcast, in both.
+    broadcast, in both. Where the touched partitions hold no files, nothing is looked for.
     """
     keys = table.require_merge_keys()
     spark = batch.sparkSession
@@ -123,10 +123,14 @@ def merge_into(
         parts = table.touched(batch)
     if small is None:
         small = fits_broadcast(batch)
+    if not table.holds(spark, parts):
+        table.rewrite(inserted(batch, table.file_schema(), run_ts), [])
+        return
     look = small if by_file is None else by_file
     files = table.files_holding(batch, {k: k for k in keys}, parts, table.null_safe, small) if look else None
+    held = table.read_parts(spark, parts) if files is None else table.read_files(spark, files)
     rows = upsert(
-        table.read_parts(spark, parts) if files is None else table.read_files(spark, files),
+        held,
         batch,
         keys,
         run_ts=run_ts,
@@ -134,10 +138,11 @@ def merge_into(
         null_safe=table.null_safe,
         small_source=small,
     )
-    if files is None:
-        table.replace(rows, parts)
-    else:
-        table.rewrite(rows, files)
+    with shuffles_of(spark, 0 if small else held.count() + batch.count()):
+        if files is None:
+            table.replace(rows, parts)
+        else:
+            table.rewrite(rows, files)
 
 
 def append_mart(df: DataFrame, path: str, month: str, order: Sequence[str]) -> None:
@@ -150,6 +155,7 @@ def append_mart(df: DataFrame, path: str, month: str, order: Sequence[str]) -> N
         df.hint("rebalance", month)
         .sortWithinPartitions(month, *order)
         .write.mode("append")
+        .option("compression", COMPRESSION)
         .partitionBy(month)
         .parquet(path)
     )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.errors import MergeKeysError, TidemarkError
-from tidemark.files import Files
+from tidemark.files import COMPRESSION, Files
 from tidemark.operators.conform import require_conformable
 from tidemark.operators.incremental import mark_value, micros
 from tidemark.sources.swaps import Swaps, Written
@@ -169,6 +169,10 @@ class Table:
         also = mark_value(self.read_parts(spark, more), column) if more else None
         return max((m for m in (found, also) if m is not None), key=lambda m: micros(m) or 0, default=None)
 
+    def holds(self, spark: SparkSession, parts: Sequence[str]) -> bool:
+        """Whether any of ``parts`` has files."""
+        return any(self._file_counts(spark, parts))
+
     def files_holding(
         self, batch: DataFrame, keys: Mapping[str, str], parts: Sequence[str], null_safe: bool = False, small: bool = True
     ) -> list[str] | None:
@@ -181,11 +185,7 @@ class Table:
         one of them has come to hold more than ``FILES_A_PARTITION``.
         """
         spark = batch.sparkSession
-        self.finish_swaps(spark)
-        files = Files(spark, self.path)
-        touched = [f"{PARTITION_COLUMN}={p}" for p in parts] if self.date else [f"{PARTITION_COLUMN}={NO_DATE}"]
-        with ThreadPoolExecutor(_LISTERS) as listers:
-            counts = list(listers.map(lambda part: len(files.names(part)), touched))
+        counts = self._file_counts(spark, parts)
         if not any(counts):
             return []
         sought = batch.select(*[F.col(b).alias(f"__{c}") for c, b in keys.items()]).distinct()
@@ -251,6 +251,14 @@ class Table:
         """The declared columns; files do not enforce not-null."""
         return T.StructType([T.StructField(f.name, f.dataType) for f in self.schema.fields])
 
+    def _file_counts(self, spark: SparkSession, parts: Sequence[str]) -> list[int]:
+        self.finish_swaps(spark)
+        files = Files(spark, self.path)
+        there = {*files.names()}
+        named = [f"{PARTITION_COLUMN}={p}" for p in (parts if self.date else [NO_DATE])]
+        with ThreadPoolExecutor(_LISTERS) as listers:
+            return list(listers.map(lambda part: len(files.names(part)), [p for p in named if p in there]))
+
     def _among(self, parts: Sequence[str]) -> Column:
         days = ", ".join(f"DATE '{p}'" for p in parts)
         return F.expr(f"{PARTITION_COLUMN} IN ({days})") if parts else F.lit(False)
@@ -270,7 +278,7 @@ class Table:
         if self.cluster:
             placed = placed.sortWithinPartitions(PARTITION_COLUMN, *self.cluster)
         blooms = {f"parquet.bloom.filter.enabled#{c}": "true" for c in self.cluster} | _BLOOM_SIZES
-        placed.write.options(**blooms).partitionBy(PARTITION_COLUMN).parquet(path)
+        placed.write.options(**blooms).option("compression", COMPRESSION).partitionBy(PARTITION_COLUMN).parquet(path)
         return Written(T.StructType(rows.schema.fields).json(), {c: seen.get.get(c) for c in stamps})
 
     def _scan(self, spark: SparkSession) -> DataFrame:
