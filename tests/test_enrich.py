@@ -33,6 +33,14 @@ def test_lists_keep_duplicates_and_drop_nulls(frame):
     ]
 
 
+def test_several_columns_are_listed_in_one_pass(frame):
+    rows = [(1, "b", "x"), (1, "a", "y"), (1, "b", "x"), (1, "b", "y"), (2, None, "z"), (3, None, None)]
+    children = frame(rows, "pid int, code string, kind string")
+    out = child_lists(children, ["pid"], {"code": "codes", "kind": "kinds"})
+    assert out.columns == ["pid", "codes", "kinds"]
+    assert values(out) == [(1, ["a", "b", "b", "b"], ["x", "x", "y", "y"]), (2, [], ["z"]), (3, [], [])]
+
+
 def test_counts_per_code(frame):
     out = child_counts(frame(ROWS, CHILDREN), ["pid"], "code")
     assert values(out) == [(1, "a", 1), (1, "b", 2), (2, None, 1), (3, "c", 1), (3, "d", 1)]

@@ -5,8 +5,10 @@ import io
 import re
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from tidemark.operators import child_lists, delete_children, keep_latest, replace_children, since, upsert
-from tidemark.queries import QUERIES
+from tidemark.queries import QUERIES, jobs
+from tidemark.queries.registry import LOADED_UNTIL, REDELIVERED_FROM
 from tidemark.sources import Table
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -116,3 +118,21 @@ def test_children_are_read_once_to_be_deleted(spark, no_broadcast):
     keys = {"l_orderkey": "o_orderkey", "l_shipdate": "o_orderdate"}
     text = plan(delete_children(children, batch, keys, ("l_shipdate", "1995-01-01", "1996-01-01")))
     assert text.count("FileScan") == 2 and text.count("l_orderkey") and "Union" not in text
+
+
+def test_the_raw_files_of_both_batches_are_made_in_one_pass(spark, monkeypatch):
+    written, loaded = [], []
+    text = DataFrameWriter.text
+
+    def write(writer, path):
+        written.append(plan(writer._df))
+        return text(writer, path)
+
+    monkeypatch.setattr(DataFrameWriter, "text", write)
+    monkeypatch.setattr(jobs, "_load", lambda spark, job, raw, ds, at: loaded.append(spark.read.text(raw)))
+    jobs._two_batches(spark, SF_DIR)
+    assert [p.count("/lineitem.parquet") for p in written] == [1]
+    orders = spark.read.parquet(f"{SF_DIR}/orders.parquet")
+    cuts = (f"o_orderdate < '{LOADED_UNTIL}'", f"o_orderdate >= '{REDELIVERED_FROM}'")
+    assert [raw.count() for raw in loaded] == [orders.filter(cut).count() + 1 for cut in cuts]
+    assert [raw.filter("value = '{\"id\": MIDDLE EAST'").count() for raw in loaded] == [1, 1]

@@ -20,25 +20,28 @@ def restrict_children(
     return children.join(F.broadcast(wanted) if small_parents else wanted, list(keys), "left_semi")
 
 
-def child_counts(children: DataFrame, keys: Sequence[str], code: str) -> DataFrame:
-    """How often each code occurs per parent.
+def child_counts(children: DataFrame, keys: Sequence[str], *codes: str) -> DataFrame:
+    """How often each code, or each combination of several, occurs per parent.
 
     Counts are combined before the shuffle and the shuffle is by parent and code,
     so a parent that holds a large share of all rows is not sent to one task.
     """
-    return children.groupBy(*keys, code).agg(F.count(F.lit(1)).alias("n"))
+    return children.groupBy(*keys, *codes).agg(F.count(F.lit(1)).alias("n"))
 
 
 def child_lists(
     children: DataFrame,
     keys: Sequence[str] | Mapping[str, str],
-    code: str,
-    alias: str,
+    code: str | Mapping[str, str],
+    alias: str | None = None,
     parents: DataFrame | None = None,
     small_parents: bool = False,
 ) -> DataFrame:
     """Per parent the sorted list of its codes, duplicates kept and nulls dropped.
 
+    Several columns of the same children are listed in one pass when ``code`` maps each to
+    the name of its list.
+
     With ``parents`` only their children are listed. A small parent side filters
     the children before they are counted; a large one after, because by then a
     parent has at most one row per code and the join cannot be skewed.
@@ -48,15 +51,13 @@ def child_lists(
     """
     if parents is not None and small_parents:
         children = restrict_children(children, parents, keys, small_parents=True)
-    counted = child_counts(children, list(keys), code)
+    lists = {code: alias} if isinstance(code, str) else dict(code)
+    counted = child_counts(children, list(keys), *lists)
     if parents is not None and not small_parents:
         counted = restrict_children(counted, parents, keys)
-    entry = F.when(F.col(code).isNotNull(), F.struct(F.col(code).alias("code"), "n"))
-    return (
-        counted.groupBy(*keys)
-        .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-        .select(*keys, _expand(F.col("entries")).alias(alias))
-    )
+    entry = F.struct(*[F.col(c).alias(f"code_{i}") for i, c in enumerate(lists)], "n")
+    entries = counted.groupBy(*keys).agg(F.collect_list(entry).alias("entries"))
+    return entries.select(*keys, *[_expand(f"code_{i}").alias(name) for i, name in enumerate(lists.values())])
 
 
 def attach(df: DataFrame, lists: DataFrame, keys: Mapping[str, str]) -> DataFrame:
@@ -92,7 +93,6 @@ def _parent_keys(parents: DataFrame, keys: Mapping[str, str]) -> DataFrame:
     return parents.select(*[F.col(p).alias(c) for c, p in keys.items()]).distinct()
 
 
-def _expand(entries: Column) -> Column:
-    return F.flatten(
-        F.transform(entries, lambda e: F.array_repeat(e["code"], e["n"].cast("int")))
-    )
+def _expand(field: str) -> Column:
+    repeated = F.transform("entries", lambda e: F.array_repeat(e[field], e["n"].cast("int")))
+    return F.sort_array(F.array_compact(F.flatten(repeated)))

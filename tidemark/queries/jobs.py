@@ -226,10 +226,8 @@ def _raw_orders(spark, sf_dir, customer):
         F.col("o_orderdate").alias("placed"),
         F.col("o_orderstatus").alias("status"),
     )
-    for column, alias in (("l_returnflag", "flags"), ("l_linestatus", "statuses")):
-        lists = child_lists(lines, ["l_orderkey"], column, alias)
-        raw = raw.join(lists.withColumnRenamed("l_orderkey", "id"), "id", "left")
-    return raw
+    lists = child_lists(lines, ["l_orderkey"], {"l_returnflag": "flags", "l_linestatus": "statuses"})
+    return raw.join(lists.withColumnRenamed("l_orderkey", "id"), "id", "left")
 
 
 def _clean_job(root: str, limit_percent: float = 5.0, most: float = 495000) -> CleanJob:
@@ -295,21 +293,31 @@ def _with_lists(spark, job: CleanJob):
 def _two_batches(spark, sf_dir) -> CleanJob:
     """What is loaded first; then two years of it again, corrected, with all that is newer.
     Each has one record cut short. In the second, orders not finished have lost their lines."""
+    job = _clean_job(work_dir(spark, "reload-tables"))
+    raw = prepare_batches(spark, sf_dir)
+    for day in (1, 2):
+        _load(spark, job, f"{raw}/batch={day}", f"2026-01-0{day}", datetime(2026, 1, day))
+    return job
+
+
+def prepare_batches(spark, sf_dir) -> str:
+    """The raw files of both batches, from one pass over the tables."""
     root = work_dir(spark, "reload")
     raw = _raw_orders(spark, sf_dir, F.col("o_orderkey"))
-    placed = F.col("placed")
-    first = raw.filter(placed < F.lit(LOADED_UNTIL).cast("timestamp_ntz"))
-    second = raw.filter(placed >= F.lit(REDELIVERED_FROM).cast("timestamp_ntz")).withColumns(
-        {"price": F.col("price") + 1}
-        | {c: F.when(F.col("status") == "F", F.col(c)) for c in ("flags", "statuses")}
+    first = F.col("placed") < F.lit(LOADED_UNTIL).cast("timestamp_ntz")
+    second = F.col("placed") >= F.lit(REDELIVERED_FROM).cast("timestamp_ntz")
+    batches = F.array_compact(F.array(F.when(first, 1), F.when(second, 2)))
+    again = F.col("batch") == 2
+    rows = raw.withColumn("batch", F.explode(batches)).withColumns(
+        {"price": F.when(again, F.col("price") + 1).otherwise(F.col("price"))}
+        | {c: F.when(~again | (F.col("status") == "F"), F.col(c)) for c in ("flags", "statuses")}
     )
-    job = _clean_job(f"{root}/tables")
-    for day, batch in ((1, first), (2, second)):
-        lines = batch.drop("placed", "status").select(F.to_json(F.struct("*")).alias("value"))
-        broken = load(spark, sf_dir, "region").agg(F.concat(F.lit('{"id": '), F.max("r_name")).alias("value"))
-        lines.unionByName(broken).write.text(f"{root}/raw/{day}")
-        _load(spark, job, f"{root}/raw/{day}", f"2026-01-0{day}", datetime(2026, 1, day))
-    return job
+    fields = [c for c in rows.columns if c not in {"placed", "status", "batch"}]
+    lines = rows.select("batch", F.to_json(F.struct(*fields)).alias("value"))
+    broken = load(spark, sf_dir, "region").agg(F.concat(F.lit('{"id": '), F.max("r_name")).alias("value"))
+    broken = broken.withColumn("batch", F.explode(F.array(F.lit(1), F.lit(2))))
+    lines.unionByName(broken).write.partitionBy("batch").text(f"{root}/raw")
+    return f"{root}/raw"
 
 
 _BATCHES = f"""
